@@ -97,12 +97,10 @@ def last_token(place: Column) -> Column:
 def normalise_country_usgs(
     place: Column, home_names: tuple[str, ...] = UNITED_STATES_NAMES
 ) -> Column:
-    """Country of a 'distance of town, state-or-country' text.
-
-    A two-character token is a state code.
-    """
-    home = f"(?s)^(..|{_alternatives(home_names)})\\z"
-    return F.regexp_replace(last_token(place), home, "United States")
+    """Country of a 'distance of town, state-or-country' text; two letters are a state code."""
+    token = last_token(place)
+    is_home = (F.length(token) == 2) | token.isin(list(home_names))
+    return F.when(is_home, F.lit("United States")).otherwise(token)
 
 
 def normalise_country_emsc(place: Column, rules: RegionRules = FLINN_ENGDAHL) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -89,12 +89,16 @@ def filter_min_mag(df: DataFrame, minimum: float, inclusive: bool = True) -> Dat
 def filter_period(df: DataFrame, before: str | None = None, since: str | None = None) -> DataFrame:
     """Events in [since, before), as a range on ``time`` that the scan can take.
 
-    Rows without a time fall out as soon as one end is given.
+    Rows without a time fall out as soon as one end is given. On a table partitioned by
+    ``year_month`` the months outside the period are not read at all.
     """
+    by_month = "year_month" in df.columns
     if since is not None:
         df = df.where(F.col("time") >= F.lit(since).cast("timestamp"))
+        df = df.where(F.col("year_month") >= since[:7]) if by_month else df
     if before is not None:
         df = df.where(F.col("time") < F.lit(before).cast("timestamp"))
+        df = df.where(F.col("year_month") <= before[:7]) if by_month else df
     return df
 
 
@@ -112,12 +116,37 @@ def dedup_events(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return df.dropDuplicates(list(columns)) if columns else df.dropDuplicates()
 
 
-def derive_columns(df: DataFrame, country: Column) -> DataFrame:
-    """Country, log depth and unit-sphere coordinates, in one projection."""
+def derive_columns(df: DataFrame) -> DataFrame:
+    """Log depth and unit-sphere coordinates, in one projection."""
     return df.withColumns(
         {
-            "country": country,
             "depth_log": depth_log(F.col("depth")),
             **unit_sphere(F.col("latitude"), F.col("longitude")),
         }
     )
+
+
+def with_country(df: DataFrame, normalise: Callable[[Column], Column]) -> DataFrame:
+    """Adds ``country``, normalised row by row."""
+    return df.withColumn("country", normalise(F.col("place")))
+
+
+def with_country_by_place(
+    df: DataFrame, normalise: Callable[[Column], Column], max_places: int = 50_000
+) -> DataFrame:
+    """Adds ``country``, normalising each distinct place once.
+
+    Region names come from a closed list, so a table of events has few of them, while a chain
+    of regular expressions per event is the dearest part of cleaning. The distinct places are
+    counted first: up to ``max_places`` are broadcast with their country, and with more every
+    row is normalised by itself.
+    """
+    places = df.select("place").distinct()
+    known = places.limit(max_places + 1).collect()
+    if len(known) > max_places:
+        return with_country(df, normalise)
+    table = df.sparkSession.createDataFrame(known, places.schema).select(
+        F.col("place").alias("_place"), normalise(F.col("place")).alias("country")
+    )
+    same = df["place"].eqNullSafe(table["_place"])
+    return df.join(F.broadcast(table), same, "left").drop("_place")

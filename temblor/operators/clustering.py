@@ -17,12 +17,13 @@ from pyspark import inheritable_thread_target
 from pyspark.errors.exceptions.base import PySparkException
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from temblor import schemas
 from temblor.lineage import materialised
-from temblor.operators.features import FEATURE_SETS, fit_features, shift_vector
+from temblor.operators.features import FEATURE_SETS, fit_features, shift_vector, vector_size
 from temblor.operators.sampling import undersample
 
 log = logging.getLogger(__name__)
@@ -102,6 +103,27 @@ def fit(training: DataFrame, algorithm: str, k: int, seed: int = 42, max_iter: i
     ).fit(_prepared(training, chosen))
 
 
+@dataclass(frozen=True)
+class Fit:
+    algorithm: str
+    k: int
+    max_iter: int | None = None
+
+
+def fit_many(
+    training: DataFrame, jobs: dict[str, Fit], seed: int = 42, parallelism: int = 10
+) -> dict:
+    """Fitted models by name. Training tables are small and a fit is a chain of short jobs that
+    leaves most of a cluster idle, so several run at a time."""
+
+    def one(job: Fit):
+        return fit(training, job.algorithm, job.k, seed, job.max_iter)
+
+    with ThreadPool(min(parallelism, len(jobs))) as pool:
+        models = pool.map(inheritable_thread_target(training.sparkSession)(one), jobs.values())
+    return dict(zip(jobs, models))
+
+
 def label_rows(df: DataFrame, model, algorithm: str) -> DataFrame:
     """``df`` with the cluster of every row; a mixture gives its likeliest component."""
     chosen = ALGORITHMS[algorithm]
@@ -142,32 +164,84 @@ def silhouette(df: DataFrame, label: str, features: str = "features") -> float |
         return None
 
 
+def silhouettes(
+    df: DataFrame, labels: Sequence[str], features: str = "features"
+) -> dict[str, float | None]:
+    """The silhouette of several labelings of the same rows, in two passes for all of them.
+
+    The mean squared distance of a row to a cluster follows from the cluster's size, sum and
+    mean squared norm. One pass gathers these, one row per cluster; a second scores every row
+    against them. A row alone in its cluster scores 0.
+    """
+    width = vector_size(df, features)
+    rows = df.select(*labels, vector_to_array(features).alias("v"))
+    values = [F.get("v", F.lit(i)) for i in range(width)]
+    norm = sum((value * value for value in values), F.lit(0.0))
+    points = rows.select(
+        *labels, *(value.alias(f"v{i}") for i, value in enumerate(values)), norm.alias("norm")
+    )
+    names = [f"v{i}" for i in range(width)]
+    named = [
+        F.struct(F.lit(label).alias("label"), F.col(label).cast("int").alias("cluster"))
+        for label in labels
+    ]
+    groups = (
+        points.withColumn("of", F.explode(F.array(*named)))
+        .groupBy("of.label", "of.cluster")
+        .agg(F.count("*").alias("n"), F.avg("norm").alias("norm"), *(F.avg(v).alias(v) for v in names))
+        .collect()
+    )
+    clusters = {label: [g for g in groups if g["label"] == label] for label in labels}
+    scored = {label: found for label, found in clusters.items() if len(found) > 1}
+    for label in set(clusters) - set(scored):
+        log.warning("no silhouette: %s has fewer than two clusters", label)
+    means = (
+        points.agg(*(F.avg(_row_score(label, scored[label], names)).alias(label) for label in scored))
+        .head()
+        .asDict()
+        if scored
+        else {}
+    )
+    return {label: means.get(label) for label in labels}
+
+
+def _row_score(label: str, clusters: list, names: list[str]) -> Column:
+    """Silhouette of a row from its distances to the given clusters."""
+    own, others = F.lit(None).cast("double"), []
+    for found in clusters:
+        product = sum((F.col(v) * found[v] for v in names), F.lit(0.0))
+        distance = F.col("norm") + found["norm"] - 2 * product
+        is_own = F.col(label) == found["cluster"]
+        n = found["n"]
+        within = distance * (n / (n - 1)) if n > 1 else F.lit(None).cast("double")
+        own = F.when(is_own, within).otherwise(own)
+        others.append(F.when(~is_own, distance))
+    nearest = F.least(*others)
+    return (
+        F.when(own < nearest, 1 - own / nearest)
+        .when(own > nearest, nearest / own - 1)
+        .otherwise(F.lit(0.0))
+    )
+
+
 def elbow_sweep(
     training: DataFrame,
     ks: Sequence[int] = tuple(range(2, 11)),
     seed: int = 42,
     max_iter: int = 25,
-    parallelism: int = 4,
 ) -> DataFrame:
-    """Within-cluster cost and silhouette per k, for the caller to choose k.
-
-    Fits are independent and small, so a few run at a time.
-    """
-    spark = training.sparkSession
-
-    def one(k: int) -> tuple[int, float, float | None]:
-        model = fit(training, "kmeans", k, seed, max_iter)
-        labelled = label_rows(training, model, "kmeans")
-        cost = float(model.summary.trainingCost)
-        return k, cost, silhouette(labelled, ALGORITHMS["kmeans"].label)
-
-    training.persist()
-    try:
-        with ThreadPool(min(parallelism, len(ks))) as pool:
-            rows = pool.map(inheritable_thread_target(spark)(one), list(ks))
-    finally:
-        training.unpersist()
-    return spark.createDataFrame(rows, schemas.ELBOW)
+    """Within-cluster cost and silhouette per k, for the caller to choose k."""
+    jobs = {f"k{k}": Fit("kmeans", k, max_iter) for k in ks}
+    models = fit_many(training, jobs, seed)
+    labelled = training
+    for name, model in models.items():
+        labelled = label_rows(labelled, model.setPredictionCol(name), "kmeans")
+    scores = silhouettes(labelled, list(models))
+    rows = [
+        (jobs[name].k, float(model.summary.trainingCost), scores[name])
+        for name, model in models.items()
+    ]
+    return training.sparkSession.createDataFrame(rows, schemas.ELBOW)
 
 
 def model_metrics(

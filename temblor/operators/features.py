@@ -70,6 +70,12 @@ def shift_vector(df: DataFrame, source: str, out: str, by: float = 1.0) -> DataF
     return df.withColumn(out, array_to_vector(moved))
 
 
+def vector_size(df: DataFrame, column: str) -> int:
+    """Length of a vector column, from its ML attributes or else from one row."""
+    known = df.schema[column].metadata.get("ml_attr", {}).get("num_attrs")
+    return known or len(df.select(vector_to_array(column)).head()[0])
+
+
 def _assembler(columns: Sequence[str], out: str) -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid="skip")
 

@@ -28,6 +28,7 @@ class Agency:
     flatten: Callable[[DataFrame], DataFrame]
     event_type: str
     country: Callable[[Column], Column]
+    closed_places: bool  # places come from a closed list of region names
     mag: Bounds
     request_format: str
     bounds: dict[str, Bounds] = field(default_factory=lambda: dict(_EVERYWHERE))
@@ -36,6 +37,10 @@ class Agency:
     def valid(self) -> dict[str, Bounds]:
         return {**self.bounds, "mag": self.mag}
 
+    def with_country(self, df: DataFrame) -> DataFrame:
+        add = clean.with_country_by_place if self.closed_places else clean.with_country
+        return add(df, self.country)
+
     @property
     def event_key(self) -> list[str]:
         """Columns that tell events apart after whole-row de-duplication."""
@@ -50,6 +55,7 @@ USGS = Agency(
     flatten=clean.flatten_usgs,
     event_type="earthquake",
     country=normalise_country_usgs,
+    closed_places=False,
     mag=Bounds(-2, 10),
     request_format="geojson",
 )
@@ -60,6 +66,7 @@ EMSC = Agency(
     flatten=clean.flatten_emsc,
     event_type="ke",
     country=normalise_country_emsc,
+    closed_places=True,
     mag=Bounds(2.5, 10, low_open=True),
     request_format="json",
 )

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from temblor.operators import clean
-from temblor.operators.hazard import classify_hazard
 from temblor.plans.agencies import EMSC
 
 # Valid in Spark SQL and in DuckDB; {events} is the source table.
@@ -51,15 +50,14 @@ def quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid events with country and derived columns; ids are distinct, so nothing shuffles."""
+    """Valid events with derived columns; ids are distinct, so nothing shuffles."""
     rows = clean.keep_event_type(quakes(spark, sf_dir), EMSC.event_type)
-    rows = clean.filter_ranges(clean.drop_missing(rows), EMSC.valid)
-    return clean.derive_columns(rows, EMSC.country(F.col("place")))
+    return clean.derive_columns(clean.filter_ranges(clean.drop_missing(rows), EMSC.valid))
 
 
-def hazard_quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean events with their hazard level."""
-    return classify_hazard(clean_quakes(spark, sf_dir))
+def placed_quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean events with their country."""
+    return EMSC.with_country(clean_quakes(spark, sf_dir))
 
 
 def raw_usgs(df: DataFrame) -> DataFrame:

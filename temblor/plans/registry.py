@@ -25,7 +25,7 @@ from temblor.plans.quakes import (
     KEY,
     clean_quakes,
     emsc_document,
-    hazard_quakes,
+    placed_quakes,
     quakes,
     raw_emsc,
     raw_usgs,
@@ -129,7 +129,7 @@ def country_emsc(spark, sf_dir):
 
 @query
 def serving_projection(spark, sf_dir):
-    table = stages.hazard_table(clean_quakes(spark, sf_dir))
+    table = stages.hazard_table(placed_quakes(spark, sf_dir))
     stored = table.withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss"))
     return tables.serving_projection(stored)
 
@@ -222,22 +222,22 @@ def time_range(spark, sf_dir):
 
 @query
 def kpis(spark, sf_dir):
-    return _rounded(eda.kpis(clean_quakes(spark, sf_dir)), ["avg_depth"], 6)
+    return _rounded(eda.kpis(placed_quakes(spark, sf_dir)), ["avg_depth"], 6)
 
 
 @query
 def top_regions(spark, sf_dir):
-    return eda.top_regions(clean_quakes(spark, sf_dir))
+    return eda.top_regions(placed_quakes(spark, sf_dir))
 
 
 @query
 def top_regions_non_null(spark, sf_dir):
-    return eda.top_regions(clean_quakes(spark, sf_dir), drop_null=True)
+    return eda.top_regions(placed_quakes(spark, sf_dir), drop_null=True)
 
 
 @query
 def top_regions_profile(spark, sf_dir):
-    return eda.top_regions_profile(clean_quakes(spark, sf_dir))
+    return eda.top_regions_profile(placed_quakes(spark, sf_dir))
 
 
 @query
@@ -308,7 +308,7 @@ def kde_depth(spark, sf_dir):
 
 @query
 def undersample_country(spark, sf_dir):
-    rows = clean_quakes(spark, sf_dir).select("id", "country", "mag")
+    rows = placed_quakes(spark, sf_dir).select("id", "country", "mag")
     return sampling.undersample(rows, "country", 30, KEY)
 
 
@@ -329,32 +329,32 @@ def plot_sample(spark, sf_dir):
 
 @query
 def hazard_class(spark, sf_dir):
-    return hazard_quakes(spark, sf_dir).select("id", "hazard_cluster", "cluster_name")
+    return hazard.classify_hazard(clean_quakes(spark, sf_dir)).select("id", "hazard_cluster", "cluster_name")
 
 
 @query
 def hazard_distribution(spark, sf_dir):
-    return hazard.hazard_distribution(hazard_quakes(spark, sf_dir))
+    return hazard.hazard_distribution(hazard.classify_hazard(clean_quakes(spark, sf_dir)))
 
 
 @query
 def hazard_counts(spark, sf_dir):
-    return hazard.hazard_counts(hazard_quakes(spark, sf_dir))
+    return hazard.hazard_counts(hazard.classify_hazard(clean_quakes(spark, sf_dir)))
 
 
 @query
 def hazard_export(spark, sf_dir):
-    return stages.hazard_table(clean_quakes(spark, sf_dir))
+    return stages.hazard_table(placed_quakes(spark, sf_dir))
 
 
 @query
 def rule_cluster_profile(spark, sf_dir):
-    return eda.cluster_profile(hazard_quakes(spark, sf_dir), "hazard_cluster")
+    return eda.cluster_profile(hazard.classify_hazard(clean_quakes(spark, sf_dir)), "hazard_cluster")
 
 
 @query
 def hazard_labelled_points(spark, sf_dir):
-    labelled = hazard.label_hazard(hazard_quakes(spark, sf_dir))
+    labelled = hazard.label_hazard(hazard.classify_hazard(clean_quakes(spark, sf_dir)))
     return labelled.select(
         "id", "hazard_label", "hazard_color", marker_radius(F.col("mag")).alias("radius")
     )
@@ -362,7 +362,7 @@ def hazard_labelled_points(spark, sf_dir):
 
 @query
 def map_sample(spark, sf_dir):
-    points = hazard.map_points(hazard_quakes(spark, sf_dir), KEY)
+    points = hazard.map_points(hazard.classify_hazard(placed_quakes(spark, sf_dir)), KEY)
     return points.select(
         "id",
         "place",
@@ -377,17 +377,17 @@ def map_sample(spark, sf_dir):
 
 @query
 def country_hazard_pivot(spark, sf_dir):
-    return country.country_hazard_pivot(hazard_quakes(spark, sf_dir))
+    return country.country_hazard_pivot(hazard.classify_hazard(placed_quakes(spark, sf_dir)))
 
 
 @query
 def country_risk_top10(spark, sf_dir):
-    return country.country_risk_top10(hazard_quakes(spark, sf_dir))
+    return country.country_risk_top10(hazard.classify_hazard(placed_quakes(spark, sf_dir)))
 
 
 @query
 def country_hazard_long(spark, sf_dir):
-    return country.country_hazard_long(country.country_risk_top10(hazard_quakes(spark, sf_dir)))
+    return country.country_hazard_long(country.country_risk_top10(hazard.classify_hazard(placed_quakes(spark, sf_dir))))
 
 
 @query
@@ -400,20 +400,20 @@ def raw_to_country_risk(spark, sf_dir):
 
 @query
 def country_profile(spark, sf_dir):
-    profile = country.country_profile(clean_quakes(spark, sf_dir))
+    profile = country.country_profile(placed_quakes(spark, sf_dir))
     return _rounded(profile, ["avg_depth", "avg_mag"], 6)
 
 
 @query
 def country_risk_clusters(spark, sf_dir):
-    return country.country_risk_clusters(country.country_profile(clean_quakes(spark, sf_dir)))
+    return country.country_risk_clusters(country.country_profile(placed_quakes(spark, sf_dir)))
 
 
 # Clustering
 
 
 def _profile(spark, sf_dir, algorithm, k, feature_set):
-    rows = clustering.cluster(clean_quakes(spark, sf_dir), algorithm, k, feature_set, KEY)
+    rows = clustering.cluster(placed_quakes(spark, sf_dir), algorithm, k, feature_set, KEY)
     return eda.cluster_profile(rows, clustering.ALGORITHMS[algorithm].label)
 
 
@@ -449,21 +449,21 @@ def gmm_physical5(spark, sf_dir):
 
 @query
 def elbow_hazard(spark, sf_dir):
-    with clustering.model_frames(clean_quakes(spark, sf_dir), "hazard", KEY) as frames:
+    with clustering.model_frames(placed_quakes(spark, sf_dir), "hazard", KEY) as frames:
         return clustering.elbow_sweep(frames.training)
 
 
 @query
 def cluster_map_sample(spark, sf_dir):
     """Labelled events for a cluster map: a bounded sample."""
-    rows = clustering.cluster(clean_quakes(spark, sf_dir), "kmeans", 8, "spatial", KEY)
+    rows = clustering.cluster(placed_quakes(spark, sf_dir), "kmeans", 8, "spatial", KEY)
     columns = ["longitude", "latitude", "kmeans_cluster", "mag", "depth"]
     return sampling.plot_sample(rows, columns, KEY)
 
 
 @query
 def silhouette_rule(spark, sf_dir):
-    rows = features(hazard_quakes(spark, sf_dir), "hazard")
+    rows = features(hazard.classify_hazard(clean_quakes(spark, sf_dir)), "hazard")
     score = clustering.silhouette(rows, "hazard_cluster")
     table = spark.createDataFrame(
         [(clustering.RULE_TITLE, score)], schemas.COMPARISON
@@ -473,13 +473,13 @@ def silhouette_rule(spark, sf_dir):
 
 @query
 def model_metrics(spark, sf_dir):
-    return stages.rule_metrics(clean_quakes(spark, sf_dir), KEY, run_id="registered")
+    return stages.rule_metrics(placed_quakes(spark, sf_dir), KEY, run_id="registered")
 
 
 @query
 def model_comparison(spark, sf_dir):
     done = stages.analyse(
-        clean_quakes(spark, sf_dir), "physical5", 8, KEY, "registered",
+        placed_quakes(spark, sf_dir), "physical5", 8, KEY, "registered",
         algorithms=("kmeans", "bisecting", "gmm"),
     )
     return clustering.model_comparison(done.metrics)

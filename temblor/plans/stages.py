@@ -6,39 +6,44 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from temblor.functions.risk import HAZARD_NAMES
+from temblor.lineage import materialise
 from temblor.operators import clean, clustering, country, eda, hazard
 from temblor.operators.features import FEATURE_SETS, assemble, standardise, vectors_to_arrays
 from temblor.plans.agencies import Agency
 from temblor.sources.tables import export_labels
 
 
-def clean_rows(raw: DataFrame, agency: Agency) -> DataFrame:
-    """Valid events of an agency with derived columns; copies are still in.
+def valid_events(raw: DataFrame, agency: Agency) -> DataFrame:
+    """Flat events of the agency's own type with complete, valid measures; copies are still in.
 
     Every step works on single rows, so filters reach the scan and nothing shuffles.
     """
     rows = clean.keep_event_type(agency.flatten(raw), agency.event_type)
-    rows = clean.filter_ranges(clean.drop_missing(rows), agency.valid)
-    return clean.derive_columns(rows, agency.country(F.col("place")))
+    return clean.filter_ranges(clean.drop_missing(rows), agency.valid)
 
 
 def clean_events(raw: DataFrame, agency: Agency) -> DataFrame:
     """Valid, distinct events with derived columns.
 
-    Filters come before de-duplication and derived columns after it: fewer and narrower rows
-    shuffle, and the result is the same.
+    Filters come before de-duplication and computed columns after it: fewer and narrower rows
+    shuffle, and the result is the same. The country follows from the place, so it may come
+    first, where finding the distinct places needs no shuffle of events.
     """
-    rows = clean.keep_event_type(agency.flatten(raw), agency.event_type)
-    rows = clean.filter_ranges(clean.drop_missing(rows), agency.valid)
-    return clean.derive_columns(clean.dedup_events(rows), agency.country(F.col("place")))
+    distinct = clean.dedup_events(agency.with_country(valid_events(raw, agency)))
+    return clean.derive_columns(distinct)
 
 
 def preprocess(raw: DataFrame, agency: Agency) -> DataFrame:
-    """The clean table of an agency: clean events with raw and standardised feature arrays."""
-    events = clean_events(raw, agency)
+    """The clean table of an agency: clean events with raw and standardised feature arrays.
+
+    Standardising needs the distinct events twice, to fit and to transform. They are written to
+    the shared folder once, so the shuffle behind them runs once and fitting reads only the
+    columns it needs.
+    """
+    distinct = materialise(clean.dedup_events(valid_events(raw, agency)), "distinct-events")
+    events = clean.derive_columns(agency.with_country(distinct))
     vectors = standardise(assemble(events, FEATURE_SETS["physical5"].columns))
     stored = vectors_to_arrays(vectors, ["raw_features", "scaled_features"])
     return stored.select(*agency.clean_schema.names)
@@ -68,34 +73,43 @@ def analyse(
     """Fit several algorithms on one training table, label all rows, score the labels."""
     with clustering.model_frames(events, feature_set, key, cap=cap, seed=seed) as frames:
         elbow = clustering.elbow_sweep(frames.training, sweep, seed) if sweep else None
-        rows = frames.everything
-        for name in algorithms:
-            model = clustering.fit(frames.training, name, k, seed, max_iter)
-            rows = clustering.label_rows(rows, model, name)
-    scores, labelled = {}, {}
-    for name in algorithms:
-        chosen = clustering.ALGORITHMS[name]
-        scores[chosen.title] = clustering.silhouette(rows, chosen.label)
-        labelled[name] = export_labels(rows, [chosen.label])
+        rows = _label_all(frames, algorithms, k, seed, max_iter)
+    used = {name: clustering.ALGORITHMS[name] for name in algorithms}
+    found = clustering.silhouettes(rows, [chosen.label for chosen in used.values()])
+    scores = {chosen.title: found[chosen.label] for chosen in used.values()}
+    labelled = {name: export_labels(rows, [chosen.label]) for name, chosen in used.items()}
     metrics = clustering.model_metrics(events.sparkSession, scores, k, feature_set, run_id)
     return Analysis(labelled, elbow, metrics)
 
 
+def _label_all(
+    frames: clustering.ModelFrames,
+    algorithms: Sequence[str],
+    k: int,
+    seed: int,
+    max_iter: int | None,
+) -> DataFrame:
+    """All rows with one label column per algorithm."""
+    jobs = {name: clustering.Fit(name, k, max_iter) for name in algorithms}
+    rows = frames.everything
+    for name, model in clustering.fit_many(frames.training, jobs, seed).items():
+        rows = clustering.label_rows(rows, model, name)
+    return rows
+
+
 def rule_metrics(
     events: DataFrame, key: Sequence[str], run_id: str, cap: int = 5000, seed: int = 42
 ) -> DataFrame:
     """Silhouettes of K-Means, Bisecting K-Means and the hazard rule on the same features."""
     k = len(HAZARD_NAMES)
-    scores = {}
+    algorithms = ("kmeans", "bisecting")
     with clustering.model_frames(events, "hazard", key, cap=cap, seed=seed) as frames:
-        rows = hazard.classify_hazard(frames.everything)
-        for name in ("kmeans", "bisecting"):
-            model = clustering.fit(frames.training, name, k, seed, max_iter=25)
-            rows = clustering.label_rows(rows, model, name)
-    for name in ("kmeans", "bisecting"):
-        chosen = clustering.ALGORITHMS[name]
-        scores[chosen.title] = clustering.silhouette(rows, chosen.label)
-    scores[clustering.RULE_TITLE] = clustering.silhouette(rows, "hazard_cluster")
+        rows = hazard.classify_hazard(_label_all(frames, algorithms, k, seed, max_iter=25))
+    used = [clustering.ALGORITHMS[name] for name in algorithms]
+    titles = {chosen.label: chosen.title for chosen in used}
+    titles["hazard_cluster"] = clustering.RULE_TITLE
+    found = clustering.silhouettes(rows, list(titles))
+    scores = {title: found[label] for label, title in titles.items()}
     return clustering.model_metrics(events.sparkSession, scores, k, "hazard", run_id)
 
 

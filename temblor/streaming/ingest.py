@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from temblor.operators.clean import derive_columns, with_country
 from temblor.plans.agencies import Agency
-from temblor.plans.stages import clean_rows
+from temblor.plans.stages import valid_events
 
 
 def read_landed(spark: SparkSession, path: str, agency: Agency, fmt: str = "json") -> DataFrame:
@@ -25,8 +26,9 @@ def clean_stream(raw: DataFrame, agency: Agency, late: str = "30 days") -> DataF
     A row without a time can neither be placed on the time line nor grow stale, so it is
     left to the batch path.
     """
-    rows = clean_rows(raw, agency).where(F.col("time").isNotNull())
-    return rows.withWatermark("time", late).dropDuplicatesWithinWatermark(agency.event_key)
+    rows = valid_events(raw, agency).where(F.col("time").isNotNull())
+    distinct = rows.withWatermark("time", late).dropDuplicatesWithinWatermark(agency.event_key)
+    return derive_columns(with_country(distinct, agency.country))
 
 
 def write_clean_stream(
