@@ -11,19 +11,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_HEX_DIGITS = 15  # 60 bits, the most that fit a signed bigint
-
-
 def sample_hash(seed: int, key: Sequence[str]) -> Column:
     """32 hex digits, uniform over the key; their text order is the random order."""
     parts = [F.col(name).cast("string") for name in key]
     return F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("|", *parts)))
 
 
-def hash_bits(hashed: Column) -> Column:
-    """Bit length of the hash: of n keys, about n / 2**j have at most 60 - j bits."""
-    number = F.conv(F.substring(hashed, 1, _HEX_DIGITS), 16, 10).cast("bigint")
-    return F.length(F.bin(number))
+def hash_size(hashed: Column) -> Column:
+    """The hash up to its first digit that is not zero.
+
+    Its text order is the hash order. Among n keys about n / 16**z have z leading zeros, so the
+    first few hash sizes hold few keys and each holds at most about as many as all before it.
+    """
+    leading_zeros = F.length(hashed) - F.length(F.ltrim(hashed, F.lit("0")))
+    return F.substring(hashed, F.lit(1), leading_zeros + 1)
 
 
 def below_fraction(hashed: Column, fraction: float) -> Column:

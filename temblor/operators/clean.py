@@ -132,16 +132,19 @@ def with_country(df: DataFrame, normalise: Callable[[Column], Column]) -> DataFr
 
 
 def with_country_by_place(
-    df: DataFrame, normalise: Callable[[Column], Column], max_places: int = 50_000
+    df: DataFrame,
+    normalise: Callable[[Column], Column],
+    seen_in: DataFrame | None = None,
+    max_places: int = 50_000,
 ) -> DataFrame:
     """Adds ``country``, normalising each distinct place once.
 
     Region names come from a closed list, so a table of events has few of them, while a chain
     of regular expressions per event is the dearest part of cleaning. The distinct places are
-    counted first: up to ``max_places`` are broadcast with their country, and with more every
-    row is normalised by itself.
+    looked up first, in ``seen_in`` where that is cheaper to scan than ``df``. Up to
+    ``max_places`` are broadcast with their country; with more every row is normalised by itself.
     """
-    places = df.select("place").distinct()
+    places = (df if seen_in is None else seen_in).select("place").distinct()
     known = places.limit(max_places + 1).collect()
     if len(known) > max_places:
         return with_country(df, normalise)

@@ -58,11 +58,15 @@ class ModelFrames:
 
 
 def model_frame(df: DataFrame, feature_set: str) -> DataFrame:
-    """Core columns and the feature set's inputs, without rows that lack an input."""
-    inputs = FEATURE_SETS[feature_set].columns
-    names = dict.fromkeys([*schemas.CORE_COLUMNS, *inputs])
+    """Core columns and the feature set's inputs, without rows that lack an input.
+
+    A derived input is null just when its measure is, and the test on the measure neither
+    computes the input twice nor bloats the generated filter.
+    """
+    chosen = FEATURE_SETS[feature_set]
+    names = dict.fromkeys([*schemas.CORE_COLUMNS, *chosen.columns])
     extra = [name for name in df.columns if name not in names and name in ("id", "auth")]
-    return df.select(*extra, *names).dropna(subset=list(inputs))
+    return df.select(*extra, *names).dropna(subset=list(chosen.measures))
 
 
 @contextmanager

@@ -14,20 +14,26 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class FeatureSet:
+    """Feature columns, and the measures that must be present for all of them to be."""
+
     columns: tuple[str, ...]
+    measures: tuple[str, ...]
     scaled: bool
 
 
+_PROFILE = ("quake_count", "avg_depth", "avg_mag", "max_mag")
 FEATURE_SETS = {
-    "physical5": FeatureSet(("x", "y", "z", "depth_log", "mag"), scaled=True),
-    "spatial": FeatureSet(("x", "y", "z"), scaled=False),
-    "hazard": FeatureSet(("depth_log", "mag"), scaled=True),
-    "country": FeatureSet(("quake_count", "avg_depth", "avg_mag", "max_mag"), scaled=True),
+    "physical5": FeatureSet(
+        ("x", "y", "z", "depth_log", "mag"), ("latitude", "longitude", "depth", "mag"), True
+    ),
+    "spatial": FeatureSet(("x", "y", "z"), ("latitude", "longitude"), False),
+    "hazard": FeatureSet(("depth_log", "mag"), ("depth", "mag"), True),
+    "country": FeatureSet(_PROFILE, _PROFILE, True),
 }
 
 
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "raw_features") -> DataFrame:
-    """Columns to one vector; a row with a null is skipped."""
+    """Columns to one vector. Rows with a null must be gone: one that is left fails the job."""
     return _assembler(columns, out).transform(df)
 
 
@@ -77,7 +83,7 @@ def vector_size(df: DataFrame, column: str) -> int:
 
 
 def _assembler(columns: Sequence[str], out: str) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid="skip")
+    return VectorAssembler(inputCols=list(columns), outputCol=out)
 
 
 def _scaler(source: str, out: str) -> StandardScaler:

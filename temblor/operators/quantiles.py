@@ -10,8 +10,10 @@ becomes an end of a bracket, and ends are counted, never gathered.
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,25 +43,31 @@ class _Search:
             test = test & (value < self.high)
         return test
 
-    def sketch(self, accuracy: int) -> Column:
-        slack = 2.0 / accuracy
-        share = self.rank / self.rows
-        ends = [max(0.0, share - slack), min(1.0, share + slack)]
-        return F.percentile_approx(F.when(self.inside(), F.col(self.column)), ends, accuracy)
+    def ends(self, accuracy: int) -> list[float]:
+        """Shares between which the wanted share of the interval lies."""
+        slack, share = 2.0 / accuracy, self.rank / self.rows
+        return [max(0.0, share - slack), min(1.0, share + slack)]
 
-    def count(self, low: float, high: float, gather: bool) -> Column:
+    def between(self, low: float, high: float) -> Column:
+        value = F.col(self.column)
+        return self.inside() & (value > low) & (value < high)
+
+    def count(self, low: float, high: float) -> Column:
         value, inside = F.col(self.column), self.inside()
-        between = inside & (value > low) & (value < high)
-        values = F.collect_list(F.when(between, value)) if gather else F.array().cast("array<double>")
+        parts = {
+            "below": inside & (value < low),
+            "at_low": inside & (value == low),
+            "between": self.between(low, high),
+            "at_high": inside & (value == high),
+        }
+        # count(when) rather than count_if: Spark computes the tests of many count_if in one
+        # projection, whose generated method grows too long to be compiled.
         return F.struct(
-            F.count_if(inside & (value < low)).alias("below"),
-            F.count_if(inside & (value == low)).alias("at_low"),
-            F.count_if(between).alias("between"),
-            F.count_if(inside & (value == high)).alias("at_high"),
-            F.sort_array(values).alias("values"),
+            *(F.count(F.when(part, F.lit(1))).alias(name) for name, part in parts.items())
         )
 
-    def narrow(self, low: float, high: float, seen, gathered: bool) -> None:
+    def narrow(self, low: float, high: float, seen) -> None:
+        """Goes on in the part that holds the rank, given how many values lie in each."""
         rank = self.rank - seen["below"]
         if rank <= 0:
             self.high, self.rows = low, seen["below"]
@@ -69,8 +77,6 @@ class _Search:
             return
         rank -= seen["at_low"]
         if rank <= seen["between"]:
-            if gathered:
-                self.value = seen["values"][rank - 1]
             self.low, self.high, self.rank, self.rows = low, high, rank, seen["between"]
             return
         rank -= seen["between"]
@@ -91,7 +97,7 @@ def exact_quantiles(
 ) -> dict[tuple[str, float], float | None]:
     """The smallest value with at least that share of values at or below it, per column.
 
-    Two passes over ``df`` up to some ten million rows, two more per factor of about two
+    Three passes over ``df`` up to some hundred million rows, two more per factor of about two
     thousand. Null values do not count; a column without values gives None.
     """
     sizes = df.agg(*(F.count(name).alias(name) for name in columns)).head()
@@ -101,17 +107,57 @@ def exact_quantiles(
         for share in probabilities
     }
     while pending := [search for search in searches.values() if not search.done]:
-        brackets = df.agg(
-            *(search.sketch(accuracy).alias(f"s{i}") for i, search in enumerate(pending))
-        ).head()
-        # The sketch's error bounds what a bracket holds, so this many rows at most are gathered.
-        gather = [5 * search.rows / accuracy <= gather_rows for search in pending]
-        seen = df.agg(
-            *(
-                search.count(*brackets[i], gather[i]).alias(f"c{i}")
-                for i, search in enumerate(pending)
-            )
-        ).head()
-        for i, search in enumerate(pending):
-            search.narrow(*brackets[i], seen[i], gather[i])
+        small = [search for search in pending if search.rows <= gather_rows]
+        if small:
+            _gather(df, small)
+        large = [search for search in pending if search.rows > gather_rows]
+        if large:
+            brackets = _brackets(df, large, accuracy)
+            seen = df.agg(
+                *(search.count(*brackets[i]).alias(f"c{i}") for i, search in enumerate(large))
+            ).head()
+            for i, search in enumerate(large):
+                search.narrow(*brackets[i], seen[i])
     return {key: search.value for key, search in searches.items()}
+
+
+def _brackets(df: DataFrame, searches: list[_Search], accuracy: int) -> list[list[float]]:
+    """A bracket per search, from one sketch per distinct interval of a column."""
+    intervals: dict[tuple, list[int]] = {}
+    for i, search in enumerate(searches):
+        intervals.setdefault((search.column, search.low, search.high), []).append(i)
+    sketches = []
+    for members in intervals.values():
+        first = searches[members[0]]
+        shares = [share for i in members for share in searches[i].ends(accuracy)]
+        values = F.when(first.inside(), F.col(first.column))
+        sketches.append(F.percentile_approx(values, shares, accuracy))
+    found = df.agg(*(sketch.alias(f"s{i}") for i, sketch in enumerate(sketches))).head()
+    brackets: list[list[float]] = [[]] * len(searches)
+    for values, members in zip(found, intervals.values()):
+        for place, i in enumerate(members):
+            brackets[i] = values[2 * place : 2 * place + 2]
+    return brackets
+
+
+def _gather(df: DataFrame, searches: list[_Search]) -> None:
+    """Finds the wanted value among the few that are left of each search."""
+    near = [
+        F.struct(
+            F.lit(i).alias("search"),
+            F.lit(search.rank).alias("rank"),
+            F.when(search.inside(), F.col(search.column).cast("double")).alias("value"),
+        )
+        for i, search in enumerate(searches)
+    ]
+    any_inside = reduce(operator.or_, [search.inside() for search in searches])
+    found = (
+        df.where(any_inside)
+        .select(F.inline(F.array(*near)))
+        .where(F.col("value").isNotNull())
+        .groupBy("search", "rank")
+        .agg(F.sort_array(F.collect_list("value")).alias("values"))
+        .select("search", F.element_at("values", F.col("rank")).alias("value"))
+    )
+    for row in found.collect():
+        searches[row["search"]].value = row["value"]

@@ -2,7 +2,7 @@
 
 A plain ``row_number() <= cap`` or ``orderBy(hash).limit(n)`` lets every task send ``cap`` rows
 to the one task that merges them, so its load grows with the number of tasks. Here one cheap
-aggregate counts rows per hash magnitude, which gives an exact cut above which no row can be
+aggregate counts rows per hash size, which gives an exact cut above which no row can be
 chosen; about twice the wanted rows pass the cut and only those are ranked.
 """
 
@@ -14,9 +14,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from temblor.functions.hashing import below_fraction, hash_bits, sample_hash
+from temblor.functions.hashing import below_fraction, hash_size, sample_hash
 
-_HASH, _BITS, _CUT, _COPIES = "_sample_hash", "_hash_bits", "_cut_bits", "_copies"
+_HASH, _SIZE, _CUT, _COPIES = "_sample_hash", "_hash_size", "_cut_size", "_copies"
 
 
 def undersample(
@@ -47,7 +47,7 @@ def undersample(
         [hashed[name].eqNullSafe(cuts[f"_cut_{name}"]) for name in names],
     )
     near = hashed.join(cuts, same, "left").where(
-        F.col(_CUT).isNull() | (F.col(_BITS) <= F.col(_CUT))
+        F.col(_CUT).isNull() | (F.col(_SIZE) <= F.col(_CUT))
     )
     return _first_by_hash(near, df.columns, names, cap, key)
 
@@ -58,7 +58,7 @@ def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataF
     cut = _cuts(hashed, [], n).head()
     if cut is None:
         return df
-    near = hashed.where(F.col(_BITS) <= cut[_CUT])
+    near = hashed.where(F.col(_SIZE) <= cut[_CUT])
     return _first_by_hash(near, df.columns, [], n, key)
 
 
@@ -83,22 +83,22 @@ def plot_sample(
 
 
 def _hashed(df: DataFrame, key: Sequence[str], seed: int) -> DataFrame:
-    return df.withColumn(_HASH, sample_hash(seed, key)).withColumn(_BITS, hash_bits(F.col(_HASH)))
+    return df.withColumn(_HASH, sample_hash(seed, key)).withColumn(_SIZE, hash_size(F.col(_HASH)))
 
 
 def _cuts(hashed: DataFrame, strata: list[str], n: int) -> DataFrame:
     """Strata of more than ``n`` rows, with the smallest hash size that covers ``n`` of them.
 
-    Per stratum the aggregate has at most 60 rows, so the window is small.
+    Per stratum the aggregate has at most 15 rows per hash digit, so the window is small.
     """
     one_group = [F.lit(1)] if not strata else strata
-    sizes = hashed.groupBy(*strata, _BITS).agg(F.count("*").alias("_n"))
-    running = F.sum("_n").over(Window.partitionBy(*one_group).orderBy(_BITS))
+    sizes = hashed.groupBy(*strata, _SIZE).agg(F.count("*").alias("_n"))
+    running = F.sum("_n").over(Window.partitionBy(*one_group).orderBy(_SIZE))
     return (
         sizes.withColumn("_running", running)
         .groupBy(*strata)
         .agg(
-            F.min(F.when(F.col("_running") >= n, F.col(_BITS))).alias(_CUT),
+            F.min(F.when(F.col("_running") >= n, F.col(_SIZE))).alias(_CUT),
             F.sum("_n").alias("_total"),
         )
         .where(F.col("_total") > n)

@@ -37,9 +37,10 @@ class Agency:
     def valid(self) -> dict[str, Bounds]:
         return {**self.bounds, "mag": self.mag}
 
-    def with_country(self, df: DataFrame) -> DataFrame:
-        add = clean.with_country_by_place if self.closed_places else clean.with_country
-        return add(df, self.country)
+    def with_country(self, df: DataFrame, seen_in: DataFrame | None = None) -> DataFrame:
+        if self.closed_places:
+            return clean.with_country_by_place(df, self.country, seen_in)
+        return clean.with_country(df, self.country)
 
     @property
     def event_key(self) -> list[str]:

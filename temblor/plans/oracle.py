@@ -161,8 +161,7 @@ g AS (SELECT point, lo + point * ((hi - lo) / 199) AS x FROM s, (SELECT unnest(r
 d AS (SELECT point, x, sum(k * exp(-0.5 * ((x - place) / h) * ((x - place) / h))) AS total
       FROM g, b, s GROUP BY point, x)
 SELECT CAST(point AS INTEGER) AS point, x,
-       round(total / (n * h * sqrt(2 * pi())), 6) AS density,
-       round(total / (n * h * sqrt(2 * pi())) * n * ((hi - lo) / 30), 6) AS curve
+       round(total / (n * h * sqrt(2 * pi())), 6) AS density
 FROM d, s"""
 
 
@@ -181,16 +180,16 @@ _HAZARD_LABEL = _case("hazard_cluster", {c: label for c, (label, _) in risk.HAZA
 _HAZARD_COLOR = _case("hazard_cluster", {c: color for c, (_, color) in risk.HAZARD_LABELS.items()})
 
 _SILHOUETTE = f"""
-, f AS (SELECT id, hazard_cluster AS c,
+, f AS (SELECT row_number() OVER () AS r, hazard_cluster AS c,
                (depth_log - avg(depth_log) OVER ()) / stddev_samp(depth_log) OVER () AS u,
                (mag - avg(mag) OVER ()) / stddev_samp(mag) OVER () AS v FROM h),
 k AS (SELECT c, count(*) AS m, sum(u) AS su, sum(v) AS sv, sum(u * u + v * v) AS sq FROM f GROUP BY c),
-d AS (SELECT f.id, f.c = k.c AS own, k.m,
+d AS (SELECT f.r, f.c = k.c AS own, k.m,
              f.u * f.u + f.v * f.v + k.sq / k.m - 2 * (f.u * k.su + f.v * k.sv) / k.m AS dist
       FROM f, k),
-e AS (SELECT id, max(CASE WHEN own THEN m END) AS m,
+e AS (SELECT r, max(CASE WHEN own THEN m END) AS m,
              max(CASE WHEN own AND m > 1 THEN dist * m / (m - 1) END) AS a,
-             min(CASE WHEN NOT own THEN dist END) AS b FROM d GROUP BY id)
+             min(CASE WHEN NOT own THEN dist END) AS b FROM d GROUP BY r)
 SELECT {_text(RULE_TITLE)} AS model,
        round(avg(CASE WHEN m = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END), 6)
        AS silhouette FROM e"""

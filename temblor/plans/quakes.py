@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from temblor.operators import clean
 from temblor.plans.agencies import EMSC
+from temblor.session import prepare
 
 # Valid in Spark SQL and in DuckDB; {events} is the source table.
 QUAKES_SQL = """
@@ -45,7 +46,7 @@ KEY = ["id"]
 
 def quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole catalogue, unfiltered."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    prepare(spark)
     return spark.sql(QUAKES_SQL, events=spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 

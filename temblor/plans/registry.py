@@ -30,6 +30,7 @@ from temblor.plans.quakes import (
     raw_emsc,
     raw_usgs,
 )
+from temblor.session import prepare
 from temblor.sources import tables, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,8 +41,7 @@ _DERIVED = ("depth_log", "x", "y", "z")
 
 def query(run: Query) -> Query:
     def with_plain_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return plain_times(run(spark, sf_dir))
+        return plain_times(run(prepare(spark), sf_dir))
 
     QUERIES[run.__name__] = with_plain_times
     return with_plain_times
@@ -290,7 +290,7 @@ def histogram_depth(spark, sf_dir):
 
 def _kde(spark, sf_dir, column):
     curve = distribution.kde(clean_quakes(spark, sf_dir), column)
-    return _rounded(curve, ["density", "curve"], 6)
+    return _rounded(curve.drop("curve"), ["density"], 6)
 
 
 @query

@@ -28,11 +28,11 @@ def clean_events(raw: DataFrame, agency: Agency) -> DataFrame:
     """Valid, distinct events with derived columns.
 
     Filters come before de-duplication and computed columns after it: fewer and narrower rows
-    shuffle, and the result is the same. The country follows from the place, so it may come
-    first, where finding the distinct places needs no shuffle of events.
+    shuffle, and the result is the same.
     """
-    distinct = clean.dedup_events(agency.with_country(valid_events(raw, agency)))
-    return clean.derive_columns(distinct)
+    valid = valid_events(raw, agency)
+    distinct = clean.dedup_events(valid)
+    return clean.derive_columns(agency.with_country(distinct, seen_in=valid))
 
 
 def preprocess(raw: DataFrame, agency: Agency) -> DataFrame:

@@ -11,7 +11,8 @@ import duckdb
 def duckdb_tables(sf_dir: str):
     connection = duckdb.connect()
     for path in sorted(Path(sf_dir).glob("*.parquet")):
-        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+        files = path / "*.parquet" if path.is_dir() else path
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{files}'")
     return connection
 
 

@@ -143,7 +143,7 @@ def test_emsc_countries(spark):
 @pytest.mark.parametrize("max_places", [3, 1000])
 def test_country_by_place_with_and_without_broadcast(spark, max_places):
     df = spark.createDataFrame([(place,) for place in [*EMSC_PLACES] * 3], "place string")
-    found = clean.with_country_by_place(df, normalise_country_emsc, max_places)
+    found = clean.with_country_by_place(df, normalise_country_emsc, max_places=max_places)
     assert found.count() == 3 * len(EMSC_PLACES)
     assert {row.place: row.country for row in found.collect()} == EMSC_PLACES
     has_join = "BroadcastHashJoin" in found._jdf.queryExecution().toString()

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from temblor.functions.hashing import hash_bits, sample_hash
+from temblor.functions.hashing import hash_size, sample_hash
 from temblor.operators import sampling
 
 KEY = ["id"]
@@ -32,11 +32,14 @@ def test_hash_is_the_md5_of_seed_and_key(spark):
     assert row.h == hashlib.md5(b"42:7").hexdigest()
 
 
-def test_bit_length_follows_the_hash_order(spark):
+def test_hash_size_follows_the_hash_order(spark):
     df = spark.range(3000).select(sample_hash(1, KEY).alias("h"))
-    rows = df.select("h", hash_bits(F.col("h")).alias("b")).orderBy("h").collect()
-    bits = [row.b for row in rows]
-    assert bits == sorted(bits) and max(bits) <= 60
+    rows = df.select("h", hash_size(F.col("h")).alias("s")).orderBy("h").collect()
+    sizes = [row.s for row in rows]
+    assert sizes == sorted(sizes)
+    assert all(row.h.startswith(row.s) and row.s.lstrip("0") == row.s[-1] for row in rows)
+    zeros = spark.range(1).select(hash_size(F.lit("0" * 32)).alias("s")).head().s
+    assert zeros == "0" * 32
 
 
 def per_stratum(rows):
@@ -86,7 +89,7 @@ def test_only_rows_near_the_cut_are_ranked(spark):
     df = spark.range(200_000)
     hashed = sampling._hashed(df, KEY, 42)
     cut = sampling._cuts(hashed, [], 200).head()[sampling._CUT]
-    near = hashed.where(F.col(sampling._BITS) <= cut).count()
+    near = hashed.where(F.col(sampling._SIZE) <= cut).count()
     assert 200 <= near <= 600
 
 
