@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder; a local one is made only for a local master."""
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
     if not context.master.startswith("local"):

@@ -169,13 +169,14 @@ def silhouette(df: DataFrame, label: str, features: str = "features") -> float |
 
 
 def silhouettes(
-    df: DataFrame, labels: Sequence[str], features: str = "features"
+    df: DataFrame, labels: Sequence[str], features: str = "features", max_clusters: int = 1000
 ) -> dict[str, float | None]:
     """The silhouette of several labelings of the same rows, in two passes for all of them.
 
     The mean squared distance of a row to a cluster follows from the cluster's size, sum and
     mean squared norm. One pass gathers these, one row per cluster; a second scores every row
-    against them. A row alone in its cluster scores 0.
+    against them. A row alone in its cluster scores 0. More than ``max_clusters`` clusters in
+    all are refused, since their means travel with every task.
     """
     width = vector_size(df, features)
     rows = df.select(*labels, vector_to_array(features).alias("v"))
@@ -193,19 +194,21 @@ def silhouettes(
         points.withColumn("of", F.explode(F.array(*named)))
         .groupBy("of.label", "of.cluster")
         .agg(F.count("*").alias("n"), F.avg("norm").alias("norm"), *(F.avg(v).alias(v) for v in names))
+        .limit(max_clusters + 1)
         .collect()
     )
+    if len(groups) > max_clusters:
+        raise ValueError(f"more than {max_clusters} clusters in {list(labels)}")
     clusters = {label: [g for g in groups if g["label"] == label] for label in labels}
     scored = {label: found for label, found in clusters.items() if len(found) > 1}
     for label in set(clusters) - set(scored):
         log.warning("no silhouette: %s has fewer than two clusters", label)
-    means = (
-        points.agg(*(F.avg(_row_score(label, scored[label], names)).alias(label) for label in scored))
-        .head()
-        .asDict()
-        if scored
-        else {}
-    )
+    if not scored:
+        return {label: None for label in labels}
+    averages = [
+        F.avg(_row_score(label, found, names)).alias(label) for label, found in scored.items()
+    ]
+    means = points.agg(*averages).head().asDict()
     return {label: means.get(label) for label in labels}
 
 

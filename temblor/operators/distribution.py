@@ -29,21 +29,23 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED) -> Da
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
-    """Equal-width bins from minimum to maximum, empty ones included."""
-    values = df.select(F.col(column).alias("_v")).where(F.col("_v").isNotNull())
-    span = values.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-    counts = (
-        _with_scalars(values, span)
-        .groupBy(_bin_of(F.col("_v"), F.lit(bins)).alias("bin"))
-        .agg(F.count("*").alias("_n"))
+    """Equal-width bins from minimum to maximum, empty ones included.
+
+    Two passes: one for the range, one for the counts.
+    """
+    values = _values(df, column)
+    low, high = values.agg(F.min("v"), F.max("v")).head()
+    counts = values.groupBy(_bin_of(low, high, bins).alias("bin")).agg(F.count("*").alias("n"))
+    width = None if low is None else (high - low) / bins
+    start = F.lit(low).cast("double")
+    grid = df.sparkSession.range(bins).select(
+        F.col("id").alias("bin"),
+        (start + F.col("id") * F.lit(width).cast("double")).alias("bin_start"),
+        (start + (F.col("id") + 1) * F.lit(width).cast("double")).alias("bin_end"),
     )
-    edge = (F.col("_s.hi") - F.col("_s.lo")) / bins
-    grid = _with_scalars(df.sparkSession.range(bins).select(F.col("id").alias("bin")), span)
+    # At most one row per bin, so the counts are broadcast.
     return grid.join(F.broadcast(counts), "bin", "left").select(
-        "bin",
-        (F.col("_s.lo") + F.col("bin") * edge).alias("bin_start"),
-        (F.col("_s.lo") + (F.col("bin") + 1) * edge).alias("bin_end"),
-        F.coalesce("_n", F.lit(0)).alias("count"),
+        "bin", "bin_start", "bin_end", F.coalesce("n", F.lit(0)).alias("count")
     )
 
 
@@ -54,58 +56,44 @@ def kde(
 
     Rows are binned first and each bin stands at the mean of its values, so the cost is grid x
     bins. Bins are at most a tenth of the bandwidth wide; their number grows with the fifth root
-    of the rows only. ``curve`` is the density on the scale of a ``hist_bins`` histogram.
+    of the rows only. ``curve`` is the density on the scale of a ``hist_bins`` histogram. A
+    column without spread has a null density.
     """
-    values = df.select(F.col(column).alias("_v")).where(F.col("_v").isNotNull())
-    stats = values.agg(
-        F.count("*").alias("n"),
-        F.min("_v").alias("lo"),
-        F.max("_v").alias("hi"),
-        F.stddev_samp("_v").alias("sd"),
-    ).withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    stats = stats.withColumn(
-        "bins",
-        F.greatest(
-            F.lit(min_bins).cast("bigint"),
-            F.ceil(F.try_divide(10 * (F.col("hi") - F.col("lo")), F.col("h"))),
-        ),
-    )
-    binned = (
-        _with_scalars(values, stats)
-        .groupBy(_bin_of(F.col("_v"), F.col("_s.bins")).alias("bin"))
-        .agg(F.count("*").alias("_n"), F.avg("_v").alias("_at"))
-    )
-    spread = (
-        _with_scalars(binned, stats)
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .withColumn(
-            "x",
-            F.col("_s.lo") + F.col("point") * ((F.col("_s.hi") - F.col("_s.lo")) / (points - 1)),
+    values = _values(df, column)
+    n, low, high, deviation = values.agg(
+        F.count("*"), F.min("v"), F.max("v"), F.stddev_samp("v")
+    ).head()
+    if not deviation or math.isnan(deviation):
+        empty = df.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
+        nothing = F.lit(None).cast("double")
+        return empty.select(
+            "point", F.lit(low).cast("double").alias("x"), nothing.alias("density"), nothing.alias("curve")
         )
+    bandwidth = deviation * n**-0.2
+    bins = max(min_bins, math.ceil(10 * (high - low) / bandwidth))
+    binned = values.groupBy(_bin_of(low, high, bins).alias("bin")).agg(
+        F.count("*").alias("n"), F.avg("v").alias("at")
     )
-    distance = (F.col("x") - F.col("_at")) / F.col("_s.h")
-    kernel = F.col("_n") * F.exp(-0.5 * distance * distance)
-    scale = F.col("_s.n") * F.col("_s.h") * math.sqrt(2 * math.pi)
-    width = (F.col("_s.hi") - F.col("_s.lo")) / hist_bins
+    x = F.lit(low) + F.col("point") * F.lit((high - low) / (points - 1))
+    distance = (x - F.col("at")) / F.lit(bandwidth)
+    kernel = F.col("n") * F.exp(-0.5 * distance * distance)
+    density = F.col("total") / F.lit(n * bandwidth * math.sqrt(2 * math.pi))
     return (
-        spread.groupBy("point", "x", "_s")
-        .agg(F.sum(kernel).alias("_sum"))
-        .select(
-            "point",
-            "x",
-            F.try_divide("_sum", scale).alias("density"),
-            (F.try_divide("_sum", scale) * F.col("_s.n") * width).alias("curve"),
-        )
+        binned.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        .groupBy("point")
+        .agg(F.sum(kernel).alias("total"))
+        .select("point", x.alias("x"), density.alias("density"))
+        .withColumn("curve", F.col("density") * n * ((high - low) / hist_bins))
     )
 
 
-def _with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """``df`` with the single row of another frame as struct ``_s``, by a scalar subquery."""
-    return df.withColumn("_s", one_row.select(F.struct("*")).scalar())
+def _values(df: DataFrame, column: str) -> DataFrame:
+    return df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
 
 
-def _bin_of(value: Column, bins: Column) -> Column:
+def _bin_of(low: float | None, high: float | None, bins: int) -> Column:
     """Bin number; the maximum belongs to the last bin, a constant column to the first."""
-    lo, hi = F.col("_s.lo"), F.col("_s.hi")
-    position = F.floor((value - lo) / (hi - lo) * bins)
-    return F.when(hi > lo, F.least(position, bins - 1)).otherwise(0).cast("bigint")
+    if low is None or low == high:
+        return F.lit(0).cast("bigint")
+    position = F.floor((F.col("v") - low) / (high - low) * bins)
+    return F.least(position, F.lit(bins - 1)).cast("bigint")

@@ -100,6 +100,9 @@ def write_metrics(metrics: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def stage_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """``df`` with a row count that rides on whatever job runs it, instead of its own scan."""
+    """``df`` with a row count that rides on whatever job runs it, instead of its own scan.
+
+    For reports only: rows of a task that had to run again may count twice.
+    """
     seen = Observation(name)
     return df.observe(seen, F.count("*").alias("rows")), seen

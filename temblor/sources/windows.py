@@ -29,29 +29,32 @@ def plan_windows(period: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
 
 
 def years_of(df: DataFrame) -> DataFrame:
-    """The period of whole years that holds every ``time`` of ``df``."""
+    """The period of whole years that holds every ``time`` of ``df``, as one row."""
     first, last = F.date_trunc("year", F.min("time")), F.date_trunc("year", F.max("time"))
-    return df.agg(first.alias("start"), (last + F.expr("interval 1 year")).alias("end"))
+    end = last + F.expr("interval 1 year")
+    micros = df.agg(F.unix_micros(first).alias("start"), F.unix_micros(end).alias("end")).head()
+    return df.sparkSession.range(1).select(
+        *(F.timestamp_micros(F.lit(micros[name]).cast("bigint")).alias(name) for name in ("start", "end"))
+    )
 
 
 def window_counts(df: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
     """Events per request window over the years of ``df``, empty windows included.
 
-    An event finds its window by arithmetic, so no range join is needed; the windows of a
-    period are few and bounded by its length.
+    Two passes: one for the period, one for the counts. An event finds its window by
+    arithmetic, so no range join is needed; the windows of a period are few and bounded by
+    its length.
     """
     period = years_of(df)
-    start = period.select(F.unix_micros("start")).scalar()
+    planned = plan_windows(period, days)
+    start = period.select(F.unix_micros("start")).head()[0]
+    if start is None:
+        return planned.withColumn("quake_count", F.lit(0).cast("bigint"))
     width = days * 86_400_000_000
-    counts = (
-        df.where(F.col("time").isNotNull())
-        .groupBy(F.floor((F.unix_micros("time") - start) / width).cast("int").alias("window_id"))
-        .agg(F.count("*").alias("quake_count"))
-    )
-    return (
-        plan_windows(period, days)
-        .join(counts, "window_id", "left")
-        .withColumn("quake_count", F.coalesce("quake_count", F.lit(0)))
+    window = F.floor((F.unix_micros("time") - start) / width).cast("int").alias("window_id")
+    counts = df.groupBy(window).agg(F.count("*").alias("quake_count"))
+    return planned.join(counts, "window_id", "left").withColumn(
+        "quake_count", F.coalesce("quake_count", F.lit(0))
     )
 
 

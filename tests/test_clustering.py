@@ -88,6 +88,11 @@ def test_silhouettes_equal_the_evaluator(events, labelled):
     assert found["one"] is None
 
 
+def test_labels_without_a_bound_are_refused(labelled):
+    with pytest.raises(ValueError):
+        clustering.silhouettes(labelled, ["kmeans_cluster"], max_clusters=3)
+
+
 def test_one_cluster_has_no_silhouette(labelled):
     assert clustering.silhouette(labelled, "one") is None
 

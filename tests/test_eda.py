@@ -73,6 +73,9 @@ def test_histogram_counts_every_row(spark, events):
     flat = spark.createDataFrame([(1.0,), (1.0,), (None,)], "v double")
     rows = distribution.histogram(flat, "v", 4).orderBy("bin").collect()
     assert [row["count"] for row in rows] == [2, 0, 0, 0]
+    assert {row.density for row in distribution.kde(flat, "v").collect()} == {None}
+    nothing = distribution.histogram(flat.where("v > 1"), "v", 4).collect()
+    assert [(row["count"], row.bin_start) for row in nothing] == [(0, None)] * 4
 
 
 @pytest.mark.parametrize("column", ["mag", "depth"])

@@ -38,6 +38,11 @@ def test_empty_period_has_no_window(spark):
     assert windows.request_windows(START, START) == []
 
 
+def test_no_event_with_a_time_means_no_window(spark):
+    df = spark.sql("SELECT CAST(NULL AS timestamp) AS time")
+    assert windows.window_counts(df).count() == 0
+
+
 FAST = collector.RetryPolicy(attempts=3, pause_seconds=0.0)
 
 
