@@ -151,9 +151,8 @@ def raw_table(spark, sf_dir):
 def clean_table(spark, sf_dir):
     """The clean table with feature arrays, written, read back and its time range read."""
     raw = raw_emsc(quakes(spark, sf_dir), ("EMSC", "EMSC", "USGS"))
-    table = stages.preprocess(raw, EMSC)
     path = scratch_path(spark, "clean")
-    tables.write_clean(table, path)
+    stages.build_clean_table(raw, EMSC, path)
     stored = tables.read_events(spark, EMSC.clean_schema, path)
     return stored.groupBy("country", "auth").agg(
         F.count("*").alias("quake_count"),

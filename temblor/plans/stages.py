@@ -8,11 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from temblor.functions.risk import HAZARD_NAMES
-from temblor.lineage import materialise
+from temblor.lineage import materialise, materialised
 from temblor.operators import clean, clustering, country, eda, hazard
 from temblor.operators.features import FEATURE_SETS, assemble, standardise, vectors_to_arrays
 from temblor.plans.agencies import Agency
-from temblor.sources.tables import export_labels
+from temblor.sources.tables import export_labels, write_clean
 
 
 def valid_events(raw: DataFrame, agency: Agency) -> DataFrame:
@@ -40,9 +40,20 @@ def preprocess(raw: DataFrame, agency: Agency) -> DataFrame:
 
     Standardising needs the distinct events twice, to fit and to transform. They are written to
     the shared folder once, so the shuffle behind them runs once and fitting reads only the
-    columns it needs.
+    columns it needs. The result reads that table; ``build_clean_table`` clears it away.
     """
-    distinct = materialise(clean.dedup_events(valid_events(raw, agency)), "distinct-events")
+    distinct = clean.dedup_events(valid_events(raw, agency))
+    return _with_features(materialise(distinct, "distinct-events"), agency)
+
+
+def build_clean_table(raw: DataFrame, agency: Agency, path: str, fmt: str = "parquet") -> None:
+    """Raw documents to the stored clean table, in one go."""
+    distinct = clean.dedup_events(valid_events(raw, agency))
+    with materialised(distinct, "distinct-events") as events:
+        write_clean(_with_features(events, agency), path, fmt)
+
+
+def _with_features(distinct: DataFrame, agency: Agency) -> DataFrame:
     events = clean.derive_columns(agency.with_country(distinct))
     vectors = standardise(assemble(events, FEATURE_SETS["physical5"].columns))
     stored = vectors_to_arrays(vectors, ["raw_features", "scaled_features"])

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -61,6 +62,33 @@ def test_every_row_has_the_nearest_centre(events):
         assert distances[row.kmeans_cluster] == pytest.approx(min(distances))
 
 
+def test_a_mixture_gives_the_likeliest_component(events):
+    with clustering.model_frames(events, "hazard", KEY) as frames:
+        model = clustering.fit(frames.training, "gmm", 3)
+        rows = clustering.label_rows(frames.everything, model, "gmm").collect()
+    parts = [(g.mean.toArray(), g.cov.toArray()) for g in model.gaussians]
+    x = np.array([row.features.toArray() for row in rows])
+    scores = []
+    for weight, (mean, cov) in zip(model.weights, parts):
+        moved = x - mean
+        distance = np.einsum("ij,jk,ik->i", moved, np.linalg.inv(cov), moved)
+        scores.append(np.log(weight) - 0.5 * (distance + np.log(np.linalg.det(cov))))
+    scores = np.array(scores)
+    chosen = scores[[row.gmm_cluster for row in rows], range(len(rows))]
+    assert np.allclose(chosen, scores.max(axis=0))
+
+
+def test_the_sweep_scores_each_k_as_the_evaluator_does(events):
+    with clustering.model_frames(events, "hazard", KEY) as frames:
+        found = {row.k: row for row in clustering.elbow_sweep(frames.training, (2, 5)).collect()}
+        for k in (2, 5):
+            model = clustering.fit(frames.training, "kmeans", k, max_iter=25)
+            rows = clustering.label_rows(frames.training, model, "kmeans")
+            expected = clustering.silhouette(rows, "kmeans_cluster")
+            assert found[k].silhouette == pytest.approx(expected, abs=1e-9)
+            assert found[k].wcss == pytest.approx(model.summary.trainingCost)
+
+
 def test_training_cost_in_closed_form(events):
     with clustering.model_frames(events, "hazard", KEY) as frames:
         training = frames.training.cache()
