@@ -76,7 +76,7 @@ METRICS = _struct(
 )
 COMPARISON = _struct(model=_text, silhouette=_real)
 ELBOW = _struct(k=_code, wcss=_real, silhouette=_real)
-COLLECTED = _struct(window_start=_time, window_end=_time, document=_text)
+COLLECTED = _struct(window_start=_time, window_end=_time, document=_text, error=_text)
 
 # Columns of every labelled result, before its label column(s).
 CORE_COLUMNS = ["time", "place", "country", "latitude", "longitude", "depth", "mag"]

@@ -2,7 +2,7 @@
 
 ``fetch`` gets a window and returns its documents. A window the agency refuses as too large is
 split in two until it fits, so no event goes missing; other failures are tried again a few
-times and then fail the job.
+times and then fail the job, or leave a row with the error if the policy says so.
 """
 
 from __future__ import annotations
@@ -35,11 +35,16 @@ class RetryPolicy:
     attempts: int = 3
     pause_seconds: float = 1.0
     smallest_window: timedelta = timedelta(minutes=1)
+    record_failures: bool = False
 
 
 @dataclass(frozen=True)
 class HttpFetch:
-    """GET of one window; status 400 means the window is too large."""
+    """GET of one window; status 400 means the window is too large.
+
+    A service that counts the end as inside gives an event on a boundary twice; whole-row
+    de-duplication merges the two.
+    """
 
     url: str
     request_format: str
@@ -81,25 +86,38 @@ class CappedFetch:
 
 def fetch_window(
     fetch: Fetch, start: datetime, end: datetime, policy: RetryPolicy
-) -> Iterator[tuple[datetime, datetime, dict]]:
-    """Documents of a window with the (sub)window each came in."""
-    for attempt in range(1, policy.attempts + 1):
-        try:
-            documents = list(fetch(start, end))
-        except WindowTooLarge:
-            if end - start <= policy.smallest_window:
-                raise
+) -> Iterator[tuple[datetime, datetime, dict | None, str | None]]:
+    """Documents of a window with the (sub)window each came in; or that window and its error."""
+    try:
+        documents = _with_retries(fetch, start, end, policy)
+    except WindowTooLarge as error:
+        if end - start > policy.smallest_window:
             middle = start + (end - start) / 2
             yield from fetch_window(fetch, start, middle, policy)
             yield from fetch_window(fetch, middle, end, policy)
             return
+        if not policy.record_failures:
+            raise
+        yield start, end, None, repr(error)
+    except Exception as error:
+        if not policy.record_failures:
+            raise
+        yield start, end, None, repr(error)
+    else:
+        yield from ((start, end, document, None) for document in documents)
+
+
+def _with_retries(
+    fetch: Fetch, start: datetime, end: datetime, policy: RetryPolicy
+) -> list[dict]:
+    for attempt in range(1, policy.attempts):
+        try:
+            return list(fetch(start, end))
+        except WindowTooLarge:
+            raise
         except Exception:
-            if attempt == policy.attempts:
-                raise
             time.sleep(policy.pause_seconds * attempt)
-        else:
-            yield from ((start, end, document) for document in documents)
-            return
+    return list(fetch(start, end))
 
 
 @dataclass
@@ -125,8 +143,9 @@ def windowed_event_source(
 
         def read(self, partition: _Window) -> Iterator[tuple]:
             found = fetch_window(fetch, partition.start, partition.end, policy)
-            for since, until, document in found:
-                yield _utc(since), _utc(until), json.dumps(document)
+            for since, until, document, error in found:
+                text = None if document is None else json.dumps(document)
+                yield _utc(since), _utc(until), text, error
 
     class WindowedEventSource(DataSource):
         @classmethod
@@ -142,20 +161,26 @@ def windowed_event_source(
     return WindowedEventSource
 
 
-def collect_events(
-    spark: SparkSession, source: type[DataSource], raw_schema: T.StructType
-) -> DataFrame:
-    """Raw documents by the explicit schema, with the window each came in."""
+def collect_windows(spark: SparkSession, source: type[DataSource]) -> DataFrame:
+    """Documents as text, each with its window. Every read asks the agency again, so write the
+    result (``write_raw``) before using it twice."""
     spark.dataSource.register(source)
-    parsed = spark.read.format(source.name()).load()
-    return parsed.select(
+    return spark.read.format(source.name()).load()
+
+
+def parse_documents(collected: DataFrame, raw_schema: T.StructType) -> DataFrame:
+    """Raw documents by the explicit schema, with the window each came in."""
+    documents = collected.where(F.col("document").isNotNull())
+    return documents.select(
         "window_start", "window_end", F.from_json("document", raw_schema).alias("event")
     ).select("window_start", "window_end", "event.*")
 
 
 def load_log(collected: DataFrame) -> DataFrame:
-    """Documents saved per (sub)window, to hold against the planned windows."""
-    return collected.groupBy("window_start", "window_end").agg(F.count("*").alias("saved"))
+    """Documents saved and errors met per (sub)window, to hold against the planned windows."""
+    return collected.groupBy("window_start", "window_end").agg(
+        F.count("document").alias("saved"), F.max("error").alias("error")
+    )
 
 
 def _utc(moment: datetime) -> datetime:

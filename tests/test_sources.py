@@ -1,6 +1,8 @@
 """Windows, collecting, tables, streaming."""
 
+import io
 import json
+import urllib.error
 from datetime import datetime, timedelta
 
 import pytest
@@ -48,23 +50,25 @@ FAST = collector.RetryPolicy(attempts=3, pause_seconds=0.0)
 
 def collect(spark, fetch, name, end=datetime(2025, 2, 1), policy=FAST):
     source = collector.windowed_event_source(fetch, START, end, policy=policy, name=name)
-    return collector.collect_events(spark, source, schemas.RAW_EMSC)
+    return collector.collect_windows(spark, source)
 
 
 def test_a_window_over_the_cap_is_split_and_nothing_is_lost(spark, tmp_path):
-    df = collect(spark, FileFetch(tmp_path, cap=100), "capped").cache()
+    collected = collect(spark, FileFetch(tmp_path, cap=100), "capped").cache()
+    df = collector.parse_documents(collected, schemas.RAW_EMSC)
     assert df.count() == 31 * 24
     assert df.select("id").distinct().count() == 31 * 24
     assert df.where("window_start > timestamp(properties.time)").count() == 0
     assert df.where("window_end <= timestamp(properties.time)").count() == 0
-    log = collector.load_log(df)
+    log = collector.load_log(collected)
     assert log.count() > len(windows.request_windows(START, datetime(2025, 2, 1)))
     assert log.groupBy().sum("saved").head()[0] == 31 * 24
+    assert log.where("error IS NOT NULL").count() == 0
 
 
 def test_lost_connections_are_tried_again(spark, tmp_path):
     df = collect(spark, FileFetch(tmp_path, cap=1000, failures=2), "flaky")
-    assert df.select("id").distinct().count() == 31 * 24
+    assert df.select("document").distinct().count() == 31 * 24
 
 
 def test_a_lasting_failure_fails_the_job(spark, tmp_path):
@@ -72,6 +76,41 @@ def test_a_lasting_failure_fails_the_job(spark, tmp_path):
         collect(spark, FileFetch(tmp_path, cap=1000, failures=99), "broken").count()
 
 
+def test_a_lasting_failure_can_be_recorded_instead(spark, tmp_path):
+    policy = collector.RetryPolicy(attempts=2, pause_seconds=0.0, record_failures=True)
+    df = collect(spark, FileFetch(tmp_path, cap=1000, failures=99), "recorded", policy=policy)
+    log = collector.load_log(df).collect()
+    assert len(log) == 3 and all(row.saved == 0 and "lost" in row.error for row in log)
+
+
+class Reply(io.BytesIO):
+    """What ``urlopen`` returns, as a context manager."""
+
+
+def test_http_fetch(monkeypatch):
+    seen = []
+
+    def answer(url, timeout):
+        seen.append((url, timeout))
+        if len(seen) == 1:
+            return Reply(b'{"features": [{"id": "a"}]}')
+        if len(seen) == 2:
+            return Reply(b"")
+        raise urllib.error.HTTPError(url, 400 if len(seen) == 3 else 503, "no", {}, None)
+
+    monkeypatch.setattr("urllib.request.urlopen", answer)
+    fetch = collector.HttpFetch("http://agency.example/query", EMSC.request_format)
+    assert fetch(START, END) == [{"id": "a"}]
+    assert fetch(START, END) == []
+    with pytest.raises(collector.WindowTooLarge):
+        fetch(START, END)
+    with pytest.raises(urllib.error.HTTPError):
+        fetch(START, END)
+    url, timeout = seen[0]
+    assert timeout == 30.0 and "format=json" in url
+    assert "starttime=2025-01-01T00%3A00%3A00" in url and "endtime=2026-01-01" in url
+
+
 def test_a_window_that_cannot_be_split_further_fails():
     def refuse(start, end):
         raise collector.WindowTooLarge("still too large")
