@@ -21,7 +21,7 @@ from temblor.session import SETTINGS
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 
 HEADLINE = [
     "raw_to_country_risk",
@@ -56,6 +56,7 @@ def session() -> SparkSession:
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("temblor-bench")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", CPUS)
     )

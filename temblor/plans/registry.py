@@ -354,9 +354,8 @@ def rule_cluster_profile(spark, sf_dir):
 @query
 def hazard_labelled_points(spark, sf_dir):
     labelled = hazard.label_hazard(hazard.classify_hazard(clean_quakes(spark, sf_dir)))
-    return labelled.select(
-        "id", "hazard_label", "hazard_color", marker_radius(F.col("mag")).alias("radius")
-    )
+    radius = marker_radius(F.col("mag")).alias("radius")
+    return labelled.select("id", "hazard_label", "hazard_color", radius)
 
 
 @query
