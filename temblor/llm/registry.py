@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temblor.llm import packing, quality
+from temblor.llm import packing, pii, quality, secrets
 from temblor.llm.frames import OWN, table, written
 
 
@@ -29,9 +29,20 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan(docs).select("doc_id", "secrets.*")
+
+
+def op8_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_assignment_secrets": op7_assignment_secrets,
+    "op8_contextual_pii": op8_contextual_pii,
 }
 
 ORACLE: dict[str, str] = {}
