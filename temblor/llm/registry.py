@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temblor.llm import packing, pii, quality, secrets, warc
+from temblor.llm import minhash, packing, pii, quality, secrets, warc
 from temblor.llm.frames import OWN, table, written
 
 
@@ -15,6 +15,10 @@ def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = f"{OWN}m"
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -44,6 +48,7 @@ def op8_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_transactions": op1_warc_transactions,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_assignment_secrets": op7_assignment_secrets,
