@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +21,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OPEN: list[list[str]] = []
+_LEFT: list[tuple[SparkSession, str]] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` computed once into the shared folder and read back: the lineage ends there."""
     path = scratch_path(df.sparkSession, name)
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A block whose ``written`` tables go when it ends; it yields a writer for the block's result.
+
+    The result belongs to the block around, if there is one, and else stays until ``sweep``.
+    """
+    own: list[str] = []
+    _OPEN.append(own)
+
+    def result(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        if len(_OPEN) > 1:
+            _OPEN[-2].append(path)
+        else:
+            _LEFT.append((spark, path))
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield result
+    finally:
+        _OPEN.pop()
+        for path in own:
+            remove(spark, path)
+
+
+def sweep() -> None:
+    """Delete the results of ended blocks; for callers that have stored what they made of them."""
+    while _LEFT:
+        remove(*_LEFT.pop())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder through the file system it lives on."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -35,21 +73,19 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def group_value(
-    df: DataFrame, keys: list[str], spread: Column, value: Column, name: str
+    df: DataFrame, keys: list[str], spread: Column, least: Callable, value: str, name: str
 ) -> DataFrame:
-    """Every row with ``value`` (a mergeable aggregate such as ``min``) of its key's group.
+    """Every row with ``least`` (``F.min`` or ``F.max``) of the column ``value`` over its group.
 
     A plain join of rows with their group's aggregate sends all rows of a hot key to one task. Here
     rows take one of ``SALTS`` sub-keys; the aggregate runs per sub-key, then per key, and comes
     back to exactly the sub-keys that occur, so the join's largest group is 1/SALTS of a hot key and
     its right side never has more rows than its left. Null keys form a group of their own.
-
-    ``value`` must give the same when applied to its own results (min, max, min over structs).
     """
     salt, other = f"{OWN}salt", f"{OWN}r_"
     salted = df.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    parts = salted.groupBy(*keys, salt).agg(value.alias(name))
-    groups = parts.groupBy(*keys).agg(value_again(value, name), F.collect_set(salt).alias(salt))
+    parts = salted.groupBy(*keys, salt).agg(least(value).alias(name))
+    groups = parts.groupBy(*keys).agg(least(name).alias(name), F.collect_set(salt).alias(salt))
     right = groups.select(
         *[F.col(k).alias(other + k) for k in keys],
         F.col(name).alias(other + name),
@@ -60,30 +96,3 @@ def group_value(
         on = on & F.col(k).eqNullSafe(F.col(other + k))
     out = salted.join(right, on, "left")
     return out.select(*df.columns, F.col(other + name).alias(name))
-
-
-def value_again(value: Column, name: str) -> Column:
-    """The same aggregate over its partial results: min of min, max of max."""
-    text = str(value).lower()
-    again = F.max if "max(" in text else F.min
-    return again(name).alias(name)
-
-
-def batches(
-    rows: Callable[[pa.RecordBatch], Iterator[dict]], schema: pa.Schema, most_bytes: int = 8 << 20
-):
-    """A function for ``mapInArrow``: ``rows`` yields (row dict, its bytes); batches stay small."""
-
-    def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in incoming:
-            for row, weight in rows(batch):
-                held.append(row)
-                size += weight
-                if size >= most_bytes:
-                    yield pa.RecordBatch.from_pylist(held, schema=schema)
-                    held, size = [], 0
-        if held:
-            yield pa.RecordBatch.from_pylist(held, schema=schema)
-
-    return run

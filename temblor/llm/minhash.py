@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from temblor.llm.frames import OWN, SALTS, group_value, written
+from temblor.llm.frames import OWN, SALTS, group_value, scratch, written
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = 0x100000001B3
@@ -172,8 +172,8 @@ def stars(members: DataFrame, bands: Bands) -> DataFrame:
     """
     order = F.xxhash64("doc", F.lit(17))
     ranked = members.withColumn("me", F.struct(order.alias("o"), F.col("doc").alias("d"), F.col("n").alias("m")))
-    first = group_value(ranked, ["bucket"], F.col("doc"), F.min("me"), "first")
-    last = group_value(ranked, ["bucket"], F.col("doc"), F.max("me"), "last")
+    first = group_value(ranked, ["bucket"], F.col("doc"), F.min, "me", "first")
+    last = group_value(ranked, ["bucket"], F.col("doc"), F.max, "me", "last")
     edges = first.select("doc", "n", F.col("first").alias("hub")).union(last.select("doc", "n", F.col("last").alias("hub")))
     possible = 100 * F.least("n", "hub.m") >= bands.percent * F.greatest("n", "hub.m")
     return edges.where((F.col("doc") != F.col("hub.d")) & possible).select(
@@ -228,11 +228,11 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     )
     for _ in range(most_rounds):
         both = rows.union(rows.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = group_value(both, ["u"], F.col("v"), F.min("v"), "m")
+        least = group_value(both, ["u"], F.col("v"), F.min, "v", "m")
         large = written(
             least.select("u", "v", F.least("m", "u").alias("m")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star"
         )
-        least = group_value(large, ["u"], F.col("v"), F.min("v"), "m")
+        least = group_value(large, ["u"], F.col("v"), F.min, "v", "m")
         small = written(
             least.select("v", "m").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.select("u", F.col("m").alias("v"))).distinct(),
@@ -253,48 +253,50 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     is that of the row with the largest set (ties: the smallest digest); each row is returned with
     its own set size. Of ``docs`` only ``doc_id`` and ``text`` are read.
     """
-    rows = written(sketches(docs, bands), "sketches")
-    known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
-    whole = known.groupBy("doc_id").agg(
-        F.max(F.struct("n_shingles", "set_key", "keys")).alias("s")
-    ).select("doc_id", "s.*")
-    # documents with equal sets: one class, stood for by its smallest document
-    classes = written(group_value(whole, ["set_key"], F.col("doc_id"), F.min("doc_id"), "class"), "classes")
-    leaders = classes.where(F.col("doc_id") == F.col("class"))
-    members = leaders.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("keys").alias("bucket"))
-    # buckets of one leader give no candidates; their rows go before anything else is done
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
-    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "text")
-    open_members = written(members.join(shared, "bucket", "left_semi"), "buckets")
-    links, tried, found = None, None, None
-    for step in range(bands.rounds):
-        edges = stars(open_members, bands)
-        if tried is not None:
-            edges = edges.join(tried, ["hub", "member"], "left_anti")
-        edges = written(edges, "candidates")
-        if edges.isEmpty():
-            break
-        tried = edges if tried is None else tried.union(edges)
-        new = written(confirm(edges, texts, bands).distinct(), "links")
-        if new.isEmpty():
-            break
-        links = new if links is None else links.union(new)
-        found = written(components(links), "components")
-        if step + 1 < bands.rounds:
-            open_members = written(_unreached(open_members, found), "buckets")
-    linked = found if found is not None else None
-    named = classes.select("doc_id", F.col("class").alias("doc"))
-    if linked is not None:
-        named = named.join(linked, "doc", "left").select("doc_id", F.coalesce("component", "doc").alias("component"))
-    else:
-        named = named.withColumnRenamed("doc", "component")
-    named = named.withColumnRenamed("doc_id", f"{OWN}id")
-    out = rows.join(named, rows["doc_id"] == named[f"{OWN}id"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-    )
+    with scratch(docs.sparkSession) as result:
+        rows = written(sketches(docs, bands), "sketches")
+        known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
+        whole = known.groupBy("doc_id").agg(
+            F.max(F.struct("n_shingles", "set_key", "keys")).alias("s")
+        ).select("doc_id", "s.*")
+        # documents with equal sets: one class, stood for by its smallest document
+        classes = written(group_value(whole, ["set_key"], F.col("doc_id"), F.min, "doc_id", "class"), "classes")
+        leaders = classes.where(F.col("doc_id") == F.col("class"))
+        members = leaders.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("keys").alias("bucket"))
+        # buckets of one leader give no candidates; their rows go before anything else is done
+        shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
+        texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "text")
+        open_members = written(members.join(shared, "bucket", "left_semi"), "buckets")
+        links, tried, found = None, None, None
+        for step in range(bands.rounds):
+            edges = stars(open_members, bands)
+            if tried is not None:
+                edges = edges.join(tried, ["hub", "member"], "left_anti")
+            edges = written(edges, "candidates")
+            if edges.isEmpty():
+                break
+            tried = edges if tried is None else tried.union(edges)
+            new = written(confirm(edges, texts, bands).distinct(), "links")
+            if new.isEmpty():
+                break
+            links = new if links is None else links.union(new)
+            found = written(components(links), "components")
+            if step + 1 < bands.rounds:
+                open_members = written(_unreached(open_members, found), "buckets")
+        linked = found if found is not None else None
+        named = classes.select("doc_id", F.col("class").alias("doc"))
+        if linked is not None:
+            named = named.join(linked, "doc", "left").select("doc_id", F.coalesce("component", "doc").alias("component"))
+        else:
+            named = named.withColumnRenamed("doc", "component")
+        named = named.withColumnRenamed("doc_id", f"{OWN}id")
+        out = rows.join(named, rows["doc_id"] == named[f"{OWN}id"], "left")
+        component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+        out = out.select(
+            "doc_id", "n_shingles", component.alias("component_id"),
+            F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        )
+        return result(out, "near-duplicates")
 
 
 def _unreached(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -302,7 +304,7 @@ def _unreached(members: DataFrame, found: DataFrame) -> DataFrame:
     own = members.join(found, "doc", "left").select("doc", "n", "bucket", F.coalesce("component", "doc").alias("c"))
     order = F.xxhash64("doc", F.lit(17))
     ranked = own.withColumn("me", F.struct(order.alias("o"), F.col("c").alias("c")))
-    hubs = group_value(ranked, ["bucket"], F.col("doc"), F.min("me"), "hub")
+    hubs = group_value(ranked, ["bucket"], F.col("doc"), F.min, "me", "hub")
     return hubs.where(F.col("c") != F.col("hub.c")).select("doc", "n", "bucket")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from temblor.llm.frames import OWN, group_value, remove, written
+from temblor.llm.frames import OWN, group_value, remove, scratch, written
 from temblor.lineage import scratch_path
 
 END = "\r\n\r\n"
@@ -61,7 +61,7 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         "page_id", F.sha1(F.col("html").cast("binary")).alias("hex"), F.octet_length("html").alias("size")
     )
     keys = written(keys.distinct(), "warc-digests")
-    first = group_value(keys, ["hex"], F.col("page_id"), F.min("page_id"), "first")
+    first = group_value(keys, ["hex"], F.col("page_id"), F.min, "page_id", "first")
     decided = first.select(
         F.col("page_id").alias(f"{OWN}id"),
         F.col("hex").alias(f"{OWN}hex"),
@@ -238,7 +238,8 @@ def parse_records(data: bytes, payloads: bool = True) -> Iterator[dict]:
         digest = first.get("warc-payload-digest", "").partition(":")[2] or None
         if kind != "revisit":
             digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
-        size = int(http.get("content-length") or 0) if kind == "revisit" else len(body)
+        stated = http.get("content-length", "")
+        size = int(stated if stated.isdigit() else 0) if kind == "revisit" else len(body)
         yield {
             "record_id": first.get("warc-record-id"),
             "record_type": kind,
@@ -315,17 +316,18 @@ def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Write a capture of every page, read the archives back, and return a row per capture."""
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
-    write_archives(with_revisits(pages, least_bytes), path)
-    captures = assemble(read_records(spark, path, payloads=False))
-    fields = F.from_json(F.col("metadata.fields"), "map<string,string>")
-    out = captures.where(F.col("response").isNotNull()).select(
-        fields["pageid"].cast("long").alias("page_id"),
-        F.col("response.payload_bytes").alias("payload_bytes"),
-        F.col("response.payload_digest").alias("payload_digest"),
-        F.col("response.record_type").alias("record_type"),
-        fields["referstopage"].cast("long").alias("refers_to"),
-        F.col("response.target_uri").alias("url"),
-    )
-    result = written(out, "warc-captures")
+    with scratch(spark) as result:
+        write_archives(with_revisits(pages, least_bytes), path)
+        captures = assemble(read_records(spark, path, payloads=False))
+        fields = F.from_json(F.col("metadata.fields"), "map<string,string>")
+        out = captures.where(F.col("response").isNotNull()).select(
+            fields["pageid"].cast("long").alias("page_id"),
+            F.col("response.payload_bytes").alias("payload_bytes"),
+            F.col("response.payload_digest").alias("payload_digest"),
+            F.col("response.record_type").alias("record_type"),
+            fields["referstopage"].cast("long").alias("refers_to"),
+            F.col("response.target_uri").alias("url"),
+        )
+        out = result(out, "warc-captures")
     remove(spark, path)
-    return result
+    return out
