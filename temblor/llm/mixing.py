@@ -26,7 +26,6 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from temblor.llm.frames import OWN, written
 
@@ -39,7 +38,7 @@ class Mix:
     power: float = 0.5
     block_chars: int = 1 << 16
     period: int = 1000
-    part_rows: int = 20_000
+    part_rows: int = 2_000
 
 
 def whole_weights(weights: dict, period: int) -> dict:
@@ -123,88 +122,82 @@ def targets(chars: dict, mix: Mix) -> dict:
     return {**given, **rest}
 
 
-def ordered_blocks(docs: DataFrame, mix: Mix) -> DataFrame:
-    """``docs`` with its source block (from 0) and the place of its first character in the block.
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with what placing needs: size in characters, place in the source's order, source key.
 
-    Documents of a source follow each other in the order of a hash of their id and text; repeated
-    rows stay side by side. A null source is a source, a null text counts one character like an
-    empty one, so that every document has a place.
+    Documents of a source follow each other in the order of a hash of their id and text, so that
+    identical rows stay side by side. A null source is a source; a null or empty text counts one
+    character, so that every document has a place.
     """
     size = F.greatest(F.coalesce(F.char_length("text"), F.lit(0)), F.lit(1)).cast("long")
-    order = F.xxhash64("doc_id", "text")
-    keyed = docs.withColumns({f"{OWN}size": size, f"{OWN}order": order, f"{OWN}source": F.col("source")})
-    rows = keyed.select(f"{OWN}source", f"{OWN}size", f"{OWN}order")
-    return keyed, rows
+    source = F.col("source").cast("string")
+    return docs.withColumns(
+        {
+            f"{OWN}size": size,
+            f"{OWN}order": F.xxhash64("doc_id", "text"),
+            f"{OWN}source": F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source)),
+        }
+    )
+
+
+def _source(key: str) -> str | None:
+    return None if key == "n" else key[1:]
 
 
-def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """``docs`` with ``slot``, ``block``, ``offset`` (all prefixed by the module's own prefix).
+def placed(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """``rows`` of ``keyed`` with their block, offset in it and slot, under this package's prefix.
 
-    Sorting by slot, then offset, then the order column gives the mixture. Every row stays.
+    Sorting by slot, then offset, then order gives the mixture. Every row stays. The number of
+    sources bounds what the driver holds: totals, phases and one period of slots for each phase.
     """
-    spark = docs.sparkSession
-    keyed, rows = ordered_blocks(docs, mix)
-    source, size, order = f"{OWN}source", f"{OWN}size", f"{OWN}order"
-    slim = written(rows, "mix-sizes")
-    totals = {r[0]: (r[1], r[2]) for r in slim.groupBy(source).agg(F.sum(size), F.count(F.lit(1))).collect()}
+    spark = rows.sparkSession
+    source, size, order, part = f"{OWN}source", f"{OWN}size", f"{OWN}order", f"{OWN}part"
+    block, offset = F.col(f"{OWN}block"), f"{OWN}offset"
+    slim = written(rows.select(source, size, order), "mix-sizes")
+    totals = {_source(r[0]): (r[1], r[2]) for r in slim.groupBy(source).agg(F.sum(size), F.count(F.lit(1))).collect()}
     if not totals:
-        return docs.withColumns({f"{OWN}{c}": F.lit(None).cast("long") for c in ("block", "offset", "slot", "order")})
+        return rows.withColumns({f"{OWN}{c}": F.lit(None).cast("long") for c in ("block", "offset", "slot")})
     chars = {s: c for s, (c, _) in totals.items()}
-    blocks = {s: max(1, -(-c // mix.block_chars)) for s, c in chars.items()}
-    parts = {s: -(-n // mix.part_rows) for s, (_, n) in totals.items()}
+    blocks = {s: -(-c // mix.block_chars) for s, c in chars.items()}
     plan = phases(blocks, targets(chars, mix), mix.period)
+    key = lambda s: "n" if s is None else f"s{s}"
 
-    # One row per source: in how many parts it is ordered.
-    sources = spark.createDataFrame(
-        [(s, parts[s]) for s in totals],
-        T.StructType([T.StructField("s", slim.schema[source].dataType), T.StructField("parts", T.LongType())]),
-    )
-    # A part is a range of the order column, so parts in order are the source in order.
-    part = F.floor((F.col(order).cast("double") + F.lit(2.0**63)) / F.lit(2.0**64) * F.col("parts")).cast("long")
-    part = F.least(part, F.col("parts") - 1)
-    with_part = keyed.join(F.broadcast(sources), keyed[source].eqNullSafe(sources["s"])).withColumn(f"{OWN}part", part).drop("s", "parts")
-    slim_part = slim.join(F.broadcast(sources), slim[source].eqNullSafe(sources["s"])).withColumn(f"{OWN}part", part)
-    sums = slim_part.groupBy(source, f"{OWN}part").agg(F.sum(size).alias("sum"))
-    before = Window.partitionBy(source).orderBy(f"{OWN}part").rowsBetween(Window.unboundedPreceding, -1)
+    # A part is a range of the order column, so the parts of a source in turn are the source.
+    parts = spark.createDataFrame([(key(s), -(-n // mix.part_rows)) for s, (_, n) in totals.items()], "s string, parts long")
+    number = F.floor((F.col(order).cast("double") + F.lit(2.0**63)) / F.lit(2.0**64) * F.col("parts")).cast("long")
+    number = F.least(number, F.col("parts") - 1)
+
+    def in_parts(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(parts), df[source] == parts["s"]).withColumn(part, number).drop("s", "parts")
+
+    sums = in_parts(slim).groupBy(source, part).agg(F.sum(size).alias("sum"))
+    before = Window.partitionBy(source).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = written(
-        sums.select(F.col(source).alias("s"), F.col(f"{OWN}part").alias("p"), F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("before")), "mix-parts"
+        sums.select(F.col(source).alias("s"), F.col(part).alias("p"), F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("before")), "mix-parts"
     )
-    within = Window.partitionBy(source, f"{OWN}part").orderBy(order, size).rowsBetween(Window.unboundedPreceding, -1)
-    run = with_part.withColumn(f"{OWN}sum", F.coalesce(F.sum(size).over(within), F.lit(0)))
-    placed = run.join(starts, run[source].eqNullSafe(starts["s"]) & (run[f"{OWN}part"] == starts["p"]))
+    within = Window.partitionBy(source, part).orderBy(order, size).rowsBetween(Window.unboundedPreceding, -1)
+    run = in_parts(rows).withColumn(f"{OWN}sum", F.coalesce(F.sum(size).over(within), F.lit(0)))
+    run = run.join(starts, (run[source] == starts["s"]) & (run[part] == starts["p"])).drop("s", "p")
     at = F.col("before") + F.col(f"{OWN}sum")
-    placed = placed.withColumns({f"{OWN}block": F.floor(at / mix.block_chars).cast("long"), f"{OWN}offset": at % mix.block_chars})
+    run = run.withColumns({f"{OWN}block": F.floor(at / mix.block_chars).cast("long"), offset: at % mix.block_chars})
 
-    # Slots by arithmetic: a phase, the block's number in it, its period and its place there.
+    # A block's slot by arithmetic: its phase, its number there, its period and place in it.
     slots = []
-    for number, phase in enumerate(plan):
-        period = sum(phase.weights.values())
-        seen: dict = {}
+    for i, phase in enumerate(plan):
         places: dict = {}
         for slot, s in enumerate(schedule(phase.weights)):
             places.setdefault(s, []).append(slot)
-            seen[s] = seen.get(s, 0) + 1
         for s, own in places.items():
-            last = plan[number + 1].placed[s] if number + 1 < len(plan) else blocks[s]
+            last = plan[i + 1].placed[s] if i + 1 < len(plan) else blocks[s]
             if last > phase.placed[s]:
-                slots.append((s, phase.placed[s], last, phase.start, period, own))
-    schema = T.StructType(
-        [T.StructField("s", slim.schema[source].dataType)]
-        + [T.StructField(c, T.LongType()) for c in ("first", "last", "start", "period")]
-        + [T.StructField("places", T.ArrayType(T.LongType()))]
-    )
-    table = spark.createDataFrame(slots, schema)
-    block = F.col(f"{OWN}block")
-    out = placed.drop("s", "p", "before").join(
-        F.broadcast(table), placed[source].eqNullSafe(table["s"]) & (block >= F.col("first")) & (block < F.col("last"))
-    )
-    k = block - F.col("first")
-    slot = F.col("start") + F.floor(k / F.size("places")) * F.col("period") + F.get("places", (k % F.size("places")).cast("int"))
-    return out.withColumn(f"{OWN}slot", slot.cast("long")).select(
-        *docs.columns, f"{OWN}block", f"{OWN}offset", f"{OWN}slot", f"{OWN}order"
-    )
+                slots.append((key(s), phase.placed[s], last, phase.start, sum(phase.weights.values()), own))
+    table = spark.createDataFrame(slots, "s string, first long, last long, start long, period long, places array<long>")
+    run = run.join(F.broadcast(table), (run[source] == table["s"]) & (block >= F.col("first")) & (block < F.col("last")))
+    k, w = block - F.col("first"), F.size("places")
+    slot = F.col("start") + F.floor(k / w) * F.col("period") + F.get("places", (k % w).cast("int"))
+    return run.withColumn(f"{OWN}slot", slot.cast("long")).select(*rows.columns, f"{OWN}block", offset, f"{OWN}slot")
 
 
 def in_order(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """All rows of ``docs`` with their columns, sorted into the mixture by ranges of slots."""
-    return mixed(docs, mix).orderBy(f"{OWN}slot", f"{OWN}offset", f"{OWN}order").select(*docs.columns)
+    return placed(keyed(docs), mix).orderBy(f"{OWN}slot", f"{OWN}offset", f"{OWN}order").select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temblor.llm import minhash, packing, pii, quality, secrets, warc
+from temblor.llm import minhash, mixing, packing, pii, quality, secrets, warc
 from temblor.llm.frames import OWN, table, written
 
 
@@ -46,6 +46,18 @@ def op8_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.keyed(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
+    return mixing.placed(rows).select(
+        "doc_id",
+        "source",
+        F.col(f"{OWN}size").alias("n_chars"),
+        F.col(f"{OWN}block").alias("block"),
+        F.col(f"{OWN}offset").alias("block_offset"),
+        F.col(f"{OWN}slot").alias("slot"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_transactions": op1_warc_transactions,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
@@ -53,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_assignment_secrets": op7_assignment_secrets,
     "op8_contextual_pii": op8_contextual_pii,
+    "op10_pfair_mixing": op10_pfair_mixing,
 }
 
 ORACLE: dict[str, str] = {}
