@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temblor.llm import minhash, mixing, packing, pii, quality, secrets, warc
+from temblor.llm import forest, minhash, mixing, packing, pii, quality, secrets, warc
 from temblor.llm.frames import OWN, table, written
 
 
@@ -46,6 +46,10 @@ def op8_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.keyed(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
     return mixing.placed(rows).select(
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_assignment_secrets": op7_assignment_secrets,
     "op8_contextual_pii": op8_contextual_pii,
+    "op9_prefix_forest": op9_prefix_forest,
     "op10_pfair_mixing": op10_pfair_mixing,
 }
 
