@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temblor.llm import forest, minhash, mixing, packing, pii, quality, secrets, warc
+from temblor.llm import forest, htmlcrf, minhash, mixing, packing, pii, quality, secrets, warc
 from temblor.llm.frames import OWN, table, written
 
 
@@ -15,6 +15,10 @@ def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op2_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlcrf.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ def op10_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_transactions": op1_warc_transactions,
+    "op2_crf_main_text": op2_crf_main_text,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
