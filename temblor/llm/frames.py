@@ -30,6 +30,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     if _OPEN:
         _OPEN[-1].append(path)
+    else:
+        _LEFT.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -61,7 +63,8 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
 
 
 def sweep() -> None:
-    """Delete the results of ended blocks; for callers that have stored what they made of them."""
+    """Delete what was written outside of blocks and the results of ended ones; for callers that
+    have stored what they made of them."""
     while _LEFT:
         remove(*_LEFT.pop())
 

@@ -309,7 +309,17 @@ def _unreached(members: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
-    """The rows of ``docs`` that stand for their group, with their columns."""
-    result = near_duplicates(docs, bands).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(f"{OWN}id")).distinct()
-    known = docs.join(result, docs["doc_id"] == result[f"{OWN}id"], "left_semi")
-    return known.unionByName(docs.where("doc_id IS NULL"))
+    """The rows of ``docs`` that stand for their group, with their columns.
+
+    Of rows that share a ``doc_id`` the smallest stays; rows with a null ``doc_id`` all stay.
+    """
+    result = near_duplicates(docs, bands).where("kept AND doc_id IS NOT NULL")
+    ids = written(result.groupBy(F.col("doc_id").alias(f"{OWN}id")).agg(F.count(F.lit(1)).alias("n")), "kept")
+    is_id = docs["doc_id"] == ids[f"{OWN}id"]
+    out = docs.join(ids.where("n = 1"), is_id, "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    repeated = ids.where("n > 1")
+    if not repeated.isEmpty():
+        rows = docs.join(repeated, is_id, "left_semi")
+        least = rows.groupBy(F.col("doc_id").alias(f"{OWN}id")).agg(F.min(F.struct(*docs.columns)).alias("row"))
+        out = out.unionByName(least.select("row.*"))
+    return out

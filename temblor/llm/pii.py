@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from temblor.llm.frames import OWN, written
+from temblor.llm.frames import OWN, scratch, written
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # rank of the kind, start, end
@@ -302,13 +302,14 @@ def scan(docs: DataFrame, boot: Bootstrap = Bootstrap()) -> DataFrame:
     Null and empty texts have no spans. Offsets are code points, ends exclusive. An empty table
     gives an empty result. Only ``doc_id`` and ``text`` are read.
     """
-    rows, extra = with_spans(docs, boot)
-    base = F.filter("found", lambda o: o["kind"] >= 0)
-    base = F.transform(base, lambda o: F.struct(o["kind"].alias("kind"), o["start"].alias("start"), o["end"].alias("end")))
-    slim = rows.select(f"{OWN}id", f"{OWN}content", base.cast(_SPANS).alias("base"))
-    extra = extra.withColumn("more", F.col("more").cast(_SPANS))
-    both = slim.join(extra, same_document(slim, extra), "left").select(slim[f"{OWN}id"].alias("doc_id"), "base", "more")
-    return both.select("doc_id", _digest("base", "more").alias("f")).select("doc_id", "f.*")
+    with scratch(docs.sparkSession) as result:
+        rows, extra = with_spans(docs, boot)
+        base = F.filter("found", lambda o: o["kind"] >= 0)
+        base = F.transform(base, lambda o: F.struct(o["kind"].alias("kind"), o["start"].alias("start"), o["end"].alias("end")))
+        slim = rows.select(f"{OWN}id", f"{OWN}content", base.cast(_SPANS).alias("base"))
+        extra = extra.withColumn("more", F.col("more").cast(_SPANS))
+        both = slim.join(extra, same_document(slim, extra), "left").select(slim[f"{OWN}id"].alias("doc_id"), "base", "more")
+        return result(both.select("doc_id", _digest("base", "more").alias("f")).select("doc_id", "f.*"), "pii")
 
 
 def redacted_text(text: str, spans: list[Span]) -> str:

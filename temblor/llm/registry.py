@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temblor.llm import forest, htmlcrf, minhash, mixing, packing, pii, quality, secrets, warc
+from temblor.llm import (
+    forest,
+    htmlcrf,
+    minhash,
+    mixing,
+    packing,
+    pii,
+    quality,
+    secrets,
+    separators,
+    warc,
+)
 from temblor.llm.frames import OWN, table, written
 
 
@@ -37,6 +48,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return separators.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -71,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_crf_main_text": op2_crf_main_text,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_separator_scan": op5_separator_scan,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_assignment_secrets": op7_assignment_secrets,
     "op8_contextual_pii": op8_contextual_pii,
