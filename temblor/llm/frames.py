@@ -75,10 +75,10 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def group_value(
-    df: DataFrame, keys: list[str], spread: Column, least: Callable, value: str, name: str
+def group_values(
+    df: DataFrame, keys: list[str], spread: Column, values: dict[str, Callable]
 ) -> DataFrame:
-    """Every row with ``least`` (``F.min`` or ``F.max``) of the column ``value`` over its group.
+    """``df`` with each column of ``values`` replaced by its ``F.min`` or ``F.max`` over the group.
 
     A plain join of rows with their group's aggregate sends all rows of a hot key to one task. Here
     rows take one of ``SALTS`` sub-keys; the aggregate runs per sub-key, then per key, and comes
@@ -87,15 +87,21 @@ def group_value(
     """
     salt, other = f"{OWN}salt", f"{OWN}r_"
     salted = df.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    parts = salted.groupBy(*keys, salt).agg(least(value).alias(name))
-    groups = parts.groupBy(*keys).agg(least(name).alias(name), F.collect_set(salt).alias(salt))
+    merged = [least(name).alias(name) for name, least in values.items()]
+    parts = salted.groupBy(*keys, salt).agg(*merged)
+    groups = parts.groupBy(*keys).agg(*merged, F.collect_set(salt).alias(salt))
     right = groups.select(
-        *[F.col(k).alias(other + k) for k in keys],
-        F.col(name).alias(other + name),
-        F.explode(salt).alias(other + salt),
+        *[F.col(k).alias(other + k) for k in (*keys, *values)], F.explode(salt).alias(other + salt)
     )
     on = F.col(salt) == F.col(other + salt)
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(other + k))
     out = salted.join(right, on, "left")
-    return out.select(*df.columns, F.col(other + name).alias(name))
+    return out.select(*[F.col(other + c).alias(c) if c in values else salted[c] for c in df.columns])
+
+
+def group_value(
+    df: DataFrame, keys: list[str], spread: Column, least: Callable, value: str, name: str
+) -> DataFrame:
+    """Every row with ``least`` of the column ``value`` over its group, as ``name``."""
+    return group_values(df.withColumn(name, F.col(value)), keys, spread, {name: least})

@@ -5,12 +5,17 @@ hash range into bins; the smallest value of each bin is the signature, and empty
 filled ones chosen by a universal hash of bin and attempt (optimal densification). Runs of
 ``rows`` bins form a band, and documents that agree on a band fall into one bucket.
 
-A bucket of m documents gives at most 2 m candidate edges: from every member to the bucket's two
-hubs, its first and last member in one global random order. The order is the same in all buckets,
-so a cluster of copies has few hubs and few distinct edges. Every edge whose set sizes allow the
-similarity is then checked on the full sets of both documents. Members that a bucket's first hub
-does not reach, directly or through others, form stars of their own in further rounds, until a
-round links nothing new or ``rounds`` are done.
+A bucket of m documents gives at most 2 m candidate edges a round: from every member to the
+bucket's two hubs. First these are its first and last member in one global random order, which is
+the same in all buckets, so a cluster of copies has few hubs and few distinct edges. Every edge
+whose set sizes allow the similarity is then checked on the full sets of both documents. What
+remains are buckets whose members lie in several components. In further rounds the hubs are the
+member with the smallest set and one drawn anew for each bucket and round, and only members of
+another component than the hub's get an edge. Rounds go on until no bucket holds two components,
+or nothing new was linked since ``patience`` rounds.
+
+A link between two documents that no bucket of theirs ever joins through a hub can be missed; with
+32 bands a pair at the bound shares 13 buckets on average, each with fresh hubs in every round.
 
 Documents with equal sets are one class from the start; only its smallest document is compared.
 """
@@ -27,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from temblor.llm.frames import OWN, SALTS, group_value, scratch, written
+from temblor.llm.frames import OWN, SALTS, group_value, group_values, scratch, written
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = 0x100000001B3
@@ -97,7 +102,7 @@ class Bands:
     rows: int = 4
     percent: int = 80
     shingle: int = 4
-    rounds: int = 3
+    patience: int = 2
 
 
 def signature(hashes: np.ndarray, bins: int) -> np.ndarray:
@@ -164,19 +169,23 @@ def sketches(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
 
 
-def stars(members: DataFrame, bands: Bands) -> DataFrame:
-    """Distinct candidate edges ``hub``, ``member`` from ``bucket``, ``doc``, ``n``.
+def stars(members: DataFrame, bands: Bands, step: int = 0) -> DataFrame:
+    """Distinct candidate edges ``hub``, ``member`` from ``bucket``, ``doc``, ``n``, ``c``.
 
-    The first and last member of a bucket in a random order of documents are its hubs, found by
-    mergeable aggregates; a hot bucket is split into sub-keys on the way back.
+    Two hubs a bucket: at step 0 the first and last in a global order of documents, later the
+    smallest set and a member drawn by bucket and step. Hubs come from mergeable aggregates, and a
+    hot bucket is split into sub-keys on the way back. Edges within a component ``c`` are left out.
     """
-    order = F.xxhash64("doc", F.lit(17))
-    ranked = members.withColumn("me", F.struct(order.alias("o"), F.col("doc").alias("d"), F.col("n").alias("m")))
-    first = group_value(ranked, ["bucket"], F.col("doc"), F.min, "me", "first")
-    last = group_value(ranked, ["bucket"], F.col("doc"), F.max, "me", "last")
-    edges = first.select("doc", "n", F.col("first").alias("hub")).union(last.select("doc", "n", F.col("last").alias("hub")))
+    first, last = F.xxhash64("doc", F.lit(17)), F.xxhash64("doc", F.lit(17))
+    if step:
+        first, last = F.col("n"), F.xxhash64("doc", "bucket", F.lit(step))
+    hub = [F.col("doc").alias("d"), F.col("n").alias("m"), F.col("c").alias("c")]
+    ranked = members.withColumns({"low": F.struct(first.alias("o"), *hub), "high": F.struct(last.alias("o"), *hub)})
+    ends = group_values(ranked, ["bucket"], F.col("doc"), {"low": F.min, "high": F.max})
+    hubs = F.explode(F.array("low", "high")).alias("hub")
+    edges = ends.select("doc", "n", "c", hubs)
     possible = 100 * F.least("n", "hub.m") >= bands.percent * F.greatest("n", "hub.m")
-    return edges.where((F.col("doc") != F.col("hub.d")) & possible).select(
+    return edges.where((F.col("c") != F.col("hub.c")) & possible).select(
         F.col("hub.d").alias("hub"), F.col("doc").alias("member")
     ).distinct()
 
@@ -268,25 +277,28 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "text")
         open_members = written(members.join(shared, "bucket", "left_semi"), "buckets")
         links, tried, found = None, None, None
-        for step in range(bands.rounds):
-            edges = stars(open_members, bands)
+        open_members = open_members.withColumn("c", F.col("doc"))
+        step = idle = 0
+        while idle < bands.patience:
+            edges = stars(open_members, bands, step)
             if tried is not None:
                 edges = edges.join(tried, ["hub", "member"], "left_anti")
             edges = written(edges, "candidates")
+            step += 1
             if edges.isEmpty():
                 break
             tried = edges if tried is None else tried.union(edges)
-            new = written(confirm(edges, texts, bands).distinct(), "links")
+            new = written(confirm(edges, texts, bands), "links")
             if new.isEmpty():
-                break
+                idle += 1
+                continue
+            idle = 0
             links = new if links is None else links.union(new)
             found = written(components(links), "components")
-            if step + 1 < bands.rounds:
-                open_members = written(_unreached(open_members, found), "buckets")
-        linked = found if found is not None else None
+            open_members = written(_mixed_buckets(open_members, found), "buckets")
         named = classes.select("doc_id", F.col("class").alias("doc"))
-        if linked is not None:
-            named = named.join(linked, "doc", "left").select("doc_id", F.coalesce("component", "doc").alias("component"))
+        if found is not None:
+            named = named.join(found, "doc", "left").select("doc_id", F.coalesce("component", "doc").alias("component"))
         else:
             named = named.withColumnRenamed("doc", "component")
         named = named.withColumnRenamed("doc_id", f"{OWN}id")
@@ -299,13 +311,12 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         return result(out, "near-duplicates")
 
 
-def _unreached(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of buckets that are in another component than the bucket's first hub."""
-    own = members.join(found, "doc", "left").select("doc", "n", "bucket", F.coalesce("component", "doc").alias("c"))
-    order = F.xxhash64("doc", F.lit(17))
-    ranked = own.withColumn("me", F.struct(order.alias("o"), F.col("c").alias("c")))
-    hubs = group_value(ranked, ["bucket"], F.col("doc"), F.min, "me", "hub")
-    return hubs.where(F.col("c") != F.col("hub.c")).select("doc", "n", "bucket")
+def _mixed_buckets(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component, with their component."""
+    own = members.drop("c").join(found.select("doc", F.col("component").alias("c")), "doc", "left")
+    own = own.select("bucket", "doc", "n", F.coalesce("c", "doc").alias("c"))
+    mixed = own.groupBy("bucket").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("bucket")
+    return own.join(mixed, "bucket", "left_semi")
 
 
 def keep_one(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
