@@ -5,7 +5,8 @@ with up to three lexical patterns: the two words before it, the word before it,
 both sides. Spark aggregates the bipartite graph of patterns and instances and scores it in rounds:
 
 * a pattern's confidence for a kind is the share of its distinct instances believed to be of that
-  kind, shrunk by ``prior`` unseen instances;
+  kind, shrunk by ``prior`` unseen instances; an instance not yet believed, whose shape would fit,
+  speaks against the pattern with ``doubt``, any other with full weight;
 * an instance not yet believed becomes of a kind when the best of its patterns reaches
   ``least_pattern`` and its shape fits the kind, and so is a seed of the next round.
 
@@ -184,6 +185,7 @@ class Bootstrap:
     least_pattern: float = 0.8
     least_instances: int = 5
     prior: float = 1.0
+    doubt: float = 0.5
 
 
 def learn_patterns(found: DataFrame, boot: Bootstrap = Bootstrap()) -> DataFrame:
@@ -208,16 +210,17 @@ def learn_patterns(found: DataFrame, boot: Bootstrap = Bootstrap()) -> DataFrame
     for step in range(boot.rounds):
         scores = (
             believed.groupBy("pattern")
-            .agg(*[F.sum((F.col("kind") == k).cast("long")).alias(f"k{k}") for k in range(4)], F.count(F.lit(1)).alias("n"))
+            .agg(*[F.sum((F.col("kind") == k).cast("long")).alias(f"k{k}") for k in range(4)], F.sum(F.when(F.col("kind") >= 0, 1.0).otherwise(boot.doubt)).alias("n"))
             .join(noise, "pattern", "left")
         )
         best = F.greatest(*[F.col(f"k{k}") for k in range(4)])
         kind = F.lit(0)
         for k in (3, 2, 1, 0):
             kind = F.when(F.col(f"k{k}") == best, F.lit(k)).otherwise(kind)
+        score = best / (F.col("n") + F.coalesce("noise", F.lit(0)) + boot.prior)
         trusted = written(
-            scores.where((best >= boot.least_instances) & (best / (F.col("n") + F.coalesce("noise", F.lit(0)) + boot.prior) >= boot.least_pattern))
-            .select("pattern", kind.cast("int").alias("kind"), (best / (F.col("n") + F.coalesce("noise", F.lit(0)) + boot.prior)).alias("score")),
+            scores.where((best >= boot.least_instances) & (score >= boot.least_pattern))
+            .select("pattern", kind.cast("int").alias("kind"), score.alias("score")),
             "pii-patterns",
         )
         if step + 1 == boot.rounds:
