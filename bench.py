@@ -17,11 +17,11 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from temblor.plans.registry import QUERIES
-from temblor.session import SETTINGS
+from temblor.session import SETTINGS, TUNING
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "1"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 HEADLINE = [
     "raw_to_country_risk",
@@ -48,6 +48,11 @@ HEADLINE = [
     "elbow_hazard",
     "model_metrics",
     "country_risk_clusters",
+    "raw_table",
+    "clean_table",
+    "model_comparison",
+    "eda_summary",
+    "kmeans_physical5",
 ]
 
 
@@ -60,7 +65,7 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", CPUS)
     )
-    for name, value in SETTINGS.items():
+    for name, value in {**SETTINGS, **TUNING}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -31,15 +31,16 @@ class Bounds:
 def flatten_usgs(raw: DataFrame) -> DataFrame:
     """Nested document with epoch milliseconds and [lon, lat, depth] coordinates to columns.
 
-    A coordinate the array lacks becomes null; the null filter drops the row later.
+    A coordinate the array lacks and a value that is no number become null; the null filter drops
+    the row later.
     """
     point = F.col("geometry.coordinates")
     return raw.select(
         F.timestamp_millis("properties.time").alias("time"),
-        F.get(point, F.lit(1)).cast("double").alias("latitude"),
-        F.get(point, F.lit(0)).cast("double").alias("longitude"),
-        F.get(point, F.lit(2)).cast("double").alias("depth"),
-        F.col("properties.mag").cast("double").alias("mag"),
+        F.get(point, F.lit(1)).try_cast("double").alias("latitude"),
+        F.get(point, F.lit(0)).try_cast("double").alias("longitude"),
+        F.get(point, F.lit(2)).try_cast("double").alias("depth"),
+        F.col("properties.mag").try_cast("double").alias("mag"),
         F.col("properties.place").alias("place"),
         F.col("properties.type").alias("type"),
     )
@@ -127,29 +128,6 @@ def derive_columns(df: DataFrame) -> DataFrame:
 
 
 def with_country(df: DataFrame, normalise: Callable[[Column], Column]) -> DataFrame:
-    """Adds ``country``, normalised row by row."""
+    """Adds ``country``, normalised row by row: built-in functions in the scan's own stage, so the
+    source is read once and a place that appears only now has its country too."""
     return df.withColumn("country", normalise(F.col("place")))
-
-
-def with_country_by_place(
-    df: DataFrame,
-    normalise: Callable[[Column], Column],
-    seen_in: DataFrame | None = None,
-    max_places: int = 50_000,
-) -> DataFrame:
-    """Adds ``country``, normalising each distinct place once.
-
-    Region names come from a closed list, so a table of events has few of them, while a chain
-    of regular expressions per event is the dearest part of cleaning. The distinct places are
-    looked up first, in ``seen_in`` where that is cheaper to scan than ``df``. Up to
-    ``max_places`` are broadcast with their country; with more every row is normalised by itself.
-    """
-    places = (df if seen_in is None else seen_in).select("place").distinct()
-    known = places.limit(max_places + 1).collect()
-    if len(known) > max_places:
-        return with_country(df, normalise)
-    table = df.sparkSession.createDataFrame(known, places.schema).select(
-        F.col("place").alias("_place"), normalise(F.col("place")).alias("country")
-    )
-    same = df["place"].eqNullSafe(table["_place"])
-    return df.join(F.broadcast(table), same, "left").drop("_place")

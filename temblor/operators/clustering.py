@@ -38,6 +38,7 @@ class Algorithm:
     shifted: bool = False
 
 
+# Titles, label columns and iterations, as the metrics table names them.
 ALGORITHMS = {
     "kmeans": Algorithm("K-Means", KMeans, "kmeans_cluster", 25),
     # Bisecting splits a centre by a share of its norm; around mean zero that share is nothing

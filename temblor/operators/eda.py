@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from temblor.operators.clean import drop_blank_country
-from temblor.operators.quantiles import exact_quantiles
+from temblor.operators.quantiles import quantiles_and_more
 
 SUMMARY_COLUMNS = ("latitude", "longitude", "depth", "mag", "depth_log")
 NUMERIC_COLUMNS = ("latitude", "longitude", "depth", "mag", "x", "y", "z", "depth_log")
@@ -63,17 +63,13 @@ def eda_summary(
 
 
 def _exact_summary(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, float]]:
-    moments = df.agg(
-        *(
-            aggregate(name).cast("double").alias(f"{metric} {name}")
-            for metric, aggregate in _MOMENTS.items()
-            for name in columns
-        )
-    ).head()
-    wide = {
-        metric: {name: moments[f"{metric} {name}"] for name in columns} for metric in _MOMENTS
+    moments = {
+        (metric, name): aggregate(name).cast("double")
+        for metric, aggregate in _MOMENTS.items()
+        for name in columns
     }
-    quantiles = exact_quantiles(df, columns, list(_QUARTILES.values()))
+    quantiles, found = quantiles_and_more(df, columns, list(_QUARTILES.values()), moments)
+    wide = {metric: {name: found[metric, name] for name in columns} for metric in _MOMENTS}
     for metric, probability in _QUARTILES.items():
         wide[metric] = {name: quantiles[name, probability] for name in columns}
     return wide

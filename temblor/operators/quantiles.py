@@ -32,7 +32,7 @@ class _Search:
 
     @property
     def done(self) -> bool:
-        return self.value is not None or self.rows == 0
+        return self.value is not None
 
     def inside(self) -> Column:
         value = F.col(self.column)
@@ -97,28 +97,69 @@ def exact_quantiles(
 ) -> dict[tuple[str, float], float | None]:
     """The smallest value with at least that share of values at or below it, per column.
 
-    Three passes over ``df`` up to some hundred million rows, two more per factor of about two
-    thousand. Null values do not count; a column without values gives None.
+    Null values do not count; a column without values gives None. See ``quantiles_and_more``.
     """
-    sizes = df.agg(*(F.count(name).alias(name) for name in columns)).head()
-    searches = {
-        (name, share): _Search(name, max(1, math.ceil(share * sizes[name])), sizes[name])
-        for name in columns
-        for share in probabilities
-    }
-    while pending := [search for search in searches.values() if not search.done]:
-        small = [search for search in pending if search.rows <= gather_rows]
+    return quantiles_and_more(df, columns, probabilities, {}, accuracy, gather_rows)[0]
+
+
+def quantiles_and_more(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    more: dict[str, Column],
+    accuracy: int = 10_000,
+    gather_rows: int = 20_000,
+) -> tuple[dict[tuple[str, float], float | None], dict]:
+    """Exact quantiles, and other aggregates that ride on their first pass.
+
+    Tables of any size take the same way: one pass for sizes, the first sketch and ``more``, one
+    that counts where the rank lies, and one that gathers what is left between two neighbours of
+    the sketch. Only if more than ``gather_rows`` are left, beyond some hundred million rows, a
+    sketch and a count of that interval come in between. A pass that neither finds nor narrows
+    anything shows a source that answers differently each time, and raises.
+    """
+    slack = 2.0 / accuracy
+    shares = [s for p in probabilities for s in (max(0.0, p - slack), min(1.0, p + slack))]
+    first = df.agg(
+        *(F.count(name).alias(f"n{i}") for i, name in enumerate(columns)),
+        *(F.percentile_approx(name, shares, accuracy).alias(f"s{i}") for i, name in enumerate(columns)),
+        *(column.alias(f"m{i}") for i, column in enumerate(more.values())),
+    ).head()
+    searches, brackets = {}, []
+    for i, name in enumerate(columns):
+        rows = first[f"n{i}"]
+        for j, share in enumerate(probabilities):
+            search = _Search(name, max(1, math.ceil(share * rows)), rows)
+            searches[name, share] = search
+            if rows:
+                brackets.append((search, first[f"s{i}"][2 * j : 2 * j + 2]))
+    while brackets:
+        _narrow(df, brackets)
+        small = [s for s, _ in brackets if not s.done and s.rows <= gather_rows]
         if small:
             _gather(df, small)
-        large = [search for search in pending if search.rows > gather_rows]
-        if large:
-            brackets = _brackets(df, large, accuracy)
-            seen = df.agg(
-                *(search.count(*brackets[i]).alias(f"c{i}") for i, search in enumerate(large))
-            ).head()
-            for i, search in enumerate(large):
-                search.narrow(*brackets[i], seen[i])
-    return {key: search.value for key, search in searches.items()}
+        large = [s for s, _ in brackets if not s.done]
+        brackets = list(zip(large, _brackets(df, large, accuracy))) if large else []
+    values = {key: search.value for key, search in searches.items()}
+    return values, {name: first[f"m{i}"] for i, name in enumerate(more)}
+
+
+def _narrow(df: DataFrame, brackets: list[tuple[_Search, list[float]]]) -> None:
+    """One pass that counts around the brackets of all searches."""
+    seen = df.agg(
+        *(search.count(*ends).alias(f"c{i}") for i, (search, ends) in enumerate(brackets))
+    ).head()
+    for i, (search, ends) in enumerate(brackets):
+        before = search.rows
+        search.narrow(*ends, seen[i])
+        if not search.done and search.rows >= before or search.value is None and search.rows <= 0:
+            raise _changed(search)
+
+
+def _changed(search: _Search) -> RuntimeError:
+    return RuntimeError(
+        f"the values of {search.column} changed between passes; write the table before describing it"
+    )
 
 
 def _brackets(df: DataFrame, searches: list[_Search], accuracy: int) -> list[list[float]]:
@@ -157,7 +198,10 @@ def _gather(df: DataFrame, searches: list[_Search]) -> None:
         .where(F.col("value").isNotNull())
         .groupBy("search", "rank")
         .agg(F.sort_array(F.collect_list("value")).alias("values"))
-        .select("search", F.element_at("values", F.col("rank")).alias("value"))
+        .select("search", F.get("values", F.col("rank") - 1).alias("value"))
     )
     for row in found.collect():
         searches[row["search"]].value = row["value"]
+    for search in searches:
+        if search.value is None:
+            raise _changed(search)

@@ -25,22 +25,16 @@ def undersample(
     cap: int,
     key: Sequence[str],
     seed: int = 42,
-    max_broadcast_strata: int = 20_000,
 ) -> DataFrame:
     """At most ``cap`` rows per stratum, the first by hash of (seed, key); null is a stratum.
 
     ``key`` must tell events apart; whole-row copies are taken into account one by one.
-    Strata that exceed the cap get a cut. Up to ``max_broadcast_strata`` of them are broadcast;
-    beyond that the cuts are joined by shuffle, where AQE splits a skewed stratum.
+    Strata that exceed the cap get a cut, one row each. Spark joins them as their real size
+    suggests: broadcast when small, else by shuffle, where AQE splits a skewed stratum.
     """
     names = [strata] if isinstance(strata, str) else list(strata)
     hashed = _hashed(df, key, seed)
     cuts = _cuts(hashed, names, cap)
-    rows = cuts.limit(max_broadcast_strata + 1).collect()
-    if not rows:
-        return df
-    if len(rows) <= max_broadcast_strata:
-        cuts = F.broadcast(df.sparkSession.createDataFrame(rows, cuts.schema))
     cuts = cuts.withColumnsRenamed({name: f"_cut_{name}" for name in names})
     same = reduce(
         lambda left, right: left & right,

@@ -260,10 +260,11 @@ SELECT country, count(*) AS quake_count, round(avg(mag), 2) AS avg_magnitude,
         "feature_stats": _feature_stats(),
         "monthly_trend": f"SELECT {_MONTH} AS month, count(*) AS quake_count FROM n GROUP BY 1",
         "monthly_trend_filtered": f"""
-SELECT {_MONTH} AS month, count(*) AS quake_count FROM n WHERE year(time) < 2026 GROUP BY 1""",
+SELECT {_MONTH} AS month, count(*) AS quake_count FROM n
+WHERE time < TIMESTAMP '2025-07-10 00:00:00' GROUP BY 1""",
         "monthly_trend_mag": f"""
 SELECT {_MONTH} AS month, count(*) AS quake_count, round(avg(mag), 2) AS avg_magnitude
-FROM n WHERE {_MONTH} <= '2025-12' GROUP BY 1""",
+FROM n WHERE strftime(time, '%Y-%m-%d') BETWEEN '2025-03-05' AND '2025-09-30' GROUP BY 1""",
         "monthly_trend_labelled": f"""
 SELECT {_MONTH} AS month, strftime(time, '%b %Y') AS label, count(*) AS quake_count
 FROM n WHERE time IS NOT NULL GROUP BY 1, 2""",
@@ -277,8 +278,8 @@ SELECT id, country, mag FROM n
 QUALIFY row_number() OVER (PARTITION BY country ORDER BY {_HASH}, id) <= 30""",
         "hash_sample_20": f"SELECT id, mag FROM n WHERE substr({_HASH}, 1, 8) < '33333333'",
         "plot_sample": f"""
-SELECT id, mag, depth, latitude, longitude FROM n WHERE substr({_HASH}, 1, 8) < '33333333'
-ORDER BY {_HASH}, id LIMIT 5000""",
+SELECT id, mag, depth, latitude, longitude FROM quakes
+WHERE substr({_HASH}, 1, 8) < '33333333' AND {_PRESENT} ORDER BY {_HASH}, id LIMIT 100""",
         "hazard_class": "SELECT id, hazard_cluster, cluster_name FROM h",
         "hazard_distribution": """
 SELECT hazard_cluster, cluster_name, count(*) AS count, round(avg(mag), 2) AS avg_magnitude,

@@ -251,14 +251,14 @@ def monthly_trend(spark, sf_dir):
 
 @query
 def monthly_trend_filtered(spark, sf_dir):
-    before_2026 = clean.filter_period(clean_quakes(spark, sf_dir), before="2026-01-01")
-    return eda.monthly_trend(before_2026)
+    first_half = clean.filter_period(clean_quakes(spark, sf_dir), before="2025-07-10")
+    return eda.monthly_trend(first_half)
 
 
 @query
 def monthly_trend_mag(spark, sf_dir):
-    before_2026 = clean.filter_period(clean_quakes(spark, sf_dir), before="2026-01-01")
-    return eda.monthly_trend(before_2026, with_mag=True)
+    summer = clean.filter_period(clean_quakes(spark, sf_dir), since="2025-03-05", before="2025-10-01")
+    return eda.monthly_trend(summer, with_mag=True)
 
 
 @query
@@ -318,9 +318,9 @@ def hash_sample_20(spark, sf_dir):
 
 @query
 def plot_sample(spark, sf_dir):
-    return sampling.plot_sample(
-        clean_quakes(spark, sf_dir), ["id", "mag", "depth", "latitude", "longitude"], KEY
-    )
+    """Of the whole catalogue, where depth and magnitude may be missing."""
+    columns = ["id", "mag", "depth", "latitude", "longitude"]
+    return sampling.plot_sample(quakes(spark, sf_dir), columns, KEY, limit=100)
 
 
 # Hazard rule and countries

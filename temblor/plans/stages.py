@@ -30,9 +30,8 @@ def clean_events(raw: DataFrame, agency: Agency) -> DataFrame:
     Filters come before de-duplication and computed columns after it: fewer and narrower rows
     shuffle, and the result is the same.
     """
-    valid = valid_events(raw, agency)
-    distinct = clean.dedup_events(valid)
-    return clean.derive_columns(agency.with_country(distinct, seen_in=valid))
+    distinct = clean.dedup_events(valid_events(raw, agency))
+    return clean.derive_columns(agency.with_country(distinct))
 
 
 def preprocess(raw: DataFrame, agency: Agency) -> DataFrame:

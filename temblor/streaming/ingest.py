@@ -1,7 +1,9 @@
-"""Raw documents as they land to the clean table, without a rescan of what is already clean.
+"""Raw documents as they land to valid events, without a rescan of what is already read.
 
-The cleaning operators work row by row, so they run on a stream unchanged. Only whole-row
-de-duplication needs state; a watermark on event time bounds it.
+Only steps that look at one row run on the stream: flattening, filters, country and derived
+columns. There is no watermark and no state, so an event that arrives late, out of order or without
+a time is kept like any other. Copies are merged where the table is read as a whole, by
+``distinct_events``, since only the whole table knows all copies.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from temblor.operators.clean import derive_columns, with_country
+from temblor.operators.clean import dedup_events, derive_columns
 from temblor.plans.agencies import Agency
 from temblor.plans.stages import valid_events
 
@@ -20,22 +22,16 @@ def read_landed(spark: SparkSession, path: str, agency: Agency, fmt: str = "json
     return spark.readStream.format(fmt).schema(agency.raw_schema).load(path)
 
 
-def clean_stream(raw: DataFrame, agency: Agency, late: str = "30 days") -> DataFrame:
-    """Clean events, each once while copies arrive within ``late`` of each other.
+def valid_stream(raw: DataFrame, agency: Agency) -> DataFrame:
+    """Valid events with derived columns; copies are still in."""
+    return derive_columns(agency.with_country(valid_events(raw, agency)))
 
-    A row without a time can neither be placed on the time line nor grow stale, so it is
-    left to the batch path.
-    """
-    rows = valid_events(raw, agency).where(F.col("time").isNotNull())
-    distinct = rows.withWatermark("time", late).dropDuplicatesWithinWatermark(agency.event_key)
-    return derive_columns(with_country(distinct, agency.country))
 
-
-def write_clean_stream(
-    clean: DataFrame, path: str, checkpoint: str, available_now: bool = True
+def write_valid_stream(
+    events: DataFrame, path: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Appends clean events to a table partitioned by month."""
-    months = clean.withColumn("year_month", F.date_format("time", "yyyy-MM"))
+    """Appends valid events to a table partitioned by month; events without a time have their own."""
+    months = events.withColumn("year_month", F.date_format("time", "yyyy-MM"))
     writer = (
         months.writeStream.format("parquet")
         .outputMode("append")
@@ -44,3 +40,8 @@ def write_clean_stream(
     )
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start(path)
+
+
+def distinct_events(stored: DataFrame) -> DataFrame:
+    """Each event of the stream's table once; copies inside a task merge before the shuffle."""
+    return dedup_events(stored.drop("year_month"))

@@ -140,14 +140,29 @@ def test_emsc_countries(spark):
     assert _countries(df, normalise_country_emsc(F.col("place"))) == EMSC_PLACES
 
 
-@pytest.mark.parametrize("max_places", [3, 1000])
-def test_country_by_place_with_and_without_broadcast(spark, max_places):
+def test_country_needs_one_scan_and_no_join(spark):
     df = spark.createDataFrame([(place,) for place in [*EMSC_PLACES] * 3], "place string")
-    found = clean.with_country_by_place(df, normalise_country_emsc, max_places=max_places)
-    assert found.count() == 3 * len(EMSC_PLACES)
+    found = clean.with_country(df, normalise_country_emsc)
     assert {row.place: row.country for row in found.collect()} == EMSC_PLACES
-    has_join = "BroadcastHashJoin" in found._jdf.queryExecution().toString()
-    assert has_join == (max_places == 1000)
+    assert "Join" not in found._jdf.queryExecution().toString()
+
+
+def test_a_place_that_appears_between_reads_has_its_country(spark, tmp_path):
+    path = str(tmp_path / "places")
+    spark.createDataFrame([("JAVA, INDONESIA",)], "place string").write.json(path)
+    placed = clean.with_country(spark.read.schema("place string").json(path), normalise_country_emsc)
+    assert placed.count() == 1
+    spark.createDataFrame([("KURIL ISLANDS",)], "place string").write.mode("append").json(path)
+    again = clean.with_country(spark.read.schema("place string").json(path), normalise_country_emsc)
+    assert {row.country for row in again.collect()} == {"Indonesia", "Russia"}
+
+
+def test_a_text_magnitude_becomes_null(spark):
+    raw = spark.createDataFrame(
+        [(("0", "strong", "x, CA", "earthquake"), (["1", "2", "deep"],))],
+        "properties struct<time:string,mag:string,place:string,type:string>, geometry struct<coordinates:array<string>>",
+    ).withColumn("properties", F.col("properties").withField("time", F.lit(0).cast("bigint")))
+    assert clean.flatten_usgs(raw).select("mag", "depth", "latitude").head() == (None, None, 2.0)
 
 
 def test_usgs_countries(spark):

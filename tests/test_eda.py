@@ -44,6 +44,52 @@ def test_quantiles_of_many_ties(spark, values):
     check(spark, values, accuracy=5, gather_rows=0)
 
 
+def test_a_source_that_shrinks_between_passes_raises(spark, tmp_path):
+    path = str(tmp_path / "values")
+    spark.range(5000).selectExpr("CAST(id AS DOUBLE) AS v").write.parquet(path)
+
+    class Shrinking:
+        """Answers the first pass from the whole table and the others from none of it."""
+
+        def __init__(self, df):
+            self.df = df
+
+        def agg(self, *columns):
+            whole, self.df = self.df, self.df.where("v < 0")
+            return whole.agg(*columns)
+
+        def where(self, *conditions):
+            return self.df.where(*conditions)
+
+    with pytest.raises(RuntimeError, match="changed between passes"):
+        exact_quantiles(Shrinking(spark.read.parquet(path)), ["v"], [0.5], accuracy=100, gather_rows=10)
+
+
+def test_a_description_takes_three_passes_at_any_size(spark):
+    for rows in (50, 30_000):
+        df = spark.range(rows).selectExpr("CAST((id * 7919) % 100003 AS DOUBLE) AS v")
+        passes = []
+
+        class Counted:
+            def agg(self, *columns):
+                passes.append("agg")
+                return df.agg(*columns)
+
+            def where(self, *conditions):
+                passes.append("gather")
+                return df.where(*conditions)
+
+        exact_quantiles(Counted(), ["v"], [0.3, 0.5])
+        assert passes in (["agg", "agg", "gather"], ["agg", "agg"])
+
+
+def test_the_sketch_is_within_its_error(spark):
+    df = spark.range(40_000).selectExpr("CAST((id * 7919) % 40000 AS DOUBLE) AS v")
+    wide = {r.summary: float(r.v) for r in eda.describe_features(df, ["v"]).collect()}
+    for metric, share in (("25%", 0.25), ("50%", 0.5), ("75%", 0.75)):
+        assert abs(wide[metric] - share * 40_000) <= 40_000 / 10_000 + 1
+
+
 def test_quantiles_without_values(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert exact_quantiles(df, ["v"], [0.5]) == {("v", 0.5): None}

@@ -55,12 +55,14 @@ def test_undersample_caps_each_stratum_whatever_the_partitions(numbers, partitio
     assert {row.id for row in chosen if row.country == "hot"} == set(expected_order(hot)[:100])
 
 
-def test_undersample_by_shuffle_join_gives_the_same(numbers):
-    broadcast = sampling.undersample(numbers, "country", 50, KEY)
-    shuffled = sampling.undersample(numbers, "country", 50, KEY, max_broadcast_strata=2)
-    assert sorted(map(tuple, broadcast.collect()), key=str) == sorted(
-        map(tuple, shuffled.collect()), key=str
-    )
+def test_undersample_by_shuffle_join_gives_the_same(spark, numbers):
+    broadcast = sampling.undersample(numbers, "country", 50, KEY).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = sampling.undersample(numbers, "country", 50, KEY).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(tuple, broadcast), key=str) == sorted(map(tuple, shuffled), key=str)
 
 
 def test_undersample_of_two_columns(numbers):
@@ -69,9 +71,9 @@ def test_undersample_of_two_columns(numbers):
     assert max(Counter((row.country, row.odd) for row in chosen).values()) == 20
 
 
-def test_nothing_over_the_cap_needs_no_ranking(numbers):
+def test_nothing_over_the_cap_keeps_all(numbers):
     chosen = sampling.undersample(numbers, "country", 10_000, KEY)
-    assert chosen is numbers
+    assert chosen.exceptAll(numbers).isEmpty() and chosen.count() == numbers.count()
 
 
 def test_copies_count_one_by_one(spark):
