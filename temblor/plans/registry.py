@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from temblor import schemas
 from temblor.functions.geo import marker_radius
 from temblor.functions.regions import normalise_country_emsc, normalise_country_usgs
-from temblor.lineage import scratch_path
+from temblor.lineage import remove_path, scratch_path
 from temblor.operators import clean, clustering, country, distribution, eda, hazard, sampling
 from temblor.operators.features import FEATURE_SETS, features
 from temblor.plans import stages
@@ -31,7 +31,7 @@ from temblor.plans.quakes import (
     raw_usgs,
 )
 from temblor.session import prepare
-from temblor.sources import tables, windows
+from temblor.sources import collector, tables, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,15 +136,53 @@ def serving_projection(spark, sf_dir):
 
 @query
 def raw_table(spark, sf_dir):
-    """Raw rows written per request window, one write repeated, and read back."""
-    catalogue = quakes(spark, sf_dir).withColumn("window_start", F.date_trunc("month", "time"))
-    path = scratch_path(spark, "raw")
-    tables.write_raw(catalogue, path)
-    tables.write_raw(catalogue, path)
-    stored = tables.read_events(spark, catalogue.schema, path)
-    return stored.groupBy("window_start").agg(
+    """Windows collected in small parts and again in larger ones, where one of them fails."""
+    path, log = scratch_path(spark, "raw"), scratch_path(spark, "raw-log")
+    first = _collected(quakes(spark, sf_dir), part_days=3)
+    collector.store_collected(first, schemas.RAW_EMSC, path, log)
+    failed = F.month("window_start") == 3
+    again = _collected(quakes(spark, sf_dir), part_days=12).withColumn(
+        "error", F.when(failed & (F.dayofmonth("part_start") > 12), F.lit("connection lost"))
+    )
+    again = again.withColumn("document", F.when(F.col("error").isNull(), F.col("document")))
+    collector.store_collected(again, schemas.RAW_EMSC, path, log)
+    stored = tables.read_events(spark, collector.parse_documents(first, schemas.RAW_EMSC).schema, path)
+    counts = stored.groupBy("window_start").agg(
         F.count("*").alias("saved"), F.count_distinct("id").alias("events")
     )
+    return collected_rows(counts, path, log)
+
+
+def _collected(catalogue: DataFrame, part_days: int) -> DataFrame:
+    """The catalogue as a collecting job returns it, windows being months, and a row per window."""
+    month = F.date_trunc("month", "time")
+    number = F.floor((F.dayofmonth("time") - 1) / part_days).cast("int")
+    part = month + F.make_dt_interval(number * part_days)
+    places = {
+        "window_start": month,
+        "window_end": month + F.expr("interval 1 month"),
+        "part_start": part,
+        "part_end": part + F.make_dt_interval(F.lit(part_days)),
+    }
+    rows = catalogue.select(
+        *(place.alias(name) for name, place in places.items()),
+        F.to_json(emsc_document(F.lit("EMSC"))).alias("document"),
+        F.lit(None).cast("string").alias("error"),
+    )
+    marks = rows.select("window_start", "window_end").distinct().select(
+        "window_start", "window_end", F.col("window_start").alias("part_start"),
+        F.col("window_end").alias("part_end"), F.lit(None).cast("string").alias("document"),
+        F.lit(None).cast("string").alias("error"),
+    )
+    return rows.union(marks)
+
+
+def collected_rows(df: DataFrame, *paths: str) -> DataFrame:
+    """A result of a few rows as a table of its own, so that the scratch tables it reads can go."""
+    rows, schema = df.collect(), df.schema
+    for path in paths:
+        remove_path(df.sparkSession, path)
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 @query
@@ -154,13 +192,14 @@ def clean_table(spark, sf_dir):
     path = scratch_path(spark, "clean")
     stages.build_clean_table(raw, EMSC, path)
     stored = tables.read_events(spark, EMSC.clean_schema, path)
-    return stored.groupBy("country", "auth").agg(
+    groups = stored.groupBy("country", "auth").agg(
         F.count("*").alias("quake_count"),
         F.min("time").alias("earliest_time"),
         F.max("time").alias("latest_time"),
         F.round(F.avg(F.get("raw_features", F.lit(4))), 6).alias("avg_mag"),
         F.round(F.avg(F.get("scaled_features", F.lit(3))), 6).alias("avg_scaled_depth_log"),
     )
+    return collected_rows(groups, path)
 
 
 # Features

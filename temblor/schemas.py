@@ -76,13 +76,14 @@ METRICS = _struct(
 )
 COMPARISON = _struct(model=_text, silhouette=_real)
 ELBOW = _struct(k=_code, wcss=_real, silhouette=_real)
-COLLECTED = _struct(window_start=_time, window_end=_time, document=_text, error=_text)
+COLLECTED = _struct(
+    window_start=_time, window_end=_time, part_start=_time, part_end=_time, document=_text, error=_text
+)
 
-# Columns of every labelled result, before its label column(s).
-# The columns of the labelled and of the serving table.
+# Columns of every labelled result, before its label column(s).
 CORE_COLUMNS = ["time", "place", "country", "latitude", "longitude", "depth", "mag"]
 
-# Columns a serving layer may ask for; a result holds those that exist.
+# Columns a serving layer may ask for; a result holds those that exist.
 SERVING_COLUMNS = CORE_COLUMNS + [
     "kmeans_cluster",
     "bisect_cluster",

@@ -1,13 +1,15 @@
 """Collecting event documents from an agency, one Spark task per request window.
 
 ``fetch`` gets a window and returns its documents. A window the agency refuses as too large is
-split in two until it fits, so no event goes missing; other failures are tried again a few
-times and then fail the job, or leave a row with the error if the policy says so.
+split in two until it fits, so no event goes missing. A request it calls wrong fails at once; other
+failures are tried again a few times and then fail the job, or leave a row with the error if the
+policy says so. ``store_collected`` then replaces the windows that came back whole and no others.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import time
 import urllib.error
 import urllib.parse
@@ -16,20 +18,27 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from temblor.lineage import materialised, remove_path
 from temblor.schemas import COLLECTED
+from temblor.sources import tables
 from temblor.sources.windows import WINDOW_DAYS, request_windows
 
 Fetch = Callable[[datetime, datetime], Iterable[dict]]
 
+
 class WindowTooLarge(Exception):
     """The agency has more events in the window than one request may return."""
 
 
+class RequestRefused(Exception):
+    """The agency calls the request wrong; asking again or for less does not help."""
+
+
 @dataclass(frozen=True)
 class RetryPolicy:
     attempts: int = 3
@@ -40,7 +49,8 @@ class RetryPolicy:
 
 @dataclass(frozen=True)
 class HttpFetch:
-    """GET of one window; status 400 means the window is too large.
+    """GET of one window. It is too large if status 413 says so, or a status 400 whose text
+    matches ``limit_text``; any other status from 400 to 499 but 408 and 429 refuses the request.
 
     A service that counts the end as inside gives an event on a boundary twice; whole-row
     de-duplication merges the two.
@@ -49,6 +59,7 @@ class HttpFetch:
     url: str
     request_format: str
     timeout_seconds: float = 30.0
+    limit_text: str = r"exceed\w*\b.*\blimit|too many|too large"
 
     def __call__(self, start: datetime, end: datetime) -> Iterable[dict]:
         query = urllib.parse.urlencode(
@@ -64,8 +75,12 @@ class HttpFetch:
             ) as reply:
                 body = reply.read()
         except urllib.error.HTTPError as error:
-            if error.code == 400:
+            text = error.read().decode("utf-8", "replace") if error.fp else ""
+            over = re.search(self.limit_text, text, re.IGNORECASE | re.DOTALL)
+            if error.code == 413 or error.code == 400 and over:
                 raise WindowTooLarge(f"{start} to {end}") from error
+            if 400 <= error.code < 500 and error.code not in (408, 429):
+                raise RequestRefused(f"{error.code}: {text[:500]}") from error
             raise
         return json.loads(body).get("features", []) if body else []
 
@@ -113,7 +128,7 @@ def _with_retries(
     for attempt in range(1, policy.attempts):
         try:
             return list(fetch(start, end))
-        except WindowTooLarge:
+        except (WindowTooLarge, RequestRefused):
             raise
         except Exception:
             time.sleep(policy.pause_seconds * attempt)
@@ -142,10 +157,12 @@ def windowed_event_source(
             return [_Window(*window) for window in windows]
 
         def read(self, partition: _Window) -> Iterator[tuple]:
+            window = (_utc(partition.start), _utc(partition.end))
             found = fetch_window(fetch, partition.start, partition.end, policy)
+            yield (*window, *window, None, None)  # so that an empty window leaves a row too
             for since, until, document, error in found:
                 text = None if document is None else json.dumps(document)
-                yield _utc(since), _utc(until), text, error
+                yield (*window, _utc(since), _utc(until), text, error)
 
     class WindowedEventSource(DataSource):
         @classmethod
@@ -162,26 +179,64 @@ def windowed_event_source(
 
 
 def collect_windows(spark: SparkSession, source: type[DataSource]) -> DataFrame:
-    """Documents as text, each with its window. Every read asks the agency again, so write the
-    result (``write_raw``) before using it twice."""
+    """Documents as text, each with its planned window and the part of it that it came in. Every
+    read asks the agency again, so store the result (``store_collected``) before using it twice."""
     spark.dataSource.register(source)
     return spark.read.format(source.name()).load()
 
 
 def parse_documents(collected: DataFrame, raw_schema: T.StructType) -> DataFrame:
-    """Raw documents by the explicit schema, with the window each came in."""
+    """Raw documents by the explicit schema, with the window and part each came in."""
     documents = collected.where(F.col("document").isNotNull())
-    return documents.select(
-        "window_start", "window_end", F.from_json("document", raw_schema).alias("event")
-    ).select("window_start", "window_end", "event.*")
+    return documents.select(*_PLACES, F.from_json("document", raw_schema).alias("event")).select(
+        *_PLACES, "event.*"
+    )
+
+
+_PLACES = ("window_start", "window_end", "part_start", "part_end")
 
 
 def load_log(collected: DataFrame) -> DataFrame:
-    """Documents saved and errors met per (sub)window, to hold against the planned windows."""
+    """Documents, parts and errors per planned window; an empty window has a row of zeros."""
+    part = F.when(F.col("document").isNotNull(), F.col("part_start"))
     return collected.groupBy("window_start", "window_end").agg(
-        F.count("document").alias("saved"), F.max("error").alias("error")
+        F.count("document").alias("saved"),
+        F.count_distinct(part).alias("parts"),
+        F.max("error").alias("error"),
     )
 
 
+def store_collected(
+    collected: DataFrame, raw_schema: T.StructType, path: str, log_path: str, fmt: str = "parquet"
+) -> DataFrame:
+    """Collect once, replace the windows that came back whole in the raw table, and log all windows.
+
+    The raw table is partitioned by planned window, whatever parts it was asked in. A window with an
+    error keeps what was stored of it before; one that is empty now loses its old documents. Returns
+    the log of this run; the log table holds the last run of every window.
+    """
+    with materialised(collected, "collected") as stored:
+        log = load_log(stored).withColumn("window", window_name(F.col("window_start")))
+        rows = log.collect()  # the planned windows, a list the driver made
+        schema = log.schema
+        whole = log.where("error IS NULL").select("window")
+        documents = parse_documents(stored, raw_schema).withColumn(
+            "window", window_name(F.col("window_start"))
+        )
+        tables.write_raw(documents.join(whole, "window", "left_semi"), path, fmt=fmt)
+    spark = collected.sparkSession
+    for row in rows:
+        if row["error"] is None and not row["saved"]:
+            remove_path(spark, f"{path.rstrip('/')}/window={row['window']}")
+    log = spark.createDataFrame(rows, schema)
+    tables.write_raw(log, log_path, fmt=fmt)
+    return log
+
+
+def window_name(start: Column) -> Column:
+    """A window's name as a partition value: its start in UTC."""
+    return F.date_format(start, "yyyyMMdd'T'HHmmss")
+
+
 def _utc(moment: datetime) -> datetime:
     return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)

@@ -74,8 +74,9 @@ def write_table(
     writer.save(path)
 
 
-def write_raw(df: DataFrame, path: str, window: str = "window_start", fmt: str = "parquet") -> None:
-    """Adds collected windows to the raw table; collecting a window again replaces it."""
+def write_raw(df: DataFrame, path: str, window: str = "window", fmt: str = "parquet") -> None:
+    """Adds collected windows to the raw table; collecting a window again replaces it. Which windows
+    may be replaced is ``store_collected``'s to decide."""
     write_table(
         df, path, "overwrite", fmt, partition_by=[window], partitionOverwriteMode="dynamic"
     )

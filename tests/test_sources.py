@@ -58,17 +58,17 @@ def test_a_window_over_the_cap_is_split_and_nothing_is_lost(spark, tmp_path):
     df = collector.parse_documents(collected, schemas.RAW_EMSC)
     assert df.count() == 31 * 24
     assert df.select("id").distinct().count() == 31 * 24
-    assert df.where("window_start > timestamp(properties.time)").count() == 0
-    assert df.where("window_end <= timestamp(properties.time)").count() == 0
+    assert df.where("part_start > timestamp(properties.time)").count() == 0
+    assert df.where("part_end <= timestamp(properties.time)").count() == 0
     log = collector.load_log(collected)
-    assert log.count() > len(windows.request_windows(START, datetime(2025, 2, 1)))
+    assert log.count() == len(windows.request_windows(START, datetime(2025, 2, 1)))
     assert log.groupBy().sum("saved").head()[0] == 31 * 24
-    assert log.where("error IS NOT NULL").count() == 0
+    assert log.where("parts > 1").count() > 0 and log.where("error IS NOT NULL").count() == 0
 
 
 def test_lost_connections_are_tried_again(spark, tmp_path):
     df = collect(spark, FileFetch(tmp_path, cap=1000, failures=2), "flaky")
-    assert df.select("document").distinct().count() == 31 * 24
+    assert df.select("document").where("document IS NOT NULL").distinct().count() == 31 * 24
 
 
 def test_a_lasting_failure_fails_the_job(spark, tmp_path):
@@ -96,21 +96,64 @@ def test_http_fetch(monkeypatch):
             return Reply(b'{"features": [{"id": "a"}]}')
         if len(seen) == 2:
             return Reply(b"")
-        raise urllib.error.HTTPError(url, 400 if len(seen) == 3 else 503, "no", {}, None)
+        code, text = [(400, b"25000 matching events exceeds search limit of 20000"), (413, b""), (400, b"bad parameter"), (404, b""), (503, b"")][len(seen) - 3]
+        raise urllib.error.HTTPError(url, code, "no", {}, io.BytesIO(text))
 
     monkeypatch.setattr("urllib.request.urlopen", answer)
     fetch = collector.HttpFetch("http://agency.example/query", EMSC.request_format)
     assert fetch(START, END) == [{"id": "a"}]
     assert fetch(START, END) == []
-    with pytest.raises(collector.WindowTooLarge):
-        fetch(START, END)
-    with pytest.raises(urllib.error.HTTPError):
-        fetch(START, END)
+    for error in (collector.WindowTooLarge,) * 2 + (collector.RequestRefused,) * 2 + (urllib.error.HTTPError,):
+        with pytest.raises(error):
+            fetch(START, END)
     url, timeout = seen[0]
     assert timeout == 30.0 and "format=json" in url
     assert "starttime=2025-01-01T00%3A00%3A00" in url and "endtime=2026-01-01" in url
 
 
+@pytest.mark.parametrize("record", [False, True])
+def test_a_wrong_request_is_asked_once(record):
+    calls = []
+
+    def refuse(start, end):
+        calls.append((start, end))
+        raise collector.RequestRefused("400: bad parameter")
+
+    policy = collector.RetryPolicy(attempts=3, pause_seconds=0.0, record_failures=record)
+    if record:
+        [(_, _, document, error)] = collector.fetch_window(refuse, START, END, policy)
+        assert document is None and "bad parameter" in error
+    else:
+        with pytest.raises(collector.RequestRefused):
+            list(collector.fetch_window(refuse, START, END, policy))
+    assert len(calls) == 1
+
+
+def test_the_raw_table_neither_loses_nor_doubles(spark, tmp_path):
+    path, log_path = str(tmp_path / "raw"), str(tmp_path / "log")
+    week = [START + timedelta(days=7 * i) for i in range(4)]
+
+    def run(rows):
+        """(window, part, id or None, error) of one collecting run; every window leaves a mark."""
+        marks = {(w, w, None, None) for w, *_ in rows}
+        found = [(w, w + timedelta(days=7), p, p + timedelta(days=1), i and json.dumps({"id": i}), e) for w, p, i, e in [*rows, *marks]]
+        log = collector.store_collected(spark.createDataFrame(found, schemas.COLLECTED), schemas.RAW_EMSC, path, log_path)
+        stored = sorted(r.id for r in spark.read.parquet(path).collect())
+        return stored, {r.window_start: (r.saved, r.error) for r in log.collect()}
+
+    split = [(week[0], week[0], "a", None), (week[0], week[0] + timedelta(days=3), "b", None)]
+    other = [(week[1], week[1], "c", None)]
+    assert run(split + other) == (["a", "b", "c"], {week[0]: (2, None), week[1]: (1, None)})
+    whole = [(week[0], week[0], "a", None), (week[0], week[0], "b", None)]
+    assert run(whole)[0] == ["a", "b", "c"]  # split, then whole
+    assert run(split)[0] == ["a", "b", "c"]  # whole, then split
+    failed = [(week[0], week[0], "a", None), (week[0], week[0] + timedelta(days=3), None, "lost")]
+    assert run(failed) == (["a", "b", "c"], {week[0]: (1, "lost")})  # what was stored stays
+    assert run([(week[1], week[1], None, None), (week[2], week[2], "d", None)])[0] == ["a", "b", "d"]
+    log = {r.window_start: r.error for r in spark.read.parquet(log_path).collect()}
+    assert log == {week[0]: "lost", week[1]: None, week[2]: None}
+
+
 def test_a_window_that_cannot_be_split_further_fails():
     def refuse(start, end):
         raise collector.WindowTooLarge("still too large")
@@ -155,7 +198,7 @@ def test_flattened_documents_equal_the_flat_catalogue(spark, sf_dir, tmp_path, a
 
 def test_raw_windows_are_replaced_not_added(spark, sf_dir, tmp_path):
     path = str(tmp_path / "raw")
-    catalogue = quakes(spark, sf_dir).withColumn("window_start", F.date_trunc("month", "time"))
+    catalogue = quakes(spark, sf_dir).withColumn("window", F.date_format("time", "yyyyMM"))
     tables.write_raw(catalogue, path)
     january = catalogue.where("month(time) = 1")
     tables.write_raw(january, path)
