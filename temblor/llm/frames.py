@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from temblor.lineage import scratch_path
 
-#: Sub-keys a hot key is split into. A key with a third of all rows becomes this many keys.
-SALTS = 256
+#: Sub-keys a hot key is split into. A key with a third of all rows becomes this many keys. At most
+#: 64, since the sub-keys that occur travel as the bits of one long.
+SALTS = 64
 
 #: Prefix of working columns, so that extra columns of the caller never clash with them.
 OWN = "__temblor_"
@@ -76,27 +77,36 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def group_values(
-    df: DataFrame, keys: list[str], spread: Column, values: dict[str, Callable]
+    df: DataFrame,
+    keys: list[str],
+    spread: Column,
+    values: dict[str, Callable],
+    having: Column | None = None,
 ) -> DataFrame:
     """``df`` with each column of ``values`` replaced by its ``F.min`` or ``F.max`` over the group.
 
     A plain join of rows with their group's aggregate sends all rows of a hot key to one task. Here
-    rows take one of ``SALTS`` sub-keys; the aggregate runs per sub-key, then per key, and comes
-    back to exactly the sub-keys that occur, so the join's largest group is 1/SALTS of a hot key and
-    its right side never has more rows than its left. Null keys form a group of their own.
+    rows take one of ``SALTS`` sub-keys; the aggregate, combined before its shuffle, also notes which
+    sub-keys occur and comes back to exactly those, so the join's largest group is 1/SALTS of a hot
+    key and its right side never has more rows than its left. Null keys form a group of their own.
+    ``having`` keeps the groups for which it holds; it may use the replaced columns.
     """
     salt, other = f"{OWN}salt", f"{OWN}r_"
     salted = df.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
     merged = [least(name).alias(name) for name, least in values.items()]
-    parts = salted.groupBy(*keys, salt).agg(*merged)
-    groups = parts.groupBy(*keys).agg(*merged, F.collect_set(salt).alias(salt))
+    bits = F.bit_or(F.expr(f"shiftleft(1L, {salt})")).alias(salt)
+    groups = salted.groupBy(*keys).agg(*merged, bits)
+    groups = groups if having is None else groups.where(having)
+    present = F.filter(
+        F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda s: F.call_function("getbit", F.col(salt), s) == 1
+    )
     right = groups.select(
-        *[F.col(k).alias(other + k) for k in (*keys, *values)], F.explode(salt).alias(other + salt)
+        *[F.col(k).alias(other + k) for k in (*keys, *values)], F.explode(present).alias(other + salt)
     )
     on = F.col(salt) == F.col(other + salt)
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(other + k))
-    out = salted.join(right, on, "left")
+    out = salted.join(right, on)
     return out.select(*[F.col(other + c).alias(c) if c in values else salted[c] for c in df.columns])
 
 

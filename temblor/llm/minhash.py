@@ -6,8 +6,8 @@ filled ones chosen by a universal hash of bin and attempt (optimal densification
 ``rows`` bins form a band, and documents that agree on a band fall into one bucket.
 
 A bucket of m documents gives at most 2 m candidate edges a round: from every member to the
-bucket's two hubs. First these are its first and last member in one global random order, which is
-the same in all buckets, so a cluster of copies has few hubs and few distinct edges. Every edge
+bucket's two hubs. First these are its first and last member in the order of document numbers,
+which is the same in all buckets, so a cluster of copies has few hubs and few distinct edges. Every edge
 whose set sizes allow the similarity is then checked on the full sets of both documents. What
 remains are buckets whose members lie in several components. In further rounds the hubs are the
 member with the smallest set and one drawn anew for each bucket and round, and only members of
@@ -169,21 +169,28 @@ def sketches(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
 
 
-def stars(members: DataFrame, bands: Bands, step: int = 0) -> DataFrame:
-    """Distinct candidate edges ``hub``, ``member`` from ``bucket``, ``doc``, ``n``, ``c``.
+def with_hubs(members: DataFrame, step: int = 0) -> DataFrame:
+    """``bucket``, ``doc``, ``n``, ``c`` of the buckets with more than one component ``c``, and their
+    two hubs ``low`` and ``high``.
 
-    Two hubs a bucket: at step 0 the first and last in a global order of documents, later the
+    At step 0 these are the first and last in the global order, by number, of documents; later the
     smallest set and a member drawn by bucket and step. Hubs come from mergeable aggregates, and a
-    hot bucket is split into sub-keys on the way back. Edges within a component ``c`` are left out.
+    hot bucket is split into sub-keys on the way back.
     """
-    first, last = F.xxhash64("doc", F.lit(17)), F.xxhash64("doc", F.lit(17))
+    first, last = F.col("doc"), F.col("doc")
     if step:
         first, last = F.col("n"), F.xxhash64("doc", "bucket", F.lit(step))
     hub = [F.col("doc").alias("d"), F.col("n").alias("m"), F.col("c").alias("c")]
-    ranked = members.withColumns({"low": F.struct(first.alias("o"), *hub), "high": F.struct(last.alias("o"), *hub)})
-    ends = group_values(ranked, ["bucket"], F.col("doc"), {"low": F.min, "high": F.max})
-    hubs = F.explode(F.array("low", "high")).alias("hub")
-    edges = ends.select("doc", "n", "c", hubs)
+    ranked = members.withColumns(
+        {"low": F.struct(first.alias("o"), *hub), "high": F.struct(last.alias("o"), *hub), "c0": F.col("c"), "c1": F.col("c")}
+    )
+    values = {"low": F.min, "high": F.max, "c0": F.min, "c1": F.max}
+    return group_values(ranked, ["bucket"], F.col("doc"), values, F.col("c0") != F.col("c1")).drop("c0", "c1")
+
+
+def stars(hubs: DataFrame, bands: Bands) -> DataFrame:
+    """Distinct candidate edges ``hub``, ``member`` between components whose set sizes allow them."""
+    edges = hubs.select("doc", "n", "c", F.explode(F.array("low", "high")).alias("hub"))
     possible = 100 * F.least("n", "hub.m") >= bands.percent * F.greatest("n", "hub.m")
     return edges.where((F.col("c") != F.col("hub.c")) & possible).select(
         F.col("hub.d").alias("hub"), F.col("doc").alias("member")
@@ -230,30 +237,32 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Large-star and small-star in turns, each round written to the shared folder, until nothing
     changes: neighbours move to the smallest one, so long chains shrink to stars in a number of
-    rounds logarithmic in their length. Only edges move; the driver sees one count a round.
+    rounds logarithmic in their length. Only edges move; the driver sees a count and two sums.
     """
     rows = written(
         edges.select(F.greatest("hub", "member").alias("u"), F.least("hub", "member").alias("v")).where("u <> v").distinct(), "edges"
     )
+    before = _fingerprint(rows)
     for _ in range(most_rounds):
         both = rows.union(rows.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = group_value(both, ["u"], F.col("v"), F.min, "v", "m")
-        large = written(
-            least.select("u", "v", F.least("m", "u").alias("m")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star"
-        )
+        large = least.where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         least = group_value(large, ["u"], F.col("v"), F.min, "v", "m")
-        small = written(
-            least.select("v", "m").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(least.select("u", F.col("m").alias("v"))).distinct(),
-            "small-star",
-        )
-        same = small.count() == rows.count() and small.join(rows, ["u", "v"], "left_anti").isEmpty()
-        rows = small
-        if same:
+        small = least.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        rows = written(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        after = _fingerprint(rows)
+        if after == before:
             return rows.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("doc"), "component")
+        before = after
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
+def _fingerprint(edges: DataFrame) -> tuple:
+    """Number and two sums of hashes of distinct edges: equal for equal tables in any order."""
+    hashes = [F.sum(F.xxhash64("u", "v", F.lit(i)).cast("decimal(38,0)")) for i in (1, 2)]
+    return tuple(edges.agg(F.count(F.lit(1)), *hashes).first())
+
+
 def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs``.
 
@@ -272,30 +281,34 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         classes = written(group_value(whole, ["set_key"], F.col("doc_id"), F.min, "doc_id", "class"), "classes")
         leaders = classes.where(F.col("doc_id") == F.col("class"))
         members = leaders.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("keys").alias("bucket"))
-        # buckets of one leader give no candidates; their rows go before anything else is done
-        shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
         texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "text")
-        open_members = written(members.join(shared, "bucket", "left_semi"), "buckets")
+        # buckets of one leader give no candidates; their rows go with the search for hubs
+        hubs = written(with_hubs(members.withColumn("c", F.col("doc"))), "buckets")
         links, tried, found = None, None, None
-        open_members = open_members.withColumn("c", F.col("doc"))
         step = idle = 0
-        while idle < bands.patience:
-            edges = stars(open_members, bands, step)
+        while True:
+            edges = stars(hubs, bands)
             if tried is not None:
                 edges = edges.join(tried, ["hub", "member"], "left_anti")
             edges = written(edges, "candidates")
-            step += 1
             if edges.isEmpty():
                 break
             tried = edges if tried is None else tried.union(edges)
             new = written(confirm(edges, texts, bands), "links")
             if new.isEmpty():
                 idle += 1
-                continue
-            idle = 0
-            links = new if links is None else links.union(new)
-            found = written(components(links), "components")
-            open_members = written(_mixed_buckets(open_members, found), "buckets")
+                if idle >= bands.patience:
+                    break
+            else:
+                idle = 0
+                links = new if links is None else links.union(new)
+                found = written(components(links), "components")
+            step += 1
+            members = hubs.drop("low", "high", "c") if found is not None else hubs.drop("low", "high")
+            if found is not None:
+                members = members.join(found.select("doc", F.col("component").alias("c")), "doc", "left")
+                members = members.withColumn("c", F.coalesce("c", "doc"))
+            hubs = written(with_hubs(members, step), "buckets")
         named = classes.select("doc_id", F.col("class").alias("doc"))
         if found is not None:
             named = named.join(found, "doc", "left").select("doc_id", F.coalesce("component", "doc").alias("component"))
@@ -311,14 +324,6 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         return result(out, "near-duplicates")
 
 
-def _mixed_buckets(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one component, with their component."""
-    own = members.drop("c").join(found.select("doc", F.col("component").alias("c")), "doc", "left")
-    own = own.select("bucket", "doc", "n", F.coalesce("c", "doc").alias("c"))
-    mixed = own.groupBy("bucket").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("bucket")
-    return own.join(mixed, "bucket", "left_semi")
-
-
 def keep_one(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """The rows of ``docs`` that stand for their group, with their columns.
 
