@@ -1,7 +1,8 @@
-"""Clustering with Spark ML: train on a bounded sample, label every row, evaluate.
+"""Clustering with Spark ML: train, label every row, evaluate.
 
-Training rows come from the undersample, so their number is bounded by cap x strata. They are
-written to the shared folder once; every fit of a sweep reads that table, not the source.
+Models are fitted on all rows unless the caller names a cap per stratum. The columns a feature set
+needs are written to the shared folder once; scaling, sampling, fits, labels and silhouettes read
+that narrow table, so the source is scanned once whatever is done with it.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from py4j.protocol import Py4JJavaError
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors.exceptions.base import PySparkException
+from pyspark.ml import Model
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -23,7 +25,13 @@ from pyspark.sql import functions as F
 
 from temblor import schemas
 from temblor.lineage import materialised
-from temblor.operators.features import FEATURE_SETS, fit_features, shift_vector, vector_size
+from temblor.operators.features import (
+    FEATURE_SETS,
+    arrays_to_vectors,
+    fit_features,
+    shift_vector,
+    vector_size,
+)
 from temblor.operators.sampling import undersample
 
 log = logging.getLogger(__name__)
@@ -48,11 +56,12 @@ ALGORITHMS = {
 }
 RULE_TITLE = "Custom Hazard (Rule-Based)"
 _SHIFTED = "_shifted_features"
+_STORED = "scaled_features"
 
 
 @dataclass(frozen=True)
 class ModelFrames:
-    """All rows with features, and the rows to train on."""
+    """All rows with features, and the rows to train on; both live as long as their block."""
 
     everything: DataFrame
     training: DataFrame
@@ -66,7 +75,7 @@ def model_frame(df: DataFrame, feature_set: str) -> DataFrame:
     """
     chosen = FEATURE_SETS[feature_set]
     names = dict.fromkeys([*schemas.CORE_COLUMNS, *chosen.columns])
-    extra = [name for name in df.columns if name not in names and name in ("id", "auth")]
+    extra = [name for name in df.columns if name not in names and name in ("id", "auth", _STORED)]
     return df.select(*extra, *names).dropna(subset=list(chosen.measures))
 
 
@@ -76,23 +85,31 @@ def model_frames(
     feature_set: str,
     key: Sequence[str],
     strata: str = "country",
-    cap: int = 5000,
+    cap: int | None = None,
     seed: int = 42,
+    refit: bool = True,
 ) -> Iterator[ModelFrames]:
-    """Frames for one feature set; the training table lives as long as the block.
+    """Frames for one feature set, over one stored narrow table.
 
-    Scaling is fitted on all rows, before undersampling.
+    Scaling is fitted on all rows, before any undersampling to ``cap`` rows per stratum. With
+    ``refit=False`` the rows' stored ``scaled_features`` are the features as they are.
     """
-    rows = model_frame(df, feature_set)
-    transformer = fit_features(rows, feature_set)
-    needed = list(dict.fromkeys([strata, *key, *FEATURE_SETS[feature_set].columns]))
-    chosen = undersample(rows.select(*needed), strata, cap, key, seed)
-    with materialised(chosen, f"training-{feature_set}") as training:
-        raw = "features_raw"
-        yield ModelFrames(
-            everything=transformer.transform(rows).drop(raw),
-            training=transformer.transform(training).select("features"),
-        )
+    with materialised(model_frame(df, feature_set), f"model-{feature_set}") as rows:
+        if refit:
+            transformer = fit_features(rows, feature_set)
+            everything = transformer.transform(rows).drop("features_raw")
+        else:
+            everything = arrays_to_vectors(rows, {"features": _STORED})
+        if cap is None:
+            training = everything
+        else:
+            training = undersample(rows, strata, cap, key, seed)
+            training = (
+                transformer.transform(training)
+                if refit
+                else arrays_to_vectors(training, {"features": _STORED})
+            )
+        yield ModelFrames(everything=everything, training=training.select("features"))
 
 
 def fit(training: DataFrame, algorithm: str, k: int, seed: int = 42, max_iter: int | None = None):
@@ -135,21 +152,30 @@ def label_rows(df: DataFrame, model, algorithm: str) -> DataFrame:
     return model.transform(_prepared(df, chosen)).drop(_SHIFTED, "probability")
 
 
-def cluster(
+@dataclass(frozen=True)
+class Labelled:
+    rows: DataFrame
+    model: Model
+    training: DataFrame
+
+
+@contextmanager
+def clustered(
     df: DataFrame,
     algorithm: str,
     k: int,
     feature_set: str,
     key: Sequence[str],
     strata: str = "country",
-    cap: int = 5000,
+    cap: int | None = None,
     seed: int = 42,
     max_iter: int | None = None,
-) -> DataFrame:
-    """Train on the undersample, label all rows of ``df``."""
-    with model_frames(df, feature_set, key, strata, cap, seed) as frames:
+    refit: bool = True,
+) -> Iterator[Labelled]:
+    """All rows with their cluster, the model, and what it was trained on, within a block."""
+    with model_frames(df, feature_set, key, strata, cap, seed, refit) as frames:
         model = fit(frames.training, algorithm, k, seed, max_iter)
-        return label_rows(frames.everything, model, algorithm)
+        yield Labelled(label_rows(frames.everything, model, algorithm), model, frames.training)
 
 
 def silhouette(df: DataFrame, label: str, features: str = "features") -> float | None:
@@ -170,23 +196,18 @@ def silhouette(df: DataFrame, label: str, features: str = "features") -> float |
 
 
 def silhouettes(
-    df: DataFrame, labels: Sequence[str], features: str = "features", max_clusters: int = 1000
+    df: DataFrame, labels: Sequence[str], features: str = "features"
 ) -> dict[str, float | None]:
     """The silhouette of several labelings of the same rows, in two passes for all of them.
 
-    The mean squared distance of a row to a cluster follows from the cluster's size, sum and
-    mean squared norm. One pass gathers these, one row per cluster; a second scores every row
-    against them. A row alone in its cluster scores 0. More than ``max_clusters`` clusters in
-    all are refused, since their means travel with every task.
+    The mean squared distance of a row to a cluster follows from the cluster's size, mean and mean
+    squared norm. One pass gathers these, one row per cluster, as many as the caller chose; a second
+    scores every row against an array of them. A row alone in its cluster scores 0.
     """
     width = vector_size(df, features)
-    rows = df.select(*labels, vector_to_array(features).alias("v"))
-    values = [F.get("v", F.lit(i)) for i in range(width)]
-    norm = sum((value * value for value in values), F.lit(0.0))
-    points = rows.select(
-        *labels, *(value.alias(f"v{i}") for i, value in enumerate(values)), norm.alias("norm")
+    points = df.select(*labels, vector_to_array(features).alias("v")).withColumn(
+        "norm", _dot(F.col("v"), F.col("v"))
     )
-    names = [f"v{i}" for i in range(width)]
     named = [
         F.struct(F.lit(label).alias("label"), F.col(label).cast("int").alias("cluster"))
         for label in labels
@@ -194,40 +215,55 @@ def silhouettes(
     groups = (
         points.withColumn("of", F.explode(F.array(*named)))
         .groupBy("of.label", "of.cluster")
-        .agg(F.count("*").alias("n"), F.avg("norm").alias("norm"), *(F.avg(v).alias(v) for v in names))
-        .limit(max_clusters + 1)
+        .agg(
+            F.count("*").alias("n"),
+            F.avg("norm").alias("norm"),
+            F.array(*(F.avg(F.get("v", F.lit(i))) for i in range(width))).alias("mean"),
+        )
         .collect()
     )
-    if len(groups) > max_clusters:
-        raise ValueError(f"more than {max_clusters} clusters in {list(labels)}")
     clusters = {label: [g for g in groups if g["label"] == label] for label in labels}
     scored = {label: found for label, found in clusters.items() if len(found) > 1}
     for label in set(clusters) - set(scored):
         log.warning("no silhouette: %s has fewer than two clusters", label)
     if not scored:
         return {label: None for label in labels}
-    averages = [
-        F.avg(_row_score(label, found, names)).alias(label) for label, found in scored.items()
-    ]
+    averages = [F.avg(_row_score(label, found)).alias(label) for label, found in scored.items()]
     means = points.agg(*averages).head().asDict()
     return {label: means.get(label) for label in labels}
 
 
-def _row_score(label: str, clusters: list, names: list[str]) -> Column:
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+
+
+def _row_score(label: str, clusters: list) -> Column:
     """Silhouette of a row from its distances to the given clusters."""
-    own, others = F.lit(None).cast("double"), []
-    for found in clusters:
-        product = sum((F.col(v) * found[v] for v in names), F.lit(0.0))
-        distance = F.col("norm") + found["norm"] - 2 * product
-        is_own = F.col(label) == found["cluster"]
-        n = found["n"]
-        within = distance * (n / (n - 1)) if n > 1 else F.lit(None).cast("double")
-        own = F.when(is_own, within).otherwise(own)
-        others.append(F.when(~is_own, distance))
-    nearest = F.least(*others)
+    known = F.array(
+        *(
+            F.struct(
+                F.lit(c["cluster"]).alias("cluster"),
+                F.lit(c["n"]).alias("n"),
+                F.lit(c["norm"]).alias("norm"),
+                F.array(*(F.lit(m) for m in c["mean"])).alias("mean"),
+            )
+            for c in clusters
+        )
+    )
+    far = F.transform(
+        known,
+        lambda c: F.struct(
+            (c["cluster"] == F.col(label)).alias("own"),
+            c["n"].alias("n"),
+            (F.col("norm") + c["norm"] - 2 * _dot(F.col("v"), c["mean"])).alias("far"),
+        ),
+    )
+    own = F.get(F.filter(far, lambda d: d["own"]), F.lit(0))
+    within = F.when(own["n"] > 1, own["far"] * own["n"] / (own["n"] - 1))
+    nearest = F.array_min(F.transform(F.filter(far, lambda d: ~d["own"]), lambda d: d["far"]))
     return (
-        F.when(own < nearest, 1 - own / nearest)
-        .when(own > nearest, nearest / own - 1)
+        F.when(within < nearest, 1 - within / nearest)
+        .when(within > nearest, nearest / within - 1)
         .otherwise(F.lit(0.0))
     )
 
@@ -239,19 +275,34 @@ def elbow_sweep(
     max_iter: int = 25,
 ) -> DataFrame:
     """Within-cluster cost and silhouette per k, for the caller to choose k."""
-    jobs = {f"k{k}": Fit("kmeans", k, max_iter) for k in ks}
-    models = fit_many(training, jobs, seed)
-    labelled = training
-    for name, model in models.items():
-        labelled = label_rows(labelled, model.setPredictionCol(name), "kmeans")
+    labelled, models = swept(training, ks, seed, max_iter)
     scores = silhouettes(labelled, list(models))
     rows = [
-        (jobs[name].k, float(model.summary.trainingCost), scores[name])
+        (model.getK(), float(model.summary.trainingCost), scores[name])
         for name, model in models.items()
     ]
     return training.sparkSession.createDataFrame(rows, schemas.ELBOW)
 
 
+def swept(
+    training: DataFrame, ks: Sequence[int], seed: int = 42, max_iter: int = 25
+) -> tuple[DataFrame, dict]:
+    """``training`` with a label column per k, and the models by that column's name.
+
+    The fits share one kept copy of the features, which goes once they are done.
+    """
+    jobs = {f"k{k}": Fit("kmeans", k, max_iter) for k in ks}
+    kept = training.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        models = fit_many(kept, jobs, seed)
+    finally:
+        kept.unpersist()
+    labelled = training
+    for name, model in models.items():
+        labelled = label_rows(labelled, model.setPredictionCol(name), "kmeans")
+    return labelled, models
+
+
 def model_metrics(
     spark: SparkSession,
     scores: dict[str, float | None],

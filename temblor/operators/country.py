@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from temblor.functions.risk import COUNTRY_GROUP_LABELS, COUNTRY_GROUP_NOTES, country_risk
-from temblor.lineage import materialise
 from temblor.operators.clean import drop_blank_country
 from temblor.operators.eda import top_k
 from temblor.operators.features import features
@@ -76,10 +75,11 @@ def country_risk_clusters(profile: DataFrame, seed: int = 42, max_iter: int = 25
     """Countries in four K-Means groups of similar profile, with a label per group.
 
     K-Means numbers its clusters arbitrarily, so they are ranked before labels attach: the
-    cluster with the deepest events takes the deep group, the others go by mean event count.
+    cluster with the deepest events takes the deep group, the others go by mean event count. The
+    profile is read several times, so pass a stored one.
     """
     spark = profile.sparkSession
-    vectors = features(materialise(profile, "country-profile"), "country")
+    vectors = features(profile, "country")
     model = KMeans(
         k=len(COUNTRY_GROUP_LABELS),
         seed=seed,

@@ -194,6 +194,24 @@ SELECT {_text(RULE_TITLE)} AS model,
        round(avg(CASE WHEN m = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END), 6)
        AS silhouette FROM e"""
 
+
+def _model(clusters: int, table: str = "n", extra: str = "") -> str:
+    """What a right labeling gives whatever its cluster numbers are."""
+    return f"""
+SELECT count(*) AS rows, CAST({clusters} AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced,
+       TRUE AS silhouette_agrees, TRUE AS fit_agrees{extra} FROM {table}"""
+
+
+def _map_sample(limit: int) -> str:
+    return f"""
+SELECT longitude, latitude, mag, depth, TRUE AS "right" FROM n
+WHERE substr({_HASH}, 1, 8) < '33333333' ORDER BY {_HASH}, id LIMIT {limit}"""
+
+
+_USGS = f"""
+, u AS (SELECT DISTINCT time, latitude, longitude, depth, mag, place, {_country_usgs("place")} AS country,
+               {_DERIVED} FROM quakes WHERE {_VALID_USGS})"""
+
 _CLEAN_EMSC = "time, latitude, longitude, depth, mag, place"
 
 ORACLE: dict[str, str] = {
@@ -310,5 +328,53 @@ UNION ALL SELECT country, total, risk_class, 'high', high FROM t""",
 SELECT country, count(*) AS quake_count, round(avg(depth), 6) AS avg_depth,
        round(avg(mag), 6) AS avg_mag, max(mag) AS max_mag FROM n WHERE {_NAMED} GROUP BY country""",
         "silhouette_rule": _SILHOUETTE,
+        "country_risk_clusters": f"""
+SELECT country, count(*) AS quake_count, round(avg(depth), 6) AS avg_depth, TRUE AS ranked,
+       TRUE AS labelled FROM n WHERE {_NAMED} GROUP BY country""",
+        "kmeans_spatial": _model(8),
+        "kmeans_hazard": _model(4),
+        "kmeans_hazard3": _model(3),
+        "kmeans_physical5": _model(8),
+        "bisecting_spatial": _model(8),
+        "bisecting_hazard": _model(4),
+        "bisecting_hazard3": _model(3),
+        "gmm_physical5": _model(8),
+        "elbow_hazard": """
+SELECT CAST(k AS INTEGER) AS k, CAST(k AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced,
+       TRUE AS cost_agrees, TRUE AS silhouette_agrees FROM (SELECT unnest(range(2, 11)) AS k)""",
+        "cluster_map_sample": _map_sample(5000),
+        "bisecting_map_sample": _map_sample(500),
+        "gmm_map_sample": _map_sample(500),
+        "rule_profile_sample": f"""
+SELECT mag, depth, hazard_cluster FROM h WHERE substr({_HASH}, 1, 8) < '80000000'
+ORDER BY {_HASH}, id LIMIT 10000""",
+        "model_metrics": f"""
+{_SILHOUETTE.replace("SELECT " + _text(RULE_TITLE) + " AS model,", ", w AS (SELECT")} )
+SELECT t.algorithm, 3 AS k, TRUE AS silhouette_agrees,
+       CASE WHEN t.algorithm = {_text(RULE_TITLE)} THEN w.silhouette END AS rule_silhouette
+FROM w, (VALUES ('K-Means'), ('Bisecting K-Means'), ({_text(RULE_TITLE)})) AS t(algorithm)""",
+        "model_comparison": """
+SELECT t.model, TRUE AS silhouette_agrees, TRUE AS best_first
+FROM (VALUES ('K-Means'), ('Bisecting K-Means'), ('Gaussian Mixture Model')) AS t(model)""",
+        "top_regions_usgs": f"""{_USGS}
+SELECT country, count(*) AS quake_count FROM u WHERE {_NAMED} GROUP BY country {_TOP}""",
+        "monthly_trend_usgs": f"""{_USGS}
+SELECT {_MONTH} AS month, count(*) AS quake_count, round(avg(mag), 2) AS avg_magnitude
+FROM u WHERE mag >= 2.5 AND {_MONTH} <= '2025-10' GROUP BY 1""",
+        "describe_usgs": f"{_USGS} " + _describe().replace(" FROM n", " FROM u"),
+        "kmeans_usgs": f"{_USGS} " + _model(8, "u WHERE mag >= 2.5"),
+        "kmeans_stored_features": f"""{_USGS},
+z AS (SELECT *, (mag - avg(mag) OVER ()) / stddev_samp(mag) OVER () AS scaled FROM u)"""
+        + _model(8, "z WHERE mag >= 2.5", ", round(avg(scaled), 6) AS avg_scaled_mag"),
+        "eda_summary_stored": _eda_summary(),
+        "metrics_stored": f"""
+{_SILHOUETTE.replace("SELECT " + _text(RULE_TITLE) + " AS model,", ", w AS (SELECT")} )
+SELECT run AS run_id, 'hazard' AS feature_set, {_text(RULE_TITLE)} AS algorithm, 3 AS k, w.silhouette
+FROM w, (VALUES ('a'), ('b')) AS t(run)""",
+        "labelled_stored": """
+SELECT country, count(*) AS events, count(*) AS labelled, max(mag) AS max_mag FROM n GROUP BY country""",
+        "hazard_stored": """
+SELECT hazard_cluster, cluster_name, country, count(*) AS events, min(time) AS first,
+       round(avg(depth), 6) AS avg_depth FROM h GROUP BY 1, 2, 3""",
     }.items()
 }

@@ -16,8 +16,18 @@ from pyspark.sql import types as T
 from temblor import schemas
 from temblor.functions.geo import marker_radius
 from temblor.functions.regions import normalise_country_emsc, normalise_country_usgs
-from temblor.lineage import remove_path, scratch_path
-from temblor.operators import clean, clustering, country, distribution, eda, hazard, sampling
+from temblor.functions.risk import COUNTRY_GROUP_LABELS
+from temblor.lineage import materialised, remove_path, scratch_path
+from temblor.operators import (
+    clean,
+    clustering,
+    country,
+    distribution,
+    eda,
+    hazard,
+    sampling,
+    validation,
+)
 from temblor.operators.features import FEATURE_SETS, features
 from temblor.plans import stages
 from temblor.plans.agencies import EMSC, USGS
@@ -443,59 +453,130 @@ def country_profile(spark, sf_dir):
 
 @query
 def country_risk_clusters(spark, sf_dir):
-    return country.country_risk_clusters(country.country_profile(placed_quakes(spark, sf_dir)))
+    """Countries with their risk group, and whether groups are ranked and labelled as they should."""
+    with materialised(country.country_profile(placed_quakes(spark, sf_dir)), "profile") as profile:
+        rows = country.country_risk_clusters(profile).collect()
+    mean = {}
+    for group in {row["risk_group"] for row in rows}:
+        own = [row for row in rows if row["risk_group"] == group]
+        mean[group] = [sum(r[c] for r in own) / len(own) for c in ("quake_count", "avg_depth")]
+    by_count = [mean[g][0] for g in (0, 1, 3) if g in mean]
+    ranked = max(mean, key=lambda g: mean[g][1]) == 2 and by_count == sorted(by_count, reverse=True)
+    labels = {code: label for code, (label, _) in COUNTRY_GROUP_LABELS.items()}
+    found = [
+        (r["country"], r["quake_count"], round(r["avg_depth"], 6), ranked, labels[r["risk_group"]] == r["risk_label"])
+        for r in rows
+    ]
+    schema = "country string, quake_count bigint, avg_depth double, ranked boolean, labelled boolean"
+    return spark.createDataFrame(found, schema)
 
 
 # Clustering
 
 
-def _profile(spark, sf_dir, algorithm, k, feature_set):
-    rows = clustering.cluster(placed_quakes(spark, sf_dir), algorithm, k, feature_set, KEY)
-    return eda.cluster_profile(rows, clustering.ALGORITHMS[algorithm].label)
+def _checked(events, algorithm, k, feature_set, key=KEY, **options):
+    """Fits on all rows, labels all rows, and holds the labels against what makes them right."""
+    with clustering.clustered(events, algorithm, k, feature_set, key, **options) as found:
+        return validation.check_model(found, algorithm)
 
 
 @query
 def kmeans_spatial(spark, sf_dir):
-    return _profile(spark, sf_dir, "kmeans", 8, "spatial")
+    return _checked(placed_quakes(spark, sf_dir), "kmeans", 8, "spatial")
 
 
 @query
 def kmeans_hazard(spark, sf_dir):
-    return _profile(spark, sf_dir, "kmeans", 4, "hazard")
+    return _checked(placed_quakes(spark, sf_dir), "kmeans", 4, "hazard")
+
+
+@query
+def kmeans_hazard3(spark, sf_dir):
+    return _checked(placed_quakes(spark, sf_dir), "kmeans", 3, "hazard", max_iter=25)
 
 
 @query
 def kmeans_physical5(spark, sf_dir):
-    return _profile(spark, sf_dir, "kmeans", 8, "physical5")
+    return _checked(placed_quakes(spark, sf_dir), "kmeans", 8, "physical5")
 
 
 @query
 def bisecting_spatial(spark, sf_dir):
-    return _profile(spark, sf_dir, "bisecting", 8, "spatial")
+    return _checked(placed_quakes(spark, sf_dir), "bisecting", 8, "spatial")
 
 
 @query
 def bisecting_hazard(spark, sf_dir):
-    return _profile(spark, sf_dir, "bisecting", 4, "hazard")
+    return _checked(placed_quakes(spark, sf_dir), "bisecting", 4, "hazard")
+
+
+@query
+def bisecting_hazard3(spark, sf_dir):
+    return _checked(placed_quakes(spark, sf_dir), "bisecting", 3, "hazard", max_iter=25)
 
 
 @query
 def gmm_physical5(spark, sf_dir):
-    return _profile(spark, sf_dir, "gmm", 8, "physical5")
+    return _checked(placed_quakes(spark, sf_dir), "gmm", 8, "physical5")
 
 
 @query
 def elbow_hazard(spark, sf_dir):
+    """The sweep, each k with its clusters, misplaced rows, and whether cost and silhouette agree."""
     with clustering.model_frames(placed_quakes(spark, sf_dir), "hazard", KEY) as frames:
-        return clustering.elbow_sweep(frames.training)
+        rows, models = clustering.swept(frames.training, range(2, 11))
+        scores = clustering.silhouettes(rows, list(models))
+        sums = rows
+        for name, model in models.items():
+            sums = validation.well_placed(sums, name, model, "kmeans", f"{name}_right")
+        counts = sums.agg(
+            *(F.count_distinct(name).alias(name) for name in models),
+            *(F.count(F.when(~F.col(f"{name}_right"), 1)).alias(f"{name}_wrong") for name in models),
+        ).head()
+        found = [
+            (
+                model.getK(), counts[name], counts[f"{name}_wrong"],
+                validation.cost_agrees(model, frames.training),
+                abs(scores[name] - clustering.silhouette(rows, name)) < 1e-6,
+            )
+            for name, model in models.items()
+        ]
+    schema = "k int, clusters bigint, misplaced bigint, cost_agrees boolean, silhouette_agrees boolean"
+    return spark.createDataFrame(found, schema)
+
+
+def _map_sample(spark, sf_dir, algorithm, k, feature_set, limit):
+    """Labelled events for a cluster map: a bounded sample, each with whether its label is right."""
+    with clustering.clustered(placed_quakes(spark, sf_dir), algorithm, k, feature_set, KEY) as found:
+        label = clustering.ALGORITHMS[algorithm].label
+        if algorithm == "bisecting":
+            rows = validation.in_its_leaf(found.rows, label, found.model).withColumnRenamed("_right", "right")
+        else:
+            rows = validation.well_placed(found.rows, label, found.model, algorithm, "right")
+        columns = ["longitude", "latitude", "mag", "depth", "right"]
+        return collected_rows(sampling.plot_sample(rows, columns, KEY, limit=limit))
 
 
 @query
 def cluster_map_sample(spark, sf_dir):
-    """Labelled events for a cluster map: a bounded sample."""
-    rows = clustering.cluster(placed_quakes(spark, sf_dir), "kmeans", 8, "spatial", KEY)
-    columns = ["longitude", "latitude", "kmeans_cluster", "mag", "depth"]
-    return sampling.plot_sample(rows, columns, KEY)
+    return _map_sample(spark, sf_dir, "kmeans", 8, "spatial", 5000)
+
+
+@query
+def bisecting_map_sample(spark, sf_dir):
+    return _map_sample(spark, sf_dir, "bisecting", 8, "spatial", 500)
+
+
+@query
+def gmm_map_sample(spark, sf_dir):
+    return _map_sample(spark, sf_dir, "gmm", 8, "physical5", 500)
+
+
+@query
+def rule_profile_sample(spark, sf_dir):
+    """Events with their hazard class for a profile chart: up to 10,000."""
+    rows = hazard.classify_hazard(placed_quakes(spark, sf_dir))
+    return sampling.plot_sample(rows, ["mag", "depth", "hazard_cluster"], KEY, fraction=0.5, limit=10_000)
 
 
 @query
@@ -508,15 +589,138 @@ def silhouette_rule(spark, sf_dir):
     return _rounded(table, ["silhouette"], 6)
 
 
+def _scores(done, titles):
+    """Each algorithm's silhouette as reported, and whether Spark's evaluator gives the same."""
+    reported = {row["algorithm"]: row["silhouette"] for row in done.metrics.collect()}
+    return {
+        title: (reported[title], abs(reported[title] - clustering.silhouette(done.rows, label)) < 1e-6)
+        for label, title in titles.items()
+    }
+
+
 @query
 def model_metrics(spark, sf_dir):
-    return stages.rule_metrics(placed_quakes(spark, sf_dir), KEY, run_id="registered")
+    titles = {clustering.ALGORITHMS[name].label: clustering.ALGORITHMS[name].title for name in ("kmeans", "bisecting")}
+    titles["hazard_cluster"] = clustering.RULE_TITLE
+    with stages.rule_analysis(placed_quakes(spark, sf_dir), KEY, run_id="registered") as done:
+        scores = _scores(done, titles)
+    rows = [
+        (title, 3, same, round(score, 6) if title == clustering.RULE_TITLE else None)
+        for title, (score, same) in scores.items()
+    ]
+    return spark.createDataFrame(rows, "algorithm string, k int, silhouette_agrees boolean, rule_silhouette double")
 
 
 @query
 def model_comparison(spark, sf_dir):
-    done = stages.analyse(
-        placed_quakes(spark, sf_dir), "physical5", 8, KEY, "registered",
-        algorithms=("kmeans", "bisecting", "gmm"),
+    names = ("kmeans", "bisecting", "gmm")
+    titles = {clustering.ALGORITHMS[name].label: clustering.ALGORITHMS[name].title for name in names}
+    with stages.analyse(placed_quakes(spark, sf_dir), "physical5", 8, KEY, "registered", names) as done:
+        scores = _scores(done, titles)
+        order = [row["silhouette"] for row in clustering.model_comparison(done.metrics).collect()]
+    best_first = order == sorted(order, reverse=True)
+    rows = [(title, same, best_first) for title, (_, same) in scores.items()]
+    return spark.createDataFrame(rows, "model string, silhouette_agrees boolean, best_first boolean")
+
+
+# The other agency
+
+
+def _usgs(spark, sf_dir):
+    return stages.clean_events(raw_usgs(quakes(spark, sf_dir)), USGS)
+
+
+@query
+def top_regions_usgs(spark, sf_dir):
+    return eda.top_regions(_usgs(spark, sf_dir), drop_null=True, drop_blank=True)
+
+
+@query
+def monthly_trend_usgs(spark, sf_dir):
+    strong = clean.filter_min_mag(_usgs(spark, sf_dir), 2.5)
+    return eda.monthly_trend(clean.filter_period(strong, before="2025-11-01"), with_mag=True)
+
+
+@query
+def describe_usgs(spark, sf_dir):
+    wide = eda.describe_features(_usgs(spark, sf_dir), exact=True)
+    return wide.select(
+        "summary",
+        *(F.round(F.col(name).cast("double"), 6).alias(name) for name in eda.SUMMARY_COLUMNS),
+    )
+
+
+@query
+def kmeans_usgs(spark, sf_dir):
+    strong = clean.filter_min_mag(_usgs(spark, sf_dir), 2.5)
+    return _checked(strong, "kmeans", 8, "physical5", USGS.event_key)
+
+
+@query
+def kmeans_stored_features(spark, sf_dir):
+    """On the clean table's stored features, as they are; only strong events, so scaling them anew
+    would give other ones."""
+    path = scratch_path(spark, "clean")
+    stages.build_clean_table(raw_usgs(quakes(spark, sf_dir)), USGS, path)
+    stored = tables.read_events(spark, USGS.clean_schema, path)
+    strong = clean.filter_min_mag(stored, 2.5)
+    with clustering.clustered(strong, "kmeans", 8, "physical5", USGS.event_key, refit=False) as found:
+        checked = validation.check_model(found, "kmeans")
+        v = vector_to_array("features")
+        means = found.rows.agg(F.round(F.avg(F.get(v, F.lit(4))), 6).alias("avg_scaled_mag")).head()
+    return collected_rows(checked.withColumn("avg_scaled_mag", F.lit(means["avg_scaled_mag"])), path)
+
+
+# Tables written and read back
+
+
+@query
+def eda_summary_stored(spark, sf_dir):
+    path = scratch_path(spark, "eda")
+    tables.write_table(eda.eda_summary(clean_quakes(spark, sf_dir), exact=True), path)
+    stored = spark.read.parquet(path)
+    rows = stored.select("feature", "metric", F.round(F.col("value").cast("double"), 6).alias("value_num"))
+    return collected_rows(rows, path)
+
+
+@query
+def metrics_stored(spark, sf_dir):
+    """Metrics of two runs, one of them written again: the table holds each run once."""
+    path = scratch_path(spark, "metrics")
+    events = placed_quakes(spark, sf_dir)
+    for run in ("a", "b", "a"):
+        table = clustering.model_metrics(spark, {clustering.RULE_TITLE: _rule_score(events)}, 3, "hazard", run)
+        tables.write_metrics(table, path)
+    stored = tables.read_events(spark, schemas.METRICS, path)
+    return collected_rows(_rounded(stored, ["silhouette"], 6), path)
+
+
+def _rule_score(events):
+    return clustering.silhouette(features(hazard.classify_hazard(events), "hazard"), "hazard_cluster")
+
+
+@query
+def labelled_stored(spark, sf_dir):
+    """K-Means labels written as the labelled table and read back: events per country, all labelled."""
+    path = scratch_path(spark, "labelled")
+    with stages.analyse(placed_quakes(spark, sf_dir), "spatial", 8, KEY, "r", ("kmeans",)) as done:
+        tables.write_table(done.labelled["kmeans"], path)
+    stored = spark.read.parquet(path)
+    counts = stored.groupBy("country").agg(
+        F.count("*").alias("events"),
+        F.count(F.when(F.col("kmeans_cluster").between(0, 7), 1)).alias("labelled"),
+        F.max("mag").alias("max_mag"),
+    )
+    return collected_rows(counts, path)
+
+
+@query
+def hazard_stored(spark, sf_dir):
+    """The rule's result written and read back: events per class and country."""
+    path = scratch_path(spark, "hazard")
+    tables.write_table(stages.hazard_table(placed_quakes(spark, sf_dir)), path)
+    stored = spark.read.parquet(path)
+    counts = stored.groupBy("hazard_cluster", "cluster_name", "country").agg(
+        F.count("*").alias("events"), F.min("time").alias("first"), F.round(F.avg("depth"), 6).alias("avg_depth")
     )
-    return clustering.model_comparison(done.metrics)
+    return collected_rows(counts, path)

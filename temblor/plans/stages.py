@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -61,13 +62,16 @@ def _with_features(distinct: DataFrame, agency: Agency) -> DataFrame:
 
 @dataclass(frozen=True)
 class Analysis:
-    """Labelled rows per algorithm, the elbow table and the metrics of one feature set."""
+    """Labelled rows per algorithm, the elbow table and the metrics of one feature set, and all
+    rows with features and every label. Readable within the block of ``analyse``."""
 
     labelled: dict[str, DataFrame]
     elbow: DataFrame | None
     metrics: DataFrame
+    rows: DataFrame
 
 
+@contextmanager
 def analyse(
     events: DataFrame,
     feature_set: str,
@@ -76,20 +80,25 @@ def analyse(
     run_id: str,
     algorithms: Sequence[str] = ("kmeans", "bisecting"),
     sweep: Sequence[int] = (),
-    cap: int = 5000,
+    cap: int | None = None,
     seed: int = 42,
     max_iter: int | None = None,
-) -> Analysis:
-    """Fit several algorithms on one training table, label all rows, score the labels."""
-    with clustering.model_frames(events, feature_set, key, cap=cap, seed=seed) as frames:
+    refit: bool = True,
+) -> Iterator[Analysis]:
+    """Fit several algorithms on one table, label all rows, score the labels.
+
+    ``events`` is read once; everything else reads the stored model frame, which goes when the
+    block ends. Without ``cap`` the fits use all rows.
+    """
+    with clustering.model_frames(events, feature_set, key, cap=cap, seed=seed, refit=refit) as frames:
         elbow = clustering.elbow_sweep(frames.training, sweep, seed) if sweep else None
         rows = _label_all(frames, algorithms, k, seed, max_iter)
-    used = {name: clustering.ALGORITHMS[name] for name in algorithms}
-    found = clustering.silhouettes(rows, [chosen.label for chosen in used.values()])
-    scores = {chosen.title: found[chosen.label] for chosen in used.values()}
-    labelled = {name: export_labels(rows, [chosen.label]) for name, chosen in used.items()}
-    metrics = clustering.model_metrics(events.sparkSession, scores, k, feature_set, run_id)
-    return Analysis(labelled, elbow, metrics)
+        used = {name: clustering.ALGORITHMS[name] for name in algorithms}
+        found = clustering.silhouettes(rows, [chosen.label for chosen in used.values()])
+        scores = {chosen.title: found[chosen.label] for chosen in used.values()}
+        labelled = {name: export_labels(rows, [chosen.label]) for name, chosen in used.items()}
+        metrics = clustering.model_metrics(events.sparkSession, scores, k, feature_set, run_id)
+        yield Analysis(labelled, elbow, metrics, rows)
 
 
 def _label_all(
@@ -107,20 +116,31 @@ def _label_all(
     return rows
 
 
-def rule_metrics(
-    events: DataFrame, key: Sequence[str], run_id: str, cap: int = 5000, seed: int = 42
-) -> DataFrame:
-    """Silhouettes of K-Means, Bisecting K-Means and the hazard rule on the same features."""
+@contextmanager
+def rule_analysis(
+    events: DataFrame, key: Sequence[str], run_id: str, cap: int | None = None, seed: int = 42
+) -> Iterator[Analysis]:
+    """K-Means, Bisecting K-Means and the hazard rule on the same features, with silhouettes."""
     k = len(HAZARD_NAMES)
     algorithms = ("kmeans", "bisecting")
     with clustering.model_frames(events, "hazard", key, cap=cap, seed=seed) as frames:
         rows = hazard.classify_hazard(_label_all(frames, algorithms, k, seed, max_iter=25))
-    used = [clustering.ALGORITHMS[name] for name in algorithms]
-    titles = {chosen.label: chosen.title for chosen in used}
-    titles["hazard_cluster"] = clustering.RULE_TITLE
-    found = clustering.silhouettes(rows, list(titles))
-    scores = {title: found[label] for label, title in titles.items()}
-    return clustering.model_metrics(events.sparkSession, scores, k, "hazard", run_id)
+        used = {name: clustering.ALGORITHMS[name] for name in algorithms}
+        titles = {chosen.label: chosen.title for chosen in used.values()}
+        titles["hazard_cluster"] = clustering.RULE_TITLE
+        found = clustering.silhouettes(rows, list(titles))
+        scores = {title: found[label] for label, title in titles.items()}
+        metrics = clustering.model_metrics(events.sparkSession, scores, k, "hazard", run_id)
+        labelled = {name: export_labels(rows, [chosen.label]) for name, chosen in used.items()}
+        yield Analysis(labelled, None, metrics, rows)
+
+
+def rule_metrics(
+    events: DataFrame, key: Sequence[str], run_id: str, cap: int | None = None, seed: int = 42
+) -> DataFrame:
+    """Silhouettes of K-Means, Bisecting K-Means and the hazard rule on the same features."""
+    with rule_analysis(events, key, run_id, cap, seed) as done:
+        return done.metrics
 
 
 def hazard_table(events: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from temblor.operators import clustering, features
+from temblor.operators import clustering, features, validation
 from temblor.plans import stages
 
 KEY = ["id"]
@@ -15,8 +15,10 @@ KEY = ["id"]
 
 @pytest.fixture(scope="module")
 def labelled(events):
-    df = clustering.cluster(events, "kmeans", 4, "hazard", KEY)
-    return df.withColumn("one", F.lit(0)).cache()
+    with clustering.clustered(events, "kmeans", 4, "hazard", KEY) as found:
+        df = found.rows.withColumn("one", F.lit(0)).cache()
+        df.count()
+        yield df
 
 
 @pytest.mark.parametrize("name", ["physical5", "hazard"])
@@ -116,9 +118,46 @@ def test_silhouettes_equal_the_evaluator(events, labelled):
     assert found["one"] is None
 
 
-def test_labels_without_a_bound_are_refused(labelled):
-    with pytest.raises(ValueError):
-        clustering.silhouettes(labelled, ["kmeans_cluster"], max_clusters=3)
+def test_silhouettes_of_many_clusters(spark):
+    rows = [(float(i % 97), float(i), i % 60) for i in range(1500)]
+    df = features.assemble(spark.createDataFrame(rows, "a double, b double, label int"), ["a", "b"], "features")
+    expected = clustering.silhouette(df, "label")
+    assert clustering.silhouettes(df, ["label"])["label"] == pytest.approx(expected, abs=1e-9)
+
+
+def test_models_are_fitted_on_all_rows_unless_a_cap_is_named(events):
+    with clustering.model_frames(events, "hazard", KEY) as frames:
+        assert frames.training.count() == frames.everything.count() == events.count()
+    with clustering.model_frames(events, "hazard", KEY, cap=5) as frames:
+        countries = events.groupBy("country").count().collect()
+        assert frames.training.count() == sum(min(5, row["count"]) for row in countries)
+
+
+def test_the_source_is_scanned_once(spark, events, tmp_path):
+    path = str(tmp_path / "events")
+    events.write.parquet(path)
+    with clustering.model_frames(spark.read.parquet(path), "hazard", KEY) as frames:
+        for df in (frames.everything, frames.training):
+            assert path not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_checks_see_a_wrong_label(events):
+    for algorithm in ("kmeans", "bisecting", "gmm"):
+        label = clustering.ALGORITHMS[algorithm].label
+        with clustering.clustered(events, algorithm, 3, "hazard", KEY) as found:
+            good = validation.check_model(found, algorithm).head()
+            assert good.misplaced == 0 and good.fit_agrees and good.silhouette_agrees
+            turned = found.rows.withColumn(label, (F.col(label) + (F.col("id") % 3 == 0).cast("int")) % 3)
+            bad = validation.check_model(clustering.Labelled(turned, found.model, found.training), algorithm).head()
+            assert bad.misplaced > 0
+
+
+def test_stored_features_are_used_as_they_are(spark, events):
+    df = features.features(events, "physical5").withColumn("scaled_features", vector_to_array("features"))
+    df = df.drop("features").where("mag >= 4")
+    with clustering.model_frames(df, "physical5", KEY, refit=False) as frames:
+        got = {r.id: r.features for r in frames.everything.collect()}
+    assert got == {r.id: r.v for r in features.arrays_to_vectors(df, {"v": "scaled_features"}).collect()}
 
 
 def test_one_cluster_has_no_silhouette(labelled):
@@ -149,11 +188,11 @@ def test_shift_keeps_distances(events):
 
 
 def test_analysis_exports_core_columns_and_one_label(events):
-    done = stages.analyse(
+    with stages.analyse(
         events, "physical5", 3, KEY, "run-1", algorithms=("kmeans", "gmm"), sweep=(2, 3)
-    )
-    assert done.elbow.count() == 2
-    metrics = {r.algorithm: r for r in done.metrics.collect()}
+    ) as done:
+        assert done.elbow.count() == 2
+        metrics = {r.algorithm: r for r in done.metrics.collect()}
     assert set(metrics) == {"K-Means", "Gaussian Mixture Model"}
     assert all(r.run_id == "run-1" and r.feature_set == "physical5" for r in metrics.values())
     assert done.labelled["gmm"].columns[-1] == "gmm_cluster"

@@ -27,67 +27,3 @@ def test_every_oracle_has_a_query():
 
 def test_entry_gives_the_top_ten(spark):
     assert contract.entry(spark).count() == 10
-
-
-@pytest.mark.parametrize(
-    "name, label, k",
-    [
-        ("kmeans_spatial", "kmeans_cluster", 8),
-        ("kmeans_hazard", "kmeans_cluster", 4),
-        ("kmeans_physical5", "kmeans_cluster", 8),
-        ("bisecting_spatial", "bisect_cluster", 8),
-        ("bisecting_hazard", "bisect_cluster", 4),
-        ("gmm_physical5", "gmm_cluster", 8),
-    ],
-)
-def test_cluster_profiles_cover_all_rows(spark, sf_dir, events, name, label, k):
-    rows = QUERIES[name](spark, sf_dir).collect()
-    assert [row[label] for row in rows] == sorted(row[label] for row in rows)
-    assert len(rows) == k and {row[label] for row in rows} <= set(range(k))
-    assert sum(row["count"] for row in rows) == events.count()
-
-
-def test_elbow(spark, sf_dir):
-    rows = QUERIES["elbow_hazard"](spark, sf_dir).orderBy("k").collect()
-    assert [row["k"] for row in rows] == list(range(2, 11))
-    costs = [row["wcss"] for row in rows]
-    assert all(later <= cost * 1.05 for cost, later in zip(costs, costs[1:]))
-    assert all(-1 <= row["silhouette"] <= 1 for row in rows)
-
-
-def test_metrics_name_every_algorithm_once(spark, sf_dir):
-    rows = QUERIES["model_metrics"](spark, sf_dir).collect()
-    assert sorted(row["algorithm"] for row in rows) == [
-        "Bisecting K-Means",
-        "Custom Hazard (Rule-Based)",
-        "K-Means",
-    ]
-    assert {row["k"] for row in rows} == {3}
-    comparison = QUERIES["model_comparison"](spark, sf_dir).collect()
-    scores = [row["silhouette"] for row in comparison]
-    assert len(comparison) == 3 and scores == sorted(scores, reverse=True)
-
-
-def test_country_groups(spark, sf_dir, events):
-    rows = QUERIES["country_risk_clusters"](spark, sf_dir).collect()
-    named = events.where("country <> ''").select("country").distinct().count()
-    assert len(rows) == named
-    assert {row["risk_group"] for row in rows} == {0, 1, 2, 3}
-    mean = {
-        group: sum(r["quake_count"] for r in rows if r["risk_group"] == group)
-        / sum(1 for r in rows if r["risk_group"] == group)
-        for group in (0, 1, 3)
-    }
-    assert mean[0] >= mean[1] >= mean[3]
-    depth = {
-        group: sum(r["avg_depth"] for r in rows if r["risk_group"] == group)
-        / sum(1 for r in rows if r["risk_group"] == group)
-        for group in range(4)
-    }
-    assert max(depth, key=depth.get) == 2
-
-
-def test_cluster_map_sample(spark, sf_dir):
-    df = QUERIES["cluster_map_sample"](spark, sf_dir)
-    assert df.columns == ["longitude", "latitude", "kmeans_cluster", "mag", "depth"]
-    assert 0 < df.count() <= 5000

@@ -28,13 +28,13 @@ def test_from_raw_files_to_reports_and_labels(spark, sf_dir, tmp_path, name):
     assert report.risk_top10.count() <= 10
 
     strong = clean.filter_min_mag(table, 2.5)
-    done = stages.analyse(
+    with stages.analyse(
         strong, "spatial", 3, agency.event_key, "r", algorithms=("kmeans", "bisecting"), cap=40
-    )
-    assert done.metrics.count() == 2
-    sizes = eda.cluster_profile(done.labelled["kmeans"], "kmeans_cluster").collect()
-    assert sum(row["count"] for row in sizes) == strong.count()
-    tables.write_table(done.labelled["bisecting"], str(tmp_path / "bisecting"))
+    ) as done:
+        assert done.metrics.count() == 2
+        sizes = eda.cluster_profile(done.labelled["kmeans"], "kmeans_cluster").collect()
+        assert sum(row["count"] for row in sizes) == strong.count()
+        tables.write_table(done.labelled["bisecting"], str(tmp_path / "bisecting"))
     assert spark.read.parquet(str(tmp_path / "bisecting")).count() == strong.count()
 
 
