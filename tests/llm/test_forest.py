@@ -5,12 +5,20 @@ from temblor.llm import forest
 SCHEMA = "vec_id long, embedding array<float>, score int, rank int"
 
 
+def product(a, b):
+    total = 0.0
+    for x, y in zip(a, b, strict=True):
+        total += x * y
+    return total
+
+
 def brute(rows, k):
+    rows = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v, *_ in rows]
     known = {(i, tuple(v)) for i, v, *_ in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)}
     out = []
     for q, v in known:
         if q % 20 == 0:
-            near = sorted((-float(np.dot(np.array(v, float), np.array(w, float))), i) for i, w in known if i != q)
+            near = sorted((-product(v, w), i) for i, w in known if i != q)
             out += [(q, r, i, s) for r, (s, i) in enumerate(near[:k], 1)]
     return sorted((q, r, i) for q, r, i, _ in out)
 
@@ -32,7 +40,7 @@ def test_recall_on_clusters_and_short_tables(spark):
     rows = [(i, (centres[i % 40] + 0.2 * r.normal(size=16)).tolist(), 1, 1) for i in range(4000)]
     out = forest.nearest(spark.createDataFrame(rows, SCHEMA), forest=forest.Forest(trees=8, block_rows=500))
     found = {(x.query_id, x.vec_id) for x in out.collect()}
-    true = {(q, i) for q, _, i in brute([(i, np.float32(v).tolist()) for i, v, *_ in rows], 20)}
+    true = {(q, i) for q, _, i in brute(rows, 20)}
     assert len(found) == len(true) and len(found & true) / len(true) >= 0.9
     few = [(0, [1.0, 2.0], 1, 1), (3, [2.0], 1, 1), (4, [0.0, 1.0], 1, 1)]
     out = forest.nearest(spark.createDataFrame(few, SCHEMA))

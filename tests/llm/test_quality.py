@@ -42,7 +42,8 @@ def test_false_rejections_stay_below_the_risk():
     for _ in range(200):
         good = [0] * 21
         for _ in range(800):
-            good[sum(r.random() ** 3 > c for c in cutoffs)] += 1
+            value = r.random() ** 3
+            good[sum(value > c for c in cutoffs)] += 1
         chosen = quality.choose_cutoff(cutoffs, good, [5] * 21, 0.1, 0.05, 0.01)
         if chosen is not None:
             bad += 1 - chosen ** (1 / 3) > 0.1  # the share of good documents above the cutoff
@@ -69,7 +70,7 @@ def test_hard_rows(spark):
         out = quality.keep_good(docs, spark.createDataFrame(labels, LABELS))
         assert out.columns == docs.columns
         # without proof only the base rules reject: short, empty and repetitive texts
-        assert sorted(str(row.doc_id) for row in out.collect()) == ["1", "1", "11", "2", "3", "7", "None"] or labels
+        assert sorted(str(row.doc_id) for row in out.collect()) == ["1", "1", "11", "2", "3", "None"]
     assert quality.keep_good(no_documents(spark), spark.createDataFrame([], LABELS)).count() == 0
 
 
