@@ -9,6 +9,8 @@ How many are enough is measured: for a bounded sample of queries the true neighb
 brute force, and the smallest number is taken with which the sample reaches ``recall``. On vectors
 without structure that is a large share of the table, on clustered ones a small one. If whole
 blocks do not reach it, blocks get one bit shorter, down to one block a tree, which is exact.
+A block of more than twice ``block_rows`` vectors, as many alike ones make, is dealt out in parts:
+its queries go to every part, and what the parts count and find is merged.
 
 Inner products of vectors of unequal length are made angles by one more component, as usual:
 rows become (x / m, sqrt(1 - |x|^2 / m^2)) with the largest length m, queries (q, 0).
@@ -123,13 +125,14 @@ def nearest(
         bits = max(0, int(np.log2(max(1.0, n / forest.block_rows))))
         truth = _truth(coded, queries, width, k, forest)
         while True:
-            counts = written(_counts(coded, queries, bits, forest), "ann-counts")
+            parts = written(_parts(coded, bits, forest), "ann-parts")
+            counts = written(_counts(coded, queries, parts, bits, forest), "ann-counts")
             enough = _enough(truth, counts, bits, forest)
             if enough is not None or bits == 0:
                 break
             bits -= 1
         depth = written(_depths(counts, enough or n, bits), "ann-depths")
-        found = written(_scored(coded, queries, depth, bits, width, k, forest), "ann-found")
+        found = written(_scored(coded, queries, parts, depth, bits, width, k, forest), "ann-found")
 
         # Every query with the vector, and every copy of the neighbours.
         hits = found.dropDuplicates(["q", "id"])
@@ -202,10 +205,31 @@ def _blocked(df: DataFrame, bits: int, forest: Forest, *columns: str) -> DataFra
     )
 
 
-def _counts(coded: DataFrame, queries: DataFrame, bits: int, forest: Forest) -> DataFrame:
+_PART = ("tree", "block", "part")
+
+
+def _parts(coded: DataFrame, bits: int, forest: Forest) -> DataFrame:
+    """Per block, in how many parts it is dealt out."""
+    sizes = _blocked(coded, bits, forest).groupBy("tree", "block").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.select("tree", "block", F.ceil(F.col("n") / (2 * forest.block_rows)).cast("int").alias("parts"))
+
+
+def _dealt(df: DataFrame, parts: DataFrame) -> DataFrame:
+    """Vectors by block, each in one part of it."""
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    return df.join(parts, ["tree", "block"]).withColumn("part", part).drop("parts")
+
+
+def _asked(df: DataFrame, parts: DataFrame) -> DataFrame:
+    """Queries by block, once for every part of it."""
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    return df.join(parts, ["tree", "block"]).withColumn("part", part).drop("parts")
+
+
+def _counts(coded: DataFrame, queries: DataFrame, parts: DataFrame, bits: int, forest: Forest) -> DataFrame:
     """Per query, the vectors below its prefix of each length from ``bits`` on, over all trees."""
-    left = _blocked(coded, bits, forest).select("tree", "block", "code")
-    right = _blocked(queries, bits, forest, "q").select("tree", "block", "q", "code")
+    left = _dealt(_blocked(coded, bits, forest, "id"), parts).select(*_PART, "code")
+    right = _asked(_blocked(queries, bits, forest, "q"), parts).select(*_PART, "q", "code")
     depths = np.arange(bits, forest.bits + 1)
 
     def one(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
@@ -214,7 +238,7 @@ def _counts(coded: DataFrame, queries: DataFrame, bits: int, forest: Forest) ->
         return pd.DataFrame({"q": asked["q"], **{f"d{d}": b for d, b in zip(depths, below, strict=True)}})
 
     schema = "q long, " + ", ".join(f"d{d} long" for d in depths)
-    each = left.groupBy("tree", "block").cogroup(right.groupBy("tree", "block")).applyInPandas(one, schema)
+    each = left.groupBy(*_PART).cogroup(right.groupBy(*_PART)).applyInPandas(one, schema)
     return each.groupBy("q").agg(F.array(*[F.sum(f"d{d}") for d in depths]).alias("counts"))
 
 
@@ -246,10 +270,12 @@ def _depths(counts: DataFrame, enough: int, bits: int) -> DataFrame:
     return counts.select("q", (F.lit(bits) + F.greatest(reached - 1, F.lit(0))).alias("depth"))
 
 
-def _scored(coded: DataFrame, queries: DataFrame, depth: DataFrame, bits: int, width: int, k: int, forest: Forest) -> DataFrame:
-    """``q``, ``id``, ``score``: the ``k + 1`` best below each query's prefix, per tree."""
-    left = _blocked(coded, bits, forest, "id", "v")
-    right = _blocked(queries, bits, forest, "q", "v").join(depth, "q")
+def _scored(
+    coded: DataFrame, queries: DataFrame, parts: DataFrame, depth: DataFrame, bits: int, width: int, k: int, forest: Forest
+) -> DataFrame:
+    """``q``, ``id``, ``score``: the ``k + 1`` best below each query's prefix, per tree and part."""
+    left = _dealt(_blocked(coded, bits, forest, "id", "v"), parts)
+    right = _asked(_blocked(queries, bits, forest, "q", "v").join(depth, "q"), parts)
 
     def one(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or asked.empty:
@@ -275,4 +301,5 @@ def _scored(coded: DataFrame, queries: DataFrame, depth: DataFrame, bits: int, w
                 out.append(pd.DataFrame({"q": names[asker], "id": ids[found], "score": inner(questions[asker], vectors[found])}))
         return pd.concat(out) if out else pd.DataFrame({"q": [], "id": [], "score": []})
 
-    return left.groupBy("tree", "block").cogroup(right.groupBy("tree", "block")).applyInPandas(one, "q long, id long, score double")
+    schema = "q long, id long, score double"
+    return left.groupBy(*_PART).cogroup(right.groupBy(*_PART)).applyInPandas(one, schema)

@@ -47,3 +47,12 @@ def test_recall_on_clusters_and_short_tables(spark):
     assert [tuple(x) for x in out.orderBy("rank").collect()] == [(0, 1, 3, 2.0), (0, 2, 4, 2.0)]
     for none in ([], [(1, [1.0], 1, 1)], [(0, [1.0], 1, 1)]):
         assert forest.nearest(spark.createDataFrame(none, SCHEMA)).count() == 0
+
+
+def test_a_block_of_many_alike_vectors_is_dealt_out(spark):
+    r = np.random.default_rng(3)
+    centre = r.normal(size=6)
+    rows = [(i, (centre + 1e-4 * r.normal(size=6)).tolist(), 1, 1) for i in range(400)]
+    rows += [(1000 + i, r.normal(size=6).tolist(), 1, 1) for i in range(200)]
+    out = forest.nearest(spark.createDataFrame(rows, SCHEMA), k=5, forest=forest.Forest(trees=3, block_rows=50, recall=1.0))
+    assert sorted((x.query_id, x.rank, x.vec_id) for x in out.collect()) == brute(rows, 5)
