@@ -31,11 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
 from temblor.llm.frames import OWN, SALTS, group_value, group_values, scratch, written
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-_BASE = 0x100000001B3
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -47,33 +47,6 @@ def mix(values: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-class _WordHashes:
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __init__(self, most: int = 1_000_000):
-        self._known: dict[bytes, int] = {}
-        self._most = most
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        known = self._known
-        found = list(map(known.get, words))
-        if None in found:
-            if len(known) > self._most:
-                known.clear()
-            for at, value in enumerate(found):
-                if value is None:
-                    word = words[at]
-                    value = known.get(word)
-                    if value is None:
-                        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-                        known[word] = value
-                    found[at] = value
-        return np.array(found, dtype=np.uint64)
-
-
-_WORDS = _WordHashes()
-
-
 def shingles(text: str | None, size: int = 4) -> np.ndarray:
     """Sorted distinct hashes of the word shingles of a whole text.
 
@@ -83,7 +56,7 @@ def shingles(text: str | None, size: int = 4) -> np.ndarray:
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    hashes = _WORDS.of(words)
+    hashes = np.fromiter(map(xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
     width = min(size, len(hashes))
     with np.errstate(over="ignore"):
         out = np.full(len(hashes) - width + 1, np.uint64(width))

@@ -15,7 +15,7 @@ import numpy as np
 VOCABULARY = "word_bpe_49k.json"
 
 #: Chunks a worker remembers; beyond that it starts anew. About 250 bytes each.
-MOST_CHUNKS = 1_200_000
+MOST_CHUNKS = 600_000
 
 # A comma or full stop alone after a letter is a pre-token of its own either way.
 _LONE = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0d]|$)")
