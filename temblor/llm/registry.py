@@ -94,4 +94,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pfair_mixing": op10_pfair_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+# Five hexadecimal digits of the SHA-1 make four digits of base 32.
+_BASE32 = " || ".join(
+    f"substr('{_UPPER}234567', 1 + CAST((d[{i}] // {32 ** (3 - j)}) % 32 AS INTEGER), 1)"
+    for i in range(1, 9)
+    for j in range(4)
+)
+
+ORACLE: dict[str, str] = {
+    "op1_warc_transactions": f"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+d AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first,
+             [CAST('0x' || substr(sha1(html), 1 + 5 * i, 5) AS BIGINT) FOR i IN range(8)] AS d FROM p)
+SELECT page_id, url, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d""",
+    "op3_minhash_near_dedup": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+             ELSE list_distinct([array_to_string(ws[i:i + 3], ' ') FOR i IN range(1, len(ws) - 2)]) END AS sh
+      FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+l AS (SELECT a.doc_id AS i, b.doc_id AS j FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id, doc_id AS other FROM s UNION SELECT r.doc_id, l.j FROM r JOIN l ON r.other = l.i)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, min(other) AS component_id, s.doc_id = min(other) AS kept
+FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id, sh""",
+}
