@@ -327,6 +327,22 @@ UNION ALL SELECT country, total, risk_class, 'high', high FROM t""",
         "country_profile": f"""
 SELECT country, count(*) AS quake_count, round(avg(depth), 6) AS avg_depth,
        round(avg(mag), 6) AS avg_mag, max(mag) AS max_mag FROM n WHERE {_NAMED} GROUP BY country""",
+        "spatial_features": "SELECT id, "
+        + ", ".join(f"{_round(name, 9)} AS {name}" for name in _SPHERE)
+        + " FROM n",
+        "model_projection": f"""
+SELECT id, time, place, {_country_emsc("place")} AS country, latitude, longitude, depth, mag,
+       CASE WHEN depth > -1 THEN {_round("ln(CASE WHEN depth > -1 THEN 1 + depth END)", 9)} END AS depth_log
+FROM quakes WHERE depth IS NOT NULL AND mag IS NOT NULL""",
+        "hazard_notes": f"""
+SELECT hazard_cluster, {_HAZARD_LABEL} AS hazard_label,
+       {_case("hazard_cluster", risk.HAZARD_NOTES)} AS hazard_note, count(*) AS count FROM h GROUP BY 1, 2, 3""",
+        "sql_view": """
+SELECT country, count(*) AS strong, max(mag) AS max_mag FROM n WHERE mag >= 5.5 GROUP BY country""",
+        "stage_row_counts": f"""
+SELECT 'raw' AS stage, count(*) AS rows FROM quakes
+UNION ALL SELECT 'valid', count(*) FROM quakes WHERE {_VALID_USGS}
+UNION ALL SELECT 'stored', count(*) FROM quakes WHERE {_VALID_USGS}""",
         "silhouette_rule": _SILHOUETTE,
         "country_risk_clusters": f"""
 SELECT country, count(*) AS quake_count, round(avg(depth), 6) AS avg_depth, TRUE AS ranked,

@@ -235,6 +235,20 @@ def _standardised(spark, sf_dir, feature_set):
     )
 
 
+@query
+def spatial_features(spark, sf_dir):
+    """The spatial feature vector, which is the coordinates as they are."""
+    rows = features(clean_quakes(spark, sf_dir), "spatial").select("id", vector_to_array("features").alias("v"))
+    return rows.select("id", *(F.round(F.get("v", F.lit(i)), 9).alias(c) for i, c in enumerate(("x", "y", "z"))))
+
+
+@query
+def model_projection(spark, sf_dir):
+    """The columns and complete rows a model reads, of the whole catalogue with its gaps."""
+    placed = EMSC.with_country(clean.derive_columns(quakes(spark, sf_dir)))
+    return _rounded(clustering.model_frame(placed, "hazard"), ["depth_log"], 9)
+
+
 @query
 def standardised_physical5(spark, sf_dir):
     return _standardised(spark, sf_dir, "physical5")
@@ -407,6 +421,16 @@ def hazard_labelled_points(spark, sf_dir):
     return labelled.select("id", "hazard_label", "hazard_color", radius)
 
 
+@query
+def hazard_notes(spark, sf_dir):
+    """Events per level with the level's description."""
+    counts = hazard.hazard_counts(hazard.classify_hazard(clean_quakes(spark, sf_dir)))
+    notes = hazard.hazard_dimension(spark)
+    return counts.join(F.broadcast(notes), counts["hazard_cluster"] == notes["hazard_code"]).select(
+        "hazard_cluster", "hazard_label", "hazard_note", "count"
+    )
+
+
 @query
 def map_sample(spark, sf_dir):
     points = hazard.map_points(hazard.classify_hazard(placed_quakes(spark, sf_dir)), KEY)
@@ -674,6 +698,28 @@ def kmeans_stored_features(spark, sf_dir):
 # Tables written and read back
 
 
+@query
+def sql_view(spark, sf_dir):
+    """Strong events per country, asked for in SQL over a named view."""
+    tables.register_view(placed_quakes(spark, sf_dir), "temblor_events")
+    return spark.sql(
+        "SELECT country, count(*) AS strong, max(mag) AS max_mag FROM temblor_events WHERE mag >= 5.5 GROUP BY country"
+    )
+
+
+@query
+def stage_row_counts(spark, sf_dir):
+    """Rows of each cleaning stage, counted while one job writes the last."""
+    raw = raw_usgs(quakes(spark, sf_dir))
+    counted_raw, seen_raw = tables.stage_counts(raw, "raw")
+    counted_valid, seen_valid = tables.stage_counts(stages.valid_events(counted_raw, USGS), "valid")
+    path = scratch_path(spark, "counted")
+    tables.write_table(counted_valid, path)
+    rows = [("raw", seen_raw.get["rows"]), ("valid", seen_valid.get["rows"]), ("stored", spark.read.parquet(path).count())]
+    remove_path(spark, path)
+    return spark.createDataFrame(rows, "stage string, rows bigint")
+
+
 @query
 def eda_summary_stored(spark, sf_dir):
     path = scratch_path(spark, "eda")
