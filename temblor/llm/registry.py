@@ -103,7 +103,52 @@ _BASE32 = " || ".join(
     for j in range(4)
 )
 
+_SPACE = "\\x20\\x09-\\x0D"
+_RISK = quality.Risk()
+_CUTOFFS = ", ".join(
+    f"({n}, '{rule.name}', CAST({c} AS DOUBLE))" for n, rule in enumerate(quality.RULES) for c in rule.cutoffs
+)
+_VALUES = ", ".join(f"{rule.part} / greatest({rule.whole}, 1)" for rule in quality.RULES)
+
+# Cutoffs by exact binomial tests, from the most lenient on, and their verdict.
+_QUALITY = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^{_SPACE}]+') AS ws,
+             [l FOR l IN string_split(t, chr(10)) IF regexp_matches(l, '[^{_SPACE}]')] AS ls FROM d),
+g AS (SELECT r, unnest([ws[i:i + 2] FOR i IN range(1, len(ws) - 1)]) AS g, unnest(range(1, len(ws) - 1)) AS i FROM w),
+c AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words
+      FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g), (SELECT unnest([0, 1, 2]) AS k)
+      WHERE n > 1 GROUP BY r),
+m AS (SELECT r, doc_id, lang, len(ws) AS n_words,
+             length(regexp_replace(t, '[{_SPACE}]', '', 'g')) AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+             len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+             length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper,
+             length(regexp_replace(t, '[^a-z]', '', 'g')) AS n_lower,
+             len(ls) AS n_lines, length(regexp_replace(t, '[^!?]', '', 'g')) AS n_marks
+      FROM w LEFT JOIN c USING (r)),
+v AS (SELECT m.*, [{_VALUES}] AS v FROM m),
+h AS (SELECT v.lang, v.v, q.good FROM v JOIN (
+        SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) q USING (doc_id)),
+k AS (SELECT lang, rule, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND v[1 + rule] > cutoff) AS lost,
+             count(*) FILTER (NOT good AND v[1 + rule] > cutoff) AS won
+      FROM h, (VALUES {_CUTOFFS}) AS t(rule, name, cutoff) GROUP BY lang, rule, cutoff),
+b AS (SELECT {_RISK.risk / len(quality.RULES)}::DOUBLE AS p,
+             {_RISK.error / len(quality.RULES)}::DOUBLE / greatest(1, (SELECT count(*) FROM (SELECT DISTINCT lang FROM h))) AS e),
+o AS (SELECT k.*, lost <= p * n AND n > 0 AND list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                + i * ln(p) + (n - i) * ln(1 - p)) FOR i IN range(0, lost + 1)]) <= e AS proven FROM k, b),
+s AS (SELECT *, bool_and(proven) OVER (PARTITION BY lang, rule ORDER BY cutoff DESC) AS open,
+             won - {_RISK.price}::DOUBLE * lost AS gain FROM o),
+x AS (SELECT lang, rule, cutoff FROM s WHERE open AND gain > 0
+      QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY gain DESC, cutoff DESC) = 1),
+y AS (SELECT v.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             EXISTS (SELECT 1 FROM x WHERE x.lang IS NOT DISTINCT FROM v.lang AND v.v[1 + x.rule] > x.cutoff) AS rejected
+      FROM v)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT rejected AS kept FROM y"""
+
 ORACLE: dict[str, str] = {
+    "op4_quality_rules": _QUALITY,
     "op1_warc_transactions": f"""
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
 d AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first,
