@@ -13,6 +13,8 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors.exceptions.base import PySparkException
@@ -20,7 +22,7 @@ from pyspark.ml import Model
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from temblor import schemas
@@ -205,21 +207,23 @@ def silhouettes(
     scores every row against an array of them. A row alone in its cluster scores 0.
     """
     width = vector_size(df, features)
-    points = df.select(*labels, vector_to_array(features).alias("v")).withColumn(
-        "norm", _dot(F.col("v"), F.col("v"))
-    )
+    values = [F.get("v", F.lit(i)) for i in range(width)]
+    norm = sum((value * value for value in values), F.lit(0.0))
+    points = df.select(*labels, vector_to_array(features).alias("v"))
     named = [
         F.struct(F.lit(label).alias("label"), F.col(label).cast("int").alias("cluster"))
         for label in labels
     ]
     groups = (
-        points.withColumn("of", F.explode(F.array(*named)))
+        points.withColumn("norm", norm)
+        .withColumn("of", F.explode(F.array(*named)))
         .groupBy("of.label", "of.cluster")
         .agg(
             F.count("*").alias("n"),
             F.avg("norm").alias("norm"),
-            F.array(*(F.avg(F.get("v", F.lit(i))) for i in range(width))).alias("mean"),
+            F.array(*(F.avg(value) for value in values)).alias("mean"),
         )
+        .orderBy("label", "cluster")
         .collect()
     )
     clusters = {label: [g for g in groups if g["label"] == label] for label in labels}
@@ -228,44 +232,57 @@ def silhouettes(
         log.warning("no silhouette: %s has fewer than two clusters", label)
     if not scored:
         return {label: None for label in labels}
-    averages = [F.avg(_row_score(label, found)).alias(label) for label, found in scored.items()]
-    means = points.agg(*averages).head().asDict()
-    return {label: means.get(label) for label in labels}
+    totals = points.mapInArrow(_score_sums(scored), "label string, total double, n bigint")
+    means = totals.groupBy("label").agg((F.sum("total") / F.sum("n")).alias("mean")).collect()
+    found = {row["label"]: row["mean"] for row in means}
+    return {label: found.get(label) for label in labels}
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+def array_matrix(column: pa.Array) -> np.ndarray:
+    """An Arrow column of arrays of one length as a matrix, without a copy per row."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1)
 
 
-def _row_score(label: str, clusters: list) -> Column:
-    """Silhouette of a row from its distances to the given clusters."""
-    known = F.array(
-        *(
-            F.struct(
-                F.lit(c["cluster"]).alias("cluster"),
-                F.lit(c["n"]).alias("n"),
-                F.lit(c["norm"]).alias("norm"),
-                F.array(*(F.lit(m) for m in c["mean"])).alias("mean"),
-            )
-            for c in clusters
+def _score_sums(scored: dict[str, list]):
+    """Sums of row scores per labeling and batch, as matrix products of rows and cluster means.
+
+    As Spark expressions these are either a method too long to be compiled or an interpreted loop
+    per row and cluster; fifty clusters took twenty times as long.
+    """
+    known = {
+        label: (
+            np.array([c["cluster"] for c in found]),
+            np.array([c["n"] for c in found], dtype=float),
+            np.array([c["norm"] for c in found]),
+            np.array([c["mean"] for c in found]),
         )
-    )
-    far = F.transform(
-        known,
-        lambda c: F.struct(
-            (c["cluster"] == F.col(label)).alias("own"),
-            c["n"].alias("n"),
-            (F.col("norm") + c["norm"] - 2 * _dot(F.col("v"), c["mean"])).alias("far"),
-        ),
-    )
-    own = F.get(F.filter(far, lambda d: d["own"]), F.lit(0))
-    within = F.when(own["n"] > 1, own["far"] * own["n"] / (own["n"] - 1))
-    nearest = F.array_min(F.transform(F.filter(far, lambda d: ~d["own"]), lambda d: d["far"]))
-    return (
-        F.when(within < nearest, 1 - within / nearest)
-        .when(within > nearest, nearest / within - 1)
-        .otherwise(F.lit(0.0))
-    )
+        for label, found in scored.items()
+    }
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v = array_matrix(batch.column("v"))
+            norm, rows = (v * v).sum(axis=1), np.arange(len(v))
+            sums = []
+            for label, (ids, sizes, norms, means) in known.items():
+                own = np.searchsorted(ids, batch.column(label).to_numpy(zero_copy_only=False))
+                far = norm[:, None] + norms[None, :] - 2 * v @ means.T
+                size = sizes[own]
+                within = far[rows, own] * size / np.maximum(size - 1, 1)
+                far[rows, own] = np.inf
+                nearest, most = far.min(axis=1), np.empty(len(v))
+                np.maximum(within, nearest, out=most)
+                score = np.divide(nearest - within, most, out=np.zeros(len(v)), where=most > 0)
+                sums.append((label, float(score[size > 1].sum()), len(v)))
+            yield pa.RecordBatch.from_pylist(
+                [dict(zip(("label", "total", "n"), row)) for row in sums],
+                schema=pa.schema([("label", pa.string()), ("total", pa.float64()), ("n", pa.int64())]),
+            )
+
+    return run
 
 
 def elbow_sweep(
@@ -284,6 +301,17 @@ def elbow_sweep(
     return training.sparkSession.createDataFrame(rows, schemas.ELBOW)
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` held by the executors while a block reads it again and again; what is lost is computed
+    anew from the stored table below it."""
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def swept(
     training: DataFrame, ks: Sequence[int], seed: int = 42, max_iter: int = 25
 ) -> tuple[DataFrame, dict]:
@@ -292,11 +320,8 @@ def swept(
     The fits share one kept copy of the features, which goes once they are done.
     """
     jobs = {f"k{k}": Fit("kmeans", k, max_iter) for k in ks}
-    kept = training.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        models = fit_many(kept, jobs, seed)
-    finally:
-        kept.unpersist()
+    with kept(training) as features:
+        models = fit_many(features, jobs, seed)
     labelled = training
     for name, model in models.items():
         labelled = label_rows(labelled, model.setPredictionCol(name), "kmeans")

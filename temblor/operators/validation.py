@@ -7,14 +7,24 @@ costs and silhouettes are those that follow from the labels.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from temblor.operators.clustering import ALGORITHMS, Labelled, silhouette, silhouettes
+from pyspark.sql import types as T
+
+from temblor.operators.clustering import (
+    ALGORITHMS,
+    Labelled,
+    array_matrix,
+    silhouette,
+    silhouettes,
+)
 from temblor.operators.features import shift_vector
 
 _NEAR = 1e-9
@@ -22,51 +32,35 @@ _NEAR = 1e-9
 _LAST_STEP = 0.05
 
 
-def _numbers(values: Sequence[float]) -> Column:
-    return F.array(*(F.lit(float(v)) for v in values))
-
-
-def _squared_distance(v: Column, centre: Column) -> Column:
-    parts = F.zip_with(v, centre, lambda a, b: (a - b) * (a - b))
-    return F.aggregate(parts, F.lit(0.0), lambda total, x: total + x)
-
+def centre_distances(v: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of every row to every centre."""
+    return ((v[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
 
-def centre_distances(v: Column, centres: Sequence[Sequence[float]]) -> Column:
-    """Squared distances of an array column to every centre."""
-    return F.transform(F.array(*map(_numbers, centres)), lambda c: _squared_distance(v, c))
 
-
-def mixture_scores(v: Column, model) -> Column:
-    """Log weight and density of every component of a Gaussian mixture, up to a constant.
-
-    With covariance C and L L' = C^-1, the quadratic form is the squared length of L'(v - mean).
-    """
+def mixture_scores(v: np.ndarray, model: list[tuple]) -> np.ndarray:
+    """Log weight and density of every component of a mixture for every row, up to a constant."""
     parts = []
-    for weight, gaussian in zip(model.weights, model.gaussians):
-        mean, covariance = gaussian.mean.toArray(), gaussian.cov.toArray()
-        rows = np.linalg.cholesky(np.linalg.inv(covariance)).T
-        form = F.lit(0.0)
-        for row in rows:
-            product = F.aggregate(
-                F.zip_with(v, _numbers(row), lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x
-            ) - F.lit(float(row @ mean))
-            form = form + product * product
-        constant = np.log(weight) - 0.5 * np.linalg.slogdet(covariance)[1]
-        parts.append(F.lit(float(constant)) - 0.5 * form)
-    return F.array(*parts)
+    for weight, mean, covariance in model:
+        moved = v - mean
+        form = np.einsum("ij,jk,ik->i", moved, np.linalg.inv(covariance), moved)
+        parts.append(np.log(weight) - 0.5 * (form + np.linalg.slogdet(covariance)[1]))
+    return np.array(parts).T
 
 
 def well_placed(rows: DataFrame, label: str, model, algorithm: str, out: str) -> DataFrame:
     """``rows`` with whether the label is the nearest centre, or the likeliest component."""
-    v = vector_to_array("features")
     if algorithm == "gmm":
-        scores = mixture_scores(v, model)
-        return rows.withColumn("_s", scores).withColumn(
-            out, F.get("_s", F.col(label)) >= F.array_max("_s") - 1e-6
-        ).drop("_s")
-    return rows.withColumn("_s", centre_distances(v, model.clusterCenters())).withColumn(
-        out, F.get("_s", F.col(label)) <= F.array_min("_s") + _NEAR
-    ).drop("_s")
+        parts = [(w, g.mean.toArray(), g.cov.toArray()) for w, g in zip(model.weights, model.gaussians)]
+    else:
+        centres = np.array(model.clusterCenters())
+
+    @F.arrow_udf(T.BooleanType())
+    def right(v: pa.Array, own: pa.Array) -> pa.Array:
+        x, at = array_matrix(v), own.to_numpy(zero_copy_only=False)
+        score = mixture_scores(x, parts) if algorithm == "gmm" else -centre_distances(x, centres)
+        return pa.array(score[np.arange(len(x)), at] >= score.max(axis=1) - 1e-6)
+
+    return rows.withColumn(out, right(vector_to_array("features"), F.col(label)))
 
 
 def check_model(found: Labelled, algorithm: str) -> DataFrame:
@@ -130,9 +124,59 @@ def fit_agrees(found: Labelled, algorithm: str) -> bool:
 
 
 def cost_agrees(model, training: DataFrame) -> bool:
-    """Whether the sum of squared distances to the centres is the cost the model reports. Spark
-    reports that of its last step before the centres move once more, so it is not below."""
-    distances = centre_distances(vector_to_array("features"), model.clusterCenters())
-    cost = training.agg(F.sum(F.array_min(distances)).alias("cost")).head()["cost"]
-    reported = model.summary.trainingCost
+    """Whether the sum of squared distances to the centres is the cost the model reports."""
+    rows = training.select(vector_to_array("features").alias("v"))
+    [(_, _, _, cost)] = _sweep_counts(rows, {"": model})
+    return _same_cost(cost, model.summary.trainingCost)
+
+
+def _same_cost(cost: float, reported: float) -> bool:
+    """Spark reports the cost of its last step before the centres move once more, so it is not
+    below that of the final centres, and not much above."""
     return cost <= reported * (1 + 1e-9) and cost >= reported * 0.98
+
+
+def _sweep_counts(rows: DataFrame, models: dict) -> list[tuple]:
+    """(name, set of labels as bits, rows not nearest to their centre, cost) per model, in a pass."""
+    centres = {name: np.array(model.clusterCenters()) for name, model in models.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v, found = array_matrix(batch.column("v")), []
+            for name, own in centres.items():
+                far = centre_distances(v, own)
+                nearest, wrong, used = far.min(axis=1), 0, 0
+                if name:
+                    at = batch.column(name).to_numpy(zero_copy_only=False)
+                    wrong = int((far[np.arange(len(v)), at] > nearest + _NEAR).sum())
+                    used = int(sum(1 << int(k) for k in np.unique(at)))
+                found.append({"name": name, "used": used, "wrong": wrong, "cost": float(nearest.sum())})
+            yield pa.RecordBatch.from_pylist(found)
+
+    sums = rows.mapInArrow(run, "name string, used bigint, wrong bigint, cost double").groupBy("name")
+    counts = sums.agg(F.bit_or("used"), F.sum("wrong"), F.sum("cost")).collect()
+    return [tuple(row) for row in counts]
+
+
+def check_sweep(rows: DataFrame, models: dict) -> list[tuple]:
+    """Per K-Means model, whose label column has its name: k, clusters in use, rows not nearest to
+    their centre, whether the cost and whether the silhouette agree. One pass counts for all
+    models; the evaluator's runs are chains of short jobs and go side by side."""
+    points = rows.select(*models, vector_to_array("features").alias("v"))
+    counts = {name: rest for name, *rest in _sweep_counts(points, models)}
+    scores = silhouettes(rows, list(models))
+    with ThreadPool(len(models)) as pool:
+        run = inheritable_thread_target(rows.sparkSession)(lambda name: silhouette(rows, name))
+        evaluated = dict(zip(models, pool.map(run, models)))
+    return [
+        (
+            model.getK(),
+            counts[name][0].bit_count(),
+            counts[name][1],
+            _same_cost(counts[name][2], model.summary.trainingCost),
+            abs(scores[name] - evaluated[name]) < 1e-6,
+        )
+        for name, model in models.items()
+    ]

@@ -549,22 +549,8 @@ def elbow_hazard(spark, sf_dir):
     """The sweep, each k with its clusters, misplaced rows, and whether cost and silhouette agree."""
     with clustering.model_frames(placed_quakes(spark, sf_dir), "hazard", KEY) as frames:
         rows, models = clustering.swept(frames.training, range(2, 11))
-        scores = clustering.silhouettes(rows, list(models))
-        sums = rows
-        for name, model in models.items():
-            sums = validation.well_placed(sums, name, model, "kmeans", f"{name}_right")
-        counts = sums.agg(
-            *(F.count_distinct(name).alias(name) for name in models),
-            *(F.count(F.when(~F.col(f"{name}_right"), 1)).alias(f"{name}_wrong") for name in models),
-        ).head()
-        found = [
-            (
-                model.getK(), counts[name], counts[f"{name}_wrong"],
-                validation.cost_agrees(model, frames.training),
-                abs(scores[name] - clustering.silhouette(rows, name)) < 1e-6,
-            )
-            for name, model in models.items()
-        ]
+        with clustering.kept(rows) as rows:
+            found = validation.check_sweep(rows, models)
     schema = "k int, clusters bigint, misplaced bigint, cost_agrees boolean, silhouette_agrees boolean"
     return spark.createDataFrame(found, schema)
 
