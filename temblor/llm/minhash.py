@@ -6,13 +6,13 @@ filled ones chosen by a universal hash of bin and attempt (optimal densification
 ``rows`` bins form a band, and documents that agree on a band fall into one bucket.
 
 A bucket of m documents gives at most 2 m candidate edges a round: from every member to the
-bucket's two hubs. First these are its first and last member in the order of document numbers,
-which is the same in all buckets, so a cluster of copies has few hubs and few distinct edges. Every edge
-whose set sizes allow the similarity is then checked on the full sets of both documents. What
+bucket's two hubs. First these are its first and last member in the order of document numbers, and
+of its hubs a member tries the two it shares most buckets with. Edges whose set sizes allow the
+similarity and whose signatures, kept to one byte a bin, do not rule it out by six standard
+deviations are then checked on the full sets of both documents. What
 remains are buckets whose members lie in several components. In further rounds the hubs are the
 member with the smallest set and one drawn anew for each bucket and round, and only members of
-another component than the hub's get an edge. Rounds go on until no bucket holds two components,
-or nothing new was linked since ``patience`` rounds.
+another component than the hub's get an edge. Rounds go on until one links nothing new.
 
 A link between two documents that no bucket of theirs ever joins through a hub can be missed; with
 32 bands a pair at the bound shares 13 buckets on average, each with fresh hubs in every round.
@@ -75,7 +75,6 @@ class Bands:
     rows: int = 4
     percent: int = 80
     shingle: int = 4
-    patience: int = 2
 
 
 def signature(hashes: np.ndarray, bins: int) -> np.ndarray:
@@ -116,26 +115,34 @@ SKETCH = T.StructType(
         T.StructField("n_shingles", T.LongType()),
         T.StructField("set_key", T.BinaryType()),
         T.StructField("keys", T.ArrayType(T.LongType())),
+        T.StructField("bytes", T.BinaryType()),
     ]
 )
 
 
 def sketches(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
-    """Per document its set size, a 128-bit digest of the set, and its band keys."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("keys", pa.list_(pa.int64()))])
+    """Per document its set size, a 128-bit digest of the set, its band keys, and the lowest byte of
+    every bin of its signature."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("keys", pa.list_(pa.int64())), ("bytes", pa.binary())])
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in incoming:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                sizes, digests, keys = [], [], []
+                sizes, digests, keys, low = [], [], [], []
                 for text in batch.column("text").to_pylist():
                     own = shingles(text, bands.shingle)
                     sizes.append(len(own))
                     digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                    keys.append(band_keys(signature(own, bands.bands * bands.rows), bands.bands, bands.rows).astype(np.int64) if len(own) else [])
+                    if len(own):
+                        sig = signature(own, bands.bands * bands.rows)
+                        keys.append(band_keys(sig, bands.bands, bands.rows).astype(np.int64))
+                        low.append(sig.astype(np.uint8).tobytes())
+                    else:
+                        keys.append([])
+                        low.append(b"")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                    [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(low, pa.binary())],
                     schema=schema,
                 )
 
@@ -161,13 +168,41 @@ def with_hubs(members: DataFrame, step: int = 0) -> DataFrame:
     return group_values(ranked, ["bucket"], F.col("doc"), values, F.col("c0") != F.col("c1")).drop("c0", "c1")
 
 
-def stars(hubs: DataFrame, bands: Bands) -> DataFrame:
-    """Distinct candidate edges ``hub``, ``member`` between components whose set sizes allow them."""
-    edges = hubs.select("doc", "n", "c", F.explode(F.array("low", "high")).alias("hub"))
+def stars(hubs: DataFrame, sketched: DataFrame, bands: Bands, step: int) -> DataFrame:
+    """Distinct candidate edges ``hub``, ``member`` between components.
+
+    At step 0 a member tries the first and the last hub it shares most buckets with; later all.
+    Set sizes and one-byte signatures of ``sketched`` (``doc``, ``n``, ``bytes``) sort out what
+    cannot be similar enough before any text moves.
+    """
+    ends = ("low", "high")
+    edges = hubs.select("doc", "n", "c", F.explode(F.array(*[F.struct(F.lit(e).alias("end"), F.col(e).alias("hub")) for e in ends])).alias("e"))
+    edges = edges.select("doc", "n", "c", F.col("e.end").alias("end"), F.col("e.hub").alias("hub"))
     possible = 100 * F.least("n", "hub.m") >= bands.percent * F.greatest("n", "hub.m")
-    return edges.where((F.col("c") != F.col("hub.c")) & possible).select(
-        F.col("hub.d").alias("hub"), F.col("doc").alias("member")
-    ).distinct()
+    edges = edges.where((F.col("c") != F.col("hub.c")) & possible).select(
+        F.col("hub.d").alias("hub"), F.col("doc").alias("member"), "end"
+    )
+    if step:
+        edges = edges.select("hub", "member").distinct()
+    else:
+        votes = edges.groupBy("hub", "member", "end").agg(F.count(F.lit(1)).alias("votes"))
+        most = F.max(F.struct("votes", (-F.col("hub")).alias("hub")))
+        edges = votes.groupBy("member", "end").agg(most.alias("m")).select((-F.col("m.hub")).alias("hub"), "member").distinct()
+    own = sketched.select(F.col("doc").alias("member"), "n", "bytes")
+    other = sketched.select(F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("bytes").alias("hub_bytes"))
+    pairs = edges.join(own, "member").join(other, "hub")
+
+    def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in incoming:
+            if not batch.num_rows:
+                continue
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("bytes", "hub_bytes"))
+            least = np.minimum(*(batch.column(c).to_numpy() for c in ("n", "hub_n")))
+            share = bands.percent / 100
+            slack = 6 * np.sqrt(share * (1 - share) / np.minimum(least, a.shape[1]))
+            yield batch.select(["hub", "member"]).filter(pa.array((a == b).mean(axis=1) >= share - slack))
+
+    return pairs.select("hub", "member", "n", "hub_n", "bytes", "hub_bytes").mapInArrow(run, "hub long, member long")
 
 
 def confirm(edges: DataFrame, docs: DataFrame, bands: Bands) -> DataFrame:
@@ -204,36 +239,41 @@ def confirm(edges: DataFrame, docs: DataFrame, bands: Bands) -> DataFrame:
     return sorted_texts.mapInArrow(run, schema)
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     """``doc``, ``component``: the smallest document each one of ``edges`` (``hub``, ``member``)
     reaches.
 
-    Large-star and small-star in turns, each round written to the shared folder, until nothing
-    changes: neighbours move to the smallest one, so long chains shrink to stars in a number of
-    rounds logarithmic in their length. Only edges move; the driver sees a count and two sums.
+    Each round every node takes one of its neighbours or itself, and the graph contracts to the
+    nodes taken and the edges between them, until none is left; what was taken composes to the
+    result. The first round takes the smallest document, which ends stars at once; later ones the
+    first by a hash of node and round, so that chains in any order shrink by a constant factor. Labels
+    and edges are stored tables, so Spark splits their joins where a node is hot; the driver sees
+    whether edges are left.
     """
-    rows = written(
-        edges.select(F.greatest("hub", "member").alias("u"), F.least("hub", "member").alias("v")).where("u <> v").distinct(), "edges"
-    )
-    before = _fingerprint(rows)
-    for _ in range(most_rounds):
+    rows = written(edges.select(F.col("hub").alias("u"), F.col("member").alias("v")).where("u <> v"), "edges")
+    found = None
+    for step in range(most_rounds):
         both = rows.union(rows.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = group_value(both, ["u"], F.col("v"), F.min, "v", "m")
-        large = least.where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
-        least = group_value(large, ["u"], F.col("v"), F.min, "v", "m")
-        small = least.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        rows = written(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
-        after = _fingerprint(rows)
-        if after == before:
-            return rows.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("doc"), "component")
-        before = after
+        order = (lambda c: F.xxhash64(c, F.lit(step))) if step else (lambda c: F.col(c))
+        near = F.min(F.struct(order("v").alias("o"), F.col("v").alias("c")))
+        own = F.struct(order("u").alias("o"), F.col("u").alias("c"))
+        taken = written(both.groupBy("u").agg(F.least(near, own)["c"].alias("c")), "taken")
+        found = taken if found is None else written(_composed(found, taken), "labels")
+        ends = rows.join(taken, "u").select("v", F.col("c").alias("cu"))
+        ends = ends.join(taken.withColumnRenamed("u", "v"), "v").where("cu <> c")
+        rows = written(ends.select(F.greatest("cu", "c").alias("u"), F.least("cu", "c").alias("v")).distinct(), "edges")
+        if rows.isEmpty():
+            if step:  # the node that was left need not be the smallest
+                least = written(found.groupBy("c").agg(F.least(F.min("u"), F.col("c")).alias("d")), "least")
+                found = _composed(found, least.select(F.col("c").alias("u"), F.col("d").alias("c")))
+            return found.select(F.col("u").alias("doc"), F.col("c").alias("component"))
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    """Number and two sums of hashes of distinct edges: equal for equal tables in any order."""
-    hashes = [F.sum(F.xxhash64("u", "v", F.lit(i)).cast("decimal(38,0)")) for i in (1, 2)]
-    return tuple(edges.agg(F.count(F.lit(1)), *hashes).first())
+def _composed(first: DataFrame, then: DataFrame) -> DataFrame:
+    """``u`` and ``c``: what ``first`` gives, or what ``then`` gives for that."""
+    after = then.select(F.col("u").alias("c"), F.col("c").alias("d"))
+    return first.join(after, "c", "left").select("u", F.coalesce("d", "c").alias("c"))
 
 
 def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
@@ -248,40 +288,33 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         rows = written(sketches(docs, bands), "sketches")
         known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
         whole = known.groupBy("doc_id").agg(
-            F.max(F.struct("n_shingles", "set_key", "keys")).alias("s")
+            F.max(F.struct("n_shingles", "set_key", "keys", "bytes")).alias("s")
         ).select("doc_id", "s.*")
         # documents with equal sets: one class, stood for by its smallest document
         classes = written(group_value(whole, ["set_key"], F.col("doc_id"), F.min, "doc_id", "class"), "classes")
         leaders = classes.where(F.col("doc_id") == F.col("class"))
         members = leaders.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("keys").alias("bucket"))
+        sketched = leaders.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "bytes")
         texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "text")
         # buckets of one leader give no candidates; their rows go with the search for hubs
         hubs = written(with_hubs(members.withColumn("c", F.col("doc"))), "buckets")
-        links, tried, found = None, None, None
-        step = idle = 0
+        found, step = None, 0
         while True:
-            edges = stars(hubs, bands)
-            if tried is not None:
-                edges = edges.join(tried, ["hub", "member"], "left_anti")
-            edges = written(edges, "candidates")
-            if edges.isEmpty():
-                break
-            tried = edges if tried is None else tried.union(edges)
+            edges = written(stars(hubs, sketched, bands, step), "candidates")
             new = written(confirm(edges, texts, bands), "links")
             if new.isEmpty():
-                idle += 1
-                if idle >= bands.patience:
-                    break
-            else:
-                idle = 0
-                links = new if links is None else links.union(new)
-                found = written(components(links), "components")
-            step += 1
-            members = hubs.drop("low", "high", "c") if found is not None else hubs.drop("low", "high")
+                break
+            # new links join components; the labels before them compose with the new ones
+            ends = new if found is None else _between_components(new, found)
+            joined = components(ends).select(F.col("doc").alias("u"), F.col("component").alias("c"))
             if found is not None:
-                members = members.join(found.select("doc", F.col("component").alias("c")), "doc", "left")
-                members = members.withColumn("c", F.coalesce("c", "doc"))
-            hubs = written(with_hubs(members, step), "buckets")
+                joined = _composed(found, joined).unionByName(joined.join(found, "u", "left_anti"))
+            found = written(joined, "components")
+            step += 1
+            own = hubs.drop("low", "high", "c").join(found.withColumnRenamed("u", "doc"), "doc", "left")
+            hubs = written(with_hubs(own.withColumn("c", F.coalesce("c", "doc")), step), "buckets")
+        if found is not None:
+            found = found.select(F.col("u").alias("doc"), F.col("c").alias("component"))
         named = classes.select("doc_id", F.col("class").alias("doc"))
         if found is not None:
             named = named.join(found, "doc", "left").select("doc_id", F.coalesce("component", "doc").alias("component"))
@@ -297,6 +330,14 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         return result(out, "near-duplicates")
 
 
+def _between_components(links: DataFrame, found: DataFrame) -> DataFrame:
+    """Links as edges between the components of their ends so far."""
+    for end in ("hub", "member"):
+        label = found.select(F.col("u").alias(end), F.col("c").alias("label"))
+        links = links.join(label, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    return links
+
+
 def keep_one(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """The rows of ``docs`` that stand for their group, with their columns.
 
