@@ -164,8 +164,8 @@ SCANNED = T.ArrayType(_OCCURRENCE)
 def scanned(text: pa.Array) -> pa.Array:
     """Every base match and candidate of one text; null counts as empty."""
     out = []
-    for t in text.to_pylist():
-        t = t or ""
+    for t in text:
+        t = t.as_py() or ""
         rows = []
         for k, s, e, value, patterns in occurrences(t, base_spans(t)):
             fits = [k] if k >= 0 else [j for j in range(4) if _fits(j, value)]
@@ -331,7 +331,8 @@ def redacted_text(text: str, spans: list[Span]) -> str:
 @F.arrow_udf(T.StringType())
 def _redact(text: pa.Array, more: pa.Array) -> pa.Array:
     out = []
-    for t, extra in zip(text.to_pylist(), more.to_pylist(), strict=True):
+    for t, extra in zip(text, more.to_pylist(), strict=True):
+        t = t.as_py()
         if t is not None:
             t = redacted_text(t, base_spans(t) + [(s["kind"], s["start"], s["end"]) for s in extra or ()])
         out.append(t)

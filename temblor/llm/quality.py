@@ -17,6 +17,7 @@ import math
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,9 +83,12 @@ def repeated_words(words: list[bytes]) -> int:
     return sum(covered)
 
 
-@F.pandas_udf(MEASURES)
-def measures(text: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame(list(map(measure_text, text)), columns=MEASURES.names)
+@F.arrow_udf(MEASURES)
+def measures(text: pa.Array) -> pa.Array:
+    """One text at a time leaves the batch, so only the batch itself is held."""
+    rows = [measure_text(t.as_py()) for t in text]
+    columns = zip(*rows, strict=True) if rows else [()] * len(MEASURES)
+    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=MEASURES.names)
 
 
 @dataclass(frozen=True)

@@ -17,7 +17,7 @@ import math
 import re
 from collections import Counter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,9 +187,12 @@ def _row(text: str | None) -> tuple:
     return (*counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans))
 
 
-@F.pandas_udf(FOUND)
-def _found(text: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame(list(map(_row, text)), columns=FOUND.names)
+@F.arrow_udf(FOUND)
+def _found(text: pa.Array) -> pa.Array:
+    rows = [_row(t.as_py()) for t in text]
+    kinds = [pa.int64()] * 3 + [pa.string()] * 2
+    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=FOUND.names)
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
