@@ -122,9 +122,11 @@ def scan(spark: SparkSession, folder: str, separator: int = SEPARATOR, dtype: st
     )
     stitched = found.join(scanned, ["path", "block"])
     file = F.element_at(F.split("path", "/"), -1).alias("file")
-    starts = F.concat(F.array("open"), F.transform("places", lambda p: p + 1))
-    ended = stitched.select(file, "done", starts.alias("starts"), F.posexplode("places").alias("k", "place")).select(
-        "file", (F.col("done") + F.col("k")).alias("ordinal"), F.get("starts", F.col("k")).alias("start"), (F.col("place") - F.get("starts", F.col("k"))).alias("n_tokens"), F.lit(True).alias("ended")
+    starts = F.slice(F.concat(F.array("open"), F.transform("places", lambda p: p + 1)), F.lit(1), F.size("places"))
+    spans = F.posexplode(F.arrays_zip(starts.alias("start"), F.col("places").alias("place"))).alias("k", "span")
+    length = F.col("span.place") - F.col("span.start")
+    ended = stitched.select(file, "done", spans).select(
+        "file", (F.col("done") + F.col("k")).alias("ordinal"), F.col("span.start").alias("start"), length.alias("n_tokens"), F.lit(True).alias("ended")
     )
     whole = found.groupBy("path").agg(
         F.sum(F.size("places")).cast("long").alias("ordinal"), F.coalesce(F.max(F.array_max("places")) + 1, F.lit(0)).alias("start"), F.max("end").alias("end")
