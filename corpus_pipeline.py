@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from temblor.lineage import scratch_path
 from temblor.llm import minhash, mixing, packing, pii, quality
-from temblor.llm.frames import remove, sweep
+from temblor.llm.frames import remove, sweep, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -63,7 +63,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each but the last is stored in the shared folder for the next,
-    and goes when the next one is stored."""
+    and goes when the next one is stored. Only the result stays there, until the next ``sweep``."""
     docs, stored = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name)
@@ -71,4 +71,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if stored:
             remove(spark, stored)
         docs, stored = spark.read.parquet(path), path
-    return STAGES[-1][1](spark, docs, sf_dir)
+    result = written(STAGES[-1][1](spark, docs, sf_dir), "packed")
+    remove(spark, stored)
+    return result
