@@ -5,13 +5,13 @@ hash range into bins; the smallest value of each bin is the signature, and empty
 filled ones chosen by a universal hash of bin and attempt (optimal densification). Runs of
 ``rows`` bins form a band, and documents that agree on a band fall into one bucket.
 
-A bucket of m documents gives at most 2 m candidate edges a round: from every member to the
-bucket's two hubs. First these are its first and last member in the order of document numbers, and
+A bucket of m documents gives at most 4 m candidate edges a round: from every member to the
+bucket's hubs. First these are its first and last member in the order of document numbers, and
 of its hubs a member tries the two it shares most buckets with. Edges whose set sizes allow the
 similarity and whose signatures, kept to one byte a bin, do not rule it out by six standard
 deviations are then checked on the full sets of both documents. What
 remains are buckets whose members lie in several components. In further rounds the hubs are the
-member with the smallest set and one drawn anew for each bucket and round, and only members of
+member with the smallest set and three drawn anew for each bucket and round, and only members of
 another component than the hub's get an edge. Rounds go on until one links nothing new.
 
 A link between two documents that no bucket of theirs ever joins through a hub can be missed; with
@@ -150,22 +150,22 @@ def sketches(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
 
 
 def with_hubs(members: DataFrame, step: int = 0) -> DataFrame:
-    """``bucket``, ``doc``, ``n``, ``c`` of the buckets with more than one component ``c``, and their
-    two hubs ``low`` and ``high``.
+    """``bucket``, ``doc``, ``n``, ``c`` of the buckets with more than one component ``c``, and an
+    array of their ``hubs``.
 
-    At step 0 these are the first and last in the global order, by number, of documents; later the
-    smallest set and a member drawn by bucket and step. Hubs come from mergeable aggregates, and a
-    hot bucket is split into sub-keys on the way back.
+    At step 0 these are the first and the last document by number; later the one with the smallest
+    set and three drawn by bucket and step. Hubs come from mergeable aggregates, and a hot bucket
+    is split into sub-keys on the way back.
     """
-    first, last = F.col("doc"), F.col("doc")
-    if step:
-        first, last = F.col("n"), F.xxhash64("doc", "bucket", F.lit(step))
+    drawn = [F.xxhash64("doc", "bucket", F.lit(step), F.lit(i)) for i in range(3)]
+    orders = [F.col("n"), *drawn] if step else [F.col("doc"), -F.col("doc")]
     hub = [F.col("doc").alias("d"), F.col("n").alias("m"), F.col("c").alias("c")]
-    ranked = members.withColumns(
-        {"low": F.struct(first.alias("o"), *hub), "high": F.struct(last.alias("o"), *hub), "c0": F.col("c"), "c1": F.col("c")}
-    )
-    values = {"low": F.min, "high": F.max, "c0": F.min, "c1": F.max}
-    return group_values(ranked, ["bucket"], F.col("doc"), values, F.col("c0") != F.col("c1")).drop("c0", "c1")
+    ends = {f"hub{i}": F.struct(order.alias("o"), *hub) for i, order in enumerate(orders)}
+    ranked = members.withColumns({**ends, "c0": F.col("c"), "c1": F.col("c")})
+    values = {**dict.fromkeys(ends, F.min), "c0": F.min, "c1": F.max}
+    found = group_values(ranked, ["bucket"], F.col("doc"), values, F.col("c0") != F.col("c1"))
+    hubs = [F.struct(F.lit(i).alias("end"), F.col(f"hub{i}.d"), F.col(f"hub{i}.m"), F.col(f"hub{i}.c")) for i in range(len(ends))]
+    return found.select("bucket", "doc", "n", "c", F.array(*hubs).alias("hubs"))
 
 
 def stars(hubs: DataFrame, sketched: DataFrame, bands: Bands, step: int) -> DataFrame:
@@ -175,12 +175,10 @@ def stars(hubs: DataFrame, sketched: DataFrame, bands: Bands, step: int) -> Data
     Set sizes and one-byte signatures of ``sketched`` (``doc``, ``n``, ``bytes``) sort out what
     cannot be similar enough before any text moves.
     """
-    ends = ("low", "high")
-    edges = hubs.select("doc", "n", "c", F.explode(F.array(*[F.struct(F.lit(e).alias("end"), F.col(e).alias("hub")) for e in ends])).alias("e"))
-    edges = edges.select("doc", "n", "c", F.col("e.end").alias("end"), F.col("e.hub").alias("hub"))
+    edges = hubs.select("doc", "n", "c", F.explode("hubs").alias("hub"))
     possible = 100 * F.least("n", "hub.m") >= bands.percent * F.greatest("n", "hub.m")
     edges = edges.where((F.col("c") != F.col("hub.c")) & possible).select(
-        F.col("hub.d").alias("hub"), F.col("doc").alias("member"), "end"
+        F.col("hub.d").alias("hub"), F.col("doc").alias("member"), F.col("hub.end").alias("end")
     )
     if step:
         edges = edges.select("hub", "member").distinct()
@@ -311,8 +309,11 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
                 joined = _composed(found, joined).unionByName(joined.join(found, "u", "left_anti"))
             found = written(joined, "components")
             step += 1
-            own = hubs.drop("low", "high", "c").join(found.withColumnRenamed("u", "doc"), "doc", "left")
+            own = hubs.drop("hubs", "c").join(found.withColumnRenamed("u", "doc"), "doc", "left")
             hubs = written(with_hubs(own.withColumn("c", F.coalesce("c", "doc")), step), "buckets")
+            if step == 1:  # from here on only texts of documents in buckets that are still mixed move
+                still = hubs.select("doc").distinct()
+                texts = written(texts.join(still, "doc", "left_semi"), "open-texts")
         if found is not None:
             found = found.select(F.col("u").alias("doc"), F.col("c").alias("component"))
         named = classes.select("doc_id", F.col("class").alias("doc"))
