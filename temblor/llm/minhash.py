@@ -5,13 +5,13 @@ hash range into bins; the smallest value of each bin is the signature, and empty
 filled ones chosen by a universal hash of bin and attempt (optimal densification). Runs of
 ``rows`` bins form a band, and documents that agree on a band fall into one bucket.
 
-A bucket of m documents gives at most 4 m candidate edges a round: from every member to the
+A bucket of m documents gives at most 2 m candidate edges a round: from every member to the
 bucket's hubs. First these are its first and last member in the order of document numbers, and
 of its hubs a member tries the two it shares most buckets with. Edges whose set sizes allow the
 similarity and whose signatures, kept to one byte a bin, do not rule it out by six standard
 deviations are then checked on the full sets of both documents. What
 remains are buckets whose members lie in several components. In further rounds the hubs are the
-member with the smallest set and three drawn anew for each bucket and round, and only members of
+member with the smallest set and one drawn anew for each bucket and round, and only members of
 another component than the hub's get an edge. Rounds go on until one links nothing new.
 
 A link between two documents that no bucket of theirs ever joins through a hub can be missed; with
@@ -154,11 +154,11 @@ def with_hubs(members: DataFrame, step: int = 0) -> DataFrame:
     array of their ``hubs``.
 
     At step 0 these are the first and the last document by number; later the one with the smallest
-    set and three drawn by bucket and step. Hubs come from mergeable aggregates, and a hot bucket
+    set and one drawn by bucket and step. Hubs come from mergeable aggregates, and a hot bucket
     is split into sub-keys on the way back.
     """
-    drawn = [F.xxhash64("doc", "bucket", F.lit(step), F.lit(i)) for i in range(3)]
-    orders = [F.col("n"), *drawn] if step else [F.col("doc"), -F.col("doc")]
+    drawn = F.xxhash64("doc", "bucket", F.lit(step))
+    orders = [F.col("n"), drawn] if step else [F.col("doc"), -F.col("doc")]
     hub = [F.col("doc").alias("d"), F.col("n").alias("m"), F.col("c").alias("c")]
     ends = {f"hub{i}": F.struct(order.alias("o"), *hub) for i, order in enumerate(orders)}
     ranked = members.withColumns({**ends, "c0": F.col("c"), "c1": F.col("c")})
@@ -294,7 +294,9 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         members = leaders.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("keys").alias("bucket"))
         sketched = leaders.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "bytes")
         texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "text")
-        # buckets of one leader give no candidates; their rows go with the search for hubs
+        # buckets of one leader give no candidates; most are, and go before hubs are looked for
+        shared = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket"), "shared")
+        members = members.join(shared, "bucket", "left_semi")
         hubs = written(with_hubs(members.withColumn("c", F.col("doc"))), "buckets")
         found, step = None, 0
         while True:
