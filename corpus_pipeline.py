@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from temblor.lineage import scratch_path
 from temblor.llm import minhash, mixing, packing, pii, quality
-from temblor.llm.frames import remove, sweep, written
+from temblor.llm.frames import OWN, numbered, remove, sweep, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -35,8 +35,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequence and offset."""
-    return packing.pack_documents(docs)
+    """The pieces of all documents with their sequence and offset; sequences follow the mixture, which
+    is the order of the stored table's files and rows."""
+    place = f"{OWN}place"
+    return packing.pack_documents(numbered(docs, place), place=place)
 
 
 def _stage(work: Stage) -> Stage:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from temblor.lineage import scratch_path
@@ -76,6 +76,22 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df``, a table read from Parquet, with each row's number from 0 on as ``name``.
+
+    The order is that of the writing tasks' numbers, then of file names, then of rows in a file, so a
+    table that was sorted and written is numbered in its sorted order, whatever partitions read it.
+    """
+    path, first = f"{OWN}path", f"{OWN}first"
+    here = df.withColumns({path: F.col("_metadata.file_path"), name: F.col("_metadata.row_index")})
+    files = here.groupBy(path).agg(F.count(F.lit(1)).alias("n"))
+    task = F.regexp_extract(path, r"part-([0-9]+)[^/]*$", 1).try_cast("long")
+    before = Window.orderBy(task, path).rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select(F.col(path).alias(f"{path}_"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias(first))
+    both = here.join(F.broadcast(starts), F.col(path) == F.col(f"{path}_"))
+    return both.withColumn(name, F.col(name) + F.col(first)).select(*df.columns, name)
+
+
 def group_values(
     df: DataFrame,
     keys: list[str],

@@ -8,10 +8,14 @@ room in every dimension, chosen by
 * ``norm``: the smallest weighted norm of what would remain of the residuals.
 
 Both are over shares of the capacities, pieces are taken longest first, and a bin is opened only
-when none fits. Pieces are dealt over groups of about ``group_pieces`` by a hash of document and
-piece, so every group is a random mix of lengths, groups pack independently, and the cost of
-packing apart is less than one open bin a group. A group's size depends on the parameter, not on
-the table.
+when none fits. Pieces are dealt over groups of about ``group_pieces``, which pack independently;
+the cost of packing apart is less than one open bin a group. A group's size depends on the
+parameter, not on the table.
+
+Documents that come with a place in an order, such as a mixture, are dealt by consecutive stretches
+of it, and sequences are numbered along it: by group, then by the place of a bin's longest piece. So
+a prefix of the sequences is a prefix of the order up to one group. Documents without a place are
+dealt by a hash of document and piece, so every group is a random mix of lengths.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from temblor.llm.frames import OWN, written
+from temblor.llm.frames import OWN, numbered, written
 from temblor.llm.tokens import encoder, vocabulary_path
 
 END_ID = 1
@@ -56,18 +60,21 @@ PIECES = T.StructType(
 
 
 def tokenised_pieces(
-    docs: DataFrame, most_tokens: int = 4096, end_id: int = END_ID, path: str | None = None
+    docs: DataFrame, most_tokens: int = 4096, end_id: int = END_ID, path: str | None = None, place: str | None = None
 ) -> DataFrame:
     """Every document's ids and end id, cut into pieces of at most ``most_tokens``.
 
     A null or empty text is one piece that holds the end id alone. Repeated rows give repeated
-    pieces; a null ``doc_id`` stays null. Columns other than ``doc_id`` and ``text`` are ignored.
+    pieces; a null ``doc_id`` stays null. Columns other than ``doc_id`` and ``text`` are ignored,
+    except ``place``, a column of whole numbers that pieces take from their document.
     """
     path = path or vocabulary_path()
     end = np.array([end_id], dtype="<u4").tobytes()
     schema = pa.schema(
         [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
+        + [(place, pa.int64())] * bool(place)
     )
+    given = ("doc_id", place) if place else ("doc_id",)
 
     def cut(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
@@ -76,16 +83,18 @@ def tokenised_pieces(
                 part = batch.slice(at, 500)
                 rows = []
                 texts = encode.ids(part.column("text").to_pylist())
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), texts, strict=True):
+                keys = zip(*(part.column(c).to_pylist() for c in given), strict=True)
+                for (doc_id, *at_place), ids in zip(keys, texts, strict=True):
                     ids += end
                     for piece, low in enumerate(range(0, len(ids), 4 * most_tokens)):
                         own = ids[low : low + 4 * most_tokens]
-                        rows.append((doc_id, piece, low // 4, len(own) // 4, zlib.crc32(own)))
+                        rows.append((doc_id, piece, low // 4, len(own) // 4, zlib.crc32(own), *at_place))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+    out = T.StructType([*PIECES.fields, *([T.StructField(place, T.LongType())] if place else [])])
+    return docs.select(*given, "text").mapInArrow(cut, out)
 
 
 def best_fit(lengths: np.ndarray, bins: Bins = Bins()) -> np.ndarray:
@@ -135,35 +144,45 @@ def best_fit(lengths: np.ndarray, bins: Bins = Bins()) -> np.ndarray:
     return chosen
 
 
-def pack(pieces: DataFrame, bins: Bins = Bins(), group_pieces: int = 4000) -> DataFrame:
+def pack(pieces: DataFrame, bins: Bins = Bins(), group_pieces: int = 4000, place: str | None = None) -> DataFrame:
     """``pieces`` (with ``doc_id``, ``piece``, ``length``) plus ``sequence_id`` and ``offset``.
 
-    An empty table gives an empty one. ``pieces`` is read twice, so pass a stored table.
+    With ``place``, a column that goes, groups are stretches of ``place`` and ``piece``, and sequence
+    numbers rise along it. An empty table gives an empty one. ``pieces`` is read more than once, so
+    pass a stored table.
     """
-    groups = max(1, -(-pieces.count() // group_pieces))
-    group = f"{OWN}group"
-    dealt = pieces.withColumn(
-        group, F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(groups)).cast("long")
-    )
+    total = pieces.count()
+    groups = max(1, -(-total // group_pieces))
+    group, at = f"{OWN}group", f"{OWN}at"
+    if place:
+        stored = written(pieces.orderBy(place, "piece").drop(place), "pieces-in-order")
+        dealt = numbered(stored, at).withColumn(group, F.floor(F.col(at) * groups / max(1, total)).cast("long"))
+    else:
+        dealt = pieces.withColumn(group, F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(groups)).cast("long"))
+        dealt = dealt.withColumn(at, F.lit(0).cast("long"))
+    kept = [f for f in pieces.schema.fields if f.name != place]
     schema = T.StructType(
-        [*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+        [*kept, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
     )
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop(columns=group).sort_values(
-            ["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable"
+            ["length", "doc_id", "piece", at], ascending=[False, True, True, True], kind="stable"
         )
-        lengths = rows["length"].to_numpy()
-        rows["sequence_id"] = best_fit(lengths, bins) * groups + key[0]
+        chosen = best_fit(rows["length"].to_numpy(), bins)
+        # a bin's first row is its longest piece; its place gives the bin's number
+        _, longest = np.unique(chosen, return_index=True)
+        rank = np.argsort(np.argsort(rows[at].to_numpy()[longest], kind="stable"), kind="stable")
+        rows["sequence_id"] = key[0] * (group_pieces + 1) + rank[chosen] if place else chosen * groups + key[0]
         rows["offset"] = rows.groupby("sequence_id")["length"].cumsum() - rows["length"]
-        return rows
+        return rows.drop(columns=at)
 
     return dealt.groupBy(group).applyInPandas(one, schema)
 
 
 def pack_documents(
-    docs: DataFrame, bins: Bins = Bins(), end_id: int = END_ID, path: str | None = None, group_pieces: int = 4000
+    docs: DataFrame, bins: Bins = Bins(), end_id: int = END_ID, path: str | None = None, group_pieces: int = 4000, place: str | None = None
 ) -> DataFrame:
-    """Documents to pieces with their place in a sequence."""
-    pieces = written(tokenised_pieces(docs, bins.tokens, end_id, path), "pieces")
-    return pack(pieces, bins, group_pieces)
+    """Documents to pieces with their place in a sequence; ``place`` is their place in an order."""
+    pieces = written(tokenised_pieces(docs, bins.tokens, end_id, path, place), "pieces")
+    return pack(pieces, bins, group_pieces, place)

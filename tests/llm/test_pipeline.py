@@ -72,3 +72,23 @@ def test_stages_equal_plain_versions(spark, tmp_path):
 
 def test_an_empty_table_goes_through(spark, tmp_path):
     assert corpus_pipeline.run(spark, tables(spark, tmp_path, [])).count() == 0
+
+
+def test_prefixes_of_the_sequences_keep_the_mixture(spark, tmp_path):
+    r = random.Random(5)
+    rows = []
+    for i in range(12_000):
+        text = " ".join(f"v{r.randint(0, 3000)}" for _ in range(60))
+        rows.append((i, text, "en", "b" if i % 10 == 0 else "a", len(text), None, None))
+    sf_dir = tables(spark, tmp_path, rows)
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    stages["pfair_mixing"](spark, docs, sf_dir).write.parquet(f"{tmp_path}/mixed")
+    packed = stages["best_fit_packing"](spark, spark.read.parquet(f"{tmp_path}/mixed"), sf_dir).collect()
+    assert sorted(x.doc_id for x in packed) == list(range(12_000))
+    # nine to one in characters is three to one in weights, until b runs out at 40 % of all
+    for share in (0.1, 0.2, 0.3):
+        first = sorted(packed, key=lambda x: (x.sequence_id, x.offset))[: int(share * len(packed))]
+        assert abs(sum(x.doc_id % 10 == 0 for x in first) / len(first) - 0.25) < 0.05, share
+    last = sorted(packed, key=lambda x: (x.sequence_id, x.offset))[8000:]
+    assert all(x.doc_id % 10 for x in last)
