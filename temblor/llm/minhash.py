@@ -11,11 +11,15 @@ of its hubs a member tries the two it shares most buckets with. Edges whose set
 similarity and whose signatures, kept to one byte a bin, do not rule it out by six standard
 deviations are then checked on the full sets of both documents. What
 remains are buckets whose members lie in several components. In further rounds the hubs are the
-member with the smallest set and one drawn anew for each bucket and round, and only members of
+member with the smallest set and three drawn anew for each bucket and round, and only members of
 another component than the hub's get an edge. Rounds go on until one links nothing new.
 
-A link between two documents that no bucket of theirs ever joins through a hub can be missed; with
-32 bands a pair at the bound shares 13 buckets on average, each with fresh hubs in every round.
+Rounds only join what is easily joined. After them every pair of members of a bucket that still holds
+several components, and that are of different ones, is compared: buckets are cut into sub-blocks, and
+pairs of sub-blocks sort out their pairs by set sizes and signature bytes, each pair in the first band
+it shares. Texts go to the pairs of sub-blocks that need them, where the pairs left are checked on
+full sets unless a link found there already joins them. So a pair is missed only if it shares no band
+or its signatures rule it out.
 
 Documents with equal sets are one class from the start; only its smallest document is compared.
 """
@@ -154,11 +158,11 @@ def with_hubs(members: DataFrame, step: int = 0) -> DataFrame:
     array of their ``hubs``.
 
     At step 0 these are the first and the last document by number; later the one with the smallest
-    set and one drawn by bucket and step. Hubs come from mergeable aggregates, and a hot bucket
+    set and three drawn by bucket and step. Hubs come from mergeable aggregates, and a hot bucket
     is split into sub-keys on the way back.
     """
-    drawn = F.xxhash64("doc", "bucket", F.lit(step))
-    orders = [F.col("n"), drawn] if step else [F.col("doc"), -F.col("doc")]
+    drawn = [F.xxhash64("doc", "bucket", F.lit(step), F.lit(i)) for i in range(3)]
+    orders = [F.col("n"), *drawn] if step else [F.col("doc"), -F.col("doc")]
     hub = [F.col("doc").alias("d"), F.col("n").alias("m"), F.col("c").alias("c")]
     ends = {f"hub{i}": F.struct(order.alias("o"), *hub) for i, order in enumerate(orders)}
     ranked = members.withColumns({**ends, "c0": F.col("c"), "c1": F.col("c")})
@@ -196,13 +200,143 @@ def stars(hubs: DataFrame, sketched: DataFrame, bands: Bands, step: int) -> Data
                 continue
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("bytes", "hub_bytes"))
             least = np.minimum(*(batch.column(c).to_numpy() for c in ("n", "hub_n")))
-            share = bands.percent / 100
-            slack = 6 * np.sqrt(share * (1 - share) / np.minimum(least, a.shape[1]))
-            yield batch.select(["hub", "member"]).filter(pa.array((a == b).mean(axis=1) >= share - slack))
+            yield batch.select(["hub", "member"]).filter(pa.array(_possible(a, b, least, bands)))
 
     return pairs.select("hub", "member", "n", "hub_n", "bytes", "hub_bytes").mapInArrow(run, "hub long, member long")
 
 
+def _possible(a: np.ndarray, b: np.ndarray, least: np.ndarray, bands: Bands) -> np.ndarray:
+    """Whether signature bytes, row by row, leave the similarity possible; ``least`` is the smaller set's size."""
+    share = bands.percent / 100
+    slack = 6 * np.sqrt(share * (1 - share) / np.minimum(least, a.shape[-1]))
+    return (a == b).mean(axis=1) >= share - slack
+
+
+#: Members of a sub-block of a bucket; two sub-blocks meet in a task with their texts.
+BLOCK = 256
+
+_BLOCK = ["bucket", "low", "high"]
+
+
+def _blocks(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each pair of sub-blocks, from batches sorted by ``_BLOCK``."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in incoming:
+        if not batch.num_rows:
+            continue
+        keys = np.column_stack([batch.column(c).to_numpy() for c in _BLOCK])
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            if held and tuple(keys[start]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = tuple(keys[start])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def partners(mixed: DataFrame, sketched: DataFrame, bands: Bands) -> DataFrame:
+    """``bucket``, ``low``, ``high``, ``doc``, ``partners``: per pair of sub-blocks, the documents of
+    every pair that is to be checked, each with those it is to be checked with there.
+
+    ``mixed`` has ``bucket``, ``doc``, ``n``, ``c``. In each bucket one component, drawn by a member of
+    it, so mostly the largest, is not compared with itself; a large component costs no square.
+    """
+    drawn = mixed.withColumn("top", F.struct(F.xxhash64("doc", "bucket").alias("o"), "c"))
+    drawn = group_values(drawn, ["bucket"], F.col("doc"), {"top": F.min}).withColumn("minor", F.col("c") != F.col("top.c"))
+    sized = drawn.withColumns({"minors": F.col("minor").cast("long"), "majors": (~F.col("minor")).cast("long")})
+    sized = group_values(sized, ["bucket"], F.col("doc"), {"minors": F.sum, "majors": F.sum})
+    minors, majors = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("minors", "majors"))
+    at = F.when(F.col("minor"), F.pmod(F.xxhash64("doc"), minors)).otherwise(minors + F.pmod(F.xxhash64("doc"), majors))
+    others = F.sequence(F.lit(0), F.when(F.col("minor"), minors + majors).otherwise(minors) - 1)
+    placed = sized.withColumn("at", at.cast("int")).join(sketched.select("doc", "bytes", "keys"), "doc")
+    met = placed.select("bucket", "doc", "n", "c", "bytes", "keys", "at", F.explode(others).alias("other"))
+    met = met.withColumns({"low": F.least("at", "other"), "high": F.greatest("at", "other")}).drop("other")
+    schema = T.StructType(
+        [
+            T.StructField("bucket", T.LongType()),
+            T.StructField("low", T.IntegerType()),
+            T.StructField("high", T.IntegerType()),
+            T.StructField("doc", T.LongType()),
+            T.StructField("partners", T.ArrayType(T.LongType())),
+        ]
+    )
+
+    def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _blocks(incoming):
+            doc, n, c, at = (rows.column(x).to_numpy() for x in ("doc", "n", "c", "at"))
+            if c.min() == c.max():
+                continue
+            bucket, low, high = (rows.column(x)[0].as_py() for x in _BLOCK)
+            sig = np.frombuffer(b"".join(rows.column("bytes").to_pylist()), np.uint8).reshape(len(doc), -1)
+            keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(doc), -1)
+            left = np.flatnonzero(at == low)
+            right = left if low == high else np.flatnonzero(at == high)
+            found: dict[int, list[int]] = {}
+            for number, i in enumerate(left):
+                js = right[number + 1 :] if low == high else right
+                fit = 100 * np.minimum(n[i], n[js]) >= bands.percent * np.maximum(n[i], n[js])
+                js = js[(c[js] != c[i]) & fit]
+                js = js[_possible(sig[i], sig[js], np.minimum(n[i], n[js]), bands)]
+                if len(js):  # a pair is checked in the first band it shares
+                    js = js[keys[i][(keys[js] == keys[i]).argmax(axis=1)] == bucket]
+                if len(js):
+                    found.setdefault(int(doc[i]), []).extend(doc[js].tolist())
+                    for j in doc[js].tolist():
+                        found.setdefault(j, [])
+            if found:
+                k = len(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([bucket] * k, pa.int64()), pa.array([low] * k, pa.int32()), pa.array([high] * k, pa.int32()), pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.list_(pa.int64()))],
+                    names=[*_BLOCK, "doc", "partners"],
+                )
+
+    return met.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK).mapInArrow(run, schema)
+
+
+def remaining(pairs: DataFrame, docs: DataFrame, bands: Bands) -> DataFrame:
+    """Links (``hub``, ``member``) that join what all similar pairs of ``partners`` join."""
+    texts = pairs.join(docs, "doc").select(*_BLOCK, "doc", "partners", "text")
+
+    def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sets() -> Iterator[pa.RecordBatch]:
+            for batch in incoming:
+                for i in range(batch.num_rows):  # one text at a time; only sets are held
+                    own = shingles(batch.column("text")[i].as_py(), bands.shingle)
+                    row = batch.slice(i, 1).select([*_BLOCK, "doc", "partners"])
+                    yield row.append_column("set", pa.array([own.tobytes()], pa.binary()))
+
+        for rows in _blocks(sets()):
+            own: dict[int, np.ndarray] = {}
+            for doc, raw in zip(rows.column("doc").to_pylist(), rows.column("set"), strict=True):
+                found = np.frombuffer(raw.as_buffer(), np.uint64)
+                if doc not in own or len(found) > len(own[doc]):
+                    own[doc] = found
+            parent = {d: d for d in own}
+
+            def root(d: int, parent: dict[int, int] = parent) -> int:
+                while parent[d] != d:
+                    parent[d] = parent[parent[d]]
+                    d = parent[d]
+                return d
+
+            hubs, members = [], []
+            for doc, others in zip(rows.column("doc").to_pylist(), rows.column("partners").to_pylist(), strict=True):
+                for other in others:
+                    if root(doc) == root(other):
+                        continue
+                    both = len(np.intersect1d(own[doc], own[other], assume_unique=True))
+                    if 100 * both >= bands.percent * (len(own[doc]) + len(own[other]) - both):
+                        hubs.append(doc)
+                        members.append(other)
+                        parent[root(doc)] = root(other)
+            yield pa.RecordBatch.from_arrays([pa.array(hubs, pa.int64()), pa.array(members, pa.int64())], names=["hub", "member"])
+
+    return texts.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK).mapInArrow(run, "hub long, member long")
+
+
 def confirm(edges: DataFrame, docs: DataFrame, bands: Bands) -> DataFrame:
     """The edges whose full sets are similar enough; ``docs`` has distinct ``doc`` and ``text``.
 
@@ -292,7 +426,7 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         classes = written(group_value(whole, ["set_key"], F.col("doc_id"), F.min, "doc_id", "class"), "classes")
         leaders = classes.where(F.col("doc_id") == F.col("class"))
         members = leaders.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("keys").alias("bucket"))
-        sketched = leaders.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "bytes")
+        sketched = leaders.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "bytes", "keys")
         texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "text")
         # buckets of one leader give no candidates; most are, and go before hubs are looked for
         shared = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket"), "shared")
@@ -304,18 +438,18 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
             new = written(confirm(edges, texts, bands), "links")
             if new.isEmpty():
                 break
-            # new links join components; the labels before them compose with the new ones
-            ends = new if found is None else _between_components(new, found)
-            joined = components(ends).select(F.col("doc").alias("u"), F.col("component").alias("c"))
-            if found is not None:
-                joined = _composed(found, joined).unionByName(joined.join(found, "u", "left_anti"))
-            found = written(joined, "components")
+            found = written(_joined(new, found), "components")
             step += 1
             own = hubs.drop("hubs", "c").join(found.withColumnRenamed("u", "doc"), "doc", "left")
             hubs = written(with_hubs(own.withColumn("c", F.coalesce("c", "doc")), step), "buckets")
             if step == 1:  # from here on only texts of documents in buckets that are still mixed move
                 still = hubs.select("doc").distinct()
                 texts = written(texts.join(still, "doc", "left_semi"), "open-texts")
+        # hubs link nothing more: every other pair of a bucket that is still mixed
+        left = written(partners(hubs.drop("hubs"), sketched, bands), "partners")
+        new = written(remaining(left, texts, bands), "links")
+        if not new.isEmpty():
+            found = written(_joined(new, found), "components")
         if found is not None:
             found = found.select(F.col("u").alias("doc"), F.col("c").alias("component"))
         named = classes.select("doc_id", F.col("class").alias("doc"))
@@ -333,6 +467,15 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         return result(out, "near-duplicates")
 
 
+def _joined(links: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``u`` and ``c`` after ``links`` join components of ``found``, whose labels compose with the new."""
+    ends = links if found is None else _between_components(links, found)
+    joined = components(ends).select(F.col("doc").alias("u"), F.col("component").alias("c"))
+    if found is None:
+        return joined
+    return _composed(found, joined).unionByName(joined.join(found, "u", "left_anti"))
+
+
 def _between_components(links: DataFrame, found: DataFrame) -> DataFrame:
     """Links as edges between the components of their ends so far."""
     for end in ("hub", "member"):

@@ -34,6 +34,29 @@ def test_components_equal_all_pairs(spark):
     assert sorted(map(tuple, out.collect())) == sorted(near_duplicate_rows(rows))
 
 
+def hot_buckets():
+    """Passages that many documents share below the bound, and two of them, which share nothing else,
+    above it. Documents with smaller sets are there too, so no hub is likely to be one of the two."""
+    rows = []
+    for g in range(12):
+        passage = [f"g{g}p{i}" for i in range(60)]
+        own = [10] * 30 + [6] + [10] * 15 + [6] + [10] * 30
+        for i, words in enumerate(own):
+            rows.append((len(rows), " ".join([*passage, *(f"g{g}d{i}x{j}" for j in range(words))])))
+            if i % 3 == 0:
+                rows.append((len(rows), " ".join([*passage[:45], *(f"g{g}s{i}x{j}" for j in range(9))])))
+    return rows
+
+
+def test_the_one_linked_pair_of_a_hot_bucket_is_found(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 20)
+    rows = hot_buckets()
+    out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    expected = near_duplicate_rows(rows)
+    assert sum(not kept for *_, kept in expected) == 12
+    assert sorted(map(tuple, out.collect())) == sorted(expected)
+
+
 def test_hard_rows(spark):
     out = [tuple(r) for r in minhash.near_duplicates(hard_documents(spark)).collect()]
     expected = near_duplicate_rows([(r[0], r[1]) for r in HARD])
