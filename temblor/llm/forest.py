@@ -3,7 +3,10 @@
 Each of ``trees`` trees gives every vector a string of ``bits`` sign bits of random projections; a
 tree is the array of these strings in sorted order, cut into blocks that share their first bits.
 A query descends in every tree to its longest matching prefix and all trees ascend together, one
-bit at a time, until the vectors below the matched prefixes are enough. Those are scored exactly.
+bit at a time, until the vectors below the matched prefixes are enough, and in one tree more than
+``k``. Those are scored exactly. A query whose blocks hold too few ascends above them, if need be to
+the empty prefix, with the sizes of blocks telling how far; so every query gets ``k`` rows if the
+table has them.
 
 How many are enough is measured: for a bounded sample of queries the true neighbours are found by
 brute force, and the smallest number is taken with which the sample reaches ``recall``. On vectors
@@ -127,12 +130,20 @@ def nearest(
         while True:
             parts = written(_parts(coded, bits, forest), "ann-parts")
             counts = written(_counts(coded, queries, parts, bits, forest), "ann-counts")
-            enough = _enough(truth, counts, bits, forest)
+            enough = _enough(truth, counts, queries, parts, bits, k, forest)
             if enough is not None or bits == 0:
                 break
             bits -= 1
-        depth = written(_depths(counts, enough or n, bits), "ann-depths")
-        found = written(_scored(coded, queries, parts, depth, bits, width, k, forest), "ann-found")
+        depth = written(_depths(counts, enough or n, bits, k), "ann-depths")
+        found = written(_scored(coded, queries, parts, depth.where("depth IS NOT NULL"), bits, width, k, forest), "ann-found")
+        short = queries.join(depth.where("depth IS NULL"), "q", "left_semi")
+        if bits and not short.isEmpty():
+            above = written(_depths(_above(short, parts, bits, forest), enough or n, 0, k), "ann-above")
+            for level in sorted(r[0] for r in above.select("depth").distinct().collect()):
+                own = above.where(F.col("depth") == level)
+                blocks = _blocked(queries.join(own, "q", "left_semi"), level, forest).select("tree", "block").distinct()
+                wide = written(_parts(coded, level, forest).join(blocks, ["tree", "block"], "left_semi"), "ann-parts")
+                found = found.unionByName(written(_scored(coded, queries, wide, own, level, width, k, forest), "ann-found"))
 
         # Every query with the vector, and every copy of the neighbours.
         hits = found.dropDuplicates(["q", "id"])
@@ -209,25 +220,26 @@ _PART = ("tree", "block", "part")
 
 
 def _parts(coded: DataFrame, bits: int, forest: Forest) -> DataFrame:
-    """Per block, in how many parts it is dealt out."""
+    """Per block, its vectors and in how many parts it is dealt out."""
     sizes = _blocked(coded, bits, forest).groupBy("tree", "block").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.select("tree", "block", F.ceil(F.col("n") / (2 * forest.block_rows)).cast("int").alias("parts"))
+    return sizes.select("tree", "block", "n", F.ceil(F.col("n") / (2 * forest.block_rows)).cast("int").alias("parts"))
 
 
 def _dealt(df: DataFrame, parts: DataFrame) -> DataFrame:
     """Vectors by block, each in one part of it."""
     part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    return df.join(parts, ["tree", "block"]).withColumn("part", part).drop("parts")
+    return df.join(parts, ["tree", "block"]).withColumn("part", part).drop("parts", "n")
 
 
 def _asked(df: DataFrame, parts: DataFrame) -> DataFrame:
     """Queries by block, once for every part of it."""
     part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    return df.join(parts, ["tree", "block"]).withColumn("part", part).drop("parts")
+    return df.join(parts, ["tree", "block"]).withColumn("part", part).drop("parts", "n")
 
 
 def _counts(coded: DataFrame, queries: DataFrame, parts: DataFrame, bits: int, forest: Forest) -> DataFrame:
-    """Per query, the vectors below its prefix of each length from ``bits`` on, over all trees."""
+    """Per query, the vectors below its prefix of each length from ``bits`` on: ``counts`` over all
+    trees and the ``most`` in one. A query whose blocks are empty has zeros."""
     left = _dealt(_blocked(coded, bits, forest, "id"), parts).select(*_PART, "code")
     right = _asked(_blocked(queries, bits, forest, "q"), parts).select(*_PART, "q", "code")
     depths = np.arange(bits, forest.bits + 1)
@@ -235,23 +247,48 @@ def _counts(coded: DataFrame, queries: DataFrame, parts: DataFrame, bits: int, f
     def one(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         ordered, own = np.sort(rows["code"].to_numpy()), asked["code"].to_numpy()
         below = [np.subtract(*_below(ordered, own, int(d), forest.bits)[::-1]) for d in depths]
-        return pd.DataFrame({"q": asked["q"], **{f"d{d}": b for d, b in zip(depths, below, strict=True)}})
+        return pd.DataFrame({"q": asked["q"], "tree": asked["tree"], **{f"d{d}": b for d, b in zip(depths, below, strict=True)}})
 
-    schema = "q long, " + ", ".join(f"d{d} long" for d in depths)
+    schema = "q long, tree int, " + ", ".join(f"d{d} long" for d in depths)
     each = left.groupBy(*_PART).cogroup(right.groupBy(*_PART)).applyInPandas(one, schema)
-    return each.groupBy("q").agg(F.array(*[F.sum(f"d{d}") for d in depths]).alias("counts"))
+    each = each.groupBy("q", "tree").agg(*[F.sum(f"d{d}").alias(f"d{d}") for d in depths])
+    known = each.groupBy("q").agg(*[F.array(*[f(f"d{d}") for d in depths]).alias(c) for c, f in _MERGED.items()])
+    none = F.array(*[F.lit(0).cast("long")] * len(depths))
+    return queries.select("q").join(known, "q", "left").select("q", *[F.coalesce(c, none).alias(c) for c in _MERGED])
 
 
-def _enough(truth: pd.DataFrame, counts: DataFrame, bits: int, forest: Forest) -> int | None:
+_MERGED = {"counts": F.sum, "most": F.max}
+
+
+def _above(queries: DataFrame, parts: DataFrame, bits: int, forest: Forest) -> DataFrame:
+    """What ``_counts`` gives, for the prefixes shorter than ``bits``, from the sizes of blocks."""
+    depth = F.explode(F.sequence(F.lit(0), F.lit(bits - 1))).alias("depth")
+    sizes = parts.select("tree", "block", "n", depth)
+    sizes = sizes.groupBy("tree", "depth", F.expr(f"shiftright(block, {bits} - depth)").alias("block")).agg(F.sum("n").alias("n"))
+    own = queries.select("q", F.posexplode("codes").alias("tree", "code")).select("q", "tree", "code", depth)
+    own = own.withColumn("block", F.expr(f"shiftright(code, {forest.bits} - depth)"))
+    n = F.coalesce("n", F.lit(0).cast("long"))
+    each = own.join(sizes, ["tree", "depth", "block"], "left").groupBy("q", "depth")
+    each = each.agg(*[f(n).alias(c) for c, f in _MERGED.items()])
+    ordered = each.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("depth", *_MERGED))).alias("o"))
+    return ordered.select("q", *[F.col(f"o.{c}").alias(c) for c in _MERGED])
+
+
+def _enough(
+    truth: pd.DataFrame, counts: DataFrame, queries: DataFrame, parts: DataFrame, bits: int, k: int, forest: Forest
+) -> int | None:
     """The smallest number of candidates with which the sample reaches the recall."""
     if truth.empty:
         return 1
-    names = truth["q"].unique().tolist()
-    known = {r[0]: np.array(r[1]) for r in counts.where(F.col("q").isin(names)).collect()}
-    most = max(int(c.max()) for c in known.values())
+    sampled = F.col("q").isin(truth["q"].unique().tolist())
+    known = {r["q"]: np.array([r["counts"], r["most"]]) for r in counts.where(sampled).collect()}
+    most = max(int(c[0].max()) for c in known.values())
+    if bits:
+        for r in _above(queries.where(sampled), parts, bits, forest).collect():
+            known[r["q"]] = np.concatenate([np.array([r["counts"], r["most"]]), known[r["q"]]], axis=1)
     number = 32
     while True:
-        depth = {q: bits + _deepest(c, number) for q, c in known.items()}
+        depth = {q: _deepest(c, number, k) for q, c in known.items()}
         if np.mean([a >= depth[q] for q, a in zip(truth["q"], truth["agree"], strict=True)]) >= forest.recall:
             return number
         if number >= most:
@@ -259,15 +296,17 @@ def _enough(truth: pd.DataFrame, counts: DataFrame, bits: int, forest: Forest) -
         number = min(most, int(number * 1.1) + 1)
 
 
-def _deepest(counts: np.ndarray, number: int) -> int:
-    reach = np.flatnonzero(counts >= number)
+def _deepest(counts: np.ndarray, number: int, k: int) -> int:
+    reach = np.flatnonzero((counts[0] >= number) & (counts[1] > k))
     return int(reach[-1]) if len(reach) else 0
 
 
-def _depths(counts: DataFrame, enough: int, bits: int) -> DataFrame:
-    """``q`` and the depth at which the synchronous ascent stops."""
-    reached = F.size(F.filter("counts", lambda c: c >= enough))
-    return counts.select("q", (F.lit(bits) + F.greatest(reached - 1, F.lit(0))).alias("depth"))
+def _depths(counts: DataFrame, enough: int, bits: int, k: int) -> DataFrame:
+    """``q`` and the depth at which the synchronous ascent stops; null if that is above ``bits``."""
+    reached = F.size(F.filter(F.arrays_zip("counts", "most"), lambda c: (c["counts"] >= enough) & (c["most"] > k)))
+    if bits == 0:
+        reached = F.greatest(reached, F.lit(1))
+    return counts.select("q", F.when(reached > 0, F.lit(bits) + reached - 1).alias("depth"))
 
 
 def _scored(

@@ -56,3 +56,16 @@ def test_a_block_of_many_alike_vectors_is_dealt_out(spark):
     rows += [(1000 + i, r.normal(size=6).tolist(), 1, 1) for i in range(200)]
     out = forest.nearest(spark.createDataFrame(rows, SCHEMA), k=5, forest=forest.Forest(trees=3, block_rows=50, recall=1.0))
     assert sorted((x.query_id, x.rank, x.vec_id) for x in out.collect()) == brute(rows, 5)
+
+
+def test_queries_outside_of_all_blocks_ascend(spark):
+    r = np.random.default_rng(4)
+    centre = r.normal(size=6)
+    rows = [(i, (centre + 1e-3 * r.normal(size=6)).tolist(), 1, 1) for i in range(1, 400)]
+    rows += [(1000 + i, r.normal(size=6).tolist(), 1, 1) for i in range(200)]
+    rows.append((5001, (1000 * r.normal(size=6)).tolist(), 1, 1))  # all others point to one pole beside it
+    out = forest.nearest(spark.createDataFrame(rows, SCHEMA), forest=forest.Forest(trees=2, block_rows=20))
+    found = {(x.query_id, x.rank): x.vec_id for x in out.collect()}
+    true = {(q, n): i for q, n, i in brute(rows, 20)}
+    assert found.keys() == true.keys()
+    assert len({(q, i) for (q, _), i in found.items()} & {(q, i) for (q, _), i in true.items()}) >= 0.8 * len(true)
