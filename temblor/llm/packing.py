@@ -15,7 +15,8 @@ parameter, not on the table.
 Documents that come with a place in an order, such as a mixture, are dealt by consecutive stretches
 of it, and sequences are numbered along it: by group, then by the place of a bin's longest piece. So
 a prefix of the sequences is a prefix of the order up to one group. Documents without a place are
-dealt by a hash of document and piece, so every group is a random mix of lengths.
+taken in the order of a hash of their pieces, so every group is a random mix of lengths; equal rows,
+which hash alike, are told apart by their number in the stored table and so spread over groups.
 """
 
 from __future__ import annotations
@@ -147,22 +148,21 @@ def best_fit(lengths: np.ndarray, bins: Bins = Bins()) -> np.ndarray:
 def pack(pieces: DataFrame, bins: Bins = Bins(), group_pieces: int = 4000, place: str | None = None) -> DataFrame:
     """``pieces`` (with ``doc_id``, ``piece``, ``length``) plus ``sequence_id`` and ``offset``.
 
-    With ``place``, a column that goes, groups are stretches of ``place`` and ``piece``, and sequence
-    numbers rise along it. An empty table gives an empty one. ``pieces`` is read more than once, so
-    pass a stored table.
+    Groups are stretches of ``place``, a column that goes, and ``piece``, or without it of a hash
+    order; sequence numbers rise along it. An empty table gives an empty one. ``pieces`` is read from
+    Parquet, more than once.
     """
     total = pieces.count()
     groups = max(1, -(-total // group_pieces))
     group, at = f"{OWN}group", f"{OWN}at"
     if place:
         stored = written(pieces.orderBy(place, "piece").drop(place), "pieces-in-order")
-        dealt = numbered(stored, at).withColumn(group, F.floor(F.col(at) * groups / max(1, total)).cast("long"))
     else:
-        dealt = pieces.withColumn(group, F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(groups)).cast("long"))
-        dealt = dealt.withColumn(at, F.lit(0).cast("long"))
-    kept = [f for f in pieces.schema.fields if f.name != place]
+        stored = numbered(pieces, at).orderBy(F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32"), at)
+        stored = written(stored.drop(at), "pieces-in-order")
+    dealt = numbered(stored, at).withColumn(group, F.expr(f"{at} * {groups}L div {max(1, total)}L"))
     schema = T.StructType(
-        [*kept, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+        [*stored.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
     )
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -173,7 +173,7 @@ def pack(pieces: DataFrame, bins: Bins = Bins(), group_pieces: int = 4000, place
         # a bin's first row is its longest piece; its place gives the bin's number
         _, longest = np.unique(chosen, return_index=True)
         rank = np.argsort(np.argsort(rows[at].to_numpy()[longest], kind="stable"), kind="stable")
-        rows["sequence_id"] = key[0] * (group_pieces + 1) + rank[chosen] if place else chosen * groups + key[0]
+        rows["sequence_id"] = key[0] * group_pieces + rank[chosen]
         rows["offset"] = rows.groupby("sequence_id")["length"].cumsum() - rows["length"]
         return rows.drop(columns=at)
 

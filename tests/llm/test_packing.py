@@ -65,3 +65,12 @@ def test_every_token_has_one_place(spark, docs):
             own = ids[start : start + 256]
             expected.append((str(row[0]), i, start, len(own), zlib.crc32(np.array(own, "<u4").tobytes())))
     assert pieces == sorted(expected)
+
+
+def test_equal_rows_spread_over_groups(spark):
+    docs = spark.createDataFrame([(None, "")] * 3000 + [(i, "") for i in range(500)], "doc_id long, text string")
+    used = {}
+    for row in packing.pack_documents(docs, packing.Bins(7, 7, 49), group_pieces=100).collect():
+        used[row.sequence_id] = used.get(row.sequence_id, 0) + row.length
+    # 35 groups of 100 pieces of one token: 14 full bins and one of two tokens each
+    assert sorted(used.values()) == [2] * 35 + [7] * 490
