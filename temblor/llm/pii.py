@@ -2,7 +2,9 @@
 
 Base matches are seeds. Every identifier-shaped token of the corpus, matched or not, is an instance
 with up to three lexical patterns: the two words before it, the word before it, and the words on
-both sides. Spark aggregates the bipartite graph of patterns and instances and scores it in rounds:
+both sides. Numeric tokens that follow each other with a single space, or a bracket and one, are one
+instance in place of their tokens if together they fit a kind; of a run that fits none, the longest
+stretches that do are taken from the left. Spark aggregates the bipartite graph of patterns and instances and scores it in rounds, until one finds no new instance:
 
 * a pattern's confidence for a kind is the share of its distinct instances believed to be of that
   kind, shrunk by ``prior`` unseen instances; an instance not yet believed, whose shape would fit,
@@ -43,6 +45,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 _WORD_BEFORE = re.compile(r"([^\x20\x09-\x0D]{1,40})[\x20\x09]{1,8}\Z")
 _WORD_AFTER = re.compile(r"[\x20\x09]{1,8}([^\x20\x09-\x0D]{1,40})")
+# What a number written in groups consists of, and what may stand between two of its tokens.
+_GROUP = re.compile(r"\+?[0-9](?:[().-]{0,2}[0-9])*")
+_BETWEEN = frozenset([" ", ") ", " (", ") ("])
 _EDGES = ".,;:!?\"'()[]{}<>"
 #: Longest token taken as an instance, in characters; longer ones are blobs, not identifiers.
 _TOKEN_CHARS = 80
@@ -133,6 +138,7 @@ def occurrences(text: str, base: list[Span]) -> list[tuple[int, int, int, str, l
         reach = max(reach, e)
         starts.append(s)
         ends.append(reach)
+    tokens: list[tuple[int, int]] = []
     for m in _TOKEN.finditer(text):
         if m.end() - m.start() > _TOKEN_CHARS:
             continue
@@ -143,10 +149,36 @@ def occurrences(text: str, base: list[Span]) -> list[tuple[int, int, int, str, l
         before = bisect_left(starts, start + len(value)) - 1
         if before >= 0 and ends[before] > start:
             continue
-        found.append((-1, start, start + len(value), value, _patterns(text, start, start + len(value))))
+        tokens.append((start, start + len(value)))
+    for start, end in _grouped(text, tokens):
+        found.append((-1, start, end, text[start:end], _patterns(text, start, end)))
     return found
 
 
+#: Most digits of an identifier that ``_fits`` a kind written in groups.
+_GROUP_DIGITS = 19
+
+
+def _grouped(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """``tokens`` with runs of numeric ones that together fit a kind as one."""
+    i = 0
+    while i < len(tokens):
+        start, end = tokens[i]
+        best, j = i, i
+        if _GROUP.fullmatch(text, start, end):
+            digits = sum("0" <= c <= "9" for c in text[start:end])
+            while j + 1 < len(tokens) and text[end : tokens[j + 1][0]] in _BETWEEN and _GROUP.fullmatch(text, *tokens[j + 1]):
+                j += 1
+                digits += sum("0" <= c <= "9" for c in text[slice(*tokens[j])])
+                if digits > _GROUP_DIGITS:
+                    break
+                end = tokens[j][1]
+                if any(_fits(k, text[start:end]) for k in (2, 3)):
+                    best = j
+        yield start, tokens[best][1]
+        i = best + 1
+
+
 _OCCURRENCE = T.StructType(
     [
         T.StructField("kind", T.IntegerType()),
@@ -179,9 +211,8 @@ def scanned(text: pa.Array) -> pa.Array:
 
 @dataclass(frozen=True)
 class Bootstrap:
-    """Rounds of scoring and what a pattern needs to be trusted."""
+    """What a pattern needs to be trusted."""
 
-    rounds: int = 3
     least_pattern: float = 0.8
     least_instances: int = 5
     prior: float = 1.0
@@ -192,7 +223,8 @@ def learn_patterns(found: DataFrame, boot: Bootstrap = Bootstrap()) -> DataFrame
     """``pattern``, ``kind`` of the trusted patterns, from occurrences with a struct column ``o``.
 
     The graph has one row per distinct pattern and instance, made by partial aggregation, so copies
-    of a document or a very common word add counts, not rows. Each round is written to the shared
+    of a document or a very common word add counts, not rows. Rounds go on until one finds no new
+    instance; every other one believes an instance more, so they end. Each is written to the shared
     folder; joins of its stored tables can be split by Spark where a key is hot.
     """
     edges = written(
@@ -206,8 +238,7 @@ def learn_patterns(found: DataFrame, boot: Bootstrap = Bootstrap()) -> DataFrame
     noise = others.groupBy("pattern").agg(F.count(F.lit(1)).alias("noise"))
     noise = written(noise, "pii-noise")
     believed = edges.select("pattern", "value", "kind", "fits")
-    trusted = None
-    for step in range(boot.rounds):
+    while True:
         scores = (
             believed.groupBy("pattern")
             .agg(*[F.sum((F.col("kind") == k).cast("long")).alias(f"k{k}") for k in range(4)], F.sum(F.when(F.col("kind") >= 0, 1.0).otherwise(boot.doubt)).alias("n"))
@@ -223,8 +254,6 @@ def learn_patterns(found: DataFrame, boot: Bootstrap = Bootstrap()) -> DataFrame
             .select("pattern", kind.cast("int").alias("kind"), score.alias("score")),
             "pii-patterns",
         )
-        if step + 1 == boot.rounds:
-            break
         unseen = believed.where("kind = -1").alias("e")
         new = (
             unseen.join(trusted.alias("t"), F.expr("e.pattern = t.pattern AND array_contains(e.fits, t.kind)"))
@@ -234,14 +263,13 @@ def learn_patterns(found: DataFrame, boot: Bootstrap = Bootstrap()) -> DataFrame
         )
         new = written(new, "pii-instances")
         if new.isEmpty():
-            break
+            return trusted
         believed = written(
             believed.join(new, "value", "left").select(
                 "pattern", "value", F.when(F.col("kind") == -1, F.coalesce("found", "kind")).otherwise(F.col("kind")).alias("kind"), "fits"
             ),
             "pii-believed",
         )
-    return trusted
 
 
 def discovered(found: DataFrame, trusted: DataFrame, keys: list[str]) -> DataFrame:

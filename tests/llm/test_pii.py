@@ -91,3 +91,39 @@ def test_hard_rows(spark):
     docs = hard_documents(spark)
     assert sorted(str(r.doc_id) for r in pii.redact(docs).collect()) == sorted(str(r[0]) for r in HARD)
     assert pii.redact(no_documents(spark)).count() == 0
+
+
+def test_numbers_written_in_groups(spark):
+    r = random.Random(6)
+    rows = []
+    for i in range(40):
+        area, middle, last = r.randint(20, 29), r.randint(1000, 9999), r.randint(1000, 9999)
+        number = [f"+44 {area} {middle} {last}", f"0{area} {middle} {last}", f"+44 {area} {middle} {last}", f"+44-{area}-{middle}-{last}"][i % 4]
+        rows.append((i, f"w{i} tel {number} today, {i} of 40"))
+    rows.append((90, "tel (020) 7946 0958 today"))
+    texts = dict(rows)
+    out = {x.doc_id: x.spans for x in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in texts.items():
+        start, end = re.search(r"tel \(?(.+) today", text).span(1)
+        assert out[i] == f"phone:{start}:{end}", text
+    redacted = {x.doc_id: x.text for x in pii.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(not re.search("[0-9]{4}", t) for t in redacted.values())
+    # a run that is too long for one identifier still gives its parts; a full stop or line ends a run
+    values = lambda text: [x[3] for x in pii.occurrences(text, pii.base_spans(text))]
+    assert values("a 12 34. 5678901 b") == ["12", "34", "5678901"]
+    assert values("a 123 4567\n890 1234 b") == ["123 4567", "890 1234"]
+    assert values("1 2 3") == ["1", "2", "3"]
+    assert "".join(values("1 " * 500)).replace(" ", "") == "1" * 500
+
+
+def test_rounds_go_on_until_nothing_is_new(spark):
+    """Each context shares most of its numbers with the one before; the first has seeds."""
+    sizes, texts, number = [200, 80, 32, 12, 3], [], 0
+    for step, size in enumerate(sizes):
+        for _ in range(size):
+            number += 1
+            value = f"+1{number:010d}" if step == 0 else f"7{number:09d}"
+            texts += [f"ctx{c} {value}" for c in {max(step - 1, 0), min(step, 3)}]
+    rows = list(enumerate(texts))
+    out = {x.doc_id: x.spans for x in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(out[i] == f"phone:5:{len(t)}" for i, t in rows)
