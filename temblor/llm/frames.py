@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,17 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_OPEN: list[list[str]] = []
-_LEFT: list[tuple[SparkSession, str]] = []
+# Scratch paths of the open blocks and of what lies outside of blocks, per thread or task of the
+# caller: a block deletes only what its own caller wrote.
+_BLOCKS: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=())
+_OUTSIDE: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("outside", default=None)
+
+
+def _note(spark: SparkSession, path: str, blocks: tuple[list[str], ...]) -> None:
+    """``path`` belongs to the innermost of ``blocks``, or goes with the next ``sweep``."""
+    if blocks:
+        blocks[-1].append(path)
+        return
+    if _OUTSIDE.get() is None:
+        _OUTSIDE.set([])
+    _OUTSIDE.get().append((spark, path))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` computed once into the shared folder and read back: the lineage ends there."""
     path = scratch_path(df.sparkSession, name)
-    if _OPEN:
-        _OPEN[-1].append(path)
-    else:
-        _LEFT.append((df.sparkSession, path))
+    _note(df.sparkSession, path, _BLOCKS.get())
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -44,21 +54,19 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
     The result belongs to the block around, if there is one, and else stays until ``sweep``.
     """
     own: list[str] = []
-    _OPEN.append(own)
+    around = _BLOCKS.get()
+    _BLOCKS.set((*around, own))
 
     def result(df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)
         df.write.parquet(path)
-        if len(_OPEN) > 1:
-            _OPEN[-2].append(path)
-        else:
-            _LEFT.append((spark, path))
+        _note(spark, path, around)
         return spark.read.schema(df.schema).parquet(path)
 
     try:
         yield result
     finally:
-        _OPEN.pop()
+        _BLOCKS.set(around)
         for path in own:
             remove(spark, path)
 
@@ -66,8 +74,9 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
 def sweep() -> None:
     """Delete what was written outside of blocks and the results of ended ones; for callers that
     have stored what they made of them."""
-    while _LEFT:
-        remove(*_LEFT.pop())
+    left = _OUTSIDE.get() or []
+    while left:
+        remove(*left.pop())
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -88,7 +97,7 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     task = F.regexp_extract(path, r"part-([0-9]+)[^/]*$", 1).try_cast("long")
     before = Window.orderBy(task, path).rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select(F.col(path).alias(f"{path}_"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias(first))
-    both = here.join(F.broadcast(starts), F.col(path) == F.col(f"{path}_"))
+    both = here.join(starts, F.col(path) == F.col(f"{path}_"))
     return both.withColumn(name, F.col(name) + F.col(first)).select(*df.columns, name)
 
 
