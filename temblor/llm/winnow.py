@@ -30,11 +30,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from temblor.llm.frames import OWN, scratch, written
+from temblor.llm.frames import OWN, written
 
 #: Odd multiplier of the rolling hash, and of its mixing.
 BASE = 0x9E3779B97F4A7C15
@@ -189,30 +189,35 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut]
 
 
-RESULT = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("n_chars", T.LongType()),
-        T.StructField("edited_sha256", T.StringType()),
-        T.StructField("fingerprint", T.StringType()),
-        T.StructField("edited_fingerprint", T.StringType()),
-        T.StructField("near_edited", T.DoubleType()),
-        T.StructField("near_next", T.DoubleType()),
-    ]
-)
-_ARROW = pa.schema(
-    [("doc_id", pa.int64()), ("n_chars", pa.int64())]
-    + [(c, pa.string()) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")]
-    + [("near_edited", pa.float64()), ("near_next", pa.float64())]
-)
+#: A document as it is stored: its fingerprint, and of its edited text's only what differs after the
+#: first ``shared`` entries, in columns that take a third of the texts written out.
+_STORED = {
+    "doc_id": (T.LongType(), pa.int64()),
+    "n_chars": (T.LongType(), pa.int64()),
+    "edited_sha256": (T.StringType(), pa.string()),
+    "hashes": (T.ArrayType(T.LongType()), pa.list_(pa.int64())),
+    "places": (T.ArrayType(T.LongType()), pa.list_(pa.int64())),
+    "shared": (T.IntegerType(), pa.int32()),
+    "new_hashes": (T.ArrayType(T.LongType()), pa.list_(pa.int64())),
+    "new_places": (T.ArrayType(T.LongType()), pa.list_(pa.int64())),
+    "near_edited": (T.DoubleType(), pa.float64()),
+    "near_next": (T.DoubleType(), pa.float64()),
+}
+STORED = T.StructType([T.StructField(name, kind) for name, (kind, _) in _STORED.items()])
+_ARROW = pa.schema([(name, kind) for name, (_, kind) in _STORED.items()])
 
 
 def _rows(ids: list, texts: list[str], after: list[str], own: list[Fingerprint], then: list[Fingerprint], how: Winnow) -> list[tuple]:
     changed = [edited(a, b) for a, b in zip(texts, after, strict=True)]
     rows = []
     for i, text, new, mine, other, next_one in zip(ids, texts, changed, own, fingerprints(changed, how), then, strict=True):
+        most = min(len(mine[0]), len(other[0]))
+        differ = np.flatnonzero((mine[0][:most] != other[0][:most]) | (mine[1][:most] != other[1][:most]))
+        shared = int(differ[0]) if len(differ) else most
         sha = hashlib.sha256(new.encode()).hexdigest()
-        rows.append((i, len(text), sha, written_out(mine), written_out(other), likeness(mine, other), likeness(mine, next_one)))
+        new_ones = other[0][shared:].view(np.int64), other[1][shared:]
+        near = likeness(mine, other), likeness(mine, next_one)
+        rows.append((i, len(text), sha, mine[0].view(np.int64), mine[1], shared, *new_ones, *near))
     return rows
 
 
@@ -221,12 +226,23 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def _shown(hashes: Column, places: Column) -> Column:
+    """``written_out`` of stored columns."""
+    pairs = F.transform(
+        F.arrays_zip(hashes.alias("h"), places.alias("p")),
+        lambda x: F.concat(F.lpad(F.lower(F.hex(x["h"])), 16, "0"), F.lit(":"), x["p"].cast("string")),
+    )
+    return F.array_join(pairs, ",")
+
+
 def chained(docs: DataFrame, how: Winnow = Winnow()) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness to it and to the
-    next document's."""
+    next document's: ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``,
+    ``edited_fingerprint``, ``near_edited``, ``near_next``."""
     part, end, text = f"{OWN}part", f"{OWN}end", f"{OWN}text"
-    stored = T.StructType([*RESULT.fields, T.StructField(part, T.IntegerType()), T.StructField(end, T.IntegerType()), T.StructField(text, T.StringType())])
+    stored = T.StructType([*STORED.fields, T.StructField(part, T.IntegerType()), T.StructField(end, T.IntegerType()), T.StructField(text, T.StringType())])
     arrow = pa.schema([*_ARROW, (part, pa.int32()), (end, pa.int32()), (text, pa.string())])
+    blank = [None] * (len(STORED) - 1)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each row with its successor; first and last go on as they are, as ends 0 and 1."""
@@ -239,14 +255,14 @@ def chained(docs: DataFrame, how: Winnow = Winnow()) -> DataFrame:
                 found = fingerprints(texts, how)
                 ends = []
                 if last is None:
-                    ends = [(ids[0], *[None] * 6, here, 0, texts[0])]
+                    ends = [(ids[0], *blank, here, 0, texts[0])]
                 else:
                     ids, texts, found = [last[0], *ids], [last[1], *texts], [last[2], *found]
                 last = (ids[-1], texts[-1], found[-1])
                 rows = _rows(ids[:-1], texts[:-1], texts[1:], found[:-1], found[1:], how)
                 yield _batch([*ends, *[(*row, None, None, None) for row in rows]], arrow)
         if last is not None:
-            yield _batch([(last[0], *[None] * 6, here, 1, last[1])], arrow)
+            yield _batch([(last[0], *blank, here, 1, last[1])], arrow)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,20 +270,28 @@ def chained(docs: DataFrame, how: Winnow = Winnow()) -> DataFrame:
                 ids, texts, after = (c.to_pylist() for c in batch.slice(low, 64).columns)
                 yield _batch(_rows(ids, texts, after, fingerprints(texts, how), fingerprints(after, how), how), _ARROW)
 
-    with scratch(docs.sparkSession) as result:
-        whole = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-        # the row's own number keeps equal rows from falling into one range of the sort
-        ranged = whole.withColumn(end, F.monotonically_increasing_id())
-        order = ["doc_id", F.xxhash64("text"), "text", end]
-        ranged = ranged.repartitionByRange("doc_id", F.xxhash64("text"), end).sortWithinPartitions(*order)
-        found = written(ranged.select("doc_id", "text").mapInArrow(stream, stored), "winnowed")
-        ends = found.where(F.col(end).isNotNull()).select("doc_id", part, end, text)
-        # one number per task meets here, without texts
-        firsts = ends.where(F.col(end) == 0).select(F.col(part).alias("p"))
-        following = firsts.select("p", F.lead("p").over(Window.orderBy("p")).alias("q"))
-        following = following.select("p", F.coalesce("q", F.min("p").over(Window.partitionBy())).alias("q"))
-        heads = ends.where(F.col(end) == 0).select(F.col(part).alias("q"), F.col(text).alias("after"))
-        last = ends.where(F.col(end) == 1).join(following, F.col(part) == F.col("p")).join(heads, "q")
-        joined = last.select("doc_id", text, "after").mapInArrow(pairs, RESULT)
-        inner = found.where(F.col(end).isNull()).select(*RESULT.names)
-        return result(inner.unionByName(joined), "fingerprints")
+    whole = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    # the row's own number keeps equal rows from falling into one range of the sort
+    ranged = whole.withColumn(end, F.monotonically_increasing_id())
+    order = ["doc_id", F.xxhash64("text"), "text", end]
+    ranged = ranged.repartitionByRange("doc_id", F.xxhash64("text"), end).sortWithinPartitions(*order)
+    found = written(ranged.select("doc_id", "text").mapInArrow(stream, stored), "winnowed")
+    ends = found.where(F.col(end).isNotNull()).select("doc_id", part, end, text)
+    # one number per task meets here, without texts
+    firsts = ends.where(F.col(end) == 0).select(F.col(part).alias("p"))
+    following = firsts.select("p", F.lead("p").over(Window.orderBy("p")).alias("q"))
+    following = following.select("p", F.coalesce("q", F.min("p").over(Window.partitionBy())).alias("q"))
+    heads = ends.where(F.col(end) == 0).select(F.col(part).alias("q"), F.col(text).alias("after"))
+    last = ends.where(F.col(end) == 1).join(following, F.col(part) == F.col("p")).join(heads, "q")
+    joined = last.select("doc_id", text, "after").mapInArrow(pairs, STORED)
+    every = found.where(F.col(end).isNull()).select(*STORED.names).unionByName(joined)
+    new = [F.concat(F.slice(a, F.lit(1), F.col("shared")), F.col(b)) for a, b in (("hashes", "new_hashes"), ("places", "new_places"))]
+    return every.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        _shown(F.col("hashes"), F.col("places")).alias("fingerprint"),
+        _shown(*new).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
