@@ -183,7 +183,7 @@ def features(blocks: list[Block]) -> list[list[str]]:
         names.append(f"links={int(4 * b.link_chars / max(1, chars))}")
         names.append(f"stops={min(4, int(20 * stops / max(1, n)))}")
         names.append("ends=stop" if b.text[-1] in ".!?:…\"'" else "ends=none")
-        names.append(f"digits={min(3, int(10 * sum(c.isdigit() for c in b.text[:400]) / min(400, chars)))}")
+        names.append(f"digits={min(3, int(10 * sum(map(str.isdigit, b.text)) / max(1, chars)))}")
         if any(s in b.text for s in "©®»"):
             names.append("marks")
         names.append("first" if i == 0 else "last" if i == len(blocks) - 1 else "middle")

@@ -27,29 +27,41 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from temblor.llm.frames import OWN, written
+from temblor.llm.frames import OWN, numbered, written
+
+
+#: Parts a weight may be a fraction of. A period is scheduled on the driver.
+MOST_SLOTS = 1_000_000
 
 
 @dataclass(frozen=True)
 class Mix:
     """``weights`` by source; other sources share by their number of characters to ``power``."""
 
-    weights: dict[str | None, float] | None = None
+    weights: dict[str | None, float | Fraction] | None = None
     power: float = 0.5
     block_chars: int = 1 << 16
     period: int = 1000
     part_rows: int = 2_000
 
 
+def exact(weight: float | Fraction) -> Fraction:
+    """The simplest fraction that a weight stands for: 0.0001 is 1/10000 and 0.3333333333333333 a third."""
+    found = Fraction(weight).limit_denominator(MOST_SLOTS)
+    if abs(found - Fraction(weight)) > abs(Fraction(weight)) * Fraction(1, 10**12):
+        raise ValueError(f"weight {weight!r} is no fraction below {MOST_SLOTS} parts; give it as a Fraction or round it")
+    return found
+
+
 def whole_weights(weights: dict, period: int) -> dict:
     """Whole numbers that sum to ``max(period, sources)``, at least 1 each, by largest remainders."""
     period = max(period, len(weights))
     total = math.fsum(weights.values())
     spare = period - len(weights)
-    exact = {s: w / total * spare for s, w in weights.items()}
-    out = {s: 1 + int(e) for s, e in exact.items()}
+    parts = {s: w / total * spare for s, w in weights.items()}
+    out = {s: 1 + int(e) for s, e in parts.items()}
     rest = period - sum(out.values())
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], _name(s)))[:rest]:
+    for s in sorted(parts, key=lambda s: (int(parts[s]) - parts[s], _name(s)))[:rest]:
         out[s] += 1
     return out
 
@@ -94,50 +106,66 @@ class Phase:
     placed: dict
 
 
-def phases(blocks: dict, targets: dict, period: int) -> list[Phase]:
-    """Phases that place every block. A phase ends at the first period that some source cannot fill
-    whole, except the last periods of a source, which others simply skip."""
+def phases(blocks: dict, weights: dict) -> list[Phase]:
+    """Phases that place every block, the sources that are left sharing by their whole ``weights``. A
+    phase ends at the first period that some source cannot fill whole, except the last periods of a
+    source, which others simply skip."""
     left, placed, start, out = dict(blocks), {s: 0 for s in blocks}, 0, []
     while open_sources := [s for s in left if left[s] > 0]:
-        weights = whole_weights({s: targets[s] for s in open_sources}, period)
-        out.append(Phase(start, weights, dict(placed)))
-        periods = min(math.ceil(left[s] / weights[s]) for s in open_sources)
+        common = math.gcd(*(weights[s] for s in open_sources))
+        own = {s: weights[s] // common for s in open_sources}
+        out.append(Phase(start, own, dict(placed)))
+        periods = min(math.ceil(left[s] / own[s]) for s in open_sources)
         for s in open_sources:
-            done = min(left[s], periods * weights[s])
+            done = min(left[s], periods * own[s])
             left[s] -= done
             placed[s] += done
-        start += periods * sum(weights.values())
+        start += periods * sum(own.values())
     return out
 
 
 def targets(chars: dict, mix: Mix) -> dict:
-    """Weights per source: those given, and for the others characters to ``power``, scaled so that
-    given and computed weights each keep their own proportions and the given ones their sum."""
-    given = {s: w for s, w in (mix.weights or {}).items() if s in chars and w > 0}
+    """Whole weights per source. Given ones keep their exact proportions and, if sources without a
+    weight take part, their sum; those share what is left to one, a thousandth if nothing is, by
+    characters to ``power``, in at least ``period`` parts."""
+    given = {s: exact(w) for s, w in (mix.weights or {}).items() if s in chars and w > 0}
     rest = {s: float(max(n, 1)) ** mix.power for s, n in chars.items() if s not in given}
-    if given and rest:
-        spare = max(0.0, 1.0 - math.fsum(given.values())) or 1e-3
-        scale = spare / math.fsum(rest.values())
-        rest = {s: w * scale for s, w in rest.items()}
-    return {**given, **rest}
+    if not given:
+        return whole_weights(rest, mix.period)
+    parts = math.lcm(*(w.denominator for w in given.values()))
+    spare = max(Fraction(0), 1 - sum(given.values())) or Fraction(1, 1000)
+    if rest:
+        # so many parts of a whole that the rest has at least ``period`` of them
+        parts = math.lcm(parts, spare.denominator)
+        parts *= math.ceil(max(mix.period, len(rest)) / (spare * parts))
+    weights = {s: int(w * parts) for s, w in given.items()}
+    if rest:
+        weights |= whole_weights(rest, int(spare * parts))
+    common = math.gcd(*weights.values())
+    weights = {s: w // common for s, w in weights.items()}
+    if sum(weights.values()) > MOST_SLOTS * len(weights):
+        raise ValueError(f"the weights need a period of {sum(weights.values())} slots; round them")
+    return weights
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with what placing needs: size in characters, place in the source's order, source key.
 
-    Documents of a source follow each other in the order of a hash of their id and text, so that
-    identical rows stay side by side. A null source is a source; a null or empty text counts one
-    character, so that every document has a place.
+    ``docs`` is read from files. Documents of a source follow each other in the order of a hash of
+    their id, text and number in the table, so equal rows spread over the order like others. A null
+    source is a source; a null or empty text counts one character, so every document has a place.
     """
+    at = f"{OWN}at"
     size = F.greatest(F.coalesce(F.char_length("text"), F.lit(0)), F.lit(1)).cast("long")
     source = F.col("source").cast("string")
-    return docs.withColumns(
+    own = numbered(docs, at).withColumns(
         {
             f"{OWN}size": size,
-            f"{OWN}order": F.xxhash64("doc_id", "text"),
+            f"{OWN}order": F.xxhash64("doc_id", "text", at),
             f"{OWN}source": F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source)),
         }
     )
+    return own.drop(at)
 
 
 def _source(key: str) -> str | None:
@@ -159,7 +187,7 @@ def placed(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
         return rows.withColumns({f"{OWN}{c}": F.lit(None).cast("long") for c in ("block", "offset", "slot")})
     chars = {s: c for s, (c, _) in totals.items()}
     blocks = {s: -(-c // mix.block_chars) for s, c in chars.items()}
-    plan = phases(blocks, targets(chars, mix), mix.period)
+    plan = phases(blocks, targets(chars, mix))
     key = lambda s: "n" if s is None else f"s{s}"
 
     # A part is a range of the order column, so the parts of a source in turn are the source.
@@ -199,5 +227,5 @@ def placed(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def in_order(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """All rows of ``docs`` with their columns, sorted into the mixture by ranges of slots."""
+    """All rows of ``docs``, read from files, with their columns, sorted into the mixture by ranges of slots."""
     return placed(keyed(docs), mix).orderBy(f"{OWN}slot", f"{OWN}offset", f"{OWN}order").select(*docs.columns)

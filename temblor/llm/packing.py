@@ -14,9 +14,9 @@ parameter, not on the table.
 
 Documents that come with a place in an order, such as a mixture, are dealt by consecutive stretches
 of it, and sequences are numbered along it: by group, then by the place of a bin's longest piece. So
-a prefix of the sequences is a prefix of the order up to one group. Documents without a place are
-taken in the order of a hash of their pieces, so every group is a random mix of lengths; equal rows,
-which hash alike, are told apart by their number in the stored table and so spread over groups.
+a prefix of the sequences is a prefix of the order up to one group. Pieces of
+documents without a place are dealt in turn by their numbers in the stored table, so equal rows,
+which have numbers of their own, spread over groups too.
 """
 
 from __future__ import annotations
@@ -26,17 +26,19 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from temblor.llm.frames import OWN, numbered, written
-from temblor.llm.tokens import encoder, vocabulary_path
+from temblor.llm.tokens import encoding, vocabulary_path
 
 END_ID = 1
 
+#: Sequence numbers that a group of pieces has for itself; it never has as many pieces.
+SEQUENCES = 1 << 32
+
 
 @dataclass(frozen=True)
 class Bins:
@@ -78,21 +80,21 @@ def tokenised_pieces(
     given = ("doc_id", place) if place else ("doc_id",)
 
     def cut(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        for batch in incoming:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                rows = []
-                texts = encode.ids(part.column("text").to_pylist())
-                keys = zip(*(part.column(c).to_pylist() for c in given), strict=True)
-                for (doc_id, *at_place), ids in zip(keys, texts, strict=True):
-                    ids += end
-                    for piece, low in enumerate(range(0, len(ids), 4 * most_tokens)):
-                        own = ids[low : low + 4 * most_tokens]
-                        rows.append((doc_id, piece, low // 4, len(own) // 4, zlib.crc32(own), *at_place))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
-                )
+        with encoding(path) as encode:
+            for batch in incoming:
+                for at in range(0, batch.num_rows, 500):
+                    part = batch.slice(at, 500)
+                    rows = []
+                    texts = encode.ids(part.column("text").to_pylist())
+                    keys = zip(*(part.column(c).to_pylist() for c in given), strict=True)
+                    for (doc_id, *at_place), ids in zip(keys, texts, strict=True):
+                        ids += end
+                        for piece, low in enumerate(range(0, len(ids), 4 * most_tokens)):
+                            own = ids[low : low + 4 * most_tokens]
+                            rows.append((doc_id, piece, low // 4, len(own) // 4, zlib.crc32(own), *at_place))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
+                    )
 
     out = T.StructType([*PIECES.fields, *([T.StructField(place, T.LongType())] if place else [])])
     return docs.select(*given, "text").mapInArrow(cut, out)
@@ -148,36 +150,41 @@ def best_fit(lengths: np.ndarray, bins: Bins = Bins()) -> np.ndarray:
 def pack(pieces: DataFrame, bins: Bins = Bins(), group_pieces: int = 4000, place: str | None = None) -> DataFrame:
     """``pieces`` (with ``doc_id``, ``piece``, ``length``) plus ``sequence_id`` and ``offset``.
 
-    Groups are stretches of ``place``, a column that goes, and ``piece``, or without it of a hash
-    order; sequence numbers rise along it. An empty table gives an empty one. ``pieces`` is read from
-    Parquet, more than once.
+    Groups are stretches of ``place``, a column that goes, and ``piece``; without it rows are dealt in
+    turn by their number. Sequence numbers rise along the order. An empty table gives an empty one. ``pieces`` is
+    read from Parquet, more than once.
     """
     total = pieces.count()
     groups = max(1, -(-total // group_pieces))
     group, at = f"{OWN}group", f"{OWN}at"
     if place:
         stored = written(pieces.orderBy(place, "piece").drop(place), "pieces-in-order")
+        dealt = numbered(stored, at).withColumn(group, F.expr(f"{at} * {groups}L div {max(1, total)}L"))
     else:
-        stored = numbered(pieces, at).orderBy(F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32"), at)
-        stored = written(stored.drop(at), "pieces-in-order")
-    dealt = numbered(stored, at).withColumn(group, F.expr(f"{at} * {groups}L div {max(1, total)}L"))
+        stored = pieces
+        dealt = numbered(stored, at).withColumn(group, F.col(at) % groups)
     schema = T.StructType(
         [*stored.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
     )
+    columns = stored.columns
 
-    def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop(columns=group).sort_values(
-            ["length", "doc_id", "piece", at], ascending=[False, True, True, True], kind="stable"
-        )
-        chosen = best_fit(rows["length"].to_numpy(), bins)
+    def one(key: tuple, rows: pa.Table) -> pa.Table:
+        # Arrow, since pandas would turn ids beside a null into floating-point numbers
+        rows = rows.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), (at, "ascending")])
+        lengths = rows.column("length").to_numpy()
+        chosen = best_fit(lengths, bins)
         # a bin's first row is its longest piece; its place gives the bin's number
         _, longest = np.unique(chosen, return_index=True)
-        rank = np.argsort(np.argsort(rows[at].to_numpy()[longest], kind="stable"), kind="stable")
-        rows["sequence_id"] = key[0] * group_pieces + rank[chosen]
-        rows["offset"] = rows.groupby("sequence_id")["length"].cumsum() - rows["length"]
-        return rows.drop(columns=at)
-
-    return dealt.groupBy(group).applyInPandas(one, schema)
+        rank = np.argsort(np.argsort(rows.column(at).to_numpy()[longest], kind="stable"), kind="stable")
+        order = np.argsort(chosen, kind="stable")
+        before = np.cumsum(lengths[order]) - lengths[order]
+        opens = np.searchsorted(chosen[order], chosen[order])
+        offset = np.empty_like(lengths)
+        offset[order] = before - before[opens]
+        places = {"sequence_id": key[0].as_py() * SEQUENCES + rank[chosen], "offset": offset}
+        return pa.table({**{c: rows.column(c) for c in columns}, **{c: pa.array(v, pa.int64()) for c, v in places.items()}})
+
+    return dealt.groupBy(group).applyInArrow(one, schema)
 
 
 def pack_documents(

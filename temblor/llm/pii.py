@@ -37,20 +37,27 @@ Span = tuple[int, int, int]  # rank of the kind, start, end
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+# From the first digit of a run only: what fails there fails behind it, and matches end with a run.
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# An identifier-shaped token: white-space free, with a digit or an at sign.
-_TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
-_WORD_BEFORE = re.compile(r"([^\x20\x09-\x0D]{1,40})[\x20\x09]{1,8}\Z")
-_WORD_AFTER = re.compile(r"[\x20\x09]{1,8}([^\x20\x09-\x0D]{1,40})")
+# An identifier-shaped token is free of white space and has a digit or an at sign.
+_SIGN = re.compile(r"[0-9@]")
+_WHITE = re.compile(r"[\x20\x09-\x0D]")
+_SPACES = frozenset(" \t\n\x0b\x0c\r")
+_BLANKS = frozenset(" \t")
+_WORD_AFTER = re.compile(r"[\x20\x09]+([^\x20\x09-\x0D]+)")
 # What a number written in groups consists of, and what may stand between two of its tokens.
 _GROUP = re.compile(r"\+?[0-9](?:[().-]{0,2}[0-9])*")
 _BETWEEN = frozenset([" ", ") ", " (", ") ("])
 _EDGES = ".,;:!?\"'()[]{}<>"
-#: Longest token taken as an instance, in characters; longer ones are blobs, not identifiers.
-_TOKEN_CHARS = 80
+#: Words and values beyond this many characters stand in the graph by their digest.
+_NAME_CHARS = 64
+
+
+def _named(word: str) -> str:
+    return word if len(word) <= _NAME_CHARS else "#" + hashlib.sha256(word.encode()).hexdigest()
 
 
 def _luhn(digits: str) -> bool:
@@ -106,18 +113,29 @@ def _fits(kind: int, value: str) -> bool:
     return 7 <= digits <= 15 and bool(re.fullmatch(r"[0-9+().\x20-]+", value))
 
 
+def _word_before(text: str, at: int) -> int | None:
+    """Where the word begins that ends before the blanks left of ``at``; without blanks, none."""
+    end = at
+    while end > 0 and text[end - 1] in _BLANKS:
+        end -= 1
+    start = end
+    while start > 0 and text[start - 1] not in _SPACES:
+        start -= 1
+    return start if start < end < at else None
+
+
 def _patterns(text: str, start: int, end: int) -> list[str]:
     """Lower-cased lexical patterns around a stretch of text."""
     before: list[str] = []
     at = start
-    while at > 0 and text[at - 1] in _EDGES and start - at < 3:
+    while at > 0 and text[at - 1] in _EDGES:
         at -= 1
     for _ in range(2):
-        m = _WORD_BEFORE.search(text[max(0, at - 50) : at])
-        if m is None:
+        word = _word_before(text, at)
+        if word is None:
             break
-        before.append(m.group(1).lower())
-        at -= len(m.group())
+        before.append(_named(text[word:at].rstrip(" \t").lower()))
+        at = word
     after = _WORD_AFTER.match(text, end)
     out = []
     if before:
@@ -125,10 +143,22 @@ def _patterns(text: str, start: int, end: int) -> list[str]:
         if len(before) == 2:
             out.append(f"2|{before[1]} {before[0]}")
         if after:
-            out.append(f"3|{before[0]} _ {after.group(1).lower()}")
+            out.append(f"3|{before[0]} _ {_named(after.group(1).lower())}")
     return out
 
 
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Identifier-shaped tokens, each from white space to white space."""
+    end = 0
+    while sign := _SIGN.search(text, end):
+        start = sign.start()
+        while start > end and text[start - 1] not in _SPACES:
+            start -= 1
+        white = _WHITE.search(text, sign.end())
+        end = white.start() if white else len(text)
+        yield start, end
+
+
 def occurrences(text: str, base: list[Span]) -> list[tuple[int, int, int, str, list[str]]]:
     """(kind or -1, start, end, value, patterns) of every base match and other candidate token."""
     found = [(k, s, e, text[s:e], _patterns(text, s, e)) for k, s, e in base]
@@ -139,13 +169,11 @@ def occurrences(text: str, base: list[Span]) -> list[tuple[int, int, int, str, l
         starts.append(s)
         ends.append(reach)
     tokens: list[tuple[int, int]] = []
-    for m in _TOKEN.finditer(text):
-        if m.end() - m.start() > _TOKEN_CHARS:
-            continue
-        value = m.group().strip(_EDGES)
+    for start, end in _tokens(text):
+        value = text[start:end].lstrip(_EDGES)
+        start, value = end - len(value), value.rstrip(_EDGES)
         if not value:
             continue
-        start = m.start() + m.group().index(value)
         before = bisect_left(starts, start + len(value)) - 1
         if before >= 0 and ends[before] > start:
             continue
@@ -201,7 +229,7 @@ def scanned(text: pa.Array) -> pa.Array:
         rows = []
         for k, s, e, value, patterns in occurrences(t, base_spans(t)):
             fits = [k] if k >= 0 else [j for j in range(4) if _fits(j, value)]
-            rows.append({"kind": k, "start": s, "end": e, "value": value, "fits": fits, "patterns": patterns})
+            rows.append({"kind": k, "start": s, "end": e, "value": _named(value), "fits": fits, "patterns": patterns})
         out.append(rows)
     item = pa.struct(
         [("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("fits", pa.list_(pa.int32())), ("patterns", pa.list_(pa.string()))]

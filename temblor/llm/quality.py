@@ -130,17 +130,25 @@ class Risk:
 
 
 def binomial_tail(n: int, k: int, p: float) -> float:
-    """P(Bin(n, p) <= k), summed exactly in logarithms; 1 for an empty holdout."""
+    """P(Bin(n, p) <= k), all its terms summed; 1 for an empty holdout."""
     if n == 0:
         return 1.0
     if k >= n:
         return 1.0
-    terms = [
-        math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
-        for i in range(max(0, k - 2000), k + 1)  # terms 2000 below k are nil next to the k-th when p n > k
-    ]
-    top = max(terms)
-    return min(1.0, math.exp(top) * math.fsum(math.exp(t - top) for t in terms))
+    if not 0 < p < 1:
+        return 1.0 if p <= 0 else 0.0
+    last = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+    # downwards from k, in units of the k-th term, until what is left is nil beside the sum
+    total, term, scale = 1.0, 1.0, 0.0
+    for i in range(k, 0, -1):
+        ratio = i / (n - i + 1) * (1 - p) / p
+        term *= ratio
+        total += term
+        if total > 1e250:
+            total, term, scale = total / 1e250, term / 1e250, scale + math.log(1e250)
+        if ratio < 1 and term < total * (1 - ratio) * 1e-17:
+            break
+    return min(1.0, math.exp(last + scale + math.log(total)))
 
 
 def choose_cutoff(
@@ -235,6 +243,7 @@ def judged(
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """The documents that pass, with their columns. Row by row: repeated rows stay repeated."""
     m = f"{OWN}m"
-    table = measured(docs, m)
+    # stored with its measures, so that every text is measured once, for the cutoffs and the verdict
+    table = written(measured(docs, m), "measured")
     cutoffs = fit_cutoffs(table, labels, stratum)
     return judged(table, cutoffs, stratum).where(F.col(f"{OWN}kept")).select(*docs.columns)

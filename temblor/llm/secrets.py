@@ -1,8 +1,10 @@
 """Secrets in source, configuration and prose: base patterns plus an assignment-aware lexer.
 
-The lexer finds name-literal pairs around assignment operators (``name = "x"``, ``"name": 'x'``,
-``NAME=x``, ``name => x``), with quoted literals and their escapes, bare values, and names of dotted
-or bracketed targets. A bare value that is itself a name assigned a literal elsewhere in the text
+The lexer finds name-literal pairs around assignment signs (``name = "x"``, ``"name": 'x'``,
+``NAME=x``, ``name => x``): quoted literals with their escapes and prefix letters, triple-quoted ones,
+several in a row or joined by a plus sign, in brackets on the next line, indented blocks after ``|``
+or ``>``, bare values, names of dotted or bracketed targets, and names that one attribute of a tag
+gives for the value in another. A bare value that is itself a name assigned a literal elsewhere in the text
 stands for that literal (constant propagation, through chains), so the literal is judged by every
 name it reaches. A literal is scored by the most sensitive of these names and by how random it
 looks; at ``least_score`` or more it becomes a span of kind ``literal``, unless a base span
@@ -34,13 +36,24 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _TARGETS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-_OPERATOR = re.compile(r"""["'\]]{0,2}[\x20\t]{0,40}(:=|=>|==?|:)[\x20\t]{0,40}""")
-_NAME_BEFORE = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(?:[.\-][A-Za-z0-9_]+)*\Z")
-_QUOTED = re.compile(r'"((?:[^"\\\n]|\\.)*)"|' r"'((?:[^'\\\n]|\\.)*)'")
-_BARE = re.compile(r"[A-Za-z0-9+/_.=$@!%^&*~-]+")
+_SIGN = re.compile(r":=|=>|===?|[:=]")
+# A bare value ends before an assignment sign; only padding at its end belongs to it.
+_BARE = re.compile(r"[A-Za-z0-9+/_.$@!%^&*~-]+(?:={1,2}(?![A-Za-z0-9+/_.$@!%^&*~=-]))?")
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
-#: The longest name that is looked for before an operator, in characters.
-_NAME_CHARS = 120
+_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz_")
+_NAME = _LETTERS | frozenset("0123456789")
+
+# A string with its prefix letters; what may stand between the parts of one value, on a line and
+# inside brackets; the head of a block whose lines are the value.
+_QUOTE = re.compile(r"""[bBfFrRuU]{0,2}(\"{3}|'{3}|["'`])""")
+_CLOSED = {q: re.compile(rf"((?:[^{q}\\\n]|\\.)*){q}") for q in "\"'`"}
+_BLANKS = re.compile(r"[\x20\t]*(?:\\\r?\n[\x20\t]*)*")
+_SPACES = re.compile(r"(?:\s|\\\n)*")
+_BLOCK = re.compile(r"[|>][+-]?[0-9]?[+-]?[\x20\t]*(?:#[^\n]*)?\r?\n")
+
+#: Attributes that carry a name, and those that carry its value, within one tag.
+_KEY_ATTRIBUTES = frozenset(["key", "name", "id", "property"])
+_VALUE_ATTRIBUTES = frozenset(["value", "content"])
 
 #: How strongly a part of a name says that its value is secret.
 SENSITIVE = {
@@ -82,36 +95,127 @@ def randomness(literal: str) -> float:
     return min(1.0, len(literal) / 16) * 0.3 + min(1.0, entropy / 3.5) * 0.4 + (classes - 1) / 2 * 0.3
 
 
+def _name_before(text: str, at: int, low: int) -> int | None:
+    """Where the dotted or hyphenated name begins that ends at ``at``, not left of ``low``."""
+    start = at
+    while start > low:
+        if text[start - 1] in _NAME:
+            start -= 1
+        elif start < at and text[start - 1] in ".-" and start - 1 > low and text[start - 2] in _NAME:
+            start -= 1
+        else:
+            break
+    while start < at and text[start] not in _LETTERS:
+        start += 1
+    return start if start < at else None
+
+
+class _Strings:
+    """String literals of one text. A delimiter that is not closed once is not sought again."""
+
+    def __init__(self, text: str):
+        self.text, self.open = text, set()
+
+    def at(self, place: int) -> tuple[int, int, int] | None:
+        """Start and end of the content of the literal at ``place``, and the place behind it."""
+        quote = _QUOTE.match(self.text, place)
+        if quote is None:
+            return None
+        mark, start = quote.group(1), quote.end()
+        if len(mark) == 3:
+            if mark not in self.open:
+                end = self.text.find(mark, start)
+                if end >= 0:
+                    return start, end, end + 3
+                self.open.add(mark)
+            mark, start = mark[0], quote.start(1) + 1
+        closed = _CLOSED[mark].match(self.text, start)
+        return (start, closed.end(1), closed.end()) if closed else None
+
+    def joined(self, place: int, inside: bool) -> tuple[str, int, int, int] | None:
+        """The value of literals that follow each other, with or without a plus sign or full stop;
+        ``inside`` brackets also across lines."""
+        first = self.at(place)
+        if first is None:
+            return None
+        gap = _SPACES if inside else _BLANKS
+        parts, (start, end, behind) = [self.text[first[0] : first[1]]], first
+        while True:
+            at = gap.match(self.text, behind).end()
+            if at < len(self.text) and self.text[at] in "+.":
+                at = gap.match(self.text, at + 1).end()
+            following = self.at(at)
+            if following is None:
+                return "".join(parts), start, end, behind
+            parts.append(self.text[following[0] : following[1]])
+            _, end, behind = following
+
+
+def _block(text: str, line: int, place: int) -> tuple[str, int, int, int] | None:
+    """The value of the lines after ``place`` that are indented deeper than the line at ``line``."""
+
+    def indent(at: int) -> int:
+        end = at
+        while end < len(text) and text[end] in " \t":
+            end += 1
+        return end
+
+    own, at = indent(line) - line, place
+    lines, start, end = [], None, place
+    while at < len(text):
+        first = indent(at)
+        stop = text.find("\n", first)
+        stop = len(text) if stop < 0 else stop
+        if text[first:stop].strip():
+            if first - at <= own:
+                break
+            start = first if start is None else start
+            end = first + len(text[first:stop].rstrip())
+            lines.append(text[first:end])
+        at = stop + 1
+    return ("\n".join(lines), start, end, end) if lines else None
+
+
 def assignments(text: str) -> list[tuple[str, str, int, int, bool]]:
-    """(name, literal or bare value, start and end of it, whether it is quoted) in text order."""
+    """(name, literal or bare value, start and end of it, whether it is quoted) in text order.
+
+    From every assignment sign the name is read leftwards and the value rightwards, each to its real
+    end, so the whole text is read about twice however long names, blanks and values are.
+    """
     pairs = []
     if "=" not in text and ":" not in text:
         return pairs
-    end_of_last = 0
-    for m in re.finditer(r"[:=]", text):
-        at = m.start()
-        if at < end_of_last:
+    strings, end_of_last, line, read_to = _Strings(text), 0, 0, 0
+    key: tuple[str, int] | None = None  # a name that an attribute gives, and where
+    for sign in _SIGN.finditer(text):
+        if sign.start() < end_of_last:
             continue
-        left = at
-        while left > 0 and at - left < 40 and text[left - 1] in " \t\"']":
+        left = sign.start()
+        while left > end_of_last and text[left - 1] in " \t\"']":
             left -= 1
-        operator = _OPERATOR.match(text, left)
-        if operator is None or operator.start(1) > at:
+        begin = _name_before(text, left, end_of_last)
+        if begin is None:
             continue
-        name = _NAME_BEFORE.search(text[max(0, left - _NAME_CHARS) : left])
-        if name is None:
+        name = text[begin:left]
+        cut = text.rfind("\n", read_to, begin)
+        line, read_to = (cut + 1 if cut >= 0 else line), begin
+        place = _BLANKS.match(text, sign.end()).end()
+        inside = place < len(text) and text[place] in "(["
+        if inside:
+            place = _SPACES.match(text, place + 1).end()
+        found, quoted = strings.joined(place, inside), True
+        if found is None and sign.group() == ":" and (head := _BLOCK.match(text, place)):
+            found = _block(text, line, head.end())
+        if found is None and not inside and (bare := _BARE.match(text, place)):
+            found, quoted = (bare.group(), bare.start(), bare.end(), sign.end()), False
+        if found is None:
             continue
-        quoted = _QUOTED.match(text, operator.end())
-        if quoted:
-            group = 1 if quoted.group(1) is not None else 2
-            value, start, end = quoted.group(group), quoted.start(group), quoted.end(group)
-        else:
-            bare = _BARE.match(text, operator.end())
-            if bare is None:
-                continue
-            value, start, end = bare.group(), bare.start(), bare.end()
-        pairs.append((name.group(), value, start, end, quoted is not None))
-        end_of_last = quoted.end() if quoted else operator.end()
+        value, start, end, end_of_last = found
+        low = name.lower()
+        if quoted and low in _VALUE_ATTRIBUTES and key and not re.search("[<>]", text[key[1] : begin]):
+            name = key[0]
+        key = (value, end) if quoted and low in _KEY_ATTRIBUTES else None
+        pairs.append((name, value, start, end, quoted))
     return pairs
 
 

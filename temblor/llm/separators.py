@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from temblor.lineage import scratch_path
 from temblor.llm.frames import remove, scratch, written
-from temblor.llm.tokens import encoder, vocabulary_path
+from temblor.llm.tokens import encoding, vocabulary_path
 
 #: The end-of-document id of the vocabulary; its text never gives it, being plain text there.
 SEPARATOR = 49407
@@ -45,38 +45,46 @@ def write_token_files(
     files that no row names, and those do not count. A null or empty text is a separator alone.
     """
     path = path or vocabulary_path()
-    end = np.array([separator], dtype=dtype).tobytes()
+    end = narrowed(np.array([separator], dtype="<u4").tobytes(), dtype)
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
         system, base = _file_system(folder)
         system.create_dir(base, recursive=True)
         out, name, ordinal = None, None, 0
-        try:
-            for whole in incoming:
-                for at in range(0, whole.num_rows, 500):
-                    batch = whole.slice(at, 500)
-                    files, ordinals = [], []
-                    for ids in encode.ids(batch.column("text").to_pylist()):
-                        if out is None or out.tell() >= file_bytes:
-                            if out is not None:
-                                out.close()
-                            name, ordinal = f"{uuid.uuid4().hex}.bin", 0
-                            out = system.open_output_stream(f"{base}/{name}")
-                        out.write(np.frombuffer(ids, dtype="<u4").astype(dtype).tobytes() + end)
-                        files.append(name)
-                        ordinals.append(ordinal)
-                        ordinal += 1
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(files, pa.string()), pa.array(ordinals, pa.int64()), batch.column("doc_id").cast(pa.int64())], names=["file", "ordinal", "doc_id"]
-                    )
-        finally:
-            if out is not None:
-                out.close()
+        with encoding(path) as encode:
+            try:
+                for whole in incoming:
+                    for at in range(0, whole.num_rows, 500):
+                        batch = whole.slice(at, 500)
+                        files, ordinals = [], []
+                        for ids in encode.ids(batch.column("text").to_pylist()):
+                            if out is None or out.tell() >= file_bytes:
+                                if out is not None:
+                                    out.close()
+                                name, ordinal = f"{uuid.uuid4().hex}.bin", 0
+                                out = system.open_output_stream(f"{base}/{name}")
+                            out.write(narrowed(ids, dtype) + end)
+                            files.append(name)
+                            ordinals.append(ordinal)
+                            ordinal += 1
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(files, pa.string()), pa.array(ordinals, pa.int64()), batch.column("doc_id").cast(pa.int64())], names=["file", "ordinal", "doc_id"]
+                        )
+            finally:
+                if out is not None:
+                    out.close()
 
     return docs.select("doc_id", "text").mapInArrow(run, "file string, ordinal long, doc_id long")
 
 
+def narrowed(ids: bytes, dtype: str) -> bytes:
+    """Unsigned 32-bit ids as ``dtype``; an id it has no room for fails the task."""
+    wide = np.frombuffer(ids, dtype="<u4")
+    if len(wide) and int(wide.max()) > np.iinfo(dtype).max:
+        raise ValueError(f"id {wide.max()} does not fit {dtype}; choose a wider dtype for this vocabulary")
+    return wide.astype(dtype).tobytes()
+
+
 def separators(data: bytes, separator: int, dtype: str) -> np.ndarray:
     """The places of the separator in a block of ids."""
     return np.flatnonzero(np.frombuffer(data, dtype=dtype) == separator)

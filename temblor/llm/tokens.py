@@ -1,28 +1,47 @@
 """Token ids of whole texts with a word-level vocabulary, memoised by white-space chunk.
 
 The pre-tokeniser of a word-end vocabulary never joins characters across ASCII white space, so the
-ids of a text are the ids of its chunks in a row. Each Python worker keeps a bounded table from
-chunk to ids; only chunks it has not seen go to the tokeniser, many in one call.
+ids of a text are the ids of its chunks in a row. Each task keeps a bounded table from chunk to ids;
+only chunks it has not seen go to the tokeniser, many in one call. The table goes when the task ends,
+since a worker process outlives its task and would hold it while other work runs.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
 
-#: Chunks a worker remembers; beyond that it starts anew. About 250 bytes each.
-MOST_CHUNKS = 600_000
+#: Chunks a task remembers; beyond that it starts anew. About 250 bytes each.
+MOST_CHUNKS = 300_000
 
-# A comma or full stop alone after a letter is a pre-token of its own either way.
-_LONE = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0d]|$)")
 # Stands between chunks in one call; chunks that hold it are encoded by themselves.
 _MARK = "\x01"
 
 
+_COMMA_OR_STOP = np.zeros(256, dtype=bool)
+_COMMA_OR_STOP[[0x2C, 0x2E]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[0x61:0x7B] = True
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def spaced(raw: bytes) -> bytes:
+    """A comma or full stop alone between a letter and white space is a pre-token of its own; with a
+    space before it, the word keeps the chunk that it has without it."""
+    data = np.frombuffer(raw, dtype=np.uint8)
+    at = np.flatnonzero(_COMMA_OR_STOP[data])
+    if not len(at):
+        return raw
+    after = np.append(data, 0x20)[at + 1]
+    at = at[_SPACE[after] & (at > 0) & _LETTER[data[at - 1]]]
+    return np.insert(data, at, 0x20).tobytes()
+
+
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
@@ -41,12 +60,30 @@ class ChunkEncoder:
         self._most = most_chunks
         mark = self._encode(_MARK)
         self._mark = int(mark[0]) if len(mark) == 1 else None
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(1 + max(vocabulary.values()), dtype=bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def forget(self) -> None:
+        self._known = {}
 
     def _encode(self, text: str) -> np.ndarray:
         [found] = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, dtype="<u4")
 
     def _learn(self, chunks: list[bytes]) -> None:
+        # letters alone are one pre-token, which ends with the one id that ends a word
+        words = [(c, t) for c in chunks if (t := c.decode()).isalpha()]
+        ids = self._encode(" ".join([t for _, t in words]))
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) == len(words):
+            raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+            for (chunk, _), start, end in zip(words, cuts, cuts[1:], strict=False):
+                self._known[chunk] = raw[start:end]
+            chunks = [c for c in chunks if c not in self._known]
+        self._learn_marked(chunks)
+
+    def _learn_marked(self, chunks: list[bytes]) -> None:
         marked = _MARK.encode()
         joint = [c for c in chunks if self._mark is not None and marked not in c]
         if joint:
@@ -65,7 +102,7 @@ class ChunkEncoder:
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         """One text at a time, in order; null counts as empty."""
         for start in range(0, len(texts), 400):
-            some = [_LONE.sub(rb" \1", (t or "").encode().lower()).split() for t in texts[start : start + 400]]
+            some = [spaced((t or "").encode().lower()).split() for t in texts[start : start + 400]]
             if len(self._known) > self._most:
                 self._known.clear()
             found = [list(map(self._known.get, chunks)) for chunks in some]
@@ -85,8 +122,12 @@ class ChunkEncoder:
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
-    """The worker's encoder of a vocabulary file, kept between batches and tasks."""
+@contextmanager
+def encoding(path: str) -> Iterator[ChunkEncoder]:
+    """The worker's encoder of a vocabulary file, for one task; its table goes at the end."""
     if path not in _ENCODERS:
         _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+    try:
+        yield _ENCODERS[path]
+    finally:
+        _ENCODERS[path].forget()

@@ -11,10 +11,12 @@ from temblor.llm import packing
 from temblor.llm.tokens import ChunkEncoder
 
 
+TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+TOKENIZER.encode_special_tokens = True
+
+
 def plain_ids(text):
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
-    return tokenizer.encode(text or "", add_special_tokens=False).ids
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids
 
 
 def test_chunked_ids_equal_the_tokenizer():
@@ -74,3 +76,9 @@ def test_equal_rows_spread_over_groups(spark):
         used[row.sequence_id] = used.get(row.sequence_id, 0) + row.length
     # 35 groups of 100 pieces of one token: 14 full bins and one of two tokens each
     assert sorted(used.values()) == [2] * 35 + [7] * 490
+
+
+def test_ids_beside_nulls_stay_exact(spark):
+    given = [(2**53 + 1, "one two"), (None, "three"), (2**62 + 3, None), (-5, "four five six")]
+    rows = packing.pack_documents(spark.createDataFrame(given, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] for r in rows), key=str) == sorted((i for i, _ in given), key=str)

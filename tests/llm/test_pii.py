@@ -127,3 +127,17 @@ def test_rounds_go_on_until_nothing_is_new(spark):
     rows = list(enumerate(texts))
     out = {x.doc_id: x.spans for x in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(out[i] == f"phone:5:{len(t)}" for i, t in rows)
+
+
+def test_contexts_reach_to_their_real_ends():
+    blanks, word = " " * 1000, "w" * 10_000
+    text = f"tel:{blanks}5550100 {word} 5550101"
+    found = {v: p for _, _, _, v, p in pii.occurrences(text, [])}
+    assert found["5550100"][0] == "1|tel:" and found["5550101"][0].startswith("1|#") and "2|5550100 #" in found["5550101"][1]
+    long = "x" * 5000 + "7"
+    assert [text[s:e] for _, s, e, _, _ in pii.occurrences(f"id {long}", []) for text in [f"id {long}"]] == [long]
+
+
+def test_contexts_take_linear_time():
+    for text in ("a" * 2_000_000, "(" * 500_000 + "5550100", " " * 500_000 + "5550100", "1 " * 200_000, "1" * 1_000_000, "@" * 300_000, "w" * 500_000 + " 1 2 3"):
+        pii.occurrences(text, pii.base_spans(text))

@@ -1,4 +1,6 @@
+import math
 import random
+from fractions import Fraction
 from math import comb
 
 import pytest
@@ -82,3 +84,16 @@ def test_null_language_is_a_stratum(spark):
         cutoffs = cutoffs.withColumn(rule.name, F.lit(None).cast("double"))
     assert quality.judged(table, written(cutoffs, "cut")).count() == 2
     assert m in table.columns
+
+
+def test_binomial_tails_are_whole():
+    for n, k, p in ((20, 3, 0.3), (1000, 5, 0.01), (5000, 60, 0.01), (300, 299, 0.9), (7, 0, 0.5), (10, 10, 0.5)):
+        plain = sum(Fraction(math.comb(n, i)) * Fraction(p) ** i * (1 - Fraction(p)) ** (n - i) for i in range(k + 1))
+        assert abs(quality.binomial_tail(n, k, p) - float(plain)) < 1e-9
+    # by the normal limit with continuity and skewness correction, far beyond 2,000 terms
+    n, p = 10**9, 0.01
+    sd = math.sqrt(n * p * (1 - p))
+    z = (-1000 + 0.5) / sd
+    phi = math.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+    limit = 0.5 * math.erfc(-z / math.sqrt(2)) - (1 - 2 * p) / (6 * sd) * (z * z - 1) * phi
+    assert abs(quality.binomial_tail(n, int(n * p) - 1000, p) - limit) < 1e-4

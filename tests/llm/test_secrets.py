@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from brute import HARD, hard_documents, no_documents
 
 from temblor.llm import secrets
@@ -48,8 +49,48 @@ def test_names_and_constants_decide():
     assert literals('a = b\nb = a\npassphrase = a\nb = "q8Zr71xWw0"') == ["q8Zr71xWw0"]
 
 
+PAIRS = {
+    'k = """abc\ndef"""': [("k", "abc\ndef")],
+    "p = f'x{y}9'": [("p", "x{y}9")],
+    'p = b"raw9"': [("p", "raw9")],
+    'pwd = (\n  "abc"\n  "def"\n)': [("pwd", "abcdef")],
+    'pw = "hunter-" + "2x9Q"': [("pw", "hunter-2x9Q")],
+    'a = \\\n  "cont"': [("a", "cont")],
+    "secret: |\n  line one\n  line2\nnext: 5": [("secret", "line one\nline2"), ("next", "5")],
+    "  a: >-\n    v1\n\n    v2\n  b: 1": [("a", "v1\nv2"), ("b", "1")],
+    '<add key="DbPassword" value="h9$"/>': [("key", "DbPassword"), ("DbPassword", "h9$")],
+    '<a key="X"/><b value="y1"/>': [("key", "X"), ("value", "y1")],
+    "x" * 300 + ".password" + " " * 1000 + "=" + " " * 1000 + '"v"': [("x" * 300 + ".password", "v")],
+    "a[\"token\"] = 't'": [("token", "t")],
+    "\"name\": 'x'": [("name", "x")],
+    "NAME=x9==": [("NAME", "x9==")],
+    "n => x": [("n", "x")],
+    'a = "unclosed\nb = "q"': [("b", "q")],
+    'a = """unclosed': [("a", "")],
+    'a = "x" b = "y"': [("a", "x"), ("b", "y")],
+    "u?user=me&token=abc1": [("user", "me&token"), ("token", "abc1")],
+    "a := `t`": [("a", "t")],
+}
+
+
+@pytest.mark.parametrize("text", PAIRS)
+def test_pairs_of_names_and_literals(text):
+    found = secrets.assignments(text)
+    assert [(name, value) for name, value, *_ in found] == PAIRS[text]
+    for _, value, start, end, quoted in found:
+        assert 0 <= start <= end <= len(text) and (quoted or text[start:end] == value)
+
+
+def test_literals_written_in_parts_are_whole_spans():
+    assert literals('db_pwd = "hunter-" + "2x9Q!aa"') == ['hunter-" + "2x9Q!aa']
+    assert literals('secret_key: |\n  q8Zr71xWw0aP\n  9dKKe2\nname: x')[0].startswith("q8Zr71xWw0aP")
+    assert literals('<add key="DbPassword" value="q8Zr71xWw0"/>') == ["q8Zr71xWw0"]
+    assert literals("x" * 300 + ".passphrase" + " " * 60 + "=" + " " * 60 + '"q8Zr71xWw0"') == ["q8Zr71xWw0"]
+
+
 def test_long_texts_take_linear_time():
-    for text in ("a=b " * 50_000, 'a="' * 50_000, "x" * 500_000 + "=", "".join(f"v{i} = v{i + 1}\n" for i in range(30_000)), "token=abcdef1 " * 20_000):
+    more = ("a=" * 200_000, 'a = """' * 50_000, " " * 500_000 + "=", "a." * 200_000 + "=1", "a:|\n b\n" * 50_000, 'k = ("a" ' * 50_000, 'a="b"+' * 50_000, '<x key="a" ' * 50_000)
+    for text in (*more, "a=b " * 50_000, 'a="' * 50_000, "x" * 500_000 + "=", "".join(f"v{i} = v{i + 1}\n" for i in range(30_000)), "token=abcdef1 " * 20_000):
         secrets.find_spans(text)
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from brute import HARD, hard_documents, no_documents
 from test_packing import plain_ids
 
@@ -28,3 +29,10 @@ def test_documents_across_blocks_of_any_size(spark, tmp_path):
     for block in (4, 12, 40, 1 << 20):
         out = separators.scan(spark, str(tmp_path), separator=9, dtype="<u4", block_bytes=block)
         assert {tuple(x) for x in out.select("file", "ordinal", "start", "n_tokens", "ended").collect()} == expected
+
+
+def test_ids_too_wide_for_the_files_are_refused():
+    ids = np.array([1, 65_535], dtype="<u4")
+    assert np.frombuffer(separators.narrowed(ids.tobytes(), "<u2"), "<u2").tolist() == [1, 65_535]
+    with pytest.raises(ValueError):
+        separators.narrowed((ids + 1).tobytes(), "<u2")
