@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -55,3 +56,34 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder, if it is there, through the file system it lies on."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    return [found.getPath().getName() for found in system.listStatus(target) if found.isDirectory()]
+
+
+def move_new(spark: SparkSession, path: str, new: str) -> bool:
+    """Renames a folder in one step; false, and nothing moved, if ``new`` is there already."""
+    jvm = spark._jvm
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, new))
+    if target.toUri().getScheme() is None:
+        system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        source, target = system.makeQualified(source), system.makeQualified(target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.toUri(), spark._jsc.hadoopConfiguration()
+    )
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    if context.util().exists(target):
+        return False
+    try:
+        context.rename(source, target, options)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True

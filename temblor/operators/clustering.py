@@ -46,6 +46,7 @@ class Algorithm:
     label: str
     max_iter: int
     shifted: bool = False
+    soft: bool = False
 
 
 # Titles, label columns and iterations, as the metrics table names them.
@@ -54,7 +55,7 @@ ALGORITHMS = {
     # Bisecting splits a centre by a share of its norm; around mean zero that share is nothing
     # and no split happens. Moving all rows by a constant keeps their distances.
     "bisecting": Algorithm("Bisecting K-Means", BisectingKMeans, "bisect_cluster", 20, True),
-    "gmm": Algorithm("Gaussian Mixture Model", GaussianMixture, "gmm_cluster", 20),
+    "gmm": Algorithm("Gaussian Mixture Model", GaussianMixture, "gmm_cluster", 20, soft=True),
 }
 RULE_TITLE = "Custom Hazard (Rule-Based)"
 _SHIFTED = "_shifted_features"
@@ -148,10 +149,38 @@ def fit_many(
     return dict(zip(jobs, models))
 
 
-def label_rows(df: DataFrame, model, algorithm: str) -> DataFrame:
-    """``df`` with the cluster of every row; a mixture gives its likeliest component."""
+def label_rows(df: DataFrame, model, algorithm: str, soft: bool = False) -> DataFrame:
+    """``df`` with the cluster of every row; a mixture gives its likeliest component, and with ``soft``
+    also ``probability``, an array of the row's membership in every component."""
     chosen = ALGORITHMS[algorithm]
-    return model.transform(_prepared(df, chosen)).drop(_SHIFTED, "probability")
+    if soft and not chosen.soft:
+        raise ValueError(f"{algorithm} has no membership probabilities")
+    rows = model.transform(_prepared(df, chosen)).drop(_SHIFTED)
+    return rows.withColumn("probability", vector_to_array("probability")) if soft else rows.drop("probability")
+
+
+def membership(rows: DataFrame, label: str, components: int, by: str = "country") -> DataFrame:
+    """How much of each group every mixture component holds: one row per group and component.
+
+    ``quake_count`` rows have the component as their hard label; ``mass`` is the sum of memberships, so
+    the masses of a group sum to its rows; ``entropy`` is the component's part of the rows' summed
+    entropy, in nats, zero where labels are certain. ``disputed`` counts rows of the hard label whose
+    membership is below one half. One aggregate over all rows, one column per measure and component,
+    so rows are not multiplied; groups then unfold into components.
+    """
+    measures = []
+    for c in range(components):
+        p, own = F.get("probability", F.lit(c)), F.col(label) == c
+        measures.append(
+            F.struct(
+                F.lit(c).alias("component"),
+                F.count_if(own).alias("quake_count"),
+                F.sum(p).alias("mass"),
+                F.sum(F.when(p > 0, -p * F.log(p)).otherwise(0.0)).alias("entropy"),
+                F.count_if(own & (p < 0.5)).alias("disputed"),
+            )
+        )
+    return rows.groupBy(by).agg(F.array(*measures).alias("all")).select(by, F.inline("all"))
 
 
 @dataclass(frozen=True)
@@ -173,11 +202,13 @@ def clustered(
     seed: int = 42,
     max_iter: int | None = None,
     refit: bool = True,
+    soft: bool = False,
 ) -> Iterator[Labelled]:
-    """All rows with their cluster, the model, and what it was trained on, within a block."""
+    """All rows with their cluster, the model, and what it was trained on, within a block: the rows
+    read a stored table that goes with it. ``soft`` keeps the memberships of a mixture."""
     with model_frames(df, feature_set, key, strata, cap, seed, refit) as frames:
         model = fit(frames.training, algorithm, k, seed, max_iter)
-        yield Labelled(label_rows(frames.everything, model, algorithm), model, frames.training)
+        yield Labelled(label_rows(frames.everything, model, algorithm, soft), model, frames.training)
 
 
 def silhouette(df: DataFrame, label: str, features: str = "features") -> float | None:

@@ -248,6 +248,15 @@ FROM n, (VALUES ('EMSC'), ('EMSC'), ('USGS')) AS t(auth)""",
 SELECT time, place, country, latitude, longitude, depth, mag, hazard_cluster, cluster_name FROM h""",
         "raw_table": """
 SELECT date_trunc('month', time) AS window_start, count(*) AS saved, count(DISTINCT id) AS events
+FROM quakes GROUP BY 1""",
+        "raw_variants": """
+SELECT date_trunc('month', time) AS window_start, 'Point' AS shape, count(*) AS saved, count(mag) AS magnitudes,
+       round(avg(mag), 6) AS avg_mag, count(DISTINCT id) AS events, CAST(sum(id % 50) AS BIGINT) AS stations,
+       CAST(0 AS BIGINT) AS unknown
+FROM quakes GROUP BY 1""",
+        "raw_shapes": """
+SELECT date_trunc('month', time) AS window_start, count(*) AS documents, CAST(0 AS BIGINT) AS unparsed,
+       'auth depth evtype flynn_region geometry id lat lon mag magtype nst properties time type unid' AS fields
 FROM quakes GROUP BY 1""",
         "clean_table": f"""
 , t AS (SELECT DISTINCT {_CLEAN_EMSC}, auth, country, depth_log
@@ -355,6 +364,10 @@ SELECT country, count(*) AS quake_count, round(avg(depth), 6) AS avg_depth, TRUE
         "bisecting_hazard": _model(4),
         "bisecting_hazard3": _model(3),
         "gmm_physical5": _model(8),
+        "gmm_membership": """
+SELECT country, CAST(8 AS BIGINT) AS components, count(*) AS quake_count, CAST(count(*) AS DOUBLE) AS mass,
+       TRUE AS entropy_in_bounds, CAST(0 AS BIGINT) AS outvoted
+FROM n GROUP BY country""",
         "elbow_hazard": """
 SELECT CAST(k AS INTEGER) AS k, CAST(k AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced,
        TRUE AS cost_agrees, TRUE AS silhouette_agrees FROM (SELECT unnest(range(2, 11)) AS k)""",

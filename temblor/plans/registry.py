@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +41,7 @@ from temblor.plans.quakes import (
     raw_usgs,
 )
 from temblor.session import prepare
-from temblor.sources import collector, tables, windows
+from temblor.sources import collector, tables, variants, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -156,14 +156,53 @@ def raw_table(spark, sf_dir):
     )
     again = again.withColumn("document", F.when(F.col("error").isNull(), F.col("document")))
     collector.store_collected(again, schemas.RAW_EMSC, path, log)
-    stored = tables.read_events(spark, collector.parse_documents(first, schemas.RAW_EMSC).schema, path)
+    stored = collector.read_raw(spark, schemas.RAW_EMSC, path, log)
     counts = stored.groupBy("window_start").agg(
         F.count("*").alias("saved"), F.count_distinct("id").alias("events")
     )
     return collected_rows(counts, path, log)
 
 
-def _collected(catalogue: DataFrame, part_days: int) -> DataFrame:
+def _stored_variants(spark, sf_dir, path):
+    """Collected documents with fields that no schema lists, stored as variants and read back."""
+    document = emsc_document(F.lit("EMSC")).withField("properties.nst", F.col("id") % 50)
+    document = document.withField("geometry", F.struct(F.lit("Point").alias("type")))
+    collected = _collected(quakes(spark, sf_dir), 15, document)
+    tables.write_table(variants.parse_variants(collected), path)
+    return spark.read.parquet(path)
+
+
+@query
+def raw_variants(spark, sf_dir):
+    """Listed fields by the explicit schema, others by their path, from documents kept whole."""
+    path = scratch_path(spark, "raw-variants")
+    others = {"nst": ("$.properties.nst", "bigint"), "shape": ("$.geometry.type", "string"), "none": ("$.properties.none", "string")}
+    stored = variants.typed(
+        _stored_variants(spark, sf_dir, path),
+        schemas.RAW_EMSC,
+        *(variants.field(*asked).alias(name) for name, asked in others.items()),
+    )
+    groups = stored.groupBy("window_start", "shape").agg(
+        F.count("*").alias("saved"),
+        F.count("properties.mag").alias("magnitudes"),
+        F.round(F.avg("properties.mag"), 6).alias("avg_mag"),
+        F.count_distinct("id").alias("events"),
+        F.sum("nst").alias("stations"),
+        F.count("none").alias("unknown"),
+    )
+    return collected_rows(groups, path)
+
+
+@query
+def raw_shapes(spark, sf_dir):
+    """What fields the stored documents of every window have."""
+    path = scratch_path(spark, "raw-variants")
+    shapes = variants.shape_by_window(_stored_variants(spark, sf_dir, path))
+    names = F.array_join(variants.field_names(F.col("shape")), " ").alias("fields")
+    return collected_rows(shapes.select("window_start", "documents", "unparsed", names), path)
+
+
+def _collected(catalogue: DataFrame, part_days: int, document: Column | None = None) -> DataFrame:
     """The catalogue as a collecting job returns it, windows being months, and a row per window."""
     month = F.date_trunc("month", "time")
     number = F.floor((F.dayofmonth("time") - 1) / part_days).cast("int")
@@ -176,7 +215,7 @@ def _collected(catalogue: DataFrame, part_days: int) -> DataFrame:
     }
     rows = catalogue.select(
         *(place.alias(name) for name, place in places.items()),
-        F.to_json(emsc_document(F.lit("EMSC"))).alias("document"),
+        F.to_json(emsc_document(F.lit("EMSC")) if document is None else document).alias("document"),
         F.lit(None).cast("string").alias("error"),
     )
     marks = rows.select("window_start", "window_end").distinct().select(
@@ -544,6 +583,24 @@ def gmm_physical5(spark, sf_dir):
     return _checked(placed_quakes(spark, sf_dir), "gmm", 8, "physical5")
 
 
+@query
+def gmm_membership(spark, sf_dir):
+    """Memberships of a mixture by country: their mass, and rows that the hard label does not fit."""
+    with clustering.clustered(placed_quakes(spark, sf_dir), "gmm", 8, "physical5", KEY, soft=True) as found:
+        label = clustering.ALGORITHMS["gmm"].label
+        held = F.col("probability")
+        outvoted = F.count_if(F.get(held, F.col(label)) < F.array_max(held)).alias("outvoted")
+        hard = found.rows.groupBy(F.col("country").alias("c")).agg(outvoted)
+        soft = clustering.membership(found.rows, label, 8).groupBy("country").agg(
+            F.count("component").alias("components"),
+            F.sum("quake_count").alias("quake_count"),
+            F.round(F.sum("mass"), 6).alias("mass"),
+            F.sum("entropy").between(0, F.sum("quake_count") * F.log(F.lit(8.0))).alias("entropy_in_bounds"),
+        )
+        both = soft.join(hard, F.col("country").eqNullSafe(F.col("c"))).drop("c")
+        return collected_rows(both)
+
+
 @query
 def elbow_hazard(spark, sf_dir):
     """The sweep, each k with its clusters, misplaced rows, and whether cost and silhouette agree."""

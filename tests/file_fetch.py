@@ -1,6 +1,6 @@
 """A stand-in for an agency's service, importable by the workers."""
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 from pathlib import Path
 
 from temblor.sources.collector import WindowTooLarge
@@ -30,3 +30,27 @@ class FileFetch:
             }
             for m in moments
         ]
+
+
+def event_time(document):
+    return datetime.fromisoformat(document["time"])
+
+
+def event_mag(document):
+    return document["mag"]
+
+
+class MagnitudeFetch:
+    """One event every six hours of magnitudes 3 to 5.9; notes each request and its least magnitude."""
+
+    def __init__(self, folder, least=None):
+        self.folder, self.least = str(folder), least
+
+    def at_least(self, magnitude):
+        return MagnitudeFetch(self.folder, magnitude)
+
+    def __call__(self, start, end):
+        (Path(self.folder) / f"{start:%Y%m%d}_{self.least}").touch()
+        moments = [start + timedelta(hours=6 * i) for i in range((end - start) // timedelta(hours=6))]
+        events = [(m, 3 + (m.day * 4 + m.hour // 6) % 30 / 10) for m in moments]
+        return [{"time": m.isoformat(), "mag": g} for m, g in events if self.least is None or g >= self.least]

@@ -205,3 +205,27 @@ def test_vector_size_without_attributes(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0],)], "a array<double>")
     vectors = features.arrays_to_vectors(df, {"v": "a"})
     assert features.vector_size(vectors, "v") == 3
+
+
+def test_memberships_of_a_mixture(spark, events):
+    with clustering.clustered(events, "gmm", 4, "hazard", ["id"], soft=True) as found:
+        rows = found.rows.select("country", "gmm_cluster", "probability").collect()
+        soft = clustering.membership(found.rows, "gmm_cluster", 4).collect()
+    by = {}
+    for country, label, p in rows:
+        assert abs(sum(p) - 1) < 1e-9 and p[label] == max(p)
+        by.setdefault(country, []).append((label, p))
+    assert len(soft) == 4 * len(by)
+    for row in soft:
+        own = by[row.country]
+        assert row.quake_count == sum(label == row.component for label, _ in own)
+        assert abs(row.mass - sum(p[row.component] for _, p in own)) < 1e-6
+        assert abs(row.entropy + sum(p[row.component] * math.log(p[row.component]) for _, p in own if p[row.component] > 0)) < 1e-6
+        assert row.disputed == sum(label == row.component and p[label] < 0.5 for label, p in own)
+
+
+def test_only_mixtures_have_memberships(spark, events):
+    with pytest.raises(ValueError, match="no membership"):
+        clustering.label_rows(events, None, "kmeans", soft=True)
+    with clustering.clustered(events, "gmm", 2, "hazard", ["id"], max_iter=2) as found:
+        assert "probability" not in found.rows.columns

@@ -8,12 +8,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from file_fetch import FileFetch
+from file_fetch import FileFetch, MagnitudeFetch, event_mag, event_time
 from temblor import schemas
 from temblor.operators import clean
 from temblor.plans.agencies import EMSC, USGS
 from temblor.plans.quakes import quakes, raw_emsc, raw_usgs
-from temblor.sources import collector, tables, windows
+from temblor.sources import collector, tables, variants, windows
 from temblor.streaming import ingest
 
 START, END = datetime(2025, 1, 1), datetime(2026, 1, 1)
@@ -138,7 +138,7 @@ def test_the_raw_table_neither_loses_nor_doubles(spark, tmp_path):
         marks = {(w, w, None, None) for w, *_ in rows}
         found = [(w, w + timedelta(days=7), p, p + timedelta(days=1), i and json.dumps({"id": i}), e) for w, p, i, e in [*rows, *marks]]
         log = collector.store_collected(spark.createDataFrame(found, schemas.COLLECTED), schemas.RAW_EMSC, path, log_path)
-        stored = sorted(r.id for r in spark.read.parquet(path).collect())
+        stored = sorted(r.id for r in collector.read_raw(spark, schemas.RAW_EMSC, path, log_path).collect())
         return stored, {r.window_start: (r.saved, r.error) for r in log.collect()}
 
     split = [(week[0], week[0], "a", None), (week[0], week[0] + timedelta(days=3), "b", None)]
@@ -150,10 +150,92 @@ def test_the_raw_table_neither_loses_nor_doubles(spark, tmp_path):
     failed = [(week[0], week[0], "a", None), (week[0], week[0] + timedelta(days=3), None, "lost")]
     assert run(failed) == (["a", "b", "c"], {week[0]: (1, "lost")})  # what was stored stays
     assert run([(week[1], week[1], None, None), (week[2], week[2], "d", None)])[0] == ["a", "b", "d"]
-    log = {r.window_start: r.error for r in spark.read.parquet(log_path).collect()}
+    log = {r.window_start: r.error for r in collector.read_log(spark, log_path).collect()}
     assert log == {week[0]: "lost", week[1]: None, week[2]: None}
 
 
+def one_window(spark, ids):
+    """A collecting run over one window that brings ``ids``."""
+    rows = [(START, START + timedelta(days=7), START, START + timedelta(days=7), i and json.dumps({"id": i}), None) for i in (None, *ids)]
+    return spark.createDataFrame(rows, schemas.COLLECTED)
+
+
+@pytest.mark.parametrize("step", ["write_table", "load_log", "commit_log", "move_new"])
+def test_a_run_that_fails_at_any_step_changes_nothing(spark, tmp_path, monkeypatch, step):
+    path, log_path = str(tmp_path / "raw"), str(tmp_path / "log")
+
+    def state():
+        rows = collector.read_raw(spark, schemas.RAW_EMSC, path, log_path).collect()
+        return sorted(r.id for r in rows), [r.saved for r in collector.read_log(spark, log_path).collect()]
+
+    collector.store_collected(one_window(spark, ["a", "b"]), schemas.RAW_EMSC, path, log_path)
+    before = state()
+    assert before == (["a", "b"], [2])
+
+    def lost(*args, **kwargs):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(collector.tables if step == "write_table" else collector, step, lost)
+        with pytest.raises(OSError):
+            collector.store_collected(one_window(spark, ["c"]), schemas.RAW_EMSC, path, log_path)
+    assert state() == before
+    collector.store_collected(one_window(spark, ["d"]), schemas.RAW_EMSC, path, log_path)
+    assert state() == (["d"], [1])
+    gone = collector.remove_unused_runs(spark, path, log_path)
+    assert len(gone) == (1 if step == "write_table" else 2) and state() == (["d"], [1])
+
+
+def test_runs_that_commit_at_once_get_numbers_of_their_own(spark, tmp_path):
+    log_path = str(tmp_path / "log")
+    log = spark.range(1).selectExpr("'w' AS window")
+    assert [collector.commit_log(log, log_path) for _ in range(2)] == [1, 2]
+    tables.write_table(log, f"{log_path}/_pending-x")
+    assert not collector.move_new(spark, f"{log_path}/_pending-x", f"{log_path}/commit=2")
+    assert sorted(collector.child_folders(spark, log_path)) == ["_pending-x", "commit=1", "commit=2"]
+
+
+MARCH, JUNE = datetime(2025, 3, 1), datetime(2025, 6, 1)
+
+
+def test_filters_reach_the_request(spark, tmp_path):
+    columns = collector.EventColumns(event_time, event_mag)
+
+    def source(name):
+        (tmp_path / name).mkdir()
+        fetch = MagnitudeFetch(tmp_path / name)
+        made = collector.windowed_event_source(fetch, MARCH, JUNE, policy=FAST, name=name, columns=columns)
+        return collector.collect_windows(spark, made)
+
+    everything = source("unpushed").select("time", "mag").cache()
+    assert everything.count() == 92 * 4 + 7
+    for i, (where, windows_asked, least) in enumerate(
+        [
+            ("time >= '2025-03-05' AND time < '2025-03-20'", 2, None),
+            ("time = '2025-03-05'", 1, None),
+            ("mag >= 4.5", 7, 4.5),
+            ("mag > 4.5 AND mag >= 3", 7, 4.5),
+            ("time < '2025-03-02' AND mag >= 5", 1, 5.0),
+            ("mag <= 4 OR time > '2025-05-01'", 7, None),
+            ("time > '2025-07-01'", 0, None),
+        ]
+    ):
+        found = source(f"pushed{i}").where(where).select("time", "mag")
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, everything.where(where).collect()))
+        asked = [name.name.split("_") for name in (tmp_path / f"pushed{i}").iterdir()]
+        assert len(asked) == windows_asked and {name[1] for name in asked} <= {str(least)}, where
+
+
+def test_a_least_magnitude_goes_into_the_url(monkeypatch):
+    seen = []
+    monkeypatch.setattr("urllib.request.urlopen", lambda url, timeout: seen.append(url) or Reply(b""))
+    fetch = collector.CappedFetch(collector.HttpFetch("http://agency.example/query", EMSC.request_format))
+    collector.at_least(fetch, 4.5)(START, END)
+    collector.at_least(fetch, None)(START, END)
+    assert "minmagnitude=4.5" in seen[0] and "minmagnitude" not in seen[1]
+    assert collector.at_least(max, 3.0) is max
+
+
 def test_a_window_that_cannot_be_split_further_fails():
     def refuse(start, end):
         raise collector.WindowTooLarge("still too large")
@@ -260,3 +342,19 @@ def test_a_stream_of_batches_in_any_order_equals_the_batch_path(spark, sf_dir, t
     stored = ingest.distinct_events(spark.read.parquet(path)).select(*expected.columns)
     assert stored.exceptAll(expected).isEmpty() and expected.exceptAll(stored).isEmpty()
     assert stored.where("time IS NULL").count() > 0
+
+
+def test_unknown_fields_survive_as_variants(spark, tmp_path):
+    texts = ['{"id": "a", "properties": {"mag": 4.5, "nst": 7}, "new": {"deep": [1, 2]}}', '{"id": "b", "properties": {"mag": "much", "lat": 1}}', "no json", "null", None]
+    rows = [(START, START + timedelta(days=7), START, START, text, None) for text in texts]
+    path = str(tmp_path / "variants")
+    tables.write_table(variants.parse_variants(spark.createDataFrame(rows, schemas.COLLECTED)), path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 4 and [r.unparsed for r in stored.where("unparsed IS NOT NULL").collect()] == ["no json"]
+    typed = variants.typed(stored, schemas.RAW_EMSC, variants.field("$.new.deep[1]", "int").alias("deep"), variants.field("$.properties.nst", "int").alias("nst"))
+    found = sorted(((r.id, r.properties.mag, r.properties.lat, r.deep, r.nst) for r in typed.collect()), key=str)
+    assert found == [("a", 4.5, None, 2, 7), ("b", None, 1.0, None, None), (None,) * 5, (None,) * 5]
+    same = collector.parse_documents(spark.createDataFrame(rows, schemas.COLLECTED), schemas.RAW_EMSC)
+    assert typed.drop("deep", "nst").dtypes == same.dtypes
+    [shape] = variants.shape_by_window(stored).select("documents", "unparsed", variants.field_names(F.col("shape")).alias("names")).collect()
+    assert (shape.documents, shape.unparsed) == (4, 1) and {"id", "nst", "deep", "new"} <= set(shape.names)
