@@ -44,7 +44,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     _note(df.sparkSession, path, _BLOCKS.get())
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.scratch_path = path
+    return stored
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables of ``written`` that nothing reads any more, before their block ends."""
+    for stored in tables:
+        if stored is not None:
+            remove(stored.sparkSession, stored.scratch_path)
 
 
 @contextmanager

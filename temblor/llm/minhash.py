@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
 
-from temblor.llm.frames import OWN, SALTS, group_value, group_values, scratch, written
+from temblor.llm.frames import OWN, SALTS, discard, group_value, group_values, scratch, written
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -118,6 +118,7 @@ SKETCH = T.StructType(
         T.StructField("doc_id", T.LongType()),
         T.StructField("n_shingles", T.LongType()),
         T.StructField("set_key", T.BinaryType()),
+        T.StructField("content", T.LongType()),
         T.StructField("keys", T.ArrayType(T.LongType())),
         T.StructField("bytes", T.BinaryType()),
     ]
@@ -125,9 +126,9 @@ SKETCH = T.StructType(
 
 
 def sketches(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
-    """Per document its set size, a 128-bit digest of the set, its band keys, and the lowest byte of
-    every bin of its signature."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("keys", pa.list_(pa.int64())), ("bytes", pa.binary())])
+    """Per document its set size, a 128-bit digest of the set, a hash of the text, its band keys, and
+    the lowest byte of every bin of its signature."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("content", pa.int64()), ("keys", pa.list_(pa.int64())), ("bytes", pa.binary())])
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in incoming:
@@ -146,11 +147,11 @@ def sketches(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
                         keys.append([])
                         low.append(b"")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(low, pa.binary())],
+                    [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), batch.column("content"), pa.array(keys, pa.list_(pa.int64())), pa.array(low, pa.binary())],
                     schema=schema,
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("content")).mapInArrow(run, SKETCH)
 
 
 def with_hubs(members: DataFrame, step: int = 0) -> DataFrame:
@@ -175,21 +176,19 @@ def with_hubs(members: DataFrame, step: int = 0) -> DataFrame:
 def stars(hubs: DataFrame, sketched: DataFrame, bands: Bands, step: int) -> DataFrame:
     """Distinct candidate edges ``hub``, ``member`` between components.
 
-    At step 0 a member tries the first and the last hub it shares most buckets with; later all.
+    At step 0 a member tries the first and the last hub it shares most buckets with; later, of the
+    hubs of each other component, the one it shares most buckets with, since one link joins them.
     Set sizes and one-byte signatures of ``sketched`` (``doc``, ``n``, ``bytes``) sort out what
     cannot be similar enough before any text moves.
     """
     edges = hubs.select("doc", "n", "c", F.explode("hubs").alias("hub"))
     possible = 100 * F.least("n", "hub.m") >= bands.percent * F.greatest("n", "hub.m")
     edges = edges.where((F.col("c") != F.col("hub.c")) & possible).select(
-        F.col("hub.d").alias("hub"), F.col("doc").alias("member"), F.col("hub.end").alias("end")
+        F.col("hub.d").alias("hub"), F.col("doc").alias("member"), F.col("hub.c" if step else "hub.end").alias("end")
     )
-    if step:
-        edges = edges.select("hub", "member").distinct()
-    else:
-        votes = edges.groupBy("hub", "member", "end").agg(F.count(F.lit(1)).alias("votes"))
-        most = F.max(F.struct("votes", (-F.col("hub")).alias("hub")))
-        edges = votes.groupBy("member", "end").agg(most.alias("m")).select((-F.col("m.hub")).alias("hub"), "member").distinct()
+    votes = edges.groupBy("hub", "member", "end").agg(F.count(F.lit(1)).alias("votes"))
+    most = F.max(F.struct("votes", (-F.col("hub")).alias("hub")))
+    edges = votes.groupBy("member", "end").agg(most.alias("m")).select((-F.col("m.hub")).alias("hub"), "member").distinct()
     own = sketched.select(F.col("doc").alias("member"), "n", "bytes")
     other = sketched.select(F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("bytes").alias("hub_bytes"))
     pairs = edges.join(own, "member").join(other, "hub")
@@ -390,10 +389,11 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         near = F.min(F.struct(order("v").alias("o"), F.col("v").alias("c")))
         own = F.struct(order("u").alias("o"), F.col("u").alias("c"))
         taken = written(both.groupBy("u").agg(F.least(near, own)["c"].alias("c")), "taken")
-        found = taken if found is None else written(_composed(found, taken), "labels")
+        before, found = found, (taken if found is None else written(_composed(found, taken), "labels"))
         ends = rows.join(taken, "u").select("v", F.col("c").alias("cu"))
         ends = ends.join(taken.withColumnRenamed("u", "v"), "v").where("cu <> c")
-        rows = written(ends.select(F.greatest("cu", "c").alias("u"), F.least("cu", "c").alias("v")).distinct(), "edges")
+        ended, rows = rows, written(ends.select(F.greatest("cu", "c").alias("u"), F.least("cu", "c").alias("v")).distinct(), "edges")
+        discard(before, ended, taken if step else None)
         if rows.isEmpty():
             if step:  # the node that was left need not be the smallest
                 least = written(found.groupBy("c").agg(F.least(F.min("u"), F.col("c")).alias("d")), "least")
@@ -420,7 +420,7 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         rows = written(sketches(docs, bands), "sketches")
         known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
         whole = known.groupBy("doc_id").agg(
-            F.max(F.struct("n_shingles", "set_key", "keys", "bytes")).alias("s")
+            F.max(F.struct("n_shingles", "set_key", "content", "keys", "bytes")).alias("s")
         ).select("doc_id", "s.*")
         # documents with equal sets: one class, stood for by its smallest document
         classes = written(group_value(whole, ["set_key"], F.col("doc_id"), F.min, "doc_id", "class"), "classes")
@@ -428,26 +428,33 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         members = leaders.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("keys").alias("bucket"))
         sketched = leaders.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "bytes", "keys")
         texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), "text")
+        if known.count() > classes.count():
+            texts = _one_each(texts, leaders)
         # buckets of one leader give no candidates; most are, and go before hubs are looked for
         shared = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket"), "shared")
         members = members.join(shared, "bucket", "left_semi")
         hubs = written(with_hubs(members.withColumn("c", F.col("doc"))), "buckets")
+        discard(shared)
         found, step = None, 0
         while True:
             edges = written(stars(hubs, sketched, bands, step), "candidates")
             new = written(confirm(edges, texts, bands), "links")
+            discard(edges)
             if new.isEmpty():
                 break
-            found = written(_joined(new, found), "components")
+            before, found = found, written(_joined(new, found), "components")
+            discard(before, new)
             step += 1
             own = hubs.drop("hubs", "c").join(found.withColumnRenamed("u", "doc"), "doc", "left")
-            hubs = written(with_hubs(own.withColumn("c", F.coalesce("c", "doc")), step), "buckets")
+            before, hubs = hubs, written(with_hubs(own.withColumn("c", F.coalesce("c", "doc")), step), "buckets")
+            discard(before)
             if step == 1:  # from here on only texts of documents in buckets that are still mixed move
-                still = hubs.select("doc").distinct()
+                still = written(hubs.select("doc").distinct(), "open")
                 texts = written(texts.join(still, "doc", "left_semi"), "open-texts")
         # hubs link nothing more: every other pair of a bucket that is still mixed
         left = written(partners(hubs.drop("hubs"), sketched, bands), "partners")
         new = written(remaining(left, texts, bands), "links")
+        discard(left, hubs)
         if not new.isEmpty():
             found = written(_joined(new, found), "components")
         if found is not None:
@@ -467,6 +474,15 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         return result(out, "near-duplicates")
 
 
+def _one_each(texts: DataFrame, leaders: DataFrame) -> DataFrame:
+    """Of the texts of a repeated ``doc`` the one whose set stands for it, once however often it occurs.
+    Copies merge before anything moves."""
+    content = F.xxhash64("text").alias("content")
+    once = texts.select("doc", content, "text").groupBy("doc", "content").agg(F.min("text").alias("text"))
+    chosen = leaders.select(F.col("doc_id").alias("doc"), "content")
+    return written(once.join(chosen, ["doc", "content"], "left_semi").select("doc", "text"), "texts")
+
+
 def _joined(links: DataFrame, found: DataFrame | None) -> DataFrame:
     """``u`` and ``c`` after ``links`` join components of ``found``, whose labels compose with the new."""
     ends = links if found is None else _between_components(links, found)

@@ -95,3 +95,12 @@ def test_components_of_a_long_chain_and_a_star(spark):
     out = minhash.components(spark.createDataFrame(edges, "hub long, member long"))
     found = {r.doc: r.component for r in out.collect()}
     assert all(found[i] == 0 for i in range(1, 41)) and all(found[1000 + i] == 1000 for i in range(1, 60))
+
+
+def test_a_repeated_id_links_by_its_largest_set_alone(spark):
+    words = [f"w{i}" for i in range(477)]
+    other = words[:415] + [f"v{i}" for i in range(60)]  # below 0.8 with all words, above with fewer
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (1, " ".join(words[:430])), *[(3, "a b c d e f")] * 50, (4, "a b c d e f")]
+    out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    found = {(r.doc_id, r.component_id, r.kept) for r in out}
+    assert found == {(1, 1, True), (2, 2, True), (3, 3, True), (4, 3, False)} and len(out) == len(rows)
