@@ -176,15 +176,16 @@ def with_hubs(members: DataFrame, step: int = 0) -> DataFrame:
 def stars(hubs: DataFrame, sketched: DataFrame, bands: Bands, step: int) -> DataFrame:
     """Distinct candidate edges ``hub``, ``member`` between components.
 
-    At step 0 a member tries the first and the last hub it shares most buckets with; later, of the
-    hubs of each other component, the one it shares most buckets with, since one link joins them.
+    At step 0 a member tries the first and the last hub it shares most buckets with; later one of the
+    hubs with the smallest sets and one of those drawn, again that it shares most buckets with. So a
+    round has at most two edges a member, whatever its buckets hold.
     Set sizes and one-byte signatures of ``sketched`` (``doc``, ``n``, ``bytes``) sort out what
     cannot be similar enough before any text moves.
     """
     edges = hubs.select("doc", "n", "c", F.explode("hubs").alias("hub"))
     possible = 100 * F.least("n", "hub.m") >= bands.percent * F.greatest("n", "hub.m")
     edges = edges.where((F.col("c") != F.col("hub.c")) & possible).select(
-        F.col("hub.d").alias("hub"), F.col("doc").alias("member"), F.col("hub.c" if step else "hub.end").alias("end")
+        F.col("hub.d").alias("hub"), F.col("doc").alias("member"), (F.least("hub.end", F.lit(1)) if step else F.col("hub.end")).alias("end")
     )
     votes = edges.groupBy("hub", "member", "end").agg(F.count(F.lit(1)).alias("votes"))
     most = F.max(F.struct("votes", (-F.col("hub")).alias("hub")))
@@ -297,7 +298,7 @@ def partners(mixed: DataFrame, sketched: DataFrame, bands: Bands) -> DataFrame:
 
 def remaining(pairs: DataFrame, docs: DataFrame, bands: Bands) -> DataFrame:
     """Links (``hub``, ``member``) that join what all similar pairs of ``partners`` join."""
-    texts = pairs.join(docs, "doc").select(*_BLOCK, "doc", "partners", "text")
+    texts = pairs.join(docs.hint("merge"), "doc").select(*_BLOCK, "doc", "partners", "text")
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sets() -> Iterator[pa.RecordBatch]:
@@ -346,7 +347,8 @@ def confirm(edges: DataFrame, docs: DataFrame, bands: Bands) -> DataFrame:
     side = salted.select(F.col("member").alias("doc"), "hub", "salt", F.lit(1).alias("role")).union(
         salted.select("hub", "salt").distinct().select(F.col("hub").alias("doc"), "hub", "salt", F.lit(0).alias("role"))
     )
-    texts = side.join(docs, "doc").select("hub", "salt", "role", "doc", "text")
+    # side by side at any size: beside texts a table of edges is small only where little is at stake
+    texts = side.join(docs.hint("merge"), "doc").select("hub", "salt", "role", "doc", "text")
     sorted_texts = texts.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role")
     schema = T.StructType([T.StructField("hub", T.LongType()), T.StructField("member", T.LongType())])
 
@@ -449,8 +451,8 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
             before, hubs = hubs, written(with_hubs(own.withColumn("c", F.coalesce("c", "doc")), step), "buckets")
             discard(before)
             if step == 1:  # from here on only texts of documents in buckets that are still mixed move
-                still = written(hubs.select("doc").distinct(), "open")
-                texts = written(texts.join(still, "doc", "left_semi"), "open-texts")
+                still = hubs.select("doc").distinct()
+                texts = written(texts.hint("merge").join(still, "doc", "left_semi"), "open-texts")
         # hubs link nothing more: every other pair of a bucket that is still mixed
         left = written(partners(hubs.drop("hubs"), sketched, bands), "partners")
         new = written(remaining(left, texts, bands), "links")
