@@ -194,12 +194,12 @@ def edited(text: str, following: str) -> str:
 _STORED = {
     "doc_id": (T.LongType(), pa.int64()),
     "n_chars": (T.LongType(), pa.int64()),
-    "edited_sha256": (T.StringType(), pa.string()),
+    "edited_digest": (T.BinaryType(), pa.binary()),
     "hashes": (T.ArrayType(T.LongType()), pa.list_(pa.int64())),
-    "places": (T.ArrayType(T.LongType()), pa.list_(pa.int64())),
+    "places": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
     "shared": (T.IntegerType(), pa.int32()),
     "new_hashes": (T.ArrayType(T.LongType()), pa.list_(pa.int64())),
-    "new_places": (T.ArrayType(T.LongType()), pa.list_(pa.int64())),
+    "new_places": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
     "near_edited": (T.DoubleType(), pa.float64()),
     "near_next": (T.DoubleType(), pa.float64()),
 }
@@ -214,7 +214,7 @@ def _rows(ids: list, texts: list[str], after: list[str], own: list[Fingerprint],
         most = min(len(mine[0]), len(other[0]))
         differ = np.flatnonzero((mine[0][:most] != other[0][:most]) | (mine[1][:most] != other[1][:most]))
         shared = int(differ[0]) if len(differ) else most
-        sha = hashlib.sha256(new.encode()).hexdigest()
+        sha = hashlib.sha256(new.encode()).digest()
         new_ones = other[0][shared:].view(np.int64), other[1][shared:]
         near = likeness(mine, other), likeness(mine, next_one)
         rows.append((i, len(text), sha, mine[0].view(np.int64), mine[1], shared, *new_ones, *near))
@@ -289,7 +289,7 @@ def chained(docs: DataFrame, how: Winnow = Winnow()) -> DataFrame:
     return every.select(
         "doc_id",
         "n_chars",
-        "edited_sha256",
+        F.lower(F.hex("edited_digest")).alias("edited_sha256"),
         _shown(F.col("hashes"), F.col("places")).alias("fingerprint"),
         _shown(*new).alias("edited_fingerprint"),
         "near_edited",
