@@ -182,6 +182,22 @@ _PUSHED = T.StructType(
 )
 
 
+def window_rows(
+    fetch: Fetch, start: datetime, end: datetime, policy: RetryPolicy, columns: EventColumns | None = None
+) -> Iterator[tuple]:
+    """What a collecting source returns for a planned window."""
+    window = (_utc(start), _utc(end))
+    blank = () if columns is None else (None, None)
+    yield (*window, *window, None, None, *blank)  # so that an empty window leaves a row too
+    for since, until, document, error in fetch_window(fetch, start, end, policy):
+        text = None if document is None else json.dumps(document)
+        more = blank
+        if columns is not None and document is not None:
+            moment = columns.time(document)
+            more = (None if moment is None else _utc(moment), columns.mag(document))
+        yield (*window, _utc(since), _utc(until), text, error, *more)
+
+
 @dataclass
 class Asked:
     """What the pushed filters leave of a period: times in [since, until] and a least magnitude."""
@@ -237,18 +253,8 @@ def windowed_event_source(
         def read(self, partition: _Window | None) -> Iterator[tuple]:
             if partition is None:  # Spark's stand-in for no partition at all
                 return
-            window = (_utc(partition.start), _utc(partition.end))
             narrowed = at_least(fetch, self.asked.least)
-            found = fetch_window(narrowed, partition.start, partition.end, policy)
-            blank = () if columns is None else (None, None)
-            yield (*window, *window, None, None, *blank)  # so that an empty window leaves a row too
-            for since, until, document, error in found:
-                text = None if document is None else json.dumps(document)
-                more = blank
-                if columns is not None and document is not None:
-                    moment = columns.time(document)
-                    more = (None if moment is None else _utc(moment), columns.mag(document))
-                yield (*window, _utc(since), _utc(until), text, error, *more)
+            yield from window_rows(narrowed, partition.start, partition.end, policy, columns)
 
     class PushingReader(Reader):
         def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:

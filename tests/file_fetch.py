@@ -54,3 +54,16 @@ class MagnitudeFetch:
         moments = [start + timedelta(hours=6 * i) for i in range((end - start) // timedelta(hours=6))]
         events = [(m, 3 + (m.day * 4 + m.hour // 6) % 30 / 10) for m in moments]
         return [{"time": m.isoformat(), "mag": g} for m, g in events if self.least is None or g >= self.least]
+
+
+class OutageFetch(FileFetch):
+    """Does not answer for windows from ``moment`` on while the file ``down`` is in its folder."""
+
+    def __init__(self, folder, moment):
+        super().__init__(folder, cap=10_000)
+        self.moment = moment
+
+    def __call__(self, start, end):
+        if start.replace(tzinfo=None) >= self.moment and (Path(self.folder) / "down").exists():
+            raise OSError("no answer")
+        return super().__call__(start, end)
