@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from temblor import schemas
 from temblor.lineage import materialised
+from temblor.operators.coreset import WEIGHT, coreset
 from temblor.operators.features import (
     FEATURE_SETS,
     arrays_to_vectors,
@@ -91,19 +92,25 @@ def model_frames(
     cap: int | None = None,
     seed: int = 42,
     refit: bool = True,
+    weighted: int | None = None,
 ) -> Iterator[ModelFrames]:
     """Frames for one feature set, over one stored narrow table.
 
     Scaling is fitted on all rows, before any undersampling to ``cap`` rows per stratum. With
-    ``refit=False`` the rows' stored ``scaled_features`` are the features as they are.
+    ``refit=False`` the rows' stored ``scaled_features`` are the features as they are. ``weighted``
+    asks for about that many training rows with weights, which stand for all rows, in place of a cap.
     """
+    if cap is not None and weighted is not None:
+        raise ValueError("training rows are capped or weighted, not both")
     with materialised(model_frame(df, feature_set), f"model-{feature_set}") as rows:
         if refit:
             transformer = fit_features(rows, feature_set)
             everything = transformer.transform(rows).drop("features_raw")
         else:
             everything = arrays_to_vectors(rows, {"features": _STORED})
-        if cap is None:
+        if weighted is not None:
+            training = coreset(everything, weighted, key, seed=seed)
+        elif cap is None:
             training = everything
         else:
             training = undersample(rows, strata, cap, key, seed)
@@ -112,14 +119,24 @@ def model_frames(
                 if refit
                 else arrays_to_vectors(training, {"features": _STORED})
             )
-        yield ModelFrames(everything=everything, training=training.select("features"))
+        weight = [] if weighted is None else [WEIGHT]
+        yield ModelFrames(everything=everything, training=training.select("features", *weight))
 
 
-def fit(training: DataFrame, algorithm: str, k: int, seed: int = 42, max_iter: int | None = None):
-    """A fitted model of one algorithm on the ``features`` column."""
+def fit(
+    training: DataFrame,
+    algorithm: str,
+    k: int,
+    seed: int = 42,
+    max_iter: int | None = None,
+    weight: str | None = None,
+):
+    """A fitted model of one algorithm on the ``features`` column, its rows weighted by ``weight``."""
     chosen = ALGORITHMS[algorithm]
     source = _SHIFTED if chosen.shifted else "features"
+    weights = {} if weight is None else {"weightCol": weight}
     return chosen.estimator(
+        **weights,
         k=k,
         seed=seed,
         featuresCol=source,
@@ -203,11 +220,14 @@ def clustered(
     max_iter: int | None = None,
     refit: bool = True,
     soft: bool = False,
+    weighted: int | None = None,
 ) -> Iterator[Labelled]:
     """All rows with their cluster, the model, and what it was trained on, within a block: the rows
-    read a stored table that goes with it. ``soft`` keeps the memberships of a mixture."""
-    with model_frames(df, feature_set, key, strata, cap, seed, refit) as frames:
-        model = fit(frames.training, algorithm, k, seed, max_iter)
+    read a stored table that goes with it. ``soft`` keeps the memberships of a mixture, ``weighted``
+    trains on about that many weighted rows."""
+    with model_frames(df, feature_set, key, strata, cap, seed, refit, weighted) as frames:
+        weight = None if weighted is None else WEIGHT
+        model = fit(frames.training, algorithm, k, seed, max_iter, weight)
         yield Labelled(label_rows(frames.everything, model, algorithm, soft), model, frames.training)
 
 

