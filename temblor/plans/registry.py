@@ -27,6 +27,7 @@ from temblor.operators import (
     eda,
     hazard,
     sampling,
+    states,
     validation,
 )
 from temblor.operators.features import FEATURE_SETS, features
@@ -834,3 +835,59 @@ def hazard_stored(spark, sf_dir):
         F.count("*").alias("events"), F.min("time").alias("first"), F.round(F.avg("depth"), 6).alias("avg_depth")
     )
     return collected_rows(counts, path)
+
+
+def _month_states(spark, sf_dir):
+    """States of the whole clean table, built in two refreshes: those up to June, then the others.
+
+    The table between them is a part of the final one, as it is when months come in one by one."""
+    clean_path, path = scratch_path(spark, "months"), scratch_path(spark, "states")
+    events = clean_quakes(spark, sf_dir)
+    schema = T.StructType(events.schema.fields + [T.StructField(states.MONTH, T.StringType())])
+    for part in (clean.filter_period(events, before="2025-07-01"), events):
+        tables.write_clean(part, clean_path)
+        stored = tables.read_events(spark, schema, clean_path)
+        states.refresh(spark, stored, clean_path, path)
+    return states.read_states(spark, path), stored, (clean_path, path)
+
+
+@query
+def state_feature_stats(spark, sf_dir):
+    """Statistics of all months merged from their states."""
+    months, _, paths = _month_states(spark, sf_dir)
+    return collected_rows(states.feature_stats(months), *paths)
+
+
+@query
+def state_correlations(spark, sf_dir):
+    """Correlations of all months merged from their states."""
+    months, _, paths = _month_states(spark, sf_dir)
+    return collected_rows(_rounded(states.correlation_matrix(months), ["correlation"], 6), *paths)
+
+
+@query
+def state_monthly_trend(spark, sf_dir):
+    """Events and mean magnitude per month, from the states alone."""
+    months, _, paths = _month_states(spark, sf_dir)
+    return collected_rows(states.monthly_trend(months, with_mag=True), *paths)
+
+
+@query
+def state_quantiles(spark, sf_dir):
+    """Quartiles merged from the month states: whether their ranks in all rows are within the bound."""
+    months, stored, paths = _month_states(spark, sf_dir)
+    shares = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
+    found = {(r.feature, r.metric): r.value for r in states.describe(months).collect() if r.metric in shares}
+    ranks = stored.agg(
+        *(
+            F.struct(F.count(F.when(F.col(name) < value, 1)), F.count(F.when(F.col(name) <= value, 1)), F.count(name))
+            for (name, _), value in found.items()
+        )
+    ).head()
+    bound = states.rank_error()
+    rows = [
+        (name, metric, n, below / n - bound <= shares[metric] <= upto / n + bound)
+        for (name, metric), (below, upto, n) in zip(found, ranks)
+    ]
+    result = spark.createDataFrame(rows, "feature string, metric string, n bigint, within_bound boolean")
+    return collected_rows(result, *paths)
