@@ -1,9 +1,11 @@
 """Reproducible samples that stay bounded whatever the input size.
 
-A plain ``row_number() <= cap`` or ``orderBy(hash).limit(n)`` lets every task send ``cap`` rows
-to the one task that merges them, so its load grows with the number of tasks. Here one cheap
-aggregate counts rows per hash size, which gives an exact cut above which no row can be
-chosen; about twice the wanted rows pass the cut and only those are ranked.
+A plain ``row_number() <= n`` lets every task send ``n`` rows to the one task that merges them, so
+its load grows with the number of tasks. Samples up to the size to which Spark limits groups before
+a shuffle are merged in a tree instead: every task keeps its first ``n`` per stratum, groups of tasks
+keep theirs, then the strata do, all in one scan. For larger samples one cheap aggregate counts rows
+per hash size, which gives an exact cut above which no row can be chosen; about twice the wanted
+rows pass the cut in a second scan, and only those are ranked. Both choose the same rows.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ from pyspark.sql import functions as F
 from temblor.functions.hashing import below_fraction, hash_size, sample_hash
 
 _HASH, _SIZE, _CUT, _COPIES = "_sample_hash", "_hash_size", "_cut_size", "_copies"
+_TASKS, _RANK = "_task_group", "_rank"
+#: Groups of tasks in the tree: a group merges a thousandth of the tasks, a stratum a thousand groups.
+_TASK_GROUPS = 1024
 
 
 def undersample(
@@ -29,10 +34,12 @@ def undersample(
     """At most ``cap`` rows per stratum, the first by hash of (seed, key); null is a stratum.
 
     ``key`` must tell events apart; whole-row copies are taken into account one by one.
-    Strata that exceed the cap get a cut, one row each. Spark joins them as their real size
+    With cuts, strata that exceed the cap get one row each. Spark joins them as their real size
     suggests: broadcast when small, else by shuffle, where AQE splits a skewed stratum.
     """
     names = [strata] if isinstance(strata, str) else list(strata)
+    if _limited_before_shuffles(df, cap):
+        return _first_by_tree(df, names, cap, key, seed)
     hashed = _hashed(df, key, seed)
     cuts = _cuts(hashed, names, cap)
     cuts = cuts.withColumnsRenamed({name: f"_cut_{name}" for name in names})
@@ -48,6 +55,8 @@ def undersample(
 
 def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows, or all when there are fewer; the first by hash of (seed, key)."""
+    if _limited_before_shuffles(df, n):
+        return _first_by_tree(df, [], n, key, seed)
     hashed = _hashed(df, key, seed)
     cut = _cuts(hashed, [], n).head()
     if cut is None:
@@ -76,6 +85,25 @@ def plot_sample(
     return sample_n(sampled, limit, key, seed).select(*columns)
 
 
+def _limited_before_shuffles(df: DataFrame, n: int) -> bool:
+    """Whether Spark keeps only the first ``n`` of a group in each task before it sends rows."""
+    limit = df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    return n <= int(limit)
+
+
+def _first_by_tree(
+    df: DataFrame, strata: list[str], n: int, key: Sequence[str], seed: int
+) -> DataFrame:
+    """The first ``n`` rows per stratum by (hash, key), per group of tasks and then of all."""
+    rows = df.withColumn(_HASH, sample_hash(seed, key)).withColumn(
+        _TASKS, F.pmod(F.spark_partition_id(), F.lit(_TASK_GROUPS))
+    )
+    for group in ([*strata, _TASKS], strata or [F.lit(1)]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(_HASH, *key))
+        rows = rows.withColumn(_RANK, rank).where(F.col(_RANK) <= n)
+    return rows.select(*df.columns)
+
+
 def _hashed(df: DataFrame, key: Sequence[str], seed: int) -> DataFrame:
     return df.withColumn(_HASH, sample_hash(seed, key)).withColumn(_SIZE, hash_size(F.col(_HASH)))
 

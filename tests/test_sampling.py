@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,14 +56,51 @@ def test_undersample_caps_each_stratum_whatever_the_partitions(numbers, partitio
     assert {row.id for row in chosen if row.country == "hot"} == set(expected_order(hot)[:100])
 
 
-def test_undersample_by_shuffle_join_gives_the_same(spark, numbers):
-    broadcast = sampling.undersample(numbers, "country", 50, KEY).collect()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+@contextmanager
+def setting(spark, name, value):
+    spark.conf.set(name, value)
     try:
-        shuffled = sampling.undersample(numbers, "country", 50, KEY).collect()
+        yield
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sorted(map(tuple, broadcast), key=str) == sorted(map(tuple, shuffled), key=str)
+        spark.conf.unset(name)
+
+
+LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def in_order(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_undersample_by_cuts_and_either_join_gives_the_same(spark, numbers):
+    by_tree = in_order(sampling.undersample(numbers, "country", 50, KEY))
+    with setting(spark, LIMIT, "-1"):
+        assert in_order(sampling.undersample(numbers, "country", 50, KEY)) == by_tree
+        with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+            assert in_order(sampling.undersample(numbers, "country", 50, KEY)) == by_tree
+
+
+@pytest.mark.parametrize("limit", ["-1", "1000"])
+def test_more_task_groups_than_tasks_and_fewer(spark, numbers, monkeypatch, limit):
+    expected = in_order(sampling.undersample(numbers, "country", 40, KEY))
+    monkeypatch.setattr(sampling, "_TASK_GROUPS", 3)
+    with setting(spark, LIMIT, limit):
+        assert in_order(sampling.undersample(numbers.repartition(11), "country", 40, KEY)) == expected
+        assert {r.id for r in sampling.sample_n(numbers.repartition(11), 40, KEY).collect()} == set(
+            expected_order(range(6000))[:40]
+        )
+
+
+def test_a_small_sample_scans_once_and_limits_before_it_sends(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(5000).withColumn("country", F.col("id") % 7).write.parquet(path)
+    chosen = sampling.undersample(spark.read.parquet(path), "country", 30, KEY)
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("row_number(), 30, Partial") == 2
+    assert per_stratum(chosen.collect()) == {name: 30 for name in range(7)}
+    nothing = spark.read.parquet(path).where("id < 0")
+    assert sampling.undersample(nothing, "country", 30, KEY).collect() == []
+    assert sampling.sample_n(nothing, 30, KEY).collect() == []
 
 
 def test_undersample_of_two_columns(numbers):
@@ -76,12 +114,14 @@ def test_nothing_over_the_cap_keeps_all(numbers):
     assert chosen.exceptAll(numbers).isEmpty() and chosen.count() == numbers.count()
 
 
-def test_copies_count_one_by_one(spark):
+@pytest.mark.parametrize("limit", ["-1", "1000"])
+def test_copies_count_one_by_one(spark, limit):
     df = spark.range(100).union(spark.range(5, 6).crossJoin(spark.range(300)).toDF("id", "n").select("id"))
     df = df.withColumn("country", F.lit("x"))
     order = expected_order(range(100))
     before = order.index(5)
-    chosen = Counter(row.id for row in sampling.undersample(df, "country", before + 10, KEY).collect())
+    with setting(spark, LIMIT, limit):
+        chosen = Counter(row.id for row in sampling.undersample(df, "country", before + 10, KEY).collect())
     assert sum(chosen.values()) == before + 10
     assert chosen[5] == 10 and set(chosen) == set(order[: before + 1])
 
