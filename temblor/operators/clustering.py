@@ -130,19 +130,34 @@ def fit(
     seed: int = 42,
     max_iter: int | None = None,
     weight: str | None = None,
+    solver: str | None = None,
 ):
-    """A fitted model of one algorithm on the ``features`` column, its rows weighted by ``weight``."""
+    """A fitted model of one algorithm on the ``features`` column, its rows weighted by ``weight``.
+
+    ``solver`` is how K-Means holds its rows while it iterates; the model is the same but for rounding.
+    By blocks, Spark fails on a table with fewer distinct starting points than ``k``; such a table is
+    fitted by rows, which gives fewer clusters.
+    """
     chosen = ALGORITHMS[algorithm]
     source = _SHIFTED if chosen.shifted else "features"
     weights = {} if weight is None else {"weightCol": weight}
-    return chosen.estimator(
+    solvers = {} if solver is None else {"solver": solver}
+    estimator = chosen.estimator(
         **weights,
+        **solvers,
         k=k,
         seed=seed,
         featuresCol=source,
         predictionCol=chosen.label,
         maxIter=max_iter or chosen.max_iter,
-    ).fit(_prepared(training, chosen))
+    )
+    rows = _prepared(training, chosen)
+    try:
+        return estimator.fit(rows)
+    except (Py4JJavaError, PySparkException) as error:
+        if solver != "block" or "ArrayIndexOutOfBoundsException" not in str(error):
+            raise
+        return estimator.setSolver("row").fit(rows)
 
 
 @dataclass(frozen=True)
@@ -150,6 +165,7 @@ class Fit:
     algorithm: str
     k: int
     max_iter: int | None = None
+    solver: str | None = None
 
 
 def fit_many(
@@ -159,7 +175,7 @@ def fit_many(
     leaves most of a cluster idle, so several run at a time."""
 
     def one(job: Fit):
-        return fit(training, job.algorithm, job.k, seed, job.max_iter)
+        return fit(training, job.algorithm, job.k, seed, job.max_iter, solver=job.solver)
 
     with ThreadPool(min(parallelism, len(jobs))) as pool:
         models = pool.map(inheritable_thread_target(training.sparkSession)(one), jobs.values())
@@ -368,9 +384,11 @@ def swept(
 ) -> tuple[DataFrame, dict]:
     """``training`` with a label column per k, and the models by that column's name.
 
-    The fits share one kept copy of the features, which goes once they are done.
+    The fits share one kept copy of the features, which goes once they are done. Each stacks it into
+    blocks of plain numbers and iterates over these: by rows, as Spark chooses for a table that is
+    kept, every iteration would decode every vector anew.
     """
-    jobs = {f"k{k}": Fit("kmeans", k, max_iter) for k in ks}
+    jobs = {f"k{k}": Fit("kmeans", k, max_iter, solver="block") for k in ks}
     with kept(training) as features:
         models = fit_many(features, jobs, seed)
     labelled = training

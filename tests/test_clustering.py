@@ -91,6 +91,19 @@ def test_the_sweep_scores_each_k_as_the_evaluator_does(events):
             assert found[k].wcss == pytest.approx(model.summary.trainingCost)
 
 
+def test_the_sweep_iterates_over_blocks_to_the_same_models(spark, events):
+    few = spark.createDataFrame([(float(i % 3), float(i % 3) ** 2) for i in range(30)], "a double, b double")
+    with clustering.model_frames(events, "hazard", KEY) as frames:
+        few = features.assemble(few, ["a", "b"], "features").select("features")
+        for training, solvers in ((frames.training, ["block", "block"]), (few, ["block", "row"])):
+            _, models = clustering.swept(training, (2, 5))
+            assert [model.getSolver() for model in models.values()] == solvers
+            for model in models.values():
+                by_rows = clustering.fit(training, "kmeans", model.getK(), max_iter=25)
+                assert np.allclose(model.clusterCenters(), by_rows.clusterCenters(), atol=1e-9)
+                assert model.summary.trainingCost == pytest.approx(by_rows.summary.trainingCost, abs=1e-9)
+
+
 def test_training_cost_in_closed_form(events):
     with clustering.model_frames(events, "hazard", KEY) as frames:
         training = frames.training.cache()
