@@ -85,7 +85,7 @@ def tokenised_pieces(
                 for at in range(0, batch.num_rows, 500):
                     part = batch.slice(at, 500)
                     rows = []
-                    texts = encode.ids(part.column("text").to_pylist())
+                    texts = encode.ids(part.column("text").cast(pa.binary()).to_pylist())
                     keys = zip(*(part.column(c).to_pylist() for c in given), strict=True)
                     for (doc_id, *at_place), ids in zip(keys, texts, strict=True):
                         ids += end

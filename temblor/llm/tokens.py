@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import compress, pairwise
+from operator import not_
 
 import numpy as np
 
@@ -18,6 +20,9 @@ VOCABULARY = "word_bpe_49k.json"
 #: Chunks a task remembers; beyond that it starts anew. About 250 bytes each.
 MOST_CHUNKS = 300_000
 
+#: Chunks in one call; larger calls took a little longer for each.
+MOST_LEARNED = 1000
+
 # Stands between chunks in one call; chunks that hold it are encoded by themselves.
 _MARK = "\x01"
 
@@ -30,16 +35,18 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def spaced(raw: bytes) -> bytes:
-    """A comma or full stop alone between a letter and white space is a pre-token of its own; with a
-    space before it, the word keeps the chunk that it has without it."""
-    data = np.frombuffer(raw, dtype=np.uint8)
+def all_spaced(raws: list[bytes]) -> list[bytes]:
+    """Texts in lower case, with a space before some marks: a comma or full stop alone between a letter
+    and white space is a pre-token of its own; with a space before it, the word keeps the chunk that it
+    has without it."""
+    # the space after a text is what follows its last character
+    data = np.frombuffer(b" ".join([*raws, b""]).lower(), dtype=np.uint8)
     at = np.flatnonzero(_COMMA_OR_STOP[data])
-    if not len(at):
-        return raw
-    after = np.append(data, 0x20)[at + 1]
-    at = at[_SPACE[after] & (at > 0) & _LETTER[data[at - 1]]]
-    return np.insert(data, at, 0x20).tobytes()
+    at = at[_SPACE[data[at + 1]] & (at > 0) & _LETTER[data[at - 1]]]
+    both = np.insert(data, at, 0x20).tobytes()
+    starts = np.cumsum([0, *(len(raw) + 1 for raw in raws)])
+    starts += np.searchsorted(at, starts)
+    return [both[low : high - 1] for low, high in pairwise(starts.tolist())]
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -73,14 +80,15 @@ class ChunkEncoder:
 
     def _learn(self, chunks: list[bytes]) -> None:
         # letters alone are one pre-token, which ends with the one id that ends a word
-        words = [(c, t) for c in chunks if (t := c.decode()).isalpha()]
-        ids = self._encode(" ".join([t for _, t in words]))
-        ends = np.flatnonzero(self._ends[ids]) + 1
+        texts = b" ".join(chunks).decode().split(" ")
+        alone = list(map(str.isalpha, texts))
+        words = list(compress(chunks, alone))
+        ids = self._encode(" ".join(compress(texts, alone)))
+        ends = 4 * (np.flatnonzero(self._ends[ids]) + 1)
         if len(ends) == len(words):
-            raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-            for (chunk, _), start, end in zip(words, cuts, cuts[1:], strict=False):
-                self._known[chunk] = raw[start:end]
-            chunks = [c for c in chunks if c not in self._known]
+            cuts = ends.tolist()
+            self._known.update(zip(words, map(ids.tobytes().__getitem__, map(slice, [0, *cuts], cuts)), strict=True))
+            chunks = list(compress(chunks, map(not_, alone)))
         self._learn_marked(chunks)
 
     def _learn_marked(self, chunks: list[bytes]) -> None:
@@ -99,24 +107,18 @@ class ChunkEncoder:
             if chunk not in self._known:
                 self._known[chunk] = self._encode(chunk.decode()).tobytes()
 
-    def ids(self, texts: list[str | None]) -> Iterator[bytes]:
-        """One text at a time, in order; null counts as empty."""
+    def ids(self, texts: list[str | bytes | None]) -> Iterator[bytes]:
+        """One text at a time, in order; null counts as empty. Bytes are a text in UTF-8."""
         for start in range(0, len(texts), 400):
-            some = [spaced((t or "").encode().lower()).split() for t in texts[start : start + 400]]
+            raw = [t.encode() if isinstance(t, str) else t or b"" for t in texts[start : start + 400]]
+            some = [t.split() for at in range(0, len(raw), 50) for t in all_spaced(raw[at : at + 50])]
             if len(self._known) > self._most:
                 self._known.clear()
-            found = [list(map(self._known.get, chunks)) for chunks in some]
-            new = set()
-            for chunks, ids in zip(some, found, strict=True):
-                if None in ids:
-                    new.update(c for c, i in zip(chunks, ids, strict=True) if i is None)
-            if new:
-                self._learn(list(new))
-            for chunks, ids in zip(some, found, strict=True):
-                if None in ids:
-                    known = self._known
-                    ids = [known[c] if i is None else i for c, i in zip(chunks, ids, strict=True)]
-                yield b"".join(ids)
+            new = list(set().union(*some).difference(self._known))
+            for at in range(0, len(new), MOST_LEARNED):
+                self._learn(new[at : at + MOST_LEARNED])
+            for chunks in some:
+                yield b"".join(map(self._known.__getitem__, chunks))
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}

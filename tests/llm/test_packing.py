@@ -7,7 +7,7 @@ import pytest
 from brute import HARD, hard_documents, no_documents
 from tokenizers import Tokenizer
 
-from temblor.llm import packing
+from temblor.llm import packing, tokens
 from temblor.llm.tokens import ChunkEncoder
 
 
@@ -28,6 +28,19 @@ def test_chunked_ids_equal_the_tokenizer():
         assert np.frombuffer(raw, "<u4").tolist() == plain_ids(text), repr(text)
 
 
+def test_texts_in_bytes_are_learned_in_bounded_calls(monkeypatch):
+    monkeypatch.setattr(tokens, "MOST_LEARNED", 3)
+    ends = ["a,", "b.", ",", "", " ", ".", ",c", "d, ", "É,", "e\x00", "\n", "f"]
+    texts = [f"{a} {i} {b}" * (i % 2) + b for i, (a, b) in enumerate((a, b) for a in ends for b in ends)]
+    encode, calls = ChunkEncoder(public_tokenizers.path("word_bpe_49k.json")), []
+    plain = encode._encode
+    monkeypatch.setattr(encode, "_encode", lambda text: calls.append(len(text.split())) or plain(text))
+    given = [None if not t else t if i % 3 else t.encode() for i, t in enumerate(texts)]
+    for text, raw in zip(texts, encode.ids(given), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == plain_ids(text), repr(text)
+    assert max(calls) <= 5  # three chunks and a mark between them
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_no_capacity_is_exceeded(rule):
     r = random.Random(1)
