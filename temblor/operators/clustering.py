@@ -61,6 +61,8 @@ ALGORITHMS = {
 RULE_TITLE = "Custom Hazard (Rule-Based)"
 _SHIFTED = "_shifted_features"
 _STORED = "scaled_features"
+#: Fits of a sweep at a time. Each holds its own blocks, norms and costs of all rows, about 50 bytes a row.
+_SWEPT_AT_ONCE = 3
 
 
 @dataclass(frozen=True)
@@ -390,7 +392,7 @@ def swept(
     """
     jobs = {f"k{k}": Fit("kmeans", k, max_iter, solver="block") for k in ks}
     with kept(training) as features:
-        models = fit_many(features, jobs, seed)
+        models = fit_many(features, jobs, seed, _SWEPT_AT_ONCE)
     labelled = training
     for name, model in models.items():
         labelled = label_rows(labelled, model.setPredictionCol(name), "kmeans")
