@@ -12,7 +12,9 @@ similarity and whose signatures, kept to one byte a bin, do not rule it out by s
 deviations are then checked on the full sets of both documents. What
 remains are buckets whose members lie in several components. In further rounds the hubs are the
 member with the smallest set and three drawn anew for each bucket and round, and only members of
-another component than the hub's get an edge. Rounds go on until one links nothing new.
+another component than the hub's get an edge. Rounds end when the hubs drawn anew link less than one
+in ``FEW`` of the edges they try: the pairs left are then mostly not similar, and the next step
+compares all of them in one pass.
 
 Rounds only join what is easily joined. After them every pair of members of a bucket that still holds
 several components, and that are of different ones, is compared: buckets are cut into sub-blocks, and
@@ -212,6 +214,9 @@ def _possible(a: np.ndarray, b: np.ndarray, least: np.ndarray, bands: Bands) ->
     return (a == b).mean(axis=1) >= share - slack
 
 
+#: A round is the last if fewer than one in so many of its edges are links.
+FEW = 20
+
 #: Members of a sub-block of a bucket; two sub-blocks meet in a task with their texts.
 BLOCK = 256
 
@@ -441,8 +446,9 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         while True:
             edges = written(stars(hubs, sketched, bands, step), "candidates")
             new = written(confirm(edges, texts, bands), "links")
+            tried, linked = edges.count(), new.count()
             discard(edges)
-            if new.isEmpty():
+            if not linked:
                 break
             before, found = found, written(_joined(new, found), "components")
             discard(before, new)
@@ -453,6 +459,8 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
             if step == 1:  # from here on only texts of documents in buckets that are still mixed move
                 still = hubs.select("doc").distinct()
                 texts = written(texts.hint("merge").join(still, "doc", "left_semi"), "open-texts")
+            elif FEW * linked < tried:
+                break
         # hubs link nothing more: every other pair of a bucket that is still mixed
         left = written(partners(hubs.drop("hubs"), sketched, bands), "partners")
         new = written(remaining(left, texts, bands), "links")

@@ -104,3 +104,25 @@ def test_a_repeated_id_links_by_its_largest_set_alone(spark):
     out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     found = {(r.doc_id, r.component_id, r.kept) for r in out}
     assert found == {(1, 1, True), (2, 2, True), (3, 3, True), (4, 3, False)} and len(out) == len(rows)
+
+
+def scattered_pairs():
+    """Passages that many documents share below the bound; a few pairs of them have more in common."""
+    rows = []
+    for g in range(6):
+        passage = [f"g{g}p{i}" for i in range(60)]
+        for i in range(120):
+            common = [f"g{g}c{i % 60}x{j}" for j in range(8)] if i % 60 < 8 else [f"g{g}d{i}x{j}" for j in range(8)]
+            rows.append((len(rows), " ".join([*passage, *common, f"g{g}d{i}y", f"g{g}d{i}z"])))
+    return rows
+
+
+def test_rounds_end_when_they_link_little(spark, monkeypatch):
+    rounds, plain = [], minhash.stars
+    monkeypatch.setattr(minhash, "stars", lambda *a: rounds.append(a[-1]) or plain(*a))
+    rows = scattered_pairs()
+    out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    expected = near_duplicate_rows(rows)
+    assert sum(not kept for *_, kept in expected) == 48
+    assert sorted(map(tuple, out.collect())) == sorted(expected)
+    assert len(rounds) <= 2
