@@ -31,9 +31,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,22 +55,69 @@ def mix(values: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, size: int = 4) -> np.ndarray:
-    """Sorted distinct hashes of the word shingles of a whole text.
+#: Bytes of text whose sets are made together; a longer text is alone.
+MOST_TOGETHER = 1 << 20
+
+
+def shingle_sets(texts: list[bytes | None], size: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of the word shingles of each whole text, one text after the other, and
+    the borders between texts, one more than there are texts.
 
     A-Z are lowered; words are runs without white space (\\x20, \\x09-\\x0D). With fewer than
     ``size`` words the whole sequence is the one shingle; without words the set is empty.
     """
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    hashes = np.fromiter(map(xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
-    width = min(size, len(hashes))
-    with np.errstate(over="ignore"):
-        out = np.full(len(hashes) - width + 1, np.uint64(width))
-        for i in range(width):
-            out = mix(out ^ hashes[i : len(hashes) - width + 1 + i])
-    return np.unique(out)
+    words = [(text or b"").lower().split() for text in texts]
+    counts = list(map(len, words))
+    hashes = np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(words)), dtype=np.uint64, count=sum(counts))
+    del words
+    windows = _windows(hashes, size)
+    own, at = [], 0
+    for count in counts:
+        if count >= size:
+            found = windows[at : at + count - size + 1]
+            found.sort()
+        else:
+            found = _windows(hashes[at : at + count], count) if count else hashes[:0]
+        own.append(found)
+        at += count
+    borders = np.cumsum([0, *map(len, own)])
+    every = np.concatenate([*own, hashes[:0]])
+    new = np.ones(len(every), dtype=bool)
+    new[1:] = every[1:] != every[:-1]
+    new[borders[:-1][borders[:-1] < len(every)]] = True
+    return every[new], np.concatenate([[0], np.cumsum(new)])[borders]
+
+
+def _windows(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every run of ``width`` hashes."""
+    n = max(0, len(hashes) - width + 1)
+    out = np.full(n, np.uint64(width))
+    for i in range(width if n else 0):
+        out = mix(out ^ hashes[i : n + i])
+    return out
+
+
+def shingles(text: str | None, size: int = 4) -> np.ndarray:
+    """The set of ``shingle_sets`` of one text."""
+    return shingle_sets([(text or "").encode("utf-8", "replace")], size)[0]
+
+
+def _together(texts: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First text, end, and ``shingle_sets`` of stretches of ``texts`` (in UTF-8)."""
+    lengths = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    low = 0
+    while low < len(texts):
+        before = lengths[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(lengths, before + MOST_TOGETHER, side="right")))
+        yield low, high, *shingle_sets(texts.slice(low, high - low).cast(pa.binary()).to_pylist(), size)
+        low = high
+
+
+def _each(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """The set of every text."""
+    for _, _, sets, borders in _together(texts, size):
+        for start, end in pairwise(borders.tolist()):
+            yield sets[start:end]
 
 
 @dataclass(frozen=True)
@@ -83,35 +132,43 @@ class Bands:
     shingle: int = 4
 
 
-def signature(hashes: np.ndarray, bins: int) -> np.ndarray:
-    """One-permutation signature of a set that is not empty, densified."""
-    values = mix(hashes ^ np.uint64(0x5851F42D4C957F2D))
+def signatures(sets: np.ndarray, borders: np.ndarray, bins: int) -> np.ndarray:
+    """One-permutation signatures, densified, of sets one after the other, none of them empty."""
+    values = mix(sets ^ np.uint64(0x5851F42D4C957F2D))
     # the permuted range in equal bins: the high bits give the bin, the whole value the order
-    at = ((values >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
-    least = np.full(bins, np.iinfo(np.uint64).max, dtype=np.uint64)
-    np.minimum.at(least, at.astype(np.int64), values)
-    filled = np.zeros(bins, dtype=bool)
-    filled[at.astype(np.int64)] = True
+    at = (((values >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)).astype(np.int64)
+    n = len(borders) - 1
+    at += np.repeat(np.arange(n, dtype=np.int64) * bins, np.diff(borders))
+    least = np.full(n * bins, np.iinfo(np.uint64).max, dtype=np.uint64)
+    np.minimum.at(least, at, values)
+    filled = np.zeros(n * bins, dtype=bool)
+    filled[at] = True
     empty = np.flatnonzero(~filled)
-    attempt = 1
     out = least.copy()
+    attempt = 1
     while len(empty):
         with np.errstate(over="ignore"):
-            keys = empty.astype(np.uint64) * np.uint64(1_000_003) + np.uint64(attempt) * np.uint64(0x9E3779B1)
-        source = (mix(keys) % np.uint64(bins)).astype(np.int64)
+            keys = np.arange(bins, dtype=np.uint64) * np.uint64(1_000_003) + np.uint64(attempt) * np.uint64(0x9E3779B1)
+        own = empty % bins
+        source = empty - own + (mix(keys) % np.uint64(bins)).astype(np.int64)[own]
         good = filled[source]
         out[empty[good]] = least[source[good]]
         empty = empty[~good]
         attempt += 1
-    return out
+    return out.reshape(n, bins)
+
+
+def signature(hashes: np.ndarray, bins: int) -> np.ndarray:
+    """The signature of one set that is not empty."""
+    return signatures(hashes, np.array([0, len(hashes)]), bins)[0]
 
 
 def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One 64-bit key per band, different from band to band."""
+    """One 64-bit key per signature and band, different from band to band."""
     out = np.arange(bands, dtype=np.uint64)
-    grid = sig.reshape(bands, rows)
+    grid = sig.reshape(*sig.shape[:-1], bands, rows)
     for i in range(rows):
-        out = mix(out ^ grid[:, i])
+        out = mix(out ^ grid[..., i])
     return out
 
 
@@ -134,24 +191,24 @@ def sketches(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in incoming:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                sizes, digests, keys, low = [], [], [], []
-                for text in batch.column("text").to_pylist():
-                    own = shingles(text, bands.shingle)
-                    sizes.append(len(own))
-                    digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                    if len(own):
-                        sig = signature(own, bands.bands * bands.rows)
-                        keys.append(band_keys(sig, bands.bands, bands.rows).astype(np.int64))
-                        low.append(sig.astype(np.uint8).tobytes())
-                    else:
-                        keys.append([])
-                        low.append(b"")
+            for low, high, sets, borders in _together(whole.column("text"), bands.shingle):
+                batch = whole.slice(low, high - low)
+                sizes, raw = np.diff(borders), sets.tobytes()
+                cuts = pairwise((8 * borders).tolist())
+                digests = [hashlib.blake2b(raw[start:end], digest_size=16).digest() for start, end in cuts]
+                full = sizes > 0
+                sigs = signatures(sets, np.concatenate([[0], borders[1:][full]]), bands.bands * bands.rows)
+                keys = pa.array(band_keys(sigs, bands.bands, bands.rows).astype(np.int64).ravel(), pa.int64())
+                ends = np.cumsum(np.concatenate([[0], bands.bands * full]), dtype=np.int32)
+                row = iter(sigs.astype(np.uint8))
+                low_bytes = [next(row).tobytes() if f else b"" for f in full.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), batch.column("content"), pa.array(keys, pa.list_(pa.int64())), pa.array(low, pa.binary())],
+                    [
+                        batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), batch.column("content"),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys), pa.array(low_bytes, pa.binary()),
+                    ],
                     schema=schema,
-                )
+                )
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("content")).mapInArrow(run, SKETCH)
 
@@ -306,14 +363,16 @@ def remaining(pairs: DataFrame, docs: DataFrame, bands: Bands) -> DataFrame:
     texts = pairs.join(docs.hint("merge"), "doc").select(*_BLOCK, "doc", "partners", "text")
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def sets() -> Iterator[pa.RecordBatch]:
+        def with_sets() -> Iterator[pa.RecordBatch]:
             for batch in incoming:
-                for i in range(batch.num_rows):  # one text at a time; only sets are held
-                    own = shingles(batch.column("text")[i].as_py(), bands.shingle)
-                    row = batch.slice(i, 1).select([*_BLOCK, "doc", "partners"])
-                    yield row.append_column("set", pa.array([own.tobytes()], pa.binary()))
-
-        for rows in _blocks(sets()):
+                # some texts at a time; only sets are held
+                for low, high, sets, borders in _together(batch.column("text"), bands.shingle):
+                    raw = sets.tobytes()
+                    own = [raw[start:end] for start, end in pairwise((8 * borders).tolist())]
+                    rows = batch.slice(low, high - low).select([*_BLOCK, "doc", "partners"])
+                    yield rows.append_column("set", pa.array(own, pa.binary()))
+
+        for rows in _blocks(with_sets()):
             own: dict[int, np.ndarray] = {}
             for doc, raw in zip(rows.column("doc").to_pylist(), rows.column("set"), strict=True):
                 found = np.frombuffer(raw.as_buffer(), np.uint64)
@@ -362,10 +421,9 @@ def confirm(edges: DataFrame, docs: DataFrame, bands: Bands) -> DataFrame:
         for batch in incoming:
             hubs, members = [], []
             columns = [batch.column(c).to_pylist() for c in ("hub", "salt", "role", "doc")]
-            for i, (hub, salt, role, doc) in enumerate(zip(*columns, strict=True)):
-                found = shingles(batch.column("text")[i].as_py(), bands.shingle)
+            for hub, salt, role, doc, found in zip(*columns, _each(batch.column("text"), bands.shingle), strict=True):
                 if role == 0:
-                    at, own = (hub, salt), found
+                    at, own = (hub, salt), found.copy()  # a view would hold the sets around it
                     continue
                 assert at == (hub, salt)
                 both = len(np.intersect1d(own, found, assume_unique=True))

@@ -126,3 +126,17 @@ def test_rounds_end_when_they_link_little(spark, monkeypatch):
     assert sum(not kept for *_, kept in expected) == 48
     assert sorted(map(tuple, out.collect())) == sorted(expected)
     assert len(rounds) <= 2
+
+
+def test_sets_made_together_equal_sets_made_alone(monkeypatch):
+    texts = ["", None, "a", "A b", "a b c", "a b c d", "a a a a a a a", " É x\ty\x0bz w q ", None, "x" * 50, "b a b a b a b a b", ""]
+    alone = [minhash.shingles(t) for t in texts]
+    assert [len(s) for s in alone] == [0, 0, 1, 1, 1, 1, 1, 3, 0, 1, 2, 0]
+    for most in (1, 10, 1 << 20):
+        monkeypatch.setattr(minhash, "MOST_TOGETHER", most)
+        found = list(minhash._each(minhash.pa.array(texts, minhash.pa.string()), 4))
+        assert len(found) == len(alone) and all(np.array_equal(a, b) for a, b in zip(found, alone, strict=True))
+    full = [s for s in alone if len(s)]
+    together = minhash.signatures(np.concatenate(full), np.cumsum([0, *map(len, full)]), 128)
+    assert all((row == minhash.signature(s, 128)).all() for row, s in zip(together, full, strict=True))
+    assert (minhash.band_keys(together, 32, 4)[3] == minhash.band_keys(together[3], 32, 4)).all()
