@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -41,6 +42,23 @@ def test_texts_in_bytes_are_learned_in_bounded_calls(monkeypatch):
     assert max(calls) <= 5  # three chunks and a mark between them
 
 
+def test_small_letters_need_no_normal_form_and_known_chunks_stay(monkeypatch):
+    words = ["".join(p) for p in itertools.product("abcdefghij", repeat=3)]
+    texts = [" ".join(words[i % 500 :: 7]) + f" {i} É. don't Éa" for i in range(40)]
+    encode = ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"), most_chunks=600)
+    whole, small, plain, merged = [], [], encode._encode, encode._encode_small
+    monkeypatch.setattr(encode, "_encode", lambda text: whole.extend(text.split()) or plain(text))
+    monkeypatch.setattr(encode, "_encode_small", lambda text: small.extend(text.split()) or merged(text))
+    for text in texts:
+        for _ in range(2):
+            [raw] = encode.ids([text])
+            assert np.frombuffer(raw, "<u4").tolist() == plain_ids(text)
+        assert len(encode._known) <= 600 + len(text.split()) + 1
+    assert not any(c.isascii() and c.isalpha() for c in whole)
+    # common chunks are learned once, though the table was full in between
+    assert len(small) > 600 and whole.count("Éa") == whole.count("don't") == 1
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_no_capacity_is_exceeded(rule):
     r = random.Random(1)
